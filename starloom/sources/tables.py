@@ -60,12 +60,16 @@ def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.Str
     return spark.createDataFrame(list(rows), struct(schema) if isinstance(schema, str) else schema)
 
 
-def catalog_tables(spark: SparkSession, exclude_like: str | None = None, database: str | None = None) -> list[str]:
-    """Sorted names of the tables and views in the catalog, without those that match a LIKE pattern."""
+def catalog_tables(
+    spark: SparkSession, like: str | None = None, not_like: str | None = None, database: str | None = None
+) -> list[str]:
+    """Sorted names of the tables and views in the catalog that match one LIKE pattern and not the other."""
     listed = spark.sql("SHOW TABLES" if database is None else f"SHOW TABLES IN {database}")
     names = listed.select(F.col("tableName").alias("name"))
-    if exclude_like is not None:
-        names = names.filter(~F.col("name").like(exclude_like))
+    if like is not None:
+        names = names.filter(F.col("name").like(like))
+    if not_like is not None:
+        names = names.filter(~F.col("name").like(not_like))
     return [row.name for row in names.distinct().orderBy("name").collect()]
 
 
