@@ -35,7 +35,7 @@ def is_blank(c: ColumnLike) -> Column:
 def surrogate_key(*cols: ColumnLike) -> Column:
     """MD5 over the text of the fields; a NULL field hashes as a fixed token."""
     parts = [F.coalesce(_col(c).cast("string"), F.lit(KEY_NULL_TOKEN)) for c in cols]
-    return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
+    return F.md5(parts[0] if len(parts) == 1 else F.concat_ws(KEY_SEPARATOR, *parts))
 
 
 def year_label(year: ColumnLike) -> Column:

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import materialise
+
 Join = tuple[str, DataFrame, str]
 
 
@@ -45,10 +47,11 @@ def first_with_dimensions(
 ) -> DataFrame:
     """The first ``n`` facts with their dimension columns, as a left join of everything would give.
 
-    Left joins drop no fact, so the limit goes first, and each dimension is then narrowed to the at most
-    ``n`` keys in hand: that bound is what makes the broadcast safe.
+    Left joins drop no fact, so the limit goes first. The ``n`` facts are written out, because every join
+    looks at them; each dimension is then narrowed to their keys, and it is this bound of ``n`` that makes
+    the broadcast safe.
     """
-    head = fact.orderBy(order).limit(n)
+    head = materialise(fact.orderBy(order).limit(n), "head")
     out = head
     for fk, dim, nk in joins:
         keys = F.broadcast(head.select(F.col(fk).alias("__key")).distinct())

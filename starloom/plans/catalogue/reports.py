@@ -82,7 +82,7 @@ def ana_denormalised_sample(spark, sf):
        union all select 'fct_observations', count(*) from lineitem"""
 )
 def ana_volumes(spark, sf):
-    return A.volumes(sales_star(spark, sf).tables(), "tabela", "mart_rows").orderBy("tabela")
+    return A.volumes(sales_star(spark, sf).tables, "tabela", "mart_rows").orderBy("tabela")
 
 
 @query(

@@ -1 +1,51 @@
-"""Queries."""
+"""Queries: landed files taken in as a stream."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from starloom.plans.registry import query
+from starloom.plans.testdata import table
+from starloom.schemas import struct
+from starloom.session import scratch
+from starloom.sinks.files import land_raw
+from starloom.sources.envelopes import envelope_schema, unpack
+from starloom.streaming.landing import ingest_available, landed_stream, upsert_available
+
+FIRST, SECOND = datetime(2024, 1, 31, 6), datetime(2024, 2, 1, 6)
+
+
+@query("select event_id, event_type, case event_type when 'error' then '20240201_060000' else '20240131_060000' end ingest_ts from events")
+def str_landing_ingest(spark, sf):
+    """Envelopes landed twice, with a run of the stream after each landing and one more with nothing new."""
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    base, out, state = (scratch(spark, name) for name in ("land", "stream-out", "stream-state"))
+    schema = envelope_schema(events.schema)
+    item = F.array(F.struct("event_id", "event_type")).alias("value")
+    for ts, rows in (
+        (FIRST, events.filter("event_type <> 'error'")),
+        (SECOND, events.filter("event_type = 'error'")),
+    ):
+        land_raw(rows.select(item), base, "events", ts)
+        for _ in range(1 if ts == FIRST else 2):
+            stream = landed_stream(spark, f"{base}/events", schema)
+            ingest_available(stream, out, state, lambda landed: unpack(landed, "ingest_ts"))
+    return spark.read.parquet(out).select("event_id", "event_type", "ingest_ts")
+
+
+@query(
+    """select event_id, event_type, case when event_type in ('purchase', 'error') then "value" + 1000 else "value" end as "value"
+       from events"""
+)
+def str_upsert(spark, sf):
+    """All events land first; purchases and errors land again with other values and replace themselves."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    base, out, state = (scratch(spark, name) for name in ("land", "upsert-out", "upsert-state"))
+    corrected = events.filter(F.col("event_type").isin("purchase", "error")).withColumn("value", F.col("value") + 1000)
+    for ts, rows in ((FIRST, events), (SECOND, corrected)):
+        land_raw(rows, base, "events", ts)
+        stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
+        upsert_available(stream, out, state, ["event_id"], "event_type")
+    return spark.read.parquet(out).select("event_id", "event_type", "value")

@@ -6,34 +6,43 @@ and no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import decade_group, or_zero, surrogate_key, year_label
+from starloom.lazy import LazyTables
 from starloom.plans.staging import build_staging
 from starloom.schemas import UNKNOWN_SEX
 
 
 @dataclass(frozen=True)
 class Star:
-    """The five marts that the analytics read."""
+    """The marts that the reports read, built lazily or stored."""
 
-    fact: DataFrame
-    indicator: DataFrame
-    location: DataFrame
-    period: DataFrame
-    sex: DataFrame
+    tables: Mapping[str, DataFrame]
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "dim_indicator": self.indicator,
-            "dim_location": self.location,
-            "dim_period": self.period,
-            "dim_sex": self.sex,
-            "fct_observations": self.fact,
-        }
+    @property
+    def fact(self) -> DataFrame:
+        return self.tables["fct_observations"]
+
+    @property
+    def indicator(self) -> DataFrame:
+        return self.tables["dim_indicator"]
+
+    @property
+    def location(self) -> DataFrame:
+        return self.tables["dim_location"]
+
+    @property
+    def period(self) -> DataFrame:
+        return self.tables["dim_period"]
+
+    @property
+    def sex(self) -> DataFrame:
+        return self.tables["dim_sex"]
 
 
 def dim_indicator(stg: DataFrame) -> DataFrame:
@@ -52,7 +61,7 @@ def dim_period(stg: DataFrame) -> DataFrame:
 def dim_sex(stg: DataFrame) -> DataFrame:
     """The sexes plus one member for observations that state none."""
     id_, code, name = UNKNOWN_SEX
-    unknown = stg.sparkSession.range(1).select(
+    unknown = stg.sparkSession.range(0, 1, 1, 1).select(
         F.lit(id_).cast("long").alias("sex_id"), F.lit(code).alias("sex_code"), F.lit(name).alias("sex_name")
     )
     return _dimension(stg.unionByName(unknown), "sex", "sex_code", "sex_name")
@@ -72,13 +81,15 @@ def fct_observations(stg: DataFrame) -> DataFrame:
     return known.select(*columns, "value")
 
 
-def build_star(raw: dict[str, DataFrame]) -> Star:
-    """Raw tables to marts, lazily."""
-    stg = build_staging(raw)
-    return Star(
-        fact=fct_observations(stg["stg_observations"]),
-        indicator=dim_indicator(stg["stg_indicators"]),
-        location=dim_location(stg["stg_locations"]),
-        period=dim_period(stg["stg_periods"]),
-        sex=dim_sex(stg["stg_sex"]),
+def build_marts(staging: Mapping[str, DataFrame]) -> LazyTables:
+    return LazyTables(
+        dim_indicator=lambda: dim_indicator(staging["stg_indicators"]),
+        dim_location=lambda: dim_location(staging["stg_locations"]),
+        dim_period=lambda: dim_period(staging["stg_periods"]),
+        dim_sex=lambda: dim_sex(staging["stg_sex"]),
+        fct_observations=lambda: fct_observations(staging["stg_observations"]),
     )
+
+
+def build_star(raw: Mapping[str, DataFrame]) -> Star:
+    return Star(build_marts(build_staging(raw)))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import blank_to_null, trimmed_or, year_label
+from starloom.lazy import LazyTables
 
 
 def stg_indicators(raw: DataFrame) -> DataFrame:
@@ -50,12 +53,12 @@ def stg_dimensions(locations: DataFrame, periods: DataFrame, sex: DataFrame) ->
     return listed[0].unionByName(listed[1]).unionByName(listed[2])
 
 
-def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_indicators": stg_indicators(raw["dim_indicators"]),
-        "stg_locations": stg_locations(raw["dim_locations"]),
-        "stg_periods": stg_periods(raw["dim_periods"]),
-        "stg_sex": stg_sex(raw["dim_sex"]),
-        "stg_observations": stg_observations(raw["fact_observations"]),
-        "stg_dimensions": stg_dimensions(raw["dim_locations"], raw["dim_periods"], raw["dim_sex"]),
-    }
+def build_staging(raw: Mapping[str, DataFrame]) -> LazyTables:
+    return LazyTables(
+        stg_indicators=lambda: stg_indicators(raw["dim_indicators"]),
+        stg_locations=lambda: stg_locations(raw["dim_locations"]),
+        stg_periods=lambda: stg_periods(raw["dim_periods"]),
+        stg_sex=lambda: stg_sex(raw["dim_sex"]),
+        stg_observations=lambda: stg_observations(raw["fact_observations"]),
+        stg_dimensions=lambda: stg_dimensions(raw["dim_locations"], raw["dim_periods"], raw["dim_sex"]),
+    )

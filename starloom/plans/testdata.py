@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.lazy import LazyTables
 from starloom.plans.marts import Star, build_star
 
 
@@ -36,61 +37,70 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def sales_raw(spark: SparkSession, sf: str, dirty: bool = False) -> dict[str, DataFrame]:
+def sales_raw(spark: SparkSession, sf: str, dirty: bool = False) -> LazyTables:
     """Line items as observations: parts are the indicators, suppliers the locations, ship years the periods,
     return flags the sexes (N states none), quantities the values.
 
     ``dirty`` pads codes and blanks out some attributes, so that staging has something to clean.
     """
-    line = table(spark, sf, "lineitem")
-    part, supplier = table(spark, sf, "part"), table(spark, sf, "supplier")
-    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    year = F.year("l_shipdate").cast("long")
 
     def spoil(column: str, value: str) -> Column:
         c = F.concat(F.lit("  "), F.col(column), F.lit(" "))
         return F.when(F.col(column) != value, c).otherwise(F.lit("  ")) if dirty else F.col(column)
 
-    indicators = part.select(
-        F.col("p_partkey").alias("indicator_id"),
-        spoil("p_brand", "").alias("indicator_code"),
-        spoil("p_name", "red widget").alias("indicator_name"),
-        spoil("p_type", "PROMO").alias("category"),
-    )
-    places = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).join(
-        region, nation["n_regionkey"] == region["r_regionkey"]
-    )
-    locations = places.select(
-        F.col("s_suppkey").alias("location_id"),
-        spoil("n_name", "").alias("country_code"),
-        F.col("s_name").alias("country_name"),
-        spoil("r_name", "ASIA").alias("region_code"),
-    )
-    year = F.year("l_shipdate").cast("long")
-    years = table(spark, sf, "lineitem").select(year.alias("period_id")).distinct()
-    periods = years.select("period_id", F.when(F.col("period_id") != 1995, F.col("period_id")).alias("year"))
-    flags = table(spark, sf, "lineitem").filter(F.col("l_returnflag") != "N").select("l_returnflag").distinct()
-    sex = flags.select(
-        _flag_id("l_returnflag").alias("sex_id"),
-        F.col("l_returnflag").alias("sex_code"),
-        F.concat(F.lit("flag "), F.col("l_returnflag")).alias("sex_name"),
+    def indicators() -> DataFrame:
+        return table(spark, sf, "part").select(
+            F.col("p_partkey").alias("indicator_id"),
+            spoil("p_brand", "").alias("indicator_code"),
+            spoil("p_name", "red widget").alias("indicator_name"),
+            spoil("p_type", "PROMO").alias("category"),
+        )
+
+    def locations() -> DataFrame:
+        supplier, nation = table(spark, sf, "supplier"), table(spark, sf, "nation")
+        region = table(spark, sf, "region")
+        places = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).join(
+            region, nation["n_regionkey"] == region["r_regionkey"]
+        )
+        return places.select(
+            F.col("s_suppkey").alias("location_id"),
+            spoil("n_name", "").alias("country_code"),
+            F.col("s_name").alias("country_name"),
+            spoil("r_name", "ASIA").alias("region_code"),
+        )
+
+    def periods() -> DataFrame:
+        years = table(spark, sf, "lineitem").select(year.alias("period_id")).distinct()
+        known = F.when(F.col("period_id") != 1995, F.col("period_id")) if dirty else F.col("period_id")
+        return years.select("period_id", known.alias("year"))
+
+    def sex() -> DataFrame:
+        flags = table(spark, sf, "lineitem").filter(F.col("l_returnflag") != "N").select("l_returnflag").distinct()
+        return flags.select(
+            _flag_id("l_returnflag").alias("sex_id"),
+            F.col("l_returnflag").alias("sex_code"),
+            F.concat(F.lit("flag "), F.col("l_returnflag")).alias("sex_name"),
+        )
+
+    def observations() -> DataFrame:
+        quantity = F.col("l_quantity")
+        return table(spark, sf, "lineitem").select(
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("observation_id"),
+            F.col("l_partkey").alias("indicator_id"),
+            F.col("l_suppkey").alias("location_id"),
+            year.alias("period_id"),
+            _flag_id("l_returnflag").alias("sex_id"),
+            (F.when(quantity != 1, quantity) if dirty else quantity).alias("value"),
+        )
+
+    return LazyTables(
+        dim_indicators=indicators,
+        dim_locations=locations,
+        dim_periods=periods,
+        dim_sex=sex,
+        fact_observations=observations,
     )
-    observations = line.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("observation_id"),
-        F.col("l_partkey").alias("indicator_id"),
-        F.col("l_suppkey").alias("location_id"),
-        year.alias("period_id"),
-        _flag_id("l_returnflag").alias("sex_id"),
-        (F.when(F.col("l_quantity") != 1, F.col("l_quantity")) if dirty else F.col("l_quantity")).alias("value"),
-    )
-    if not dirty:
-        periods = years.select("period_id", F.col("period_id").alias("year"))
-    return {
-        "dim_indicators": indicators,
-        "dim_locations": locations,
-        "dim_periods": periods,
-        "dim_sex": sex,
-        "fact_observations": observations,
-    }
 
 
 def _flag_id(column: str) -> Column:
@@ -101,45 +111,66 @@ def sales_star(spark: SparkSession, sf: str) -> Star:
     return build_star(sales_raw(spark, sf))
 
 
-def event_raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def event_raw(spark: SparkSession, sf: str) -> LazyTables:
     """Events as observations with a unique id: event types are the indicators, customers the locations, days
     of the month stand for the years from 1991 on, and the number in ``props`` gives the sex."""
-    events = table(spark, sf, "events")
-    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
     day = F.dayofmonth("ts").cast("long")
-    kinds = table(spark, sf, "events").select("event_type").distinct()
-    indicators = kinds.select(
-        _event_id("event_type").alias("indicator_id"),
-        F.col("event_type").alias("indicator_code"),
-        F.initcap("event_type").alias("indicator_name"),
-        F.substring("event_type", 1, 1).alias("category"),
-    )
-    locations = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
-        F.col("c_custkey").alias("location_id"),
-        F.col("c_name").alias("country_code"),
-        F.col("c_mktsegment").alias("country_name"),
-        F.col("n_name").alias("region_code"),
-    )
-    periods = table(spark, sf, "events").select(day.alias("period_id")).distinct().withColumn("year", F.col("period_id") + 1990)
-    stated = table(spark, sf, "events").select(event_sex().alias("sex_code")).filter("sex_code is not null").distinct()
-    sex = stated.select(
-        _sex_id("sex_code").alias("sex_id"), "sex_code", F.concat(F.lit("sex "), F.col("sex_code")).alias("sex_name")
-    )
-    observations = events.select(
-        F.col("event_id").alias("observation_id"),
-        _event_id("event_type").alias("indicator_id"),
-        F.col("user_id").alias("location_id"),
-        day.alias("period_id"),
-        _sex_id(event_sex()).alias("sex_id"),
-        "value",
+
+    def indicators() -> DataFrame:
+        return (
+            table(spark, sf, "events")
+            .select("event_type")
+            .distinct()
+            .select(
+                _event_id("event_type").alias("indicator_id"),
+                F.col("event_type").alias("indicator_code"),
+                F.initcap("event_type").alias("indicator_name"),
+                F.substring("event_type", 1, 1).alias("category"),
+            )
+        )
+
+    def locations() -> DataFrame:
+        customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
+            F.col("c_custkey").alias("location_id"),
+            F.col("c_name").alias("country_code"),
+            F.col("c_mktsegment").alias("country_name"),
+            F.col("n_name").alias("region_code"),
+        )
+
+    def periods() -> DataFrame:
+        days = table(spark, sf, "events").select(day.alias("period_id")).distinct()
+        return days.withColumn("year", F.col("period_id") + 1990)
+
+    def sex() -> DataFrame:
+        codes = table(spark, sf, "events").select(event_sex().alias("sex_code"))
+        return (
+            codes.filter(F.col("sex_code").isNotNull())
+            .distinct()
+            .select(
+                _sex_id("sex_code").alias("sex_id"),
+                "sex_code",
+                F.concat(F.lit("sex "), F.col("sex_code")).alias("sex_name"),
+            )
+        )
+
+    def observations() -> DataFrame:
+        return table(spark, sf, "events").select(
+            F.col("event_id").alias("observation_id"),
+            _event_id("event_type").alias("indicator_id"),
+            F.col("user_id").alias("location_id"),
+            day.alias("period_id"),
+            _sex_id(event_sex()).alias("sex_id"),
+            "value",
+        )
+
+    return LazyTables(
+        dim_indicators=indicators,
+        dim_locations=locations,
+        dim_periods=periods,
+        dim_sex=sex,
+        fact_observations=observations,
     )
-    return {
-        "dim_indicators": indicators,
-        "dim_locations": locations,
-        "dim_periods": periods,
-        "dim_sex": sex,
-        "fact_observations": observations,
-    }
 
 
 def event_star(spark: SparkSession, sf: str) -> Star:
