@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,11 +31,15 @@ def surplus_groups(df: DataFrame, column: str) -> DataFrame:
     return check_unique(df.select(digest.alias("__digest")), "__digest").select("n")
 
 
+def null_counts(df: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """NULLs of the columns as c0, c1, ... and further aggregates, in one row from one pass."""
+    return df.agg(*[F.expr(f"count_if(`{c}` is null)").alias(f"c{i}") for i, c in enumerate(columns)], *more)
+
+
 def check_not_null(df: DataFrame, *columns: str) -> DataFrame:
-    """Number of NULLs per column, all from one pass, as one row per column."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("nulls")) for i, c in enumerate(columns)]
-    return counted.select(F.inline(F.array(*rows)))
+    """Number of NULLs per column, as one row per column."""
+    pairs = ", ".join(f"{sql_text(c)}, c{i}" for i, c in enumerate(columns))
+    return null_counts(df, list(columns)).selectExpr(f"stack({len(columns)}, {pairs}) as (column, nulls)")
 
 
 def check_accepted(df: DataFrame, column: str, values: list[str]) -> DataFrame:
@@ -49,15 +55,13 @@ def check_relationship(child: DataFrame, column: str, parent: DataFrame, parent_
 def check_same_count(expected: DataFrame, actual: DataFrame, offset: int = 0) -> DataFrame:
     """Both row counts and the verdict, as one row; ``offset`` rows more are expected in ``actual``."""
     sides = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(side).alias("side"), F.col("n") + plus)
-        for df, side, plus in ((expected, "expected", F.lit(offset)), (actual, "actual", F.lit(0)))
+        df.agg(F.expr(f"count(*) + {plus}").alias("n")).selectExpr(f"'{side}' as side", "n")
+        for df, side, plus in ((expected, "expected", offset), (actual, "actual", 0))
     ]
-    sides = [side.toDF("side", "n") for side in sides]
     counts = sides[0].unionByName(sides[1]).agg(
-        *[F.max(F.when(F.col("side") == side, F.col("n"))).alias(f"{side}_rows") for side in ("expected", "actual")]
+        *[F.expr(f"max(n) filter (where side = '{side}')").alias(f"{side}_rows") for side in ("expected", "actual")]
     )
-    equal = F.col("expected_rows") == F.col("actual_rows")
-    return counts.withColumn("status", F.when(equal, PASS).otherwise(FAIL))
+    return counts.withColumn("status", F.expr(f"if(expected_rows = actual_rows, '{PASS}', '{FAIL}')"))
 
 
 # --- check rows ------------------------------------------------------------------------------------------
@@ -67,49 +71,65 @@ def verdict(ok: Column) -> Column:
     return F.when(ok, PASS).otherwise(FAIL)
 
 
-def check_row(
-    layer: str,
-    table: str,
-    check: str | Column,
-    status: str | Column,
-    column: str | Column | None = None,
-    observed: Column | float | None = None,
-    lo: float | None = None,
-    hi: float | None = None,
-    detail: str | Column | None = None,
-) -> Column:
-    """One row of the result schema that all quality operators share."""
-
-    def as_col(x, kind):
-        return (x if isinstance(x, Column) else F.lit(x)).cast(kind)
-
-    return F.struct(
-        as_col(layer, "string").alias("layer"),
-        as_col(table, "string").alias("table"),
-        as_col(check, "string").alias("check"),
-        as_col(column, "string").alias("column"),
-        as_col(status, "string").alias("status"),
-        as_col(observed, "double").alias("observed"),
-        as_col(lo, "double").alias("expected_min"),
-        as_col(hi, "double").alias("expected_max"),
-        as_col(detail, "string").alias("detail"),
-    )
+def sql_text(value: str | None) -> str:
+    """A string as SQL literal."""
+    if value is None:
+        return "cast(null as string)"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def rows_of(df: DataFrame, *rows: Column) -> DataFrame:
-    """The given check rows for each row of ``df``, which is an aggregate of one row."""
-    return df.select(F.inline(F.array(*rows)))
+@dataclass(frozen=True)
+class Check:
+    """One row of the result schema that all quality operators share.
 
+    ``observed``, ``status`` and ``detail`` are SQL over the aggregate that answers the check. Without a
+    status the check passes if the observed value keeps to the bounds.
+    """
 
-def known_rows(spark: SparkSession, *rows: Column) -> DataFrame:
+    layer: str
+    table: str
+    check: str
+    column: str | None = None
+    observed: str | None = None
+    lo: float | None = None
+    hi: float | None = None
+    status: str | None = None
+    detail: str | None = None
+
+    def sql(self) -> str:
+        observed = f"cast({self.observed or 'null'} as double)"
+        bounds = [f"{observed} >= {self.lo}"] * (self.lo is not None) + [f"{observed} <= {self.hi}"] * (self.hi is not None)
+        status = self.status or f"if({' and '.join(bounds) or 'true'}, '{PASS}', '{FAIL}')"
+        fields = [
+            sql_text(self.layer),
+            sql_text(self.table),
+            sql_text(self.check),
+            sql_text(self.column),
+            status,
+            observed,
+            f"cast({'null' if self.lo is None else self.lo} as double)",
+            f"cast({'null' if self.hi is None else self.hi} as double)",
+            f"cast({self.detail or 'null'} as string)",
+        ]
+        return ", ".join(fields)
+
+
+def rows_of(df: DataFrame, *checks: Check) -> DataFrame:
+    """The check rows that an aggregate of one row answers."""
+    names = ", ".join(f"`{f.name}`" for f in struct(CHECK_DDL).fields)
+    return df.selectExpr(f"stack({len(checks)}, {', '.join(c.sql() for c in checks)}) as ({names})")
+
+
+def known_rows(spark: SparkSession, *checks: Check) -> DataFrame:
     """Check rows that follow from metadata alone."""
-    return rows_of(spark.range(0, 1, 1, 1), *rows)
+    return rows_of(spark.range(0, 1, 1, 1), *checks)
 
 
-def violations(df: DataFrame, layer: str, table: str, check: str, column: str, total: Column) -> DataFrame:
+def violations(df: DataFrame, layer: str, table: str, check: str, column: str, total: str) -> DataFrame:
     """Turn a list of violations into one check row; none found means pass."""
-    found = df.agg(F.coalesce(total, F.lit(0)).alias("n"))
-    return rows_of(found, check_row(layer, table, check, verdict(F.col("n") == 0), column, F.col("n"), hi=0))
+    found = df.agg(F.expr(f"coalesce({total}, 0)").alias("n"))
+    return rows_of(found, Check(layer, table, check, column, "n", hi=0))
 
 
 def union_checks(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
@@ -180,41 +200,42 @@ SAME_COUNTS = [
 ]
 
 
-def column_tests(tables: dict[str, DataFrame], tests: dict = MART_TESTS, layer: str = "mart") -> DataFrame:
+def column_tests(tables: Mapping[str, DataFrame], tests: dict = MART_TESTS, layer: str = "mart") -> DataFrame:
     """Run column tests; one check row each. The NULL tests of a table share one pass."""
     parts = []
     for table, columns in tests.items():
         df = tables[table]
         required = [c for c, kinds in columns.items() if "not_null" in kinds]
         if required:
-            nulls = F.col("nulls")
-            row = check_row(layer, table, "not_null", verdict(nulls == 0), F.col("column"), nulls, hi=0)
-            parts.append(rows_of(check_not_null(df, *required), row))
+            rows = [Check(layer, table, "not_null", c, f"c{i}", hi=0) for i, c in enumerate(required)]
+            parts.append(rows_of(null_counts(df, required), *rows))
         for column, kinds in columns.items():
             for kind in kinds:
                 if kind == "unique":
-                    found, name, total = surplus_groups(df, column), "unique", F.count(F.lit(1))
+                    found, name, total = surplus_groups(df, column), "unique", "count(*)"
                 elif isinstance(kind, dict) and "accepted_values" in kind:
-                    found, name = check_accepted(df, column, kind["accepted_values"]), "accepted_values"
-                    total = F.sum("n")
+                    found, name, total = check_accepted(df, column, kind["accepted_values"]), "accepted_values", "sum(n)"
                 elif isinstance(kind, dict) and "relationships" in kind:
                     parent, parent_column = kind["relationships"]
-                    found, name = check_relationship(df, column, tables[parent], parent_column), "relationships"
-                    total = F.sum("n")
-                else:
+                    found = check_relationship(df, column, tables[parent], parent_column)
+                    name, total = "relationships", "sum(n)"
+                elif kind == "not_null":
                     continue
+                else:
+                    raise ValueError(f"unknown column test {kind}")
                 parts.append(violations(found, layer, table, name, column, total))
     return union_checks(next(iter(tables.values())).sparkSession, parts)
 
 
 def count_tests(
-    staging: dict[str, DataFrame], marts: dict[str, DataFrame], pairs: list[tuple[str, str, int]] | None = None
+    staging: Mapping[str, DataFrame], marts: Mapping[str, DataFrame], pairs: list[tuple[str, str, int]] | None = None
 ) -> DataFrame:
     """Row count consistency of staging and marts, one check row per pair."""
     parts = []
     for source, table, offset in pairs or SAME_COUNTS:
         counts = check_same_count(staging[source], marts[table], offset)
-        detail = F.concat(F.lit("expected "), F.col("expected_rows").cast("string"))
-        row = check_row("mart", table, "row_count_match", F.col("status"), observed=F.col("actual_rows"), detail=detail)
+        row = Check(
+            "mart", table, "row_count_match", None, "actual_rows", status="status", detail="concat('expected ', expected_rows)"
+        )
         parts.append(rows_of(counts, row))
     return union_checks(next(iter(marts.values())).sparkSession, parts)

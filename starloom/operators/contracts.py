@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.checks import (
-    ERROR,
-    FAIL,
-    PASS,
-    check_row,
-    known_rows,
-    rows_of,
-    union_checks,
-    verdict,
-)
+from starloom.operators.checks import ERROR, FAIL, Check, known_rows, null_counts, rows_of, sql_text, union_checks
 from starloom.schemas import MART_DDL, RAW_DDL, struct
 
-ANY = "any"
-
 
 @dataclass(frozen=True)
 class Contract:
@@ -45,13 +35,14 @@ class Contract:
         its own that reads only the key, so the distinct count does not carry the other metrics along.
         """
         if df is None:
-            return known_rows(spark, check_row(self.layer, self.table, "table_exists", FAIL, detail="table not found"))
-        present = set(df.columns)
-        parts = [known_rows(spark, *self._schema_rows(df)), self._profile(df)]
-        parts += [self._key(spark, df, key) if key in present else self._absent(spark, key) for key in self.keys]
-        return union_checks(spark, parts)
+            return known_rows(spark, self._check("table_exists", status=f"'{FAIL}'", detail="'table not found'"))
+        keys = [key for key in self.keys if key in df.columns]
+        return union_checks(spark, [self._profile(df), *[self._key(df, key) for key in keys]])
+
+    def _check(self, check: str, column: str | None = None, observed: str | None = None, **more) -> Check:
+        return Check(self.layer, self.table, check, column, observed, **more)
 
-    def _schema_rows(self, df: DataFrame) -> list:
+    def _schema_rows(self, df: DataFrame) -> list[Check]:
         actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         expected = {f.name: f.dataType.simpleString() for f in self.schema().fields}
         missing = [c for c in expected if c not in actual]
@@ -60,59 +51,29 @@ class Contract:
             for c, t in expected.items()
             if c in actual and c not in self.any_type and actual[c] != t
         ]
+        found = str(len(expected) - len(missing))
         return [
-            check_row(
-                self.layer,
-                self.table,
-                "columns_exist",
-                FAIL if missing else PASS,
-                observed=float(len(expected) - len(missing)),
-                lo=float(len(expected)),
-                detail=", ".join(missing) or None,
-            ),
-            check_row(
-                self.layer,
-                self.table,
-                "column_types",
-                FAIL if wrong else PASS,
-                observed=float(len(wrong)),
-                hi=0.0,
-                detail="; ".join(wrong) or None,
-            ),
+            self._check("columns_exist", None, found, lo=len(expected), detail=sql_text(", ".join(missing) or None)),
+            self._check("column_types", None, str(len(wrong)), hi=0, detail=sql_text("; ".join(wrong) or None)),
         ]
 
     def _profile(self, df: DataFrame) -> DataFrame:
         required = [f.name for f in self.schema().fields if not f.nullable]
         counted = [c for c in required if c in df.columns]
-        profile = df.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(counted)],
-        )
-        size = verdict(F.col("n").between(self.min_rows, self.max_rows))
         rows = [
-            check_row(
-                self.layer, self.table, "row_count", size, observed=F.col("n"), lo=self.min_rows, hi=self.max_rows
-            )
+            *self._schema_rows(df),
+            self._check("row_count", None, "n", lo=self.min_rows, hi=self.max_rows),
+            *[self._check("not_null", c, f"c{i}", hi=0) for i, c in enumerate(counted)],
         ]
-        for i, c in enumerate(counted):
-            nulls = F.col(f"c{i}")
-            rows.append(check_row(self.layer, self.table, "not_null", verdict(nulls == 0), c, nulls, hi=0))
-        for c in required:
-            if c not in counted:
-                rows.append(check_row(self.layer, self.table, "not_null", ERROR, c, detail="column not found"))
-        return rows_of(profile, *rows)
-
-    def _key(self, spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-        counted = df.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("surplus"))
-        surplus = F.col("surplus")
-        return rows_of(
-            counted, check_row(self.layer, self.table, "pk_uniqueness", verdict(surplus == 0), key, surplus, hi=0)
-        )
-
-    def _absent(self, spark: SparkSession, key: str) -> DataFrame:
-        return known_rows(
-            spark, check_row(self.layer, self.table, "pk_uniqueness", ERROR, key, detail="column not found")
-        )
+        for check, columns in (("not_null", required), ("pk_uniqueness", self.keys)):
+            for c in columns:
+                if c not in df.columns:
+                    rows.append(self._check(check, c, status=f"'{ERROR}'", detail="'column not found'"))
+        return rows_of(null_counts(df, counted, F.count(F.lit(1)).alias("n")), *rows)
+
+    def _key(self, df: DataFrame, key: str) -> DataFrame:
+        counted = df.agg(F.expr(f"count(*) - count(distinct `{key}`)").alias("surplus"))
+        return rows_of(counted, self._check("pk_uniqueness", key, "surplus", hi=0))
 
 
 # Table, key, smallest and largest number of rows.
@@ -135,6 +96,6 @@ RAW_CONTRACTS = [Contract("raw", t, RAW_DDL[t], (key,), lo, hi) for t, key, lo,
 MART_CONTRACTS = [Contract("mart", t, MART_DDL[t], (key,), lo, hi) for t, key, lo, hi in _MART]
 
 
-def validate_all(spark: SparkSession, contracts: list[Contract], tables: dict[str, DataFrame]) -> DataFrame:
+def validate_all(spark: SparkSession, contracts: list[Contract], tables: Mapping[str, DataFrame]) -> DataFrame:
     """Check rows of all contracts; a table that is not given fails."""
     return union_checks(spark, [c.validate(spark, tables.get(c.table)) for c in contracts])

@@ -31,45 +31,46 @@ def latest_per_key(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     return df.groupBy(*keys).agg(packed).select(*[f"__row.{c}" if c in rest else c for c in df.columns])
 
 
+def first_per_key(batch: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """The smallest row of each non-NULL key, compared by ``order`` and then by the other columns."""
+    rest = [c for c in batch.columns if c != key]
+    if not rest:
+        return batch.filter(F.col(key).isNotNull()).distinct()
+    ranked = [*(order or []), *[c for c in rest if c not in (order or [])]]
+    smallest = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*ranked)).alias("__row"))
+    return smallest.select(*[c if c == key else f"__row.{c}" for c in batch.columns])
+
+
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """Add the batch rows whose key is new, one per key; rows already there win.
 
-    Of several batch rows with one key the smallest stays, compared by ``order`` and then by the other
-    columns. Rows with a NULL key are all added, as a UNIQUE column allows any number of them.
+    Rows with a NULL key are all added, as a UNIQUE column allows any number of them.
     """
-    rest = [c for c in batch.columns if c != key]
-    ranked = [*(order or []), *[c for c in rest if c not in (order or [])]]
-    first = (
-        batch.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*ranked)).alias("__row"))
-        .select(*[c if c == key else f"__row.{c}" for c in batch.columns])
-        .join(target.select(key), key, "left_anti")
-    )
+    new = first_per_key(batch, key, order).join(target.select(key), key, "left_anti").select(*batch.columns)
     keyless = batch.filter(F.col(key).isNull())
-    return target.unionByName(first.select(*batch.columns), allowMissingColumns=True).unionByName(
-        keyless, allowMissingColumns=True
-    )
+    return target.unionByName(new.unionByName(keyless), allowMissingColumns=True)
 
 
-def assign_ids(codes: DataFrame, dim: DataFrame, code: str, id_: str) -> DataFrame:
-    """``dim`` with a row added for every code it lacks; other attributes of the new rows are NULL.
+def insert_with_ids(
+    dim: DataFrame, batch: DataFrame, code: str, id_: str, order: list[str] | None = None
+) -> DataFrame:
+    """:func:`insert_ignore` into a dimension whose new rows take ids after the largest in use, in code order.
 
-    New ids follow the largest one in use, in code order. NULL codes get no id.
+    Columns the batch lacks are NULL in its rows. Rows without a code get no id and are left out.
     """
-    new = (
-        codes.select(F.col(code).cast(dim.schema[code].dataType).alias(code))
-        .filter(F.col(code).isNotNull())
-        .distinct()
-        .join(dim.select(code), code, "left_anti")
-    )
-    top = _largest(dim, id_)
+    coded = batch.filter(F.col(code).isNotNull()).withColumn(code, F.col(code).cast(dim.schema[code].dataType))
+    added = first_per_key(coded.drop(id_), code, order).join(dim.select(code), code, "left_anti")
+    numbered = dense_ids(added, [code], id_, start=_largest(dim, id_) + 1)
     return dim.unionByName(
-        dense_ids(new, [code], id_, start=top + 1).select(F.col(id_).cast(dim.schema[id_].dataType), code),
-        allowMissingColumns=True,
+        numbered.withColumn(id_, F.col(id_).cast(dim.schema[id_].dataType)), allowMissingColumns=True
     )
 
 
+def assign_ids(codes: DataFrame, dim: DataFrame, code: str, id_: str) -> DataFrame:
+    """``dim`` with a row added for every code it lacks; other attributes of the new rows are NULL."""
+    return insert_with_ids(dim, codes.select(code), code, id_)
+
+
 def _largest(df: DataFrame, id_: str) -> int:
     return df.agg(F.coalesce(F.max(id_), F.lit(0)).cast("long")).first()[0]
 
@@ -105,6 +106,12 @@ def load_facts(observations: DataFrame, target: DataFrame | None = None, key: li
     )
 
 
+def with_copy_no(facts: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """Facts stored without ``copy_no``, numbered within their business key by value and then by id."""
+    before = sum_before(facts, key or FACT_KEY, ["value", "observation_id"], out="__before")
+    return before.withColumn("copy_no", F.col("__before") + 1).drop("__before")
+
+
 def enrich(
     dim: DataFrame, lookup: DataFrame, code: str, name: str, lookup_name: str, order: Column | None = None
 ) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.checks import surplus_groups, union_checks
+from starloom.operators.checks import null_counts, sql_text, surplus_groups, union_checks
 
 # The public names of the expectation types in suite files.
 EXISTS = "expect_column_to_exist"
@@ -40,51 +40,43 @@ def parse_suite(text: str) -> Suite:
 
 
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """One row per expectation, in suite order: success, rows looked at, rows that break it.
+    """One row per expectation, numbered in suite order: success, rows looked at, rows that break it.
 
     Existence and NULLs are answered by a single pass. Uniqueness counts every row of a repeated value as
     unexpected, ignores NULLs, and takes a pass of its own per column.
     """
     present = set(df.columns)
     nulls = sorted({c for kind, c in suite if kind != EXISTS and c in present})
-    profile = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(nulls)]
-    )
     simple, parts = [], []
     for position, (kind, column) in enumerate(suite):
         if kind == EXISTS:
-            simple.append(_result(position, kind, column, F.lit(column in present), F.col("n"), F.lit(0)))
+            simple.append(_result(position, kind, column, str(column in present).lower(), "n", "0"))
         elif column not in present:
-            simple.append(_result(position, kind, column, F.lit(False), F.lit(0), F.lit(0), "column not found"))
+            simple.append(_result(position, kind, column, "false", "0", "0", "column not found"))
         elif kind == NOT_NULL:
-            bad = F.col(f"c{nulls.index(column)}")
-            simple.append(_result(position, kind, column, bad == 0, F.col("n"), bad))
+            bad = f"c{nulls.index(column)}"
+            simple.append(_result(position, kind, column, f"{bad} = 0", "n", bad))
         elif kind == UNIQUE:
             parts.append(_unique(df, position, column))
         else:
             raise ValueError(f"unknown expectation {kind}")
     if simple:
-        parts.insert(0, profile.select(F.inline(F.array(*simple))))
+        parts.insert(0, _rows(null_counts(df, nulls, F.count(F.lit(1)).alias("n")), *simple))
     return union_checks(df.sparkSession, parts)
 
 
 def _unique(df: DataFrame, position: int, column: str) -> DataFrame:
-    repeated = surplus_groups(df, column).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bad"))
-    looked_at = df.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(0).cast("long").alias("bad"))
-    both = looked_at.unionByName(repeated.select(F.lit(0).cast("long").alias("n"), "bad"))
-    counts = both.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    return counts.select(F.inline(F.array(_result(position, UNIQUE, column, F.col("bad") == 0, F.col("n"), F.col("bad")))))
-
-
-def _result(
-    position: int, kind: str, column: str, success: Column, looked_at: Column, unexpected: Column, detail=None
-) -> Column:
-    return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(kind).alias("expectation"),
-        F.lit(column).alias("column"),
-        success.alias("success"),
-        looked_at.cast("long").alias("element_count"),
-        unexpected.cast("long").alias("unexpected_count"),
-        F.lit(detail).cast("string").alias("detail"),
-    )
+    looked_at = df.agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("bad"))
+    repeated = surplus_groups(df, column).agg(F.lit(0).cast("long").alias("n"), F.sum("n").alias("bad"))
+    counts = looked_at.unionByName(repeated).agg(F.expr("coalesce(sum(n), 0)").alias("n"), F.expr("coalesce(sum(bad), 0)").alias("bad"))
+    return _rows(counts, _result(position, UNIQUE, column, "bad = 0", "n", "bad"))
+
+
+def _result(position: int, kind: str, column: str, success: str, looked_at: str, unexpected: str, detail=None) -> str:
+    counts = f"cast({looked_at} as bigint), cast({unexpected} as bigint)"
+    return f"{position}, {sql_text(kind)}, {sql_text(column)}, {success}, {counts}, {sql_text(detail)}"
+
+
+def _rows(df: DataFrame, *results: str) -> DataFrame:
+    names = "position, expectation, column, success, element_count, unexpected_count, detail"
+    return df.selectExpr(f"stack({len(results)}, {', '.join(results)}) as ({names})")

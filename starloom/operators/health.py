@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.checks import ERROR, FAIL, PASS, check_row, known_rows, rows_of, union_checks, verdict
+from starloom.operators.checks import ERROR, FAIL, PASS, Check, known_rows, rows_of, sql_text, union_checks
 from starloom.operators.star import orphans
 
 # Fact column, dimension table, natural key.
@@ -28,29 +29,30 @@ def orphan_counts(fact: DataFrame, keys: list[tuple[str, DataFrame, str]]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def volume_checks(spark: SparkSession, layer: str, expected: list[str], tables: dict[str, DataFrame]) -> DataFrame:
+def volume_checks(spark: SparkSession, layer: str, expected: list[str], tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per expected table; one that is missing fails."""
     parts = []
     for name in expected:
         if name not in tables:
-            parts.append(known_rows(spark, check_row(layer, name, "exists", FAIL, detail="table not found")))
+            absent = Check(layer, name, "exists", status=f"'{FAIL}'", detail="'table not found'")
+            parts.append(known_rows(spark, absent))
         else:
             counted = tables[name].agg(F.count(F.lit(1)).alias("n"))
-            parts.append(rows_of(counted, check_row(layer, name, "exists", PASS, observed=F.col("n"))))
+            parts.append(rows_of(counted, Check(layer, name, "exists", observed="n")))
     return union_checks(spark, parts)
 
 
-def reference_checks(spark: SparkSession, marts: dict[str, DataFrame], fact: str = "fct_observations") -> DataFrame:
+def reference_checks(spark: SparkSession, marts: Mapping[str, DataFrame], fact: str = "fct_observations") -> DataFrame:
     """Orphans per foreign key; a key that cannot be checked is an error."""
     parts = []
     for fk, table, nk in FOREIGN_KEYS:
         readable = fact in marts and table in marts and fk in marts[fact].columns and nk in marts[table].columns
         if not readable:
-            parts.append(known_rows(spark, check_row("mart", fact, "orphans", ERROR, fk, detail=f"needs {table}.{nk}")))
+            needs = sql_text(f"needs {table}.{nk}")
+            parts.append(known_rows(spark, Check("mart", fact, "orphans", fk, status=f"'{ERROR}'", detail=needs)))
             continue
         found = orphan_counts(marts[fact], [(fk, marts[table], nk)])
-        row = check_row("mart", fact, "orphans", verdict(F.col("orphans") == 0), fk, F.col("orphans"), hi=0)
-        parts.append(rows_of(found, row))
+        parts.append(rows_of(found, Check("mart", fact, "orphans", fk, "orphans", hi=0)))
     return union_checks(spark, parts)
 
 

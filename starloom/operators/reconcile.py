@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import or_zero, pct_diff
-from starloom.operators.checks import ERROR, PASS, check_row, known_rows, rows_of, union_checks, verdict
+from starloom.operators.checks import ERROR, FAIL, PASS, Check, known_rows, rows_of, union_checks, verdict
 
 TOLERANCE_PCT = 0.1
 LAYERS = ("raw", "staging", "mart")
@@ -60,9 +61,9 @@ LAYER_MAP = [
 
 def reconcile(
     spark: SparkSession,
-    raw: dict[str, DataFrame],
-    staging: dict[str, DataFrame],
-    marts: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
+    staging: Mapping[str, DataFrame],
+    marts: Mapping[str, DataFrame],
     layers: list[Layers] | None = None,
     tolerance: float = TOLERANCE_PCT,
 ) -> DataFrame:
@@ -75,7 +76,8 @@ def reconcile(
             needed = {column, subject.value} if subject.value else {column}
             df = tables.get(table)
             if df is None or not needed <= set(df.columns):
-                absent.append(check_row(layer, table, "readable", ERROR, column, detail="table or column not found"))
+                missing = "'table or column not found'"
+                absent.append(Check(layer, table, "readable", column, status=f"'{ERROR}'", detail=missing))
             else:
                 frames[layer] = df
         if absent:
@@ -90,15 +92,13 @@ def subject_checks(subject: Layers, frames: dict[str, DataFrame], tolerance: flo
     parts = [_count_checks(subject, counts, tolerance)]
     for layer in ("raw", "mart"):
         table, column = getattr(subject, layer)
-        surplus = frames[layer].agg((F.count(F.lit(1)) - F.count_distinct(column)).alias("n"))
-        row = check_row(layer, table, "uniqueness", verdict(F.col("n") == 0), column, F.col("n"), hi=0)
-        parts.append(rows_of(surplus, row))
+        surplus = frames[layer].agg(F.expr(f"count(*) - count(distinct `{column}`)").alias("n"))
+        parts.append(rows_of(surplus, Check(layer, table, "uniqueness", column, "n", hi=0)))
     if subject.value:
         parts.append(_value_check(subject, layer_sums(subject, frames), tolerance))
     missing = uncovered(subject, frames).agg(F.count(F.lit(1)).alias("n"))
     table, column = subject.mart
-    row = check_row("mart", table, "coverage", verdict(F.col("n") == 0), column, F.col("n"), hi=0)
-    parts.append(rows_of(missing, row))
+    parts.append(rows_of(missing, Check("mart", table, "coverage", column, "n", hi=0)))
     return parts
 
 
@@ -147,28 +147,34 @@ def count_difference(raw: Column, mart: Column, extra: int = 0) -> Column:
 
 
 def _count_checks(subject: Layers, counts: DataFrame, tolerance: float) -> DataFrame:
-    difference = count_difference(F.col("raw"), F.col("mart"), subject.mart_extra_rows)
-    table = subject.mart[0]
-    rows = [
-        check_row(layer, getattr(subject, layer)[0], "count", PASS, getattr(subject, layer)[1], F.col(layer))
-        for layer in LAYERS
-    ]
+    table, column = subject.mart
+    rows = [Check(layer, *_at(subject, layer, "count"), observed=layer) for layer in LAYERS]
     # A difference of exactly the tolerance passes here, and fails for values below.
-    within = verdict(difference <= F.lit(tolerance))
-    rows.append(check_row("mart", table, "count_raw_vs_mart", within, subject.mart[1], F.round(difference, 2), hi=tolerance))
-    return rows_of(counts, *rows)
+    within = f"if(difference <= {tolerance}, '{PASS}', '{FAIL}')"
+    rows.append(Check("mart", table, "count_raw_vs_mart", column, "round(difference, 2)", hi=tolerance, status=within))
+    difference = count_difference(F.col("raw"), F.col("mart"), subject.mart_extra_rows)
+    return rows_of(counts.withColumn("difference", difference), *rows)
+
+
+def _at(subject: Layers, layer: str, check: str) -> tuple[str, str, str]:
+    table, column = getattr(subject, layer)
+    return table, check, column
 
 
 def _value_check(subject: Layers, sums: DataFrame, tolerance: float) -> DataFrame:
     """Compare the rounded sums. A raw sum that is not positive gives no base to compare with and passes."""
-    raw, mart = F.col("sum_raw"), F.col("sum_mart")
-    difference = F.when(raw > 0, pct_diff(raw, mart))
-    status = F.when(difference.isNull(), F.lit(PASS)).otherwise(verdict(difference < F.lit(tolerance)))
-    detail = F.when(difference.isNull(), F.lit("raw sum not positive, not compared"))
-    row = check_row(
-        "mart", subject.mart[0], "value_sum_raw_vs_mart", status, subject.value, F.round(difference, 2), hi=tolerance, detail=detail
+    row = Check(
+        "mart",
+        subject.mart[0],
+        "value_sum_raw_vs_mart",
+        subject.value,
+        "round(difference, 2)",
+        hi=tolerance,
+        status=f"if(difference is null or difference < {tolerance}, '{PASS}', '{FAIL}')",
+        detail="if(difference is null, 'raw sum not positive, not compared', null)",
     )
-    return rows_of(sums, row)
+    difference = F.when(F.col("sum_raw") > 0, pct_diff("sum_raw", "sum_mart"))
+    return rows_of(sums.withColumn("difference", difference), row)
 
 
 def overall(checks: DataFrame) -> DataFrame:

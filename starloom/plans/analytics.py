@@ -27,9 +27,15 @@ def observations_by_sex(star: Star) -> DataFrame:
     return top(count_rows(star.fact, [("sex_id", star.sex, "sex_nk")], by), None, "total", *by)
 
 
-def yearly_average(star: Star) -> DataFrame:
-    """Mean value per year and category; observations of an indicator without a category are left out."""
-    listed = star.indicator.join(categories(star), "category", "left_semi")
+def yearly_average(star: Star, among: DataFrame | None = None) -> DataFrame:
+    """Mean value per year and category, for the categories in ``among`` or else for all of them.
+
+    An indicator without a category is in neither.
+    """
+    if among is None:
+        listed = star.indicator.filter(F.col("category").isNotNull())
+    else:
+        listed = star.indicator.join(among.select("category"), "category", "left_semi")
     joins = [("period_id", star.period, "period_nk"), ("indicator_id", listed, "indicator_nk")]
     return average(star.fact, "value", joins, ["year", "category"]).orderBy("year", "category")
 

@@ -230,7 +230,8 @@ _SIZE = "case when count(*) between 3 and 300 then {} else {} end"
 
 
 @query(
-    f"""select * from (values ('raw', 'dim_indicators', 'pass', 7, 0), ('raw', 'dim_periods', 'pass', 6, 0),
+    f"""select layer, "table", status, cast(checks as bigint) checks, cast(not_passed as bigint) not_passed from (
+        select * from (values ('raw', 'dim_indicators', 'pass', 7, 0), ('raw', 'dim_periods', 'pass', 6, 0),
               ('raw', 'dim_sex', 'pass', 6, 0), ('mart', 'dim_indicator', 'pass', 8, 0),
               ('mart', 'dim_period', 'pass', 7, 0), ('mart', 'dim_sex', 'pass', 7, 0))
               v(layer, "table", status, checks, not_passed)
@@ -239,7 +240,7 @@ _SIZE = "case when count(*) between 3 and 300 then {} else {} end"
         union all select 'raw', 'fact_observations', case when count(*) <= 3000000 and count(*) = count(distinct event_id)
                   then 'pass' else 'fail' end, 9, 0 from events
         union all select 'mart', 'fct_observations', case when count(*) <= 3000000 and count(*) = count(distinct event_id)
-                  then 'pass' else 'fail' end, 15, 0 from events"""
+                  then 'pass' else 'fail' end, 15, 0 from events) t"""
 )
 def dq_contract_summary(spark, sf):
     """The ten contracts over the star of events, rolled up per table."""

@@ -47,6 +47,20 @@ def ana_trend_avg(spark, sf):
     return A.yearly_average(sales_star(spark, sf)).withColumn("avg_value", F.round("avg_value", 4))
 
 
+@query(
+    """select cast(year(l_shipdate) as bigint) "year", p_type category, round(avg(l_quantity), 4) avg_value
+       from lineitem join part on l_partkey = p_partkey
+       where p_type in (select p_type from part group by p_type having avg(p_retailprice) > (select avg(p_retailprice) from part))
+       group by 1, 2"""
+)
+def ana_trend_avg_listed(spark, sf):
+    """The same for the categories whose parts cost more than the average part."""
+    prices = table(spark, sf, "part").select(F.col("p_type").alias("category"), "p_retailprice")
+    mean = prices.agg(F.avg("p_retailprice").alias("mean")).first()["mean"]
+    dear = prices.groupBy("category").agg(F.avg("p_retailprice").alias("price")).filter(F.col("price") > mean)
+    return A.yearly_average(sales_star(spark, sf), dear).withColumn("avg_value", F.round("avg_value", 4))
+
+
 @query(
     """select n_name country_code, s_name country_name, count(*) total
        from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import dml
-from starloom.operators.checks import check_not_null, check_row, rows_of, verdict
+from starloom.operators.checks import Check, null_counts, rows_of
 from starloom.operators.ingest import typed_observations
 from starloom.plans.analytics import volumes
 from starloom.plans.catalogue.models import K, SEX_ID
@@ -227,8 +227,8 @@ def snk_report_jsonl(spark, sf):
     path = scratch(spark, "report")
     events = table(spark, sf, "events").withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
     for name, df, column in (("events", events, "value"), ("orders", table(spark, sf, "orders"), "o_custkey")):
-        row = check_row("raw", name, "not_null", verdict(F.col("nulls") == 0), F.col("column"), F.col("nulls"), hi=0)
-        files.append_report(rows_of(check_not_null(df, column), row), path)
+        nulls = null_counts(df, [column])
+        files.append_report(rows_of(nulls, Check("raw", name, "not_null", column, "c0", hi=0)), path)
     return spark.read.schema(CHECK_DDL).json(path).select("table", "column", "status", "observed")
 
 
