@@ -23,6 +23,10 @@ def _without_errors(spark, sf):
     return table(spark, sf, "events").withColumn("event_type", F.nullif(F.col("event_type"), F.lit("error")))
 
 
+def _sales_marts(spark, sf):
+    return build_star(sales_raw(spark, sf, dirty=True)).tables
+
+
 def _row(layer, name, check, column, status, observed):
     """One expected check row as SQL; ``observed`` and ``status`` may use the aggregate of the FROM clause."""
     column = "cast(null as varchar)" if column is None else f"'{column}'"
@@ -120,7 +124,7 @@ def _column_tests_sql():
 
 @query(_column_tests_sql())
 def dq_column_tests(spark, sf):
-    return C.column_tests(build_star(sales_raw(spark, sf, dirty=True)).tables).select(*REPORT)
+    return C.column_tests(_sales_marts(spark, sf)).select(*REPORT)
 
 
 @query(
@@ -245,9 +249,8 @@ _SIZE = "case when count(*) between 3 and 300 then {} else {} end"
 def dq_contract_summary(spark, sf):
     """The ten contracts over the star of events, rolled up per table."""
     raw = event_raw(spark, sf)
-    report = validate_all(spark, RAW_CONTRACTS, raw).unionByName(
-        validate_all(spark, MART_CONTRACTS, build_star(raw).tables)
-    )
+    marts = build_star(raw).tables
+    report = validate_all(spark, RAW_CONTRACTS, raw).unionByName(validate_all(spark, MART_CONTRACTS, marts))
     return C.roll_up(report)
 
 
@@ -414,8 +417,8 @@ def _reconcile_sql():
 def rec_report(spark, sf):
     """All five subjects of the star of events."""
     raw = event_raw(spark, sf)
-    staging = build_staging(raw)
-    return R.reconcile(spark, raw, staging, build_marts(staging)).select(*REPORT)
+    marts = build_star(raw).tables
+    return R.reconcile(spark, raw, build_staging(raw), marts).select(*REPORT)
 
 
 @query(
@@ -462,7 +465,7 @@ def health_orphans(spark, sf):
 )
 def health_references(spark, sf):
     """Facts of the year that staging dropped have lost their period."""
-    return H.reference_checks(spark, build_star(sales_raw(spark, sf, dirty=True)).tables).select(*REPORT)
+    return H.reference_checks(spark, _sales_marts(spark, sf)).select(*REPORT)
 
 
 @query(

@@ -11,6 +11,7 @@ from starloom.operators import dml
 from starloom.operators.checks import Check, null_counts, rows_of
 from starloom.operators.ingest import typed_observations
 from starloom.plans.analytics import volumes
+from starloom.plans.build import build_warehouse
 from starloom.plans.catalogue.models import K, SEX_ID
 from starloom.plans.registry import query
 from starloom.plans.testdata import event_number, event_raw, event_sex, table
@@ -264,6 +265,21 @@ def ddl_recreate(spark, sf):
     return spark.table("starloom_supplier")
 
 
+@query(
+    """select 'dim_indicator' table_name, count(distinct event_type) n from events
+       union all select 'dim_location', count(*) from customer
+       union all select 'dim_period', count(distinct day(ts)) from events
+       union all select 'dim_sex', 1 + count(distinct least(cast(json_extract_string(props, '$.k') as int) // 25, 2)) from events where cast(json_extract_string(props, '$.k') as int) < 75
+       union all select 'fct_observations', count(*) from events"""
+)
+def mat_warehouse(spark, sf):
+    """Two builds of the star of events: the second rebuilds the dimensions and upserts the same facts."""
+    base = scratch(spark, "warehouse")
+    for _ in range(2):
+        star = build_warehouse(event_raw(spark, sf), base)
+    return volumes(star.tables)
+
+
 # --- keyed changes ---------------------------------------------------------------------------------------
 
 
