@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import is_blank
-from starloom.operators.numbering import dense_ids, repeat_rows, sum_before
+from starloom.operators.numbering import ROW, SLICE, dense_ids, place_within, repeat_rows, sorted_slices
 from starloom.session import materialise
 
 FACT_KEY = ["indicator_id", "location_id", "period_id", "sex_id"]
@@ -60,7 +60,7 @@ def insert_with_ids(
     """
     coded = batch.filter(F.col(code).isNotNull()).withColumn(code, F.col(code).cast(dim.schema[code].dataType))
     added = first_per_key(coded.drop(id_), code, order).join(dim.select(code), code, "left_anti")
-    numbered = dense_ids(added, [code], id_, start=_largest(dim, id_) + 1)
+    numbered = dense_ids(added, [code], id_, _largest(dim, id_) + 1)
     return dim.unionByName(
         numbered.withColumn(id_, F.col(id_).cast(dim.schema[id_].dataType)), allowMissingColumns=True
     )
@@ -89,27 +89,27 @@ def load_facts(observations: DataFrame, target: DataFrame | None = None, key: li
     and a corrected value replaces the old one wherever the key owns a single row.
     """
     key = key or FACT_KEY
+    # Equal rows are told apart by a count, which also keeps them together until they are spread again.
     same = observations.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("__n"))
-    offset = sum_before(same, key, ["value"], weight=F.col("__n"), out="__before")
-    rows = repeat_rows(offset, "__n", "__i").select(
-        *key, (F.col("__before") + F.col("__i") + 1).alias("copy_no"), "value"
-    )
+    slices = sorted_slices(repeat_rows(same, "__n", "__i").drop("__n"), [*key, "value", "__i"])
+    rows = place_within(slices, key, "copy_no")
     if target is None:
-        return dense_ids(rows, [*key, "copy_no"], "observation_id")
+        return place_within(rows, [], "observation_id").select("observation_id", *key, "copy_no", "value")
     fact = F.struct(*[F.col(c) for c in [*key, "copy_no"]]).alias("__fact")
     ids = target.select(fact, "observation_id")
-    matched = materialise(rows.withColumn("__fact", fact).join(ids, "__fact", "left").drop("__fact"), "facts")
+    wanted = rows.select(*key, "copy_no", "value", fact)
+    matched = materialise(wanted.join(ids, "__fact", "left").drop("__fact"), "facts")
     known = matched.filter(F.col("observation_id").isNotNull())
     new = matched.filter(F.col("observation_id").isNull()).drop("observation_id")
-    return known.unionByName(
-        dense_ids(new, [*key, "copy_no"], "observation_id", start=_largest(target, "observation_id") + 1)
-    )
+    first = _largest(target, "observation_id") + 1
+    return known.unionByName(dense_ids(new, [*key, "copy_no"], "observation_id", first))
 
 
 def with_copy_no(facts: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Facts stored without ``copy_no``, numbered within their business key by value and then by id."""
-    before = sum_before(facts, key or FACT_KEY, ["value", "observation_id"], out="__before")
-    return before.withColumn("copy_no", F.col("__before") + 1).drop("__before")
+    key = key or FACT_KEY
+    slices = sorted_slices(facts, [*key, "value", "observation_id"])
+    return place_within(slices, key, "copy_no").drop(SLICE, ROW)
 
 
 def enrich(

@@ -2,52 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.session import materialise
 
-_SLICE, _GROUP = "__slice", "__group"
+SLICE, ROW = "__slice", "__row_in_slice"
+_GROUP = "__group"
+# Fixed value: monotonically_increasing_id keeps the partition above this bit and the row below it.
+_ROW_BITS = 33
 
 
-def sum_before(df: DataFrame, keys: list[str], order: list[str], weight: Column | None = None, out: str = "before"):
-    """For each row, the summed weight of the rows of its key group that sort before it (row count if no weight).
+def sorted_slices(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` sorted into slices, with each row's slice and its place there.
 
-    The rows are range-partitioned on keys and order, so a group that holds a large share of the table is
-    cut into many slices. Each slice is summed on its own and then shifted by the slices before it; only
-    one row per key and slice takes part in that step. ``order`` has to tell the rows of a key group apart.
+    The range partitioning cuts by the values of ``order``, so a group of rows that agree in its first
+    columns is spread over as many slices as its size asks for. ``order`` has to tell all rows apart. The
+    result is written out: slice and place have to stay the same in every use, and across retries.
     """
-    weight = F.lit(1).cast("long") if weight is None else weight
-    columns = df.columns
-    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))
-    sliced = (
-        df.withColumn("__weight", weight)
-        .repartitionByRange(*[F.col(c) for c in [*keys, *order]])
-        .withColumn(_SLICE, F.spark_partition_id())
+    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    numbered = ranged.withColumn("__mono", F.monotonically_increasing_id())
+    placed = numbered.select(
+        *df.columns,
+        F.shiftright("__mono", _ROW_BITS).alias(SLICE),
+        F.col("__mono").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(ROW),
     )
-    # Written out: slice ids have to stay the same for both uses below, and across retries.
-    sliced = materialise(sliced, "numbering").withColumn(_GROUP, group)
+    return materialise(placed, "slices")
+
+
+def place_within(slices: DataFrame, keys: list[str], out: str, first: int = 1) -> DataFrame:
+    """Consecutive numbers within each group of equal ``keys``, which lead the order of the slices.
 
-    earlier = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    A group runs through consecutive slices. One row per group and slice tells how many of its rows lie in
+    earlier slices; adding that to the place in the slice needs no group in one piece.
+    """
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))
+    grouped = slices.withColumn(_GROUP, group)
+    earlier = Window.partitionBy(_GROUP).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        sliced.groupBy(_GROUP, _SLICE)
-        .agg(F.sum("__weight").alias("__sum"))
-        .select(_GROUP, _SLICE, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__shift"))
-    )
-    inside = (
-        Window.partitionBy(_GROUP, _SLICE)
-        .orderBy(*[F.col(c) for c in order])
-        .rowsBetween(Window.unboundedPreceding, -1)
+        grouped.groupBy(_GROUP, SLICE)
+        .agg(F.min(ROW).alias("__begin"), F.count(F.lit(1)).alias("__n"))
+        .select(_GROUP, SLICE, (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__begin")).alias("__shift"))
     )
-    local = sliced.withColumn("__local", F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
-    return local.join(shifts, [_GROUP, _SLICE]).select(*columns, (F.col("__shift") + F.col("__local")).alias(out))
+    number = F.col("__shift") + F.col(ROW) + first
+    return grouped.join(shifts, [_GROUP, SLICE]).select(*slices.columns, number.alias(out))
 
 
-def dense_ids(df: DataFrame, order: list[str], out: str, start: Column | int = 1) -> DataFrame:
-    """Consecutive numbers in the given order, which has to be unique per row."""
-    first = F.lit(start) if isinstance(start, int) else start
-    numbered = sum_before(df, [], order, out="__position")
-    return numbered.withColumn(out, first + F.col("__position")).drop("__position")
+def dense_ids(df: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
+    """Consecutive numbers over the whole table in the given order, which has to be unique per row."""
+    return place_within(sorted_slices(df, order), [], out, first).drop(SLICE, ROW)
 
 
 def repeat_rows(df: DataFrame, times: str, index: str, block: int = 100_000) -> DataFrame:
@@ -56,8 +59,7 @@ def repeat_rows(df: DataFrame, times: str, index: str, block: int = 100_000) ->
     A row to be repeated very often is first cut into blocks, which are then spread over the tasks.
     """
     columns = df.columns
-    blocks = df.withColumn(
-        "__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(block).cast("long")))
-    ).repartition(*[F.col(c) for c in columns], F.col("__from"))
+    begins = F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(block).cast("long"))
+    blocks = df.withColumn("__from", F.explode(begins)).repartition(*[F.col(c) for c in columns], F.col("__from"))
     last = F.least(F.col("__from") + F.lit(block), F.col(times)) - 1
     return blocks.select(*columns, F.explode(F.sequence(F.col("__from"), last)).alias(index))

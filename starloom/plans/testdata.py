@@ -160,7 +160,7 @@ def event_raw(spark: SparkSession, sf: str) -> LazyTables:
             _event_id("event_type").alias("indicator_id"),
             F.col("user_id").alias("location_id"),
             day.alias("period_id"),
-            _sex_id(event_sex()).alias("sex_id"),
+            event_sex([1, 2, 3]).cast("long").alias("sex_id"),
             "value",
         )
 
@@ -177,20 +177,24 @@ def event_star(spark: SparkSession, sf: str) -> Star:
     return build_star(event_raw(spark, sf))
 
 
+# The kinds of events and the sexes, in the order of their ids.
+EVENT_KINDS = ["click", "view", "purchase", "signup", "error"]
+SEXES = ["MLE", "FMLE", "BTSX"]
+
+
 def event_number() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def event_sex() -> Column:
-    k = event_number()
-    return F.when(k < 25, "MLE").when(k < 50, "FMLE").when(k < 75, "BTSX")
+def event_sex(values: list | None = None) -> Column:
+    """The sex by the number in steps of 25, none from 75 on; ``values`` replaces the codes."""
+    step = F.floor(event_number() / 25).cast("int")
+    return F.get(F.array(*[F.lit(v) for v in values or SEXES]), step)
 
 
 def _event_id(column: str) -> Column:
-    kinds = ["click", "view", "purchase", "signup", "error"]
-    return F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col(column)).cast("long")
+    return F.array_position(F.array(*[F.lit(k) for k in EVENT_KINDS]), F.col(column)).cast("long")
 
 
-def _sex_id(column: str | Column) -> Column:
-    c = F.col(column) if isinstance(column, str) else column
-    return F.when(c == "MLE", 1).when(c == "FMLE", 2).when(c == "BTSX", 3).cast("long")
+def _sex_id(column: str) -> Column:
+    return F.array_position(F.array(*[F.lit(code) for code in SEXES]), F.col(column)).cast("long")
