@@ -89,12 +89,13 @@ def load_facts(observations: DataFrame, target: DataFrame | None = None, key: li
     and a corrected value replaces the old one wherever the key owns a single row.
     """
     key = key or FACT_KEY
+    columns = ["observation_id", *key, "copy_no", "value"]
     # Equal rows are told apart by a count, which also keeps them together until they are spread again.
     same = observations.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("__n"))
     slices = sorted_slices(repeat_rows(same, "__n", "__i").drop("__n"), [*key, "value", "__i"])
     rows = place_within(slices, key, "copy_no")
     if target is None:
-        return place_within(rows, [], "observation_id").select("observation_id", *key, "copy_no", "value")
+        return place_within(rows, [], "observation_id").select(*columns)
     fact = F.struct(*[F.col(c) for c in [*key, "copy_no"]]).alias("__fact")
     ids = target.select(fact, "observation_id")
     wanted = rows.select(*key, "copy_no", "value", fact)
@@ -102,7 +103,7 @@ def load_facts(observations: DataFrame, target: DataFrame | None = None, key: li
     known = matched.filter(F.col("observation_id").isNotNull())
     new = matched.filter(F.col("observation_id").isNull()).drop("observation_id")
     first = _largest(target, "observation_id") + 1
-    return known.unionByName(dense_ids(new, [*key, "copy_no"], "observation_id", first))
+    return known.unionByName(dense_ids(new, [*key, "copy_no"], "observation_id", first)).select(*columns)
 
 
 def with_copy_no(facts: DataFrame, key: list[str] | None = None) -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions import size_mb
 from starloom.operators.checks import ERROR, FAIL, PASS, Check, known_rows, rows_of, sql_text, union_checks
 from starloom.operators.star import orphans
+from starloom.sources.tables import file_stats
 
 # Fact column, dimension table, natural key.
 FOREIGN_KEYS = [
@@ -42,6 +45,24 @@ def volume_checks(spark: SparkSession, layer: str, expected: list[str], tables:
     return union_checks(spark, parts)
 
 
+def freshness_checks(spark: SparkSession, layer: str, paths: Mapping[str, str]) -> DataFrame:
+    """Files, size and last change of each stored table; one that is not there fails."""
+    parts = []
+    for name, path in paths.items():
+        try:
+            files = file_stats(spark, path)
+        except AnalysisException:
+            absent = Check(layer, name, "exists", status=f"'{FAIL}'", detail="'path not found'")
+            parts.append(known_rows(spark, absent))
+            continue
+        total = files.agg(
+            size_mb(F.sum("size_bytes")).alias("mb"), F.max("modified_at").alias("changed"), F.count(F.lit(1)).alias("n")
+        )
+        stored = Check(layer, name, "exists", None, "n", lo=1)
+        parts.append(rows_of(total, stored, Check(layer, name, "size_mb", None, "mb", detail="changed")))
+    return union_checks(spark, parts)
+
+
 def reference_checks(spark: SparkSession, marts: Mapping[str, DataFrame], fact: str = "fct_observations") -> DataFrame:
     """Orphans per foreign key; a key that cannot be checked is an error."""
     parts = []

@@ -147,7 +147,7 @@ def src_values(spark, sf):
 def src_catalog(spark, sf):
     for name in ("customer", "events", "orders", "part", "nation"):
         publish.as_view(table(spark, sf, name), f"star_{name}")
-    names = S.catalog_tables(spark, like="star%", not_like="%nation")
+    names = S.catalog_tables(spark, like="star\\_%", not_like="%nation")
     counts = volumes({name: spark.table(name) for name in names})
     for name in (*names, "star_nation"):
         publish.drop_view(spark, name)

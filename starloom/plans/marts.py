@@ -16,6 +16,7 @@ from starloom.functions import decade_group, or_zero, surrogate_key, year_label
 from starloom.lazy import LazyTables
 from starloom.plans.staging import build_staging
 from starloom.schemas import UNKNOWN_SEX
+from starloom.sources.tables import literal_rows
 
 
 @dataclass(frozen=True)
@@ -60,10 +61,7 @@ def dim_period(stg: DataFrame) -> DataFrame:
 
 def dim_sex(stg: DataFrame) -> DataFrame:
     """The sexes plus one member for observations that state none."""
-    id_, code, name = UNKNOWN_SEX
-    unknown = stg.sparkSession.range(0, 1, 1, 1).select(
-        F.lit(id_).cast("long").alias("sex_id"), F.lit(code).alias("sex_code"), F.lit(name).alias("sex_name")
-    )
+    unknown = literal_rows(stg.sparkSession, [UNKNOWN_SEX], "sex_id BIGINT, sex_code STRING, sex_name STRING")
     return _dimension(stg.unionByName(unknown), "sex", "sex_code", "sex_name")
 
 

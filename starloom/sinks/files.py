@@ -13,7 +13,15 @@ STAMP = "%Y%m%d_%H%M%S"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV with a header that :func:`starloom.sources.tables.read_csv` reads back as it was, spaces included."""
+    (
+        df.write.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def land_raw(df: DataFrame, base: str, prefix: str, ts: datetime, *partition_by: str) -> str:

@@ -20,13 +20,24 @@ def drop_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-def as_table(df: DataFrame, name: str, path: str | None = None, *partition_by: str) -> None:
-    """Full rebuild of a table; ``path`` keeps it outside the warehouse folder."""
+def as_table(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    partition_by: tuple[str, ...] = (),
+    bucket_by: tuple[int, str] | None = None,
+) -> None:
+    """Full rebuild of a table; ``path`` keeps it outside the warehouse folder.
+
+    Bucketed by its key, a large table joins and takes upserts on that key without being shuffled again.
+    """
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by is not None:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     writer.saveAsTable(name)
 
 
@@ -95,12 +106,14 @@ def publish_upsert(batch: DataFrame, base: str, keys: list[str]) -> str:
 # --- partitioned upsert ----------------------------------------------------------------------------------
 
 
-def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: str) -> None:
+def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: str, rows_move: bool = True) -> None:
     """Upsert into a table partitioned by ``partition``, rewriting only the partitions it touches.
 
-    Touched are the partitions of the batch and those in which its keys lie now, so a row may move. The new
-    content is written aside first, because Spark cannot overwrite files it is reading. Run again after a
-    failure at any point it gives the same table.
+    Touched are the partitions of the batch and those in which its keys lie now, so a row may move. Finding
+    the latter reads the key columns of the whole table; with ``rows_move=False`` the caller vouches that a
+    key never changes its partition, and the other partitions are not read at all. The new content is
+    written aside first, because Spark cannot overwrite files it is reading. Run again after a failure at
+    any point it gives the same table.
     """
     spark = batch.sparkSession
     fs, root = _fs(spark, path)
@@ -110,9 +123,11 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: s
     batch = materialise(batch, "upsert-batch")
     target = spark.read.parquet(path)
     target = target.withColumn(partition, target[partition].cast(batch.schema[partition].dataType))
-    moved_from = target.join(batch.select(*keys).distinct(), keys, "left_semi").select(partition)
+    places = batch.select(partition)
+    if rows_move:
+        places = places.union(target.join(batch.select(*keys).distinct(), keys, "left_semi").select(partition))
     # One value per partition folder: metadata, not data.
-    touched = [row[0] for row in moved_from.union(batch.select(partition)).distinct().collect()]
+    touched = [row[0] for row in places.distinct().collect()]
     staged = scratch(spark, "upsert-stage")
     upsert(target.filter(_is_one_of(F.col(partition), touched)), batch, keys).write.parquet(staged)
     fresh = spark.read.parquet(staged)

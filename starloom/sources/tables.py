@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from starloom.functions import iso_utc, size_mb
 from starloom.schemas import RAW_DDL, raw_schema, struct
@@ -57,7 +59,12 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, multi_l
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame(list(rows), struct(schema) if isinstance(schema, str) else schema)
+    """A few rows stated in the code. Handed over as Arrow they become a local relation of known size, which
+    Spark can broadcast; rows handed over one by one would look unboundedly large to it."""
+    schema = struct(schema) if isinstance(schema, str) else schema
+    rows = list(rows)
+    columns = [pa.array([row[i] for row in rows], to_arrow_type(f.dataType)) for i, f in enumerate(schema.fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
 
 
 def catalog_tables(

@@ -36,7 +36,13 @@ def ingest_available(stream: DataFrame, out: str, checkpoint: str, transform: Ca
 
 
 def upsert_available(
-    stream: DataFrame, table: str, checkpoint: str, keys: list[str], partition: str, latest_by: str = "ingest_ts"
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    keys: list[str],
+    partition: str,
+    latest_by: str = "ingest_ts",
+    rows_move: bool = True,
 ) -> None:
     """Upsert everything that has landed since the last run into a partitioned table, then stop.
 
@@ -46,7 +52,7 @@ def upsert_available(
 
     def apply(batch: DataFrame, _: int) -> None:
         latest = latest_per_key(batch, keys, latest_by).drop(latest_by)
-        upsert_partitions(latest, table, keys, partition)
+        upsert_partitions(latest, table, keys, partition, rows_move)
 
     query = (
         stream.writeStream.foreachBatch(apply)

@@ -43,7 +43,10 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.master": "local[4]",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
+            # Tiny inputs: compiling plans would take longer than running them.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
