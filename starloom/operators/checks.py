@@ -28,7 +28,8 @@ def surplus_groups(df: DataFrame, column: str) -> DataFrame:
     """
     is_text = dict(df.dtypes)[column] == "string"
     digest = F.unhex(F.sha2(F.col(column), 256)) if is_text else F.col(column)
-    return check_unique(df.select(digest.alias("__digest")), "__digest").select("n")
+    sizes = df.filter(F.col(column).isNotNull()).groupBy(digest.alias("__digest")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.select("n").filter(F.col("n") > 1)
 
 
 def null_counts(df: DataFrame, columns: list[str], *more: Column) -> DataFrame:

@@ -12,12 +12,22 @@ from starloom.session import materialise
 FACT_KEY = ["indicator_id", "location_id", "period_id", "sex_id"]
 
 
+def distinct_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of a batch, written out.
+
+    Their size is then known before the join is planned, so a short list is broadcast and the large side
+    stays where it is. For a long list Spark can divide the partition of a frequent key, which it does only
+    if both sides of the join come straight from a shuffle and not from an aggregate.
+    """
+    return materialise(batch.select(*keys).distinct(), "keys")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Replace the rows whose key is in the batch, append the others, delete nothing.
 
     NULL keys never match. Columns only one side has are kept and are NULL for the other side's rows.
     """
-    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
+    kept = target.join(distinct_keys(batch, keys), keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
@@ -76,7 +86,10 @@ def _largest(df: DataFrame, id_: str) -> int:
 
 
 def resolve_ids(df: DataFrame, dim: DataFrame, code: str, id_: str) -> DataFrame:
-    """Replace the column ``code`` by the dimension's id; rows without a match keep a NULL id."""
+    """Replace the column ``code`` by the dimension's id; rows without a match keep a NULL id.
+
+    Give the dimension as a stored table, for the reasons told in :func:`distinct_keys`.
+    """
     return df.join(dim.select(code, id_), code, "left").drop(code)
 
 
@@ -93,9 +106,9 @@ def load_facts(observations: DataFrame, target: DataFrame | None = None, key: li
     # Equal rows are told apart by a count, which also keeps them together until they are spread again.
     same = observations.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("__n"))
     slices = sorted_slices(repeat_rows(same, "__n", "__i").drop("__n"), [*key, "value", "__i"])
-    rows = place_within(slices, key, "copy_no")
     if target is None:
-        return place_within(rows, [], "observation_id").select(*columns)
+        return place_within(slices, observation_id=[], copy_no=key).select(*columns)
+    rows = place_within(slices, copy_no=key)
     fact = F.struct(*[F.col(c) for c in [*key, "copy_no"]]).alias("__fact")
     ids = target.select(fact, "observation_id")
     wanted = rows.select(*key, "copy_no", "value", fact)
@@ -110,7 +123,7 @@ def with_copy_no(facts: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Facts stored without ``copy_no``, numbered within their business key by value and then by id."""
     key = key or FACT_KEY
     slices = sorted_slices(facts, [*key, "value", "observation_id"])
-    return place_within(slices, key, "copy_no").drop(SLICE, ROW)
+    return place_within(slices, copy_no=key).drop(SLICE, ROW)
 
 
 def enrich(
@@ -121,6 +134,7 @@ def enrich(
     A code listed more than once counts with its last entry by ``order``, or its greatest name.
     """
     value = F.max(lookup_name) if order is None else F.max_by(lookup_name, order)
-    found = lookup.filter(F.col(code).isNotNull()).groupBy(code).agg(value.alias("__found"))
+    listed = lookup.filter(F.col(code).isNotNull()).groupBy(code).agg(value.alias("__found"))
+    found = materialise(listed, "lookup")
     filled = F.when(is_blank(name) & F.col("__found").isNotNull(), F.col("__found")).otherwise(F.col(name))
     return dim.join(found, code, "left").withColumn(name, filled).select(*dim.columns)

@@ -30,27 +30,34 @@ def sorted_slices(df: DataFrame, order: list[str]) -> DataFrame:
     return materialise(placed, "slices")
 
 
-def place_within(slices: DataFrame, keys: list[str], out: str, first: int = 1) -> DataFrame:
-    """Consecutive numbers within each group of equal ``keys``, which lead the order of the slices.
+def place_within(slices: DataFrame, first: int = 1, **outs: list[str]) -> DataFrame:
+    """Consecutive numbers from ``first`` within each group of equal keys; each of ``outs`` names a column and
+    its keys, which lead the order of the slices. No keys means the whole table.
 
     A group runs through consecutive slices. One row per group and slice tells how many of its rows lie in
     earlier slices; adding that to the place in the slice needs no group in one piece.
     """
-    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))
-    grouped = slices.withColumn(_GROUP, group)
-    earlier = Window.partitionBy(_GROUP).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        grouped.groupBy(_GROUP, SLICE)
-        .agg(F.min(ROW).alias("__begin"), F.count(F.lit(1)).alias("__n"))
-        .select(_GROUP, SLICE, (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__begin")).alias("__shift"))
-    )
-    number = F.col("__shift") + F.col(ROW) + first
-    return grouped.join(shifts, [_GROUP, SLICE]).select(*slices.columns, number.alias(out))
+    placed = slices
+    for out, keys in outs.items():
+        group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))
+        earlier = Window.partitionBy(_GROUP).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+        shifts = (
+            slices.groupBy(group.alias(_GROUP), SLICE)
+            .agg(F.min(ROW).alias("__begin"), F.count(F.lit(1)).alias("__n"))
+            .select(_GROUP, SLICE, (before - F.col("__begin")).alias("__shift"))
+        )
+        if not keys:
+            # One row per slice, so never more than there are shuffle partitions.
+            shifts = F.broadcast(shifts)
+        joined = placed.withColumn(_GROUP, group).join(shifts, [_GROUP, SLICE])
+        placed = joined.select(*placed.columns, (F.col("__shift") + F.col(ROW) + first).alias(out))
+    return placed
 
 
 def dense_ids(df: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
     """Consecutive numbers over the whole table in the given order, which has to be unique per row."""
-    return place_within(sorted_slices(df, order), [], out, first).drop(SLICE, ROW)
+    return place_within(sorted_slices(df, order), first, **{out: []}).drop(SLICE, ROW)
 
 
 def repeat_rows(df: DataFrame, times: str, index: str, block: int = 100_000) -> DataFrame:

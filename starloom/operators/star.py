@@ -66,6 +66,10 @@ def value_counts(df: DataFrame, column: str, n: int | None = None, out: str = "n
 
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, nk: str) -> DataFrame:
-    """Facts without a dimension row, one row per key value with its number of facts; a NULL key is one of them."""
+    """Facts without a dimension row, one row per key value with its number of facts; a NULL key is one of them.
+
+    Both sides are reduced to one row per key before they meet.
+    """
     keys = fact.groupBy(F.col(fk).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(dim, keys["value"] == dim[nk], "left_anti")
+    known = dim.select(F.col(nk).alias("__nk")).distinct()
+    return keys.join(known, F.col("value") == F.col("__nk"), "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.dml import upsert
+from starloom.operators.dml import distinct_keys, upsert
 from starloom.session import materialise, scratch
 
 VERSION = "version="
@@ -125,7 +125,7 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: s
     target = target.withColumn(partition, target[partition].cast(batch.schema[partition].dataType))
     places = batch.select(partition)
     if rows_move:
-        places = places.union(target.join(batch.select(*keys).distinct(), keys, "left_semi").select(partition))
+        places = places.union(target.join(distinct_keys(batch, keys), keys, "left_semi").select(partition))
     # One value per partition folder: metadata, not data.
     touched = [row[0] for row in places.distinct().collect()]
     staged = scratch(spark, "upsert-stage")

@@ -14,7 +14,7 @@ from starloom.operators.numbering import dense_ids, place_within, repeat_rows, s
 from starloom.plans.loading import empty_raw, enrich_locations, load_dimensions, load_observations
 from starloom.operators import lineage as L
 from starloom.schemas import CATEGORIZED_CSV, DIMENSION_ITEM, INDICATORS_CSV, struct
-from starloom.session import scratch, shared_root
+from starloom.session import materialise, scratch, shared_root
 from starloom.sinks import files, publish
 from starloom.sources import envelopes as E
 from starloom.sources import tables as S
@@ -201,13 +201,42 @@ def test_numbering_with_one_group_of_most_rows(spark, small_slices):
     slices = sorted_slices(df, ["g", "o", "id"])
     biggest = slices.filter("g is null").groupBy("__slice").count().agg(F.max("count")).first()[0]
     assert biggest < 3000
-    got = rows(place_within(place_within(slices, ["g"], "n"), [], "i"), "id", "n", "i")
+    got = rows(place_within(slices, n=["g"], i=[]), "id", "n", "i")
     ranked = df.selectExpr(
         "id", "row_number() over (partition by g order by o, id) n", "row_number() over (order by g nulls first, o, id) i"
     )
     assert got == rows(ranked)
 
 
+def test_hot_keys_are_split(spark, tmp_path):
+    """With nine rows of ten on one code, Spark divides the partition that code falls into."""
+    hot = F.when(F.col("id") % 10 != 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id").cast("string")))
+    facts = spark.range(0, 200_000, 1, 8).select(hot.alias("code"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    facts.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    dim = materialise(facts.select("code").distinct().withColumn("code_id", F.hash("code")), "dim")
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+    }
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        for df in (
+            dml.resolve_ids(facts, dim, "code", "code_id"),
+            dml.upsert(facts, dim.select("code").filter("code <> 'hot'"), ["code"]),
+            dml.enrich(facts.withColumn("name", F.lit("")), dim.withColumnRenamed("code_id", "f"), "code", "name", "f"),
+        ):
+            assert len(df.collect()) == 200_000
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_repeat_rows_in_blocks(spark):
     df = spark.createDataFrame([("a", 25), ("b", 1)], "v string, n long")
     repeated = repeat_rows(df, "n", "i", block=10)
