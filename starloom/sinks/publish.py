@@ -95,6 +95,19 @@ def current(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{VERSION}{done[-1]:08d}")
 
 
+def forget_versions(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` finished versions, and what broke off before those. Returns the numbers."""
+    versions = _versions(spark, base)
+    done = [number for number, finished in versions if finished]
+    if keep < 1 or len(done) <= keep:
+        return []
+    old = [number for number, _ in versions if number < done[-keep]]
+    for number in old:
+        fs, folder = _fs(spark, f"{base}/{VERSION}{number:08d}")
+        fs.delete(folder, True)
+    return old
+
+
 def publish_upsert(batch: DataFrame, base: str, keys: list[str]) -> str:
     """Upsert ``batch`` into the published table and publish the result as its next version."""
     spark = batch.sparkSession

@@ -311,6 +311,11 @@ def test_publish_passes_over_unfinished_versions(spark, tmp_path):
     assert rows(publish.current(spark, base)) == [(0,), (1,), (2,), (3,), (4,)]
     with pytest.raises(FileNotFoundError):
         publish.current(spark, str(tmp_path / "none"))
+    assert publish.forget_versions(spark, base, keep=2) == []
+    publish.publish(spark.range(1), base)
+    assert publish.forget_versions(spark, base, keep=2) == [1, 2]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["version=00000003", "version=00000004"]
+    assert publish.current(spark, base).count() == 1
 
 
 def test_failed_load_changes_nothing(spark, tmp_path):
