@@ -27,7 +27,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
     NULL keys never match. Columns only one side has are kept and are NULL for the other side's rows.
     """
-    kept = target.join(distinct_keys(batch, keys), keys, "left_anti")
+    return replace_keys(target, batch, distinct_keys(batch, keys))
+
+
+def replace_keys(target: DataFrame, batch: DataFrame, listed: DataFrame) -> DataFrame:
+    """The rows of ``target`` without the listed keys, and the batch."""
+    kept = target.join(listed, listed.columns, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.dml import distinct_keys, upsert
+from starloom.operators.dml import distinct_keys, replace_keys, upsert
 from starloom.session import materialise, scratch
 
 VERSION = "version="
@@ -129,31 +130,34 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: s
     any point it gives the same table.
     """
     spark = batch.sparkSession
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        batch.write.partitionBy(partition).parquet(path)
+    kind = batch.schema[partition].dataType
+    target = read_partitions(spark, path, partition, kind)
+    if target is None:
+        batch.write.mode("append").partitionBy(partition).parquet(path)
         return
     batch = materialise(batch, "upsert-batch")
-    target = spark.read.parquet(path)
-    target = target.withColumn(partition, target[partition].cast(batch.schema[partition].dataType))
-    places = batch.select(partition)
+    listed = distinct_keys(batch, keys)
+    places = batch.select(partition, F.lit(True).alias("in_batch"))
     if rows_move:
-        places = places.union(target.join(distinct_keys(batch, keys), keys, "left_semi").select(partition))
-    # One value per partition folder: metadata, not data.
-    touched = [row[0] for row in places.distinct().collect()]
+        lying = target.join(listed, keys, "left_semi").select(partition, F.lit(False).alias("in_batch"))
+        places = places.union(lying)
+    # One row per partition folder: metadata, not data.
+    touched = {r[0]: r[1] for r in places.groupBy(partition).agg(F.max("in_batch")).collect()}
     staged = scratch(spark, "upsert-stage")
-    upsert(target.filter(_is_one_of(F.col(partition), touched)), batch, keys).write.parquet(staged)
+    replace_keys(target.filter(_is_one_of(F.col(partition), list(touched))), batch, listed).write.parquet(staged)
     fresh = spark.read.parquet(staged)
-    filled = {row[0] for row in fresh.select(partition).distinct().collect()}
     (
         fresh.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    emptied = [value for value in touched if value not in filled]
-    if emptied:
-        _drop_partitions(spark, path, partition, emptied)
+    left = [value for value, in_batch in touched.items() if not in_batch]
+    if left:
+        filled = {r[0] for r in fresh.filter(_is_one_of(F.col(partition), left)).select(partition).distinct().collect()}
+        emptied = [value for value in left if value not in filled]
+        if emptied:
+            _drop_partitions(read_partitions(spark, path, partition, kind).filter(_is_one_of(F.col(partition), emptied)))
 
 
 def _is_one_of(column: Column, values: list) -> Column:
@@ -162,9 +166,22 @@ def _is_one_of(column: Column, values: list) -> Column:
     return hit | column.isNull() if len(known) < len(values) else hit
 
 
-def _drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
-    """Remove partitions whose last row moved elsewhere; a dynamic overwrite leaves them in place."""
-    stale = spark.read.parquet(path).filter(_is_one_of(F.col(partition), values))
+def read_partitions(spark: SparkSession, path: str, partition: str, kind: T.DataType) -> DataFrame | None:
+    """A partitioned table with the columns of all its files, or None if it has none yet.
+
+    The type of the partition column is stated, as Spark would otherwise read the folder ``p=01`` as number 1.
+    """
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException:
+        return None
+    fields = [f for f in merged.fields if f.name != partition]
+    return spark.read.schema(T.StructType([*fields, T.StructField(partition, kind)])).parquet(path)
+
+
+def _drop_partitions(stale: DataFrame) -> None:
+    """Remove the folders of the given rows, whose partitions have moved; an overwrite by partition keeps them."""
+    spark = stale.sparkSession
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
     for row in stale.select(folder).distinct().collect():
         jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.folder))

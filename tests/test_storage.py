@@ -347,6 +347,19 @@ def test_partitioned_upsert_moves_rows(spark, tmp_path, part):
     assert rows(spark.read.parquet(path).filter("k = 4"), "v") == [("W",)]
 
 
+def test_partition_names_stay_text_and_columns_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish.upsert_partitions(spark.createDataFrame([(1, "a", "01"), (2, "b", "1")], "k long, v string, p string"), path, ["k"], "p")
+    added = spark.createDataFrame([(3, True, "2")], "k long, flag boolean, p string")
+    publish.upsert_partitions(added, path, ["k"], "p")
+    publish.upsert_partitions(spark.createDataFrame([(1, "A", "01")], "k long, v string, p string"), path, ["k"], "p")
+    stored = publish.read_partitions(spark, path, "p", spark.createDataFrame([], "p string").schema["p"].dataType)
+    assert rows(stored, "k", "v", "flag", "p") == [(1, "A", None, "01"), (2, "b", None, "1"), (3, None, True, "2")]
+    (tmp_path / "bare").mkdir()
+    publish.upsert_partitions(added, str(tmp_path / "bare"), ["k"], "p")
+    assert spark.read.parquet(str(tmp_path / "bare")).count() == 1
+
+
 def test_tables_and_views(spark, tmp_path):
     publish.recreate(spark, "starloom_t", struct("id BIGINT"), str(tmp_path / "a"))
     assert spark.table("starloom_t").count() == 0
