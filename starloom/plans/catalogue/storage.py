@@ -236,7 +236,9 @@ def snk_report_jsonl(spark, sf):
 @query("select count(*) n from orders where o_orderstatus = 'F'")
 def mat_view(spark, sf):
     publish.as_view(table(spark, sf, "orders"), "starloom_orders")
-    return spark.sql("select count(*) n from starloom_orders where o_orderstatus = 'F'")
+    counted = spark.sql("select count(*) n from starloom_orders where o_orderstatus = 'F'")
+    publish.drop_view(spark, "starloom_orders")
+    return counted
 
 
 @query("select c_mktsegment, count(*) n from customer group by 1")
@@ -248,12 +250,15 @@ def mat_table(spark, sf):
     return spark.table("starloom_customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select count(*) n from lineitem")
+@query("select p_partkey from part where p_type = 'PROMO' union select l_partkey from lineitem")
 def mat_temp(spark, sf):
-    publish.as_view(table(spark, sf, "lineitem"), "starloom_temp")
-    counted = spark.sql("select count(*) n from starloom_temp")
+    """A batch staged under a name, inserted where its key is new, and the name dropped again."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    publish.as_view(lines, "starloom_temp")
+    known = table(spark, sf, "part").filter("p_type = 'PROMO'").select("p_partkey")
+    merged = dml.insert_ignore(known, spark.table("starloom_temp"), "p_partkey")
     publish.drop_view(spark, "starloom_temp")
-    return counted
+    return merged
 
 
 @query("select s_suppkey, s_name, s_acctbal from supplier")

@@ -43,7 +43,8 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.master": "local[4]",
-            "spark.sql.shuffle.partitions": "3",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             # Tiny inputs: compiling plans would take longer than running them.
             "spark.sql.codegen.wholeStage": "false",
             "spark.sql.codegen.factoryMode": "NO_CODEGEN",
