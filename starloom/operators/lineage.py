@@ -16,17 +16,24 @@ def _unique_name(dotted: Column) -> Column:
     return F.when(from_source, F.concat(F.element_at(parts, -2), F.lit("."), last)).otherwise(last)
 
 
+def _materialized() -> Column:
+    return F.coalesce("node.config.materialized", F.lit("view"))
+
+
+def _layer(kind: Column) -> Column:
+    return F.when(kind == "source", "source").when(_materialized() == "view", "staging").otherwise("mart")
+
+
 def lineage_nodes(manifest: DataFrame) -> DataFrame:
     """Sources and models with their layer, materialisation and column names."""
     kind = F.col("node.resource_type")
-    materialized = F.when(kind == "model", F.coalesce("node.config.materialized", F.lit("view")))
-    layer = F.when(kind == "source", "source").when(materialized == "view", "staging").otherwise("mart")
+    materialized = F.when(kind == "model", _materialized())
     name = F.when(kind == "source", F.concat_ws(".", "node.source_name", "node.name")).otherwise(F.col("node.name"))
     return manifest.filter(kind.isin("source", "model")).select(
         "node_id",
         name.alias("name"),
         kind.alias("kind"),
-        layer.alias("layer"),
+        _layer(kind).alias("layer"),
         materialized.alias("materialized"),
         F.map_keys(F.col("node.columns")).alias("columns"),
     )
@@ -57,11 +64,17 @@ def lineage_tests(manifest: DataFrame) -> DataFrame:
 
 
 def lineage_summary(manifest: DataFrame) -> DataFrame:
-    """Numbers of sources, staging models, marts, tests and edges, as rows (item, n)."""
-    layers = lineage_nodes(manifest).groupBy(F.col("layer").alias("item")).agg(F.count(F.lit(1)).alias("n"))
-    tests = lineage_tests(manifest).agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("item"), "n")
-    edges = lineage_edges(manifest).agg(F.count(F.lit(1)).alias("n")).select(F.lit("edge").alias("item"), "n")
-    return layers.unionByName(tests).unionByName(edges)
+    """Numbers of sources, staging models, marts, tests and edges, as rows (item, n), from one pass."""
+    kind = F.col("node.resource_type")
+    item = F.when(kind == "test", "test").otherwise(_layer(kind))
+    edges = F.when(kind == "model", F.coalesce(F.size("node.depends_on.nodes"), F.lit(0))).otherwise(0)
+    counted = (
+        manifest.filter(kind.isin("source", "model", "test"))
+        .groupBy(item.alias("item"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(edges).alias("edges"))
+    )
+    both = F.array(F.struct("item", "n"), F.struct(F.lit("edge").alias("item"), F.col("edges").alias("n")))
+    return counted.select(F.inline(both)).groupBy("item").agg(F.sum("n").alias("n"))
 
 
 def lineage_gate(manifest: DataFrame) -> DataFrame:
