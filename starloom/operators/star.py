@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.session import materialise
@@ -43,7 +43,7 @@ def top(df: DataFrame, n: int | None, total: str, *ties: str) -> DataFrame:
 
 
 def first_with_dimensions(
-    fact: DataFrame, order: str, n: int, joins: list[Join], columns: list[str | Column]
+    fact: DataFrame, order: str, n: int, joins: list[Join], columns: list[str]
 ) -> DataFrame:
     """The first ``n`` facts with their dimension columns, as a left join of everything would give.
 
@@ -51,12 +51,13 @@ def first_with_dimensions(
     looks at them; each dimension is then narrowed to their keys, and it is this bound of ``n`` that makes
     the broadcast safe.
     """
-    head = materialise(fact.orderBy(order).limit(n), "head")
+    needed = {order, *columns, *[fk for fk, _, _ in joins]}
+    head = materialise(fact.select(*[c for c in fact.columns if c in needed]).orderBy(order).limit(n), "head")
     out = head
     for fk, dim, nk in joins:
         keys = F.broadcast(head.select(F.col(fk).alias("__key")).distinct())
-        needed = dim.join(keys, dim[nk] == F.col("__key"), "left_semi")
-        out = out.join(needed, out[fk] == needed[nk], "left")
+        found = dim.join(keys, dim[nk] == F.col("__key"), "left_semi")
+        out = out.join(found, out[fk] == found[nk], "left")
     return out.select(*columns).orderBy(order).limit(n)
 
 
