@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from starloom.plans.catalogue import ALL
 from starloom.plans.testdata import table
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
+QUERIES = {name: run for name, run in __spark_entry__.queries().items() if name in ALL}
+SQL = {name: sql for name, sql in __spark_entry__.oracle_sql().items() if name in ALL}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
