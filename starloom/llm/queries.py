@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import mixing, quality_rules, url_filter, winnowing
+from starloom.llm import language_id, mixing, quality_fm, quality_rules, url_filter, winnowing
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -28,6 +28,28 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def remainder(modulus: int) -> Column:
+    """What the id, as text, leaves by CRC-32; null ids leave none."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@register()
+def op1_language_id(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "lang", "text")
+    model = language_id.fit(docs, learn=remainder(3) != 1)
+    predicted = language_id.predict(docs, model, keep=["doc_id"]).select("row.doc_id", "lang_pred", "score", "second", "ambiguous")
+    return predicted.withColumn("held_out", F.coalesce(remainder(3) == 1, F.lit(False)))
+
+
+@register()
+def op3_quality_fm(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    machine = quality_fm.fit(docs, read(spark, sf, "labels"), learn=remainder(4) != 2, meta="n_chars")
+    scored = quality_fm.score(docs, machine, keep=["doc_id"], meta="n_chars").select("row.doc_id", "score")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 # The rules of the query, as (verdict, host, path).
 URL_RULES = [
     ("allow", "org", "/"),
