@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import language_id, mixing, quality_fm, quality_rules, url_filter, winnowing
+from starloom.llm import language_id, mixing, quality_fm, quality_rules, url_filter, warc, winnowing
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -41,6 +41,17 @@ def op1_language_id(spark, sf):
     return predicted.withColumn("held_out", F.coalesce(remainder(3) == 1, F.lit(False)))
 
 
+@register()
+def op2_warc(spark, sf):
+    pages = read(spark, sf, "pages")
+    payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
+    rows = pages.select(F.col("page_id").cast("string").alias("id"), "url", payload.alias("payload"))
+    columns = ["id", "record_id", "record_type", "payload_bytes", "payload_digest", "refers_to"]
+    back = warc.round_trip(rows, order=lambda c: c.cast("long"), columns=columns, version=2)
+    ids = [F.col("id").cast("long").alias("page_id"), F.col("refers_to").cast("long").alias("refers_to")]
+    return back.select(*ids, "payload_bytes", "payload_digest", "record_type", "record_id")
+
+
 @register()
 def op3_quality_fm(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text", "n_chars")

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from starloom.llm.native import ascii_lower
 from starloom.session import materialise
 
-RULE_DDL = "rule STRING, verdict STRING, pattern STRING, tokens ARRAY<STRING>, rank INT"
-
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host, A to Z in lower case, and path of a URL; empty without ``://``."""
@@ -53,7 +51,12 @@ def word_rule(verdict: str, word: str) -> tuple[str, str, str, list[str], int]:
 
 
 def rule_table(spark: SparkSession, rules: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rules, RULE_DDL)
+    """The rules as a relation that Spark knows to be small."""
+    kinds = ("string", "string", "string", "array<string>", "int")
+    names = ("rule", "verdict", "pattern", "tokens", "rank")
+    value = lambda x: F.array(*[F.lit(y) for y in x]) if isinstance(x, list) else F.lit(x)
+    rows = [F.struct(*[value(x).cast(k).alias(n) for x, k, n in zip(r, kinds, names, strict=True)]) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def index_rules(rules: DataFrame, targets: DataFrame) -> DataFrame:
