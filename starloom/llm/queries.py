@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import language_id, mixing, quality_fm, quality_rules, url_filter, warc, winnowing
+from starloom.llm import language_id, mixing, pitman_yor, quality_fm, quality_rules, url_filter, warc, winnowing
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -78,6 +78,15 @@ def op4_url_filter(spark, sf):
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@register()
+def op5_pitman_yor(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    model = pitman_yor.fit(docs.filter(remainder(10) != 0))
+    scored = pitman_yor.score(docs, model)
+    extra = {"held_out": F.coalesce(remainder(10) == 0, F.lit(False)), "train_tokens": F.lit(model.tokens).cast("long")}
+    return scored.withColumns(extra)
+
+
 @register()
 def op6_quality_rules(spark, sf):
     judged = quality_rules.judge(read(spark, sf, "documents"), keep=["doc_id"])
