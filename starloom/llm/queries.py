@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import language_id, mixing, pitman_yor, quality_fm, quality_rules, url_filter, warc, winnowing
+from starloom.llm import jaccard_join, language_id, mixing, pitman_yor, quality_fm, quality_rules, url_filter, warc, winnowing
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -120,3 +120,9 @@ def op9_winnowing(spark, sf):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@register()
+def op10_jaccard_join(spark, sf):
+    linked = jaccard_join.link(read(spark, sf, "documents").select("doc_id", "text"))
+    return linked.select("doc_id", "n_shingles", "component_id", "cls")
