@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard_join, language_id, mixing, pitman_yor, quality_fm, quality_rules, url_filter, warc, winnowing
+from starloom.llm import jaccard_join, language_id, mixing, pitman_yor, quality_fm, quality_rules, suffix_dedup, url_filter, warc, winnowing
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -101,6 +101,12 @@ def op6_quality_rules(spark, sf):
     )
 
 
+@register()
+def op7_suffix_dedup(spark, sf):
+    found = suffix_dedup.repeats(read(spark, sf, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register()
 def op8_mixing(spark, sf):
     mixed = mixing.mix(read(spark, sf, "documents").select("doc_id", "source", "text"), keep=["doc_id"])
