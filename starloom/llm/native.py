@@ -27,9 +27,9 @@ def words_of(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case and every other character as it is.
 
-    ``lower`` is fast and says the same unless the text has other capitals.
+    ``lower`` is fast and says the same unless the text has other capitals, which takes bytes beyond ASCII.
     """
-    other = text.rlike(r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]")
+    other = (F.octet_length(text) > F.length(text)) & text.rlike(r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]")
     plain = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
     return F.when(other, plain).otherwise(F.lower(text))
 

@@ -117,7 +117,7 @@ def op8_mixing(spark, sf):
 @register()
 def op9_winnowing(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
-    hits = winnowing.find_hits(docs, read(spark, sf, "benchmark"))
+    hits = winnowing.find_hits(docs, read(spark, sf, "benchmark"), keep=["doc_id"])
     return hits.select(
         "row.doc_id",
         "n_words",

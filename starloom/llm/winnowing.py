@@ -24,22 +24,39 @@ SPAN, K = 10, 5
 
 def item_words(text: Column) -> Column:
     """Runs of ASCII letters and digits and of characters beyond ASCII, A to Z in lower case."""
-    parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    return F.filter(parts, lambda w: w != "")
+    split = F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+    def inner(parts: Column) -> Column:
+        # Only the first and the last part can be empty.
+        first = F.when(F.get(parts, F.lit(0)) == "", 2).otherwise(1)
+        last = F.size(parts) - F.when(F.get(parts, F.size(parts) - 1) == "", 1).otherwise(0)
+        return F.slice(parts, first, F.greatest(last - first + 1, F.lit(0)))
 
-def fingerprints(words: Column, span: int = SPAN, k: int = K) -> Column:
-    """Hash and place of each winnowed run; empty for fewer than ``span`` words."""
+    return let(split, inner)
+
+
+def _smallest(grams: Column, span: int, k: int, value) -> Column:
+    """The least ``value`` (of hash and place) in each window of runs."""
     window = span - k + 1
+    return F.transform(
+        F.slice(grams, F.lit(1), F.greatest(F.size(grams) - (window - 1), F.lit(0))),
+        lambda g, i: F.least(*[value(F.get(grams, i + j), i + j) for j in range(window)]),
+    )
+
+
+def _grams(words: Column, k: int) -> Column:
+    return gram_hashes(F.transform(words, lambda w: F.xxhash64(w)), k)
 
-    def winnow(grams: Column) -> Column:
-        smallest = F.transform(
-            F.slice(grams, F.lit(1), F.greatest(F.size(grams) - (window - 1), F.lit(0))),
-            lambda g, i: F.least(*[F.struct(F.get(grams, i + j).alias("h"), (i + j).alias("p")) for j in range(window)]),
-        )
-        return F.array_distinct(smallest)
 
-    return let(gram_hashes(F.transform(words, lambda w: F.xxhash64(w)), k), winnow)
+def print_hashes(words: Column, span: int = SPAN, k: int = K) -> Column:
+    """The distinct hashes of the winnowed runs; empty for fewer than ``span`` words."""
+    return let(_grams(words, k), lambda grams: F.array_distinct(_smallest(grams, span, k, lambda h, p: h)))
+
+
+def fingerprints(words: Column, span: int = SPAN, k: int = K) -> Column:
+    """Hash and place of each winnowed run, neighbouring windows with the same one counted once."""
+    placed = let(_grams(words, k), lambda grams: _smallest(grams, span, k, lambda h, p: F.struct(h.alias("h"), p.alias("p"))))
+    return let(placed, lambda s: F.filter(s, lambda x, i: ~x["p"].eqNullSafe(F.get(s, i - 1)["p"])))
 
 
 def short_runs(words: Column, length: int) -> Column:
@@ -75,10 +92,13 @@ def benchmark_prints(items: DataFrame, item: str, text: str, span: int, k: int)
     return long.unionByName(short)
 
 
-def find_hits(docs: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text", span: int = SPAN, k: int = K):
-    """``docs`` as a struct ``row`` with ``n_words``, ``n_hit`` (words inside an occurrence of an item's window) and
+def find_hits(
+    docs: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text", span: int = SPAN, k: int = K, keep: list[str] | None = None
+) -> DataFrame:
+    """``docs`` as a struct ``row`` (of the columns ``keep``, default all) with ``n_words``, ``n_hit`` (words inside an occurrence of an item's window) and
     ``items`` (the sorted distinct ids of items with such a window, as strings).
     """
+    keep = docs.columns if keep is None else keep
     prints = materialise(benchmark_prints(items, item, text, span, k), "prints")
     contexts = materialise(prints.groupBy("h", "context", "before", "length").agg(F.min(F.lit(1)).alias("one")).drop("one"), "contexts")
     # At most span - 1 lengths.
@@ -87,18 +107,30 @@ def find_hits(docs: DataFrame, items: DataFrame, item: str = "item_id", text: st
     key = F.struct(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("a"), F.hash(f"`{text}`").alias("b"))
     keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), F.col(f"`{text}`").alias("text"))
 
+    # First the hashes alone, for all documents; then places and words, for those with a hash of the benchmark.
+    def hashes(words: Column) -> Column:
+        short = [F.transform(short_runs(words, m), lambda x: x["h"]) for m in lengths]
+        found = F.flatten(F.array(print_hashes(words, span, k), *short))
+        return F.struct(F.size(words).cast("long").alias("n_words"), found.alias("prints"))
+
+    worded = keyed.select(F.struct(*[f"row.`{c}`" for c in keep]).alias("row"), "key", let(item_words(F.col("text")), hashes).alias("w"))
+    worded = materialise(worded, "words")
+    asked = worded.select("key", F.explode("w.prints").alias("h"))
+    touched = materialise(asked.join(contexts.select("h").distinct(), "h", "left_semi").select("key").distinct(), "touched")
+    near = materialise(keyed.select("key", "text").join(touched, "key", "left_semi").dropDuplicates(["key"]), "near")
+
     def marks(words: Column) -> Column:
         return F.flatten(F.array(fingerprints(words, span, k), *[short_runs(words, m) for m in lengths]))
 
-    marked = keyed.select("key", F.explode(let(item_words(F.col("text")), marks)).alias("m"))
+    marked = near.select("key", F.explode(let(item_words(F.col("text")), marks)).alias("m"))
     hits = marked.select("key", F.col("m.h").alias("h"), F.col("m.p").alias("p")).join(contexts, "h")
-    by_doc = materialise(hits.distinct(), "hits").groupBy("key").agg(
+    by_doc = materialise(hits, "hits").groupBy("key").agg(
         F.collect_list(F.struct("p", "h", "context", "before", "length")).alias("hits")
     )
 
-    joined = keyed.join(by_doc, "key", "left").withColumn("words", item_words(F.col("text")))
+    joined = near.join(by_doc, "key").withColumn("words", item_words(F.col("text")))
     checked = F.transform(
-        F.coalesce("hits", F.array()),
+        "hits",
         lambda x: F.struct(
             x["h"].alias("h"), x["context"].alias("context"), x["before"].alias("before"), x["length"].alias("length"),
             F.filter(
@@ -116,7 +148,7 @@ def find_hits(docs: DataFrame, items: DataFrame, item: str = "item_id", text: st
         ),
     )
     found = F.filter(checked, lambda x: F.size(x["starts"]) > 0)
-    placed = joined.select("row", "key", F.size("words").cast("long").alias("n_words"), found.alias("found"))
+    placed = joined.select("key", F.size("words").alias("n"), found.alias("found"))
     placed = materialise(placed, "found")
 
     spans = F.sort_array(
@@ -138,10 +170,11 @@ def find_hits(docs: DataFrame, items: DataFrame, item: str = "item_id", text: st
     named = which.join(ids.distinct(), ["h", "context", "before", "length"]).groupBy("key").agg(
         F.sort_array(F.collect_set("item")).alias("items")
     )
-    named = materialise(named, "named")
     empty = F.array().cast("array<string>")
-    return placed.select("row", "key", "n_words", union.alias("n_hit")).join(named, "key", "left").select(
-        "row", "n_words", "n_hit", F.coalesce("items", empty).alias("items")
+    judged = placed.select("key", union.alias("n_hit")).join(named, "key", "left")
+    judged = materialise(judged.select("key", "n_hit", F.coalesce("items", empty).alias("items")), "judged")
+    return worded.join(judged, "key", "left").select(
+        "row", F.col("w.n_words").alias("n_words"), F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", empty).alias("items")
     )
 
 
