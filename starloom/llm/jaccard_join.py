@@ -251,10 +251,14 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return right.select("a", "b", "of_a", "of_b").mapInArrow(run, "u bigint, v bigint")
 
 
-def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: the id, ``n_shingles``, the class (``cls``, null for an empty set) and ``component_id``: the smallest id that is
-    reached by links."""
-    slim = docs.select(F.col(f"`{doc}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def _slim(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{doc}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+
+def label(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``rid`` (a number for id and text), ``doc_id``, the size ``n`` of its set, its class ``cls`` and ``component``, the
+    smallest class that is reached by links."""
+    slim = _slim(docs, doc, text)
     by_row, counters = classes(slim, "text")
     cells = docs.sparkSession.sparkContext.broadcast(counters)
     sized = by_row.filter("n > 0").groupBy("cls").agg(F.min("n").alias("n"), F.min("rid").alias("rid"))
@@ -317,16 +321,20 @@ def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
         left = alive.join(chosen.select("t", F.col("a").alias("cls")), ["t", "cls"], "left_anti").select("t", "cls")
         pivots *= 4
 
-    ids = docs.select(F.col(f"`{doc}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = ids.select("doc_id", _rid(ids)).join(by_row.dropDuplicates(["rid"]), "rid")
-    rows = materialise(rows.select("doc_id", "cls", "n"), "rows")
-    least = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    if member is not None:
-        joined = materialise(least.join(member.withColumnRenamed("node", "cls"), "cls", "left"), "least")
-        whole = joined.filter("component is not null").groupBy("component").agg(F.min("least").alias("all"))
-        least = joined.join(whole, "component", "left").select("cls", F.coalesce("all", "least").alias("least"))
-    least = materialise(least, "component")
-    out = rows.join(least, "cls", "left")
+    rows = slim.select("doc_id", _rid(slim)).join(by_row.dropDuplicates(["rid"]), "rid")
+    if member is None:
+        rows = rows.withColumn("component", F.col("cls"))
+    else:
+        rows = rows.join(member.withColumnRenamed("node", "cls"), "cls", "left")
+    return materialise(rows.select("rid", "doc_id", "n", "cls", F.coalesce("component", "cls").alias("component")), "rows")
+
+
+def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: the id, ``n_shingles``, the class (``cls``, null for an empty set) and ``component_id``: the smallest id that is
+    reached by links."""
+    rows = label(docs, doc, text)
+    least = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    out = rows.join(materialise(least, "least"), "component", "left")
     empty = F.col("n") == 0
     return out.select(
         "doc_id",
@@ -334,3 +342,14 @@ def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
         F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         F.when(~empty, F.col("cls")).alias("cls"),
     )
+
+
+def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row with the smallest id of every component, with its columns. Rows with an empty set all stay; rows that repeat id and text
+    are one document."""
+    rows = label(docs, doc, text)
+    first = F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
+    kept = rows.filter("n > 0").groupBy("component").agg(first.alias("rid")).select("rid")
+    kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept")
+    rid = F.xxhash64(f"`{doc}`", f"`{text}`").alias("rid")
+    return docs.select(F.struct("*").alias("row"), rid).join(kept, "rid").dropDuplicates(["rid"]).select("row.*")

@@ -252,16 +252,16 @@ def rank(anchors: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "doc bigint, f bigint, kind int")
 
 
-_RESULT = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("kept", "binary")]
+_RESULT = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("kept", "string")]
 
 
 def _result(data: np.ndarray, gone: np.ndarray | None, texts: bool) -> tuple:
     if gone is None or not gone.any():
         raw = data.tobytes()
-        return len(data), 0, 0, hashlib.sha256(raw).hexdigest(), raw if texts else None
+        return len(data), 0, 0, hashlib.sha256(raw).hexdigest(), raw.decode("utf-8", "ignore") if texts else None
     kept = data[~gone].tobytes()
     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-    return len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if texts else None
+    return len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if texts else None
 
 
 def _cover(size: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -275,7 +275,7 @@ def _struct(row: T.StructField, more: list[tuple[str, str]]) -> T.StructType:
 
 def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: list[str] | None = None, texts: bool = False) -> DataFrame:
     """The columns ``keep`` (default all but the text) as a struct ``row``, with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal runs that
-    are removed), ``kept_sha256`` and, with ``texts``, the bytes ``kept``."""
+    are removed), ``kept_sha256`` and, with ``texts``, what is ``kept``, without characters that were cut in two."""
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c != text] if keep is None else keep
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -324,7 +324,7 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: list
                     out.append((len(data), None, None, None, None, z.as_py(), np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist(), names))
                 else:
                     out.append((*_result(data, gone, texts), None, None, None))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
             cells = zip(*out, strict=True) if out else [()] * len(kinds)
             more = [pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1), *more], ["row", "id", *[n for n, _ in _RESULT], "z", "edges", "names"])
@@ -356,7 +356,7 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: list
                         ends.append(at + LENGTH)
                 gone = _cover(len(data), np.concatenate(begins), np.concatenate(ends))
                 out.append(_result(data, gone, texts))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             cells = zip(*out, strict=True) if out else [()] * len(kinds)
             yield pa.record_batch([batch.column(0), *[pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]], ["row", *[n for n, _ in _RESULT]])
 
@@ -369,13 +369,10 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: list
 def cleaned(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the strings that repeat, with their columns; documents of which nothing is left are dropped.
 
-    A character that is cut in two goes as a whole. ``n_chars``, where there is such a column, tells the new length.
+    ``n_chars``, where there is such a column, tells the new length.
     """
     found = repeats(docs, doc, text, texts=True)
-    # Bytes of a character of which others are gone do not decode and are dropped.
-    whole = F.regexp_replace(F.decode(F.col("kept"), "UTF-8"), "�", "")
-    left = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(whole)
-    shown = found.withColumn("left", left).filter((F.col("n_removed") == 0) | (F.col("left") != ""))
+    shown = found.filter((F.col("n_removed") == 0) | (F.col("kept") != "")).withColumnRenamed("kept", "left")
     of = {c: F.col(f"row.`{c}`") for c in docs.columns if c != text} | {text: F.col("left")}
     if "n_chars" in docs.columns:
         of["n_chars"] = F.when(F.col("n_removed") == 0, of["n_chars"]).otherwise(F.length("left")).cast(docs.schema["n_chars"].dataType)
