@@ -7,10 +7,10 @@ with a common beginning share the overlap counted for it, and a branch is left a
 is too short to reach the overlap they need.
 
 The order needs no exact counts, only the same ones everywhere: it comes from a table of ``CELLS`` counters over all n-grams
-of all documents. Equal sets are one class from the start. Within the classes that share a prefix n-gram, pivots
-are compared with the others, first one pivot, then more; classes known to be connected are not compared again, and a group
-is done when all of it is connected or every class was a pivot. So a group of near copies costs one comparison each, and
-no pair is left out that could connect two components.
+of all documents. Equal sets are one class from the start. Of the classes that share a prefix n-gram, the one with the most
+company is a pivot and compared with the others. Then all pairs of others that share one, but no component yet, and have
+enough prefix n-grams in common are compared. So a group of near copies costs about one comparison each, and no pair is
+left out that could connect two components.
 
 Before sets are compared, lengths and the number of common prefix n-grams have to allow the similarity. Texts of fewer
 than ``N`` words are one n-gram as a whole. Null and empty texts have an empty set and are linked with nothing, not
@@ -27,14 +27,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starloom.llm.components import connected
-from starloom.llm.textops import blocks, buffers, mix, rows_of, word_hashes
+from starloom.llm.textops import begins_run, blocks, buffers, from_six_bytes, mix, rows_of, six_bytes, word_hashes
 from starloom.session import materialise
 
 N, T = 5, 75
 CELLS, RANGES = 1 << 21, 64
+MANY = 8  # classes of an n-gram that a task sends to its bucket
+LIST, BLOCK = 4096, 1 << 14  # members of a list, and n-grams asked for in a block
+_48 = np.uint64((1 << 48) - 1)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -131,9 +133,12 @@ def _rid(docs: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("rid")
 
 
-def prefixes(docs: DataFrame, text: str, cells, extremes: bool) -> DataFrame:
-    """Class and n-gram ``t`` for every n-gram of the prefix, once per class and task at least. With ``extremes`` only the smallest
-    and the largest class that a task has for an n-gram."""
+def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFrame:
+    """Class and n-gram (``t``, a number that names it) for the n-grams that stand in the prefix of two classes or more.
+
+    All prefixes are dealt to ``buckets`` by n-gram once, packed. An n-gram that a task sees in many classes is known to be
+    shared there: its rows go through as they are, and its bucket gets one of them only.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = cells.value, set()
@@ -143,18 +148,23 @@ def prefixes(docs: DataFrame, text: str, cells, extremes: bool) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             if not held_t:
                 return
-            t, c = np.concatenate(held_t).view(np.int64), np.concatenate(held_c)
+            t, c = np.concatenate(held_t), np.concatenate(held_c)
             held_t.clear()
             held_c.clear()
-            if extremes:
-                order = np.lexsort((c, t))
-                t, c = t[order], c[order]
-                first = np.concatenate([[True], t[1:] != t[:-1]])
-                last = np.concatenate([first[1:], [True]])
-                keep = first | (last & (c != c[np.maximum.accumulate(np.where(first, np.arange(len(t)), 0))]))
-                t, c = t[keep], c[keep]
-            for i in range(0, len(t), 1 << 16):
-                yield pa.record_batch([pa.array(t[i : i + (1 << 16)]), pa.array(c[i : i + (1 << 16)])], ["t", "cls"])
+            bucket = (t % np.uint64(buckets)).astype(np.int64)
+            t &= _48
+            order = np.lexsort((c, t, bucket))
+            t, c, bucket = t[order], c[order], bucket[order]
+            group = np.cumsum(begins_run(bucket, t)) - 1
+            many = (np.bincount(group) > MANY)[group]
+            out = []
+            for known, keep in ((False, ~many | begins_run(bucket, t)), (True, many)):
+                at = np.flatnonzero(keep)
+                for part in np.split(at, np.flatnonzero(np.diff(bucket[at])) + 1):
+                    if len(part):
+                        out.append((int(bucket[part[0]]), known, six_bytes(t[part]), c[part].tobytes()))
+            kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "known", "t", "c"])
 
         for whole in batches:
             for batch in blocks(whole):
@@ -166,11 +176,48 @@ def prefixes(docs: DataFrame, text: str, cells, extremes: bool) -> DataFrame:
                         held_c.append(np.full(len(held_t[-1]), cls))
                 if len(seen) > 1 << 20:
                     seen.clear()
-                if sum(map(len, held_t)) >= 1 << 21:
+                if sum(map(len, held_t)) >= 1 << 20:
                     yield from flush()
         yield from flush()
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "t bigint, cls bigint")
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        now = None
+
+        def emit(bucket: int, t: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+            name = mix(t ^ (np.uint64(bucket) << np.uint64(48))).view(np.int64)
+            for i in range(0, len(c), 1 << 16):
+                yield pa.record_batch([pa.array(name[i : i + (1 << 16)]), pa.array(c[i : i + (1 << 16)])], ["t", "cls"])
+
+        def flush(bucket: int) -> Iterator[pa.RecordBatch]:
+            if held:
+                t, c = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                order = np.lexsort((c, t))
+                t, c = t[order], c[order]
+                once = begins_run(t, c)
+                t, c = t[once], c[once]
+                group = np.cumsum(begins_run(t)) - 1
+                shared = (np.bincount(group) > 1)[group]
+                yield from emit(bucket, t[shared], c[shared])
+
+        for batch in batches:
+            for bucket, known, t, c in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+                if bucket != now:
+                    if now is not None:
+                        yield from flush(now)
+                    now = bucket
+                rows = from_six_bytes(t), np.frombuffer(c, np.int64)
+                if known:
+                    yield from emit(bucket, *rows)
+                else:
+                    held.append(rows)
+        if now is not None:
+            yield from flush(now)
+
+    packed = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "bucket int, known boolean, t binary, c binary")
+    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(meet, "t bigint, cls bigint").distinct()
 
 
 def fetch_sets(docs: DataFrame, text: str, wanted: DataFrame, cells) -> DataFrame:
@@ -255,6 +302,117 @@ def _slim(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{doc}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
 
+class _Search:
+    """The links found so far, and the n-grams fetched to find them."""
+
+    def __init__(self, docs: DataFrame, cells, sized: DataFrame, profiles: DataFrame) -> None:
+        self.docs, self.cells, self.sized, self.profiles = docs, cells, sized, profiles
+        self.sets: DataFrame | None = None
+        self.links: DataFrame | None = None
+        self.member: DataFrame | None = None
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose lengths and common prefix n-grams allow the similarity."""
+        side = lambda x: self.profiles.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("common").alias(f"common_{x}"))
+        met = pairs.distinct().join(side("b"), "b").join(side("a"), "a")
+        n, m = F.col("n_a"), F.col("n_b")
+        fits = 100 * F.least(n, m) >= T * F.greatest(n, m)
+        # What lies behind the prefix of the set whose prefix ends first can overlap as a whole.
+        behind = F.ceil(T * F.greatest(n, m) / 100) - 1
+        enough = F.size(F.array_intersect("common_a", "common_b")) >= _needed(n, m) - behind
+        return met.filter(fits & enough).select("a", "b")
+
+    def verified(self, pairs: DataFrame) -> DataFrame | None:
+        """Compares the pairs; the components of all links so far, None without any."""
+        pairs = materialise(pairs, "pairs")
+        if pairs.isEmpty():
+            return self.member
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        wanted = wanted if self.sets is None else wanted.join(self.sets, "cls", "left_anti")
+        wanted = materialise(wanted.join(self.sized, "cls").select("cls", "rid"), "wanted")
+        new = materialise(fetch_sets(self.docs, "text", wanted, self.cells), "sets")
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+        found = materialise(verify(pairs, self.sets), "links")
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.member = materialise(connected(self.links), "member")
+        return self.member
+
+
+def _unconnected(groups: DataFrame, member: DataFrame | None, sized: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of classes that share an n-gram ``t`` but no component, and whose lengths and number of common n-grams
+    allow the similarity; with the component ``of_b`` and how far the number exceeds the least (``spare``).
+
+    In every group the classes outside its largest component are the ones to ask for. They are gathered in blocks by the
+    component they have most to do with, and each block gets the members of all their groups, in pieces of about ``LIST``
+    where a group is large. What is counted inside a block are numbers in arrays; only pairs that can be similar come out.
+    """
+    if member is None:
+        labelled = groups.withColumn("component", F.col("cls"))
+    else:
+        known = groups.join(member.withColumnRenamed("node", "cls"), "cls", "left")
+        labelled = known.select("t", "cls", F.coalesce("component", "cls").alias("component"))
+    labelled = materialise(labelled, "labelled")
+    parts = labelled.groupBy("t", "component").agg(F.count(F.lit(1)).alias("n"))
+    open_ = parts.groupBy("t").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("k")
+    )
+    pieces = F.greatest(F.lit(0), F.ceil(F.log2(F.col("m") / LIST))).cast("int").alias("bits")
+    open_ = materialise(open_.filter("k > 1").select("t", "largest", "m", pieces), "open")
+    alive = materialise(labelled.join(open_, "t").join(sized.select("cls", "n"), "cls"), "alive")
+
+    asking = alive.filter("component <> largest").select("cls").distinct()
+    asked = alive.join(materialise(asking, "asking"), "cls").groupBy("cls").agg(
+        F.collect_list("t").alias("ts"),
+        F.first("component").alias("component"),
+        F.first("n").alias("n"),
+        F.max_by("largest", F.struct("m", "largest")).alias("home"),
+        F.max("bits").alias("bits"),
+    )
+    asked = materialise(asked, "asked")
+    homes = asked.groupBy("home").agg(F.sum(F.size("ts")).alias("load"), F.max("bits").alias("home_bits"))
+    block = F.pmod(F.xxhash64("cls"), F.ceil(F.col("load") / BLOCK)).alias("block")
+    asked = asked.join(materialise(homes, "homes"), "home").select("home", block, "home_bits", "cls", "component", "n", "ts")
+    cut = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("shiftleft(1L, home_bits) - 1"))).alias("cut")
+    asked = materialise(asked.select("*", cut), "asked-blocks")
+
+    low = F.expr("shiftleft(1L, bits) - 1")
+    lists = alive.groupBy("t", "bits", F.col("cls").bitwiseAND(low).alias("piece")).agg(
+        F.collect_list(F.struct("cls", "n", "component")).alias("members")
+    )
+    lists = materialise(lists, "lists")
+    needs = asked.select("home", "block", "home_bits", "cut", F.explode("ts").alias("t")).distinct().join(open_.select("t", "bits"), "t")
+    needs = needs.withColumn("piece", F.col("cut").bitwiseAND(low)).drop("bits")
+    given = needs.join(lists, ["t", "piece"]).select(
+        *[F.col(c).alias(f"to_{c}") for c in ("home", "block", "cut")],
+        "t",
+        *[F.col(f"members.{c}").alias(c) for c in ("cls", "n", "component")],
+    )
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[list[np.ndarray]] = [[], [], [], []]
+        if left.num_rows and right.num_rows:
+            held = {
+                t: [x.values.to_numpy() for x in lists_]
+                for t, *lists_ in zip(right["t"].to_pylist(), right["cls"], right["n"], right["component"], strict=True)
+            }
+            mask, cut_ = (1 << left["home_bits"][0].as_py()) - 1, left["cut"][0].as_py()
+            for cls, own, n, ts in zip(*[left[c].to_pylist() for c in ("cls", "component", "n")], left["ts"], strict=True):
+                found = [held[t] for t in ts.values.to_pylist()]
+                other, m, component = (np.concatenate(x) for x in zip(*found, strict=True))
+                here = ((other & mask) == cut_) & (component != own) & (100 * np.minimum(n, m) >= T * np.maximum(n, m))
+                other, at, common = np.unique(other[here], return_index=True, return_counts=True)
+                m, component = m[here][at], component[here][at]
+                least = -(-T * (n + m) // (100 + T)) - (-(-T * np.maximum(n, m) // 100) - 1)
+                fits = common >= least
+                for column, x in zip(out, (np.full(fits.sum(), cls), other[fits], component[fits], (common - least)[fits]), strict=True):
+                    column.append(x)
+        columns = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out]
+        return pa.table(columns, names=["a", "b", "of_b", "spare"])
+
+    met = asked.groupBy("home", "block", "cut").cogroup(given.groupBy("to_home", "to_block", "to_cut"))
+    return met.applyInArrow(count, "a bigint, b bigint, of_b bigint, spare bigint")
+
+
 def label(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``rid`` (a number for id and text), ``doc_id``, the size ``n`` of its set, its class ``cls`` and ``component``, the
     smallest class that is reached by links."""
@@ -264,62 +422,31 @@ def label(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     sized = by_row.filter("n > 0").groupBy("cls").agg(F.min("n").alias("n"), F.min("rid").alias("rid"))
     sized = materialise(sized, "sizes")
 
-    shared = prefixes(slim, "text", cells, extremes=True).repartition("t").groupBy("t").agg(F.min("cls").alias("pivot"), F.max("cls").alias("other"))
-    shared = materialise(shared.filter("pivot <> other").select("t", "pivot"), "shared")
-    groups = prefixes(slim, "text", cells, extremes=False).join(shared, "t").distinct()
-    groups = materialise(groups, "groups")
-    profiles = materialise(groups.groupBy("cls").agg(F.collect_list("t").alias("common")).join(sized, "cls"), "profiles")
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        """Those whose lengths and common prefix n-grams allow the similarity."""
-        side = lambda x: profiles.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("common").alias(f"common_{x}"))
-        met = pairs.distinct().join(side("b"), "b").join(side("a"), "a")
-        n, m = F.col("n_a"), F.col("n_b")
-        fits = (100 * F.least(n, m) >= T * F.greatest(n, m))
-        # What lies behind the prefix of the set whose prefix ends first can overlap as a whole.
-        behind = F.ceil(T * F.greatest(n, m) / 100) - 1
-        enough = F.size(F.array_intersect("common_a", "common_b")) >= _needed(n, m) - behind
-        return materialise(met.filter(fits & enough).select("a", "b"), "pairs")
-
-    sets, tried, edges = None, None, None
-    pairs = groups.filter("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
-    left = groups.filter("cls <> pivot").select("t", "cls")
-    pivots = 4
-    while True:
-        pairs = candidates(pairs)
-        if tried is not None:
-            pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-            wanted = wanted if sets is None else wanted.join(sets, "cls", "left_anti")
-            wanted = materialise(wanted.join(sized, "cls").select("cls", "rid"), "wanted")
-            new = materialise(fetch_sets(slim, "text", wanted, cells), "sets")
-            sets = new if sets is None else sets.unionByName(new)
-            found = materialise(verify(pairs, sets), "links")
-            edges = found if edges is None else edges.unionByName(found)
-            mirrored = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            tried = mirrored if tried is None else tried.unionByName(mirrored)
-        member = None if edges is None else materialise(connected(edges), "member")
-        if member is None:
-            labelled = left.withColumn("component", F.col("cls")).withColumn("single", F.lit(True))
-        else:
-            known = left.join(member.withColumnRenamed("node", "cls"), "cls", "left")
-            labelled = known.select("t", "cls", F.coalesce("component", "cls").alias("component"), F.col("component").isNull().alias("single"))
-        labelled = materialise(labelled, "labelled")
-        ends = labelled.groupBy("t").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = materialise(ends.filter("low <> high").select("t"), "open")
-        alive = materialise(labelled.join(open_, "t"), "alive")
-        if alive.isEmpty():
-            break
-        # The first few of each group, those without a link before the others, chosen in slices of the group first.
-        sliced = Window.partitionBy("t", F.pmod("cls", F.lit(256))).orderBy(~F.col("single"), "cls")
-        whole = Window.partitionBy("t").orderBy(~F.col("single"), "cls")
-        some = alive.withColumn("k", F.row_number().over(sliced)).filter(F.col("k") <= pivots)
-        some = some.withColumn("k", F.row_number().over(whole)).filter(F.col("k") <= pivots)
-        chosen = materialise(some.select("t", F.col("cls").alias("a"), F.col("component").alias("of_a")), "pivots")
-        pairs = alive.join(chosen, "t").filter("component <> of_a").select("a", F.col("cls").alias("b"))
-        left = alive.join(chosen.select("t", F.col("a").alias("cls")), ["t", "cls"], "left_anti").select("t", "cls")
-        pivots *= 4
+    buckets = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = materialise(shared_prefixes(slim, "text", cells, buckets), "groups")
+    sizes = materialise(groups.groupBy("t").agg(F.count(F.lit(1)).alias("m")), "group-sizes")
+    weighed = groups.join(sizes, "t").groupBy("cls").agg(F.collect_list("t").alias("common"), F.sum("m").alias("weight"))
+    profiles = materialise(weighed.join(sized, "cls"), "profiles")
+    search = _Search(slim, cells, sized, profiles)
+
+    # The class with the most company is the pivot of its groups: of near copies mostly the text that they come from.
+    heaviest = F.max_by("cls", F.struct("weight", "cls")).alias("pivot")
+    pivots = materialise(groups.join(profiles.select("cls", "weight"), "cls").groupBy("t").agg(heaviest), "pivots")
+    rest = materialise(groups.join(pivots, "t").filter("cls <> pivot"), "rest")
+    member = search.verified(search.possible(rest.select(F.col("pivot").alias("a"), F.col("cls").alias("b"))))
+
+    # Pairs of others that share an n-gram and are not connected yet: the most promising one per class and component
+    # first, then what is still not connected.
+    others = materialise(_unconnected(rest.select("t", "cls"), member, sized), "others")
+    best = others.groupBy("a", "of_b").agg(F.max_by("b", F.struct("spare", "b")).alias("b")).select("a", "b")
+    member = search.verified(best)
+    if member is not None:
+        left = others.select("a", "b").join(best, ["a", "b"], "left_anti")
+        for side in ("a", "b"):
+            known = member.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}"))
+            left = left.join(known, side, "left").withColumn(f"in_{side}", F.coalesce(f"in_{side}", side))
+        others = left.filter("in_a <> in_b").select("a", "b")
+    member = search.verified(others.select("a", "b"))
 
     rows = slim.select("doc_id", _rid(slim)).join(by_row.dropDuplicates(["rid"]), "rid")
     if member is None:

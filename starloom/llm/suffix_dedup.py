@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.textops import _BYTE, PIECE, blocks, buffers, mix
+from starloom.llm.textops import _BYTE, PIECE, begins_run, blocks, buffers, from_six_bytes, mix, six_bytes
 from starloom.session import materialise
 
 LENGTH, K = 50, 24
@@ -120,17 +120,6 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[Names, int,
         yield Names(data[low:high], np.array([0, high - low])), low, a - low, b - low
 
 
-def _six(x: np.ndarray) -> bytes:
-    """48-bit numbers in six bytes each."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _from_six(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return wide.view("<u8").ravel().astype(np.uint64)
-
-
 def _ids(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.diff(x, prepend=np.int64(0)).astype("<i8").tobytes())
 
@@ -139,31 +128,22 @@ def _from_ids(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i8")).astype(np.int64)
 
 
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    """Whether a row begins a run of equal keys; the arrays are sorted."""
-    first = np.zeros(len(keys[0]), bool)
-    first[:1] = True
-    for k in keys:
-        first[1:] |= k[1:] != k[:-1]
-    return first
-
-
 def _sorted_classes(h: np.ndarray, f: np.ndarray, doc: np.ndarray):
     """Rows by anchor, surroundings and document; whether they begin a class; the smallest document of the class."""
     order = np.lexsort((doc, f, h))
     h, f, doc = h[order], f[order], doc[order]
-    once = _runs(h, f, doc)
+    once = begins_run(h, f, doc)
     h, f, doc = h[once], f[once], doc[once]
-    begins = _runs(h, f)
+    begins = begins_run(h, f)
     return h, f, doc, begins, doc[np.maximum.accumulate(np.where(begins, np.arange(len(h)), 0))]
 
 
 def _per_anchor(h: np.ndarray, begins: np.ndarray, doc: np.ndarray):
     """For each row, of its anchor: the number of classes, the smallest and the largest document."""
-    group = np.cumsum(_runs(h)) - 1
+    group = np.cumsum(begins_run(h)) - 1
     n = int(group[-1]) + 1 if len(group) else 0
     classes = np.bincount(group, begins, n).astype(np.int64)
-    at = np.flatnonzero(_runs(h))
+    at = np.flatnonzero(begins_run(h))
     low = np.minimum.reduceat(doc, at) if n else doc
     high = np.maximum.reduceat(doc, at) if n else doc
     return classes[group], low[group], high[group]
@@ -193,8 +173,8 @@ def anchors_of(docs: DataFrame, buckets: int) -> DataFrame:
                 hk, fk, dk, bucket = hk[order], fk[order], dk[order], bucket[order].astype(np.int64)
                 for part in np.split(np.arange(len(bucket)), np.flatnonzero(np.diff(bucket)) + 1):
                     if len(part):
-                        name = _six(hk[part] & _48) if kind is None else None
-                        out.append((int(bucket[part[0]]), kind, name, _six(fk[part]), _ids(dk[part])))
+                        name = six_bytes(hk[part] & _48) if kind is None else None
+                        out.append((int(bucket[part[0]]), kind, name, six_bytes(fk[part]), _ids(dk[part])))
             if out:
                 kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -241,9 +221,9 @@ def rank(anchors: DataFrame) -> DataFrame:
                 if bucket != now:
                     yield from flush()
                     now = bucket
-                doc, around = _from_ids(d), _from_six(f)
+                doc, around = _from_ids(d), from_six_bytes(f)
                 if kind is None:
-                    held.append((_from_six(h), around, doc))
+                    held.append((from_six_bytes(h), around, doc))
                 else:
                     yield from emit(doc, around, np.full(len(doc), kind))
         yield from flush()

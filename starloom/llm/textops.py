@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 22  # bytes that are worked on at once
+PIECE = 1 << 20  # bytes that are worked on at once
 
 _random = np.random.default_rng(20240601)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,3 +106,23 @@ def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` (one per byte) in each value."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def six_bytes(x: np.ndarray) -> bytes:
+    """Numbers of 48 bits in six bytes each."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def from_six_bytes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel().astype(np.uint64)
+
+
+def begins_run(*keys: np.ndarray) -> np.ndarray:
+    """Whether a row begins a run of equal keys; the arrays are sorted."""
+    first = np.zeros(len(keys[0]), bool)
+    first[:1] = True
+    for k in keys:
+        first[1:] |= k[1:] != k[:-1]
+    return first
