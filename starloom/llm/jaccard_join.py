@@ -397,7 +397,10 @@ def _unconnected(groups: DataFrame, member: DataFrame | None, sized: DataFrame)
             }
             mask, cut_ = (1 << left["home_bits"][0].as_py()) - 1, left["cut"][0].as_py()
             for cls, own, n, ts in zip(*[left[c].to_pylist() for c in ("cls", "component", "n")], left["ts"], strict=True):
-                found = [held[t] for t in ts.values.to_pylist()]
+                # A list that is cut into pieces can have none here.
+                found = [held[t] for t in ts.values.to_pylist() if t in held]
+                if not found:
+                    continue
                 other, m, component = (np.concatenate(x) for x in zip(*found, strict=True))
                 here = ((other & mask) == cut_) & (component != own) & (100 * np.minimum(n, m) >= T * np.maximum(n, m))
                 other, at, common = np.unique(other[here], return_index=True, return_counts=True)

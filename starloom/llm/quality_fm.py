@@ -129,7 +129,7 @@ class Machine:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc: str = "doc_id", text: str = "text", meta: str | None = None, label: str = "quality", max_rows: int = 6000) -> Machine | None:
-    """A machine from the rows of ``docs`` where ``learn`` (on its id) holds and that are labelled 0 or 1."""
+    """A machine from the rows of ``docs`` where ``learn`` holds and that are labelled 0 or 1."""
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit("quality"), "id"), 11) * F.lit(2.0**-53)
     known = labels.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{label}`").alias("label")).filter("id is not null and label in (0, 1)")
     n = known.count()
