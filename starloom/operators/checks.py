@@ -11,14 +11,31 @@ from pyspark.sql import functions as F
 
 from starloom.operators.star import orphans
 from starloom.schemas import CHECK_DDL, struct
+from starloom.session import materialise
 
 PASS, FAIL, ERROR = "pass", "fail", "error"
 
 
+def _digest(df: DataFrame, column: str) -> Column:
+    """What stands for a value in a shuffle: of a text its SHA-256 digest."""
+    is_text = dict(df.dtypes)[column] == "string"
+    return F.unhex(F.sha2(F.col(column), 256)) if is_text else F.col(column)
+
+
 def check_unique(df: DataFrame, column: str, out: str = "n") -> DataFrame:
-    """Values that occur more than once; NULL is not one of them."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(out))
-    return counts.filter(F.col(out) > 1)
+    """Values that occur more than once; NULL is not one of them.
+
+    Digests are counted, and texts are fetched for the repeated digests only, whose list is written out so that its
+    size is known to the join.
+    """
+    digest, n = _digest(df, column), F.count(F.lit(1)).alias(out)
+    present = df.filter(F.col(column).isNotNull())
+    repeated = present.groupBy(digest.alias("__digest")).agg(n).filter(F.col(out) > 1)
+    if dict(df.dtypes)[column] != "string":
+        return repeated.withColumnRenamed("__digest", column)
+    listed = materialise(repeated, "repeated")
+    found = present.select(digest.alias("__digest"), column).join(listed, "__digest")
+    return found.groupBy("__digest").agg(F.first(column).alias(column), F.first(out).alias(out)).drop("__digest")
 
 
 def surplus_groups(df: DataFrame, column: str) -> DataFrame:
@@ -26,9 +43,7 @@ def surplus_groups(df: DataFrame, column: str) -> DataFrame:
 
     Only the sizes are asked for, so long texts travel as their SHA-256 digest.
     """
-    is_text = dict(df.dtypes)[column] == "string"
-    digest = F.unhex(F.sha2(F.col(column), 256)) if is_text else F.col(column)
-    sizes = df.filter(F.col(column).isNotNull()).groupBy(digest.alias("__digest")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.filter(F.col(column).isNotNull()).groupBy(_digest(df, column).alias("__digest")).agg(F.count(F.lit(1)).alias("n"))
     return sizes.select("n").filter(F.col("n") > 1)
 
 

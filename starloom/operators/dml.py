@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,21 +41,32 @@ def replace_keys(target: DataFrame, batch: DataFrame, listed: DataFrame) -> Data
 def latest_per_key(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     """The row with the greatest ``by`` for each key; equal ones are told apart by their other columns.
 
-    An aggregate rather than a ranking, so that copies of one key are reduced before the shuffle.
+    An aggregate rather than a ranking, so that copies of one key are reduced before the shuffle. Rows with a NULL in
+    their key are no copies of each other and are all kept.
     """
     rest = [c for c in df.columns if c not in keys]
     packed = F.max(F.struct(F.col(by).alias("__by"), *rest)).alias("__row")
-    return df.groupBy(*keys).agg(packed).select(*[f"__row.{c}" if c in rest else c for c in df.columns])
+    latest = df.filter(~any_null(keys)).groupBy(*keys).agg(packed)
+    keyed = latest.select(*[f"__row.{c}" if c in rest else c for c in df.columns])
+    return keyed.unionByName(df.filter(any_null(keys)))
+
+
+def any_null(columns: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
 
 def first_per_key(batch: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """The smallest row of each non-NULL key, compared by ``order`` and then by the other columns."""
+    """The first row of each non-NULL key by the columns ``order``, such as the position in a file.
+
+    Rows that agree there, or without ``order`` all of a key, go by their other columns, smallest first and NULL last.
+    """
     rest = [c for c in batch.columns if c != key]
     if not rest:
         return batch.filter(F.col(key).isNotNull()).distinct()
     ranked = [*(order or []), *[c for c in rest if c not in (order or [])]]
-    smallest = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*ranked)).alias("__row"))
-    return smallest.select(*[c if c == key else f"__row.{c}" for c in batch.columns])
+    by = F.struct(*[x for c in ranked for x in (F.col(c).isNull(), F.col(c))])
+    first = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*rest), by).alias("__row"))
+    return first.select(*[c if c == key else f"__row.{c}" for c in batch.columns])
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
@@ -98,34 +111,58 @@ def resolve_ids(df: DataFrame, dim: DataFrame, code: str, id_: str) -> DataFrame
     return df.join(dim.select(code, id_), code, "left").drop(code)
 
 
-def load_facts(observations: DataFrame, target: DataFrame | None = None, key: list[str] | None = None) -> DataFrame:
+def load_facts(
+    observations: DataFrame, target: DataFrame | None = None, key: list[str] | None = None, prune: str = "period_id"
+) -> DataFrame:
     """Observations with their ids, ready to be upserted by ``observation_id``.
 
-    One business key may own several rows; ``copy_no`` numbers them by value, and key and ``copy_no``
-    identify a fact from one load to the next. Known facts keep their id, new ones are numbered on from the
-    largest in use in the order of key and ``copy_no``. So loading the same payload again changes nothing,
-    and a corrected value replaces the old one wherever the key owns a single row.
+    One business key may own several rows; ``copy_no`` numbers them by value. Loads are told apart by the column
+    ``load_unit`` (one unit if there is no such column): unit, key and ``copy_no`` identify a fact. So loading a unit again
+    changes nothing, a corrected value replaces the old one wherever the key owns a single row of the unit, and a
+    fact that came with another unit is never touched. Known facts keep their id, new ones are numbered on from the
+    largest in use in the order of key and ``copy_no``.
+
+    Of ``target`` only the values of ``prune`` that the batch has are read, which skips partitions where it is partitioned so.
     """
     key = key or FACT_KEY
-    columns = ["observation_id", *key, "copy_no", "value"]
+    unit = "load_unit"
+    if unit not in observations.columns:
+        observations = observations.withColumn(unit, F.lit(None).cast("string"))
+    full = [*key, unit]
+    columns = ["observation_id", *key, "copy_no", "value", unit]
     # Equal rows are told apart by a count, which also keeps them together until they are spread again.
-    same = observations.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("__n"))
-    slices = sorted_slices(repeat_rows(same, "__n", "__i").drop("__n"), [*key, "value", "__i"])
+    same = observations.groupBy(*full, "value").agg(F.count(F.lit(1)).alias("__n"))
+    slices = sorted_slices(repeat_rows(same, "__n", "__i").drop("__n"), [*full, "value", "__i"])
     if target is None:
-        return place_within(slices, observation_id=[], copy_no=key).select(*columns)
-    rows = place_within(slices, copy_no=key)
-    fact = F.struct(*[F.col(c) for c in [*key, "copy_no"]]).alias("__fact")
-    ids = target.select(fact, "observation_id")
-    wanted = rows.select(*key, "copy_no", "value", fact)
+        return place_within(slices, observation_id=[], copy_no=full).select(*columns)
+    rows = place_within(slices, copy_no=full)
+    if unit not in target.columns:
+        target = target.withColumn(unit, F.lit(None).cast("string"))
+    fact = F.struct(*[F.col(c) for c in [*full, "copy_no"]]).alias("__fact")
+    ids = _matching(target, observations, prune).select(fact, "observation_id")
+    wanted = rows.select(*full, "copy_no", "value", fact)
     matched = materialise(wanted.join(ids, "__fact", "left").drop("__fact"), "facts")
     known = matched.filter(F.col("observation_id").isNotNull())
     new = matched.filter(F.col("observation_id").isNull()).drop("observation_id")
     first = _largest(target, "observation_id") + 1
-    return known.unionByName(dense_ids(new, [*key, "copy_no"], "observation_id", first)).select(*columns)
+    return known.unionByName(dense_ids(new, [*full, "copy_no"], "observation_id", first)).select(*columns)
+
+
+def _matching(target: DataFrame, batch: DataFrame, column: str, most: int = 1000) -> DataFrame:
+    """The rows of ``target`` with a value of ``column`` that occurs in the batch, as a list the scan can prune by; all of
+    them for a column that is not there or has more than ``most`` values in the batch."""
+    if column not in target.columns or column not in batch.columns:
+        return target
+    values = [r[0] for r in batch.select(column).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        return target
+    known = F.col(column).isin([v for v in values if v is not None])
+    return target.filter(known | F.col(column).isNull() if None in values else known)
 
 
 def with_copy_no(facts: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Facts stored without ``copy_no``, numbered within their business key by value and then by id."""
+    """Facts stored without ``copy_no``, numbered within their business key by value and then by id. Loads write the number,
+    so only tables of another origin need this."""
     key = key or FACT_KEY
     slices = sorted_slices(facts, [*key, "value", "observation_id"])
     return place_within(slices, copy_no=key).drop(SLICE, ROW)

@@ -34,10 +34,21 @@ def valid_observations(typed: DataFrame) -> DataFrame:
     return typed.filter(F.col("outcome") == "accept").drop("outcome")
 
 
+REJECT_DDL = "indicator_code STRING, country_code STRING, year BIGINT, sex_code STRING, value DOUBLE, reason STRING"
+
+
 def rejected_observations(typed: DataFrame) -> DataFrame:
     return typed.filter(F.col("outcome") == "reject").drop("outcome")
 
 
+def rejects_of(typed: DataFrame, known: DataFrame) -> DataFrame:
+    """Every item with a value that cannot be loaded, with the reason: a field is missing or unreadable, or its indicator is
+    not among the ``known`` ones."""
+    unusable = rejected_observations(typed).withColumn("reason", F.lit("unusable field"))
+    stray = valid_observations(typed).join(known.select("indicator_code"), "indicator_code", "left_anti")
+    return unusable.unionByName(stray.withColumn("reason", F.lit("unknown indicator")))
+
+
 def indicators_in(dim: DataFrame, category: str) -> DataFrame:
     return dim.filter(F.col("category") == category)
 

@@ -88,20 +88,61 @@ def reconcile(
 
 
 def subject_checks(subject: Layers, frames: dict[str, DataFrame], tolerance: float) -> list[DataFrame]:
-    counts = layer_counts(subject, frames)
-    parts = [_count_checks(subject, counts, tolerance)]
-    for layer in ("raw", "mart"):
-        table, column = getattr(subject, layer)
-        surplus = frames[layer].agg(F.expr(f"count(*) - count(distinct `{column}`)").alias("n"))
-        parts.append(rows_of(surplus, Check(layer, table, "uniqueness", column, "n", hi=0)))
+    """All checks of a subject, from one pass over each layer and one join for the coverage."""
+    facts = layer_facts(subject, frames)
+    table, column = subject.mart
+    counted = facts.withColumn(
+        "difference", count_difference(F.col("n_raw"), F.col("n_mart"), subject.mart_extra_rows)
+    )
+    rows = [Check(layer, *_at(subject, layer, "count"), observed=f"n_{layer}") for layer in LAYERS]
+    # A difference of exactly the tolerance passes here, and fails for values below.
+    within = f"if(difference <= {tolerance}, '{PASS}', '{FAIL}')"
+    rows.append(Check("mart", table, "count_raw_vs_mart", column, "round(difference, 2)", hi=tolerance, status=within))
+    rows += _uniqueness(subject)
     if subject.value:
-        parts.append(_value_check(subject, layer_sums(subject, frames), tolerance))
+        difference = pct_diff(F.abs("sum_raw"), F.abs("sum_raw") + F.abs(F.col("sum_raw") - F.col("sum_mart")))
+        counted = counted.withColumn("sum_difference", difference)
+        below = f"if(sum_difference < {tolerance}, '{PASS}', '{FAIL}')"
+        rows.append(
+            Check("mart", table, "value_sum_raw_vs_mart", subject.value, "round(sum_difference, 2)", hi=tolerance, status=below)
+        )
     missing = uncovered(subject, frames).agg(F.count(F.lit(1)).alias("n"))
-    table, column = subject.mart
-    parts.append(rows_of(missing, Check("mart", table, "coverage", column, "n", hi=0)))
+    return [rows_of(counted, *rows), rows_of(missing, Check("mart", table, "coverage", column, "n", hi=0))]
+
+
+def uniqueness_checks(subject: Layers, frames: dict[str, DataFrame]) -> list[DataFrame]:
+    """Surplus rows per id in raw and mart alone, without the other facts of the layers."""
+    parts = []
+    for row in _uniqueness(subject):
+        column = F.col(f"`{row.column}`")
+        surplus = (F.count(F.lit(1)) - F.count_distinct(column)).alias(f"surplus_{row.layer}")
+        parts.append(rows_of(frames[row.layer].agg(surplus), row))
     return parts
 
 
+def _uniqueness(subject: Layers) -> list[Check]:
+    return [Check(layer, *_at(subject, layer, "uniqueness"), f"surplus_{layer}", hi=0) for layer in ("raw", "mart")]
+
+
+def layer_facts(subject: Layers, frames: dict[str, DataFrame]) -> DataFrame:
+    """One row: ids (``n``), rows beyond one per id (``surplus``) and the sum of the values, per layer, each layer read once."""
+    none = F.lit(None)
+    sides = []
+    for layer in LAYERS:
+        id_ = F.col(f"`{getattr(subject, layer)[1]}`")
+        counted = F.when(F.expr(subject.raw_filter), id_) if layer == "raw" and subject.raw_filter else id_
+        facts = [F.count(counted).alias("n")]
+        if layer != "staging":
+            facts.append((F.count(F.lit(1)) - F.count_distinct(id_)).alias("surplus"))
+            if subject.value:
+                facts.append(F.round(or_zero(F.sum(subject.value)), 2).alias("sum"))
+        side = frames[layer].agg(*facts)
+        surplus = F.col("surplus") if "surplus" in side.columns else none.cast("long").alias("surplus")
+        total = F.col("sum") if "sum" in side.columns else none.cast("double").alias("sum")
+        sides.append(side.select(F.lit(layer).alias("layer"), "n", surplus, total.cast("double").alias("sum")))
+    return _side_by_side(sides, LAYERS, "n", "surplus", "sum")
+
+
 def layer_counts(subject: Layers, frames: dict[str, DataFrame]) -> DataFrame:
     """Number of ids in each layer, as one row (raw, staging, mart)."""
     sides = []
@@ -146,37 +187,11 @@ def count_difference(raw: Column, mart: Column, extra: int = 0) -> Column:
     return F.when(raw > 0, pct_diff(raw + F.lit(extra), mart)).otherwise(pct_diff(raw, mart))
 
 
-def _count_checks(subject: Layers, counts: DataFrame, tolerance: float) -> DataFrame:
-    table, column = subject.mart
-    rows = [Check(layer, *_at(subject, layer, "count"), observed=layer) for layer in LAYERS]
-    # A difference of exactly the tolerance passes here, and fails for values below.
-    within = f"if(difference <= {tolerance}, '{PASS}', '{FAIL}')"
-    rows.append(Check("mart", table, "count_raw_vs_mart", column, "round(difference, 2)", hi=tolerance, status=within))
-    difference = count_difference(F.col("raw"), F.col("mart"), subject.mart_extra_rows)
-    return rows_of(counts.withColumn("difference", difference), *rows)
-
-
 def _at(subject: Layers, layer: str, check: str) -> tuple[str, str, str]:
     table, column = getattr(subject, layer)
     return table, check, column
 
 
-def _value_check(subject: Layers, sums: DataFrame, tolerance: float) -> DataFrame:
-    """Compare the rounded sums. A raw sum that is not positive gives no base to compare with and passes."""
-    row = Check(
-        "mart",
-        subject.mart[0],
-        "value_sum_raw_vs_mart",
-        subject.value,
-        "round(difference, 2)",
-        hi=tolerance,
-        status=f"if(difference is null or difference < {tolerance}, '{PASS}', '{FAIL}')",
-        detail="if(difference is null, 'raw sum not positive, not compared', null)",
-    )
-    difference = F.when(F.col("sum_raw") > 0, pct_diff("sum_raw", "sum_mart"))
-    return rows_of(sums.withColumn("difference", difference), row)
-
-
 def overall(checks: DataFrame) -> DataFrame:
     """``error`` if anything could not be checked, else ``fail`` or ``pass``."""
     errors = F.count_if(F.col("status") == ERROR) > 0

@@ -317,6 +317,47 @@ def exp_suite(spark, sf):
     return X.run_suite(indicators, X.INDICATORS_SUITE).select(*RESULT)
 
 
+@query(
+    " union all ".join(
+        [
+            _expected(X.EXISTS, "IndicatorCode", "true", "count(*)", "0", "part"),
+            _expected(X.EXISTS, "IndicatorName", "true", "count(*)", "0", "part"),
+            _expected(X.EXISTS, "Category", "true", "count(*)", "0", "part"),
+            _expected(X.NOT_NULL, "IndicatorCode", "true", "count(*)", "0", "part"),
+            _expected(X.NOT_NULL, "Category", "count(*) = count(nullif(p_type, 'PROMO'))", "count(*)", "count(*) - count(nullif(p_type, 'PROMO'))", "part"),
+        ]
+    )
+)
+def exp_categorized_suite(spark, sf):
+    category = F.nullif(F.col("p_type"), F.lit("PROMO")).alias("Category")
+    listed = table(spark, sf, "part").select(F.col("p_brand").alias("IndicatorCode"), F.col("p_name").alias("IndicatorName"), category)
+    return X.run_suite(listed, X.CATEGORIZED_INDICATORS_SUITE).select(*RESULT)
+
+
+def _codes_sql(code, source, bad):
+    """The suites of code lists: the code is NULL where ``bad`` holds."""
+    broken = f"count(*) filter (where {bad})"
+    return " union all ".join(
+        [
+            _expected(X.EXISTS, "Code", "true", "count(*)", "0", source),
+            _expected(X.EXISTS, "Title", "true", "count(*)", "0", source),
+            _expected(X.NOT_NULL, "Code", f"{broken} = 0", "count(*)", broken, source),
+        ]
+    )
+
+
+@query(_codes_sql("s_suppkey", "supplier", "s_acctbal < 0"))
+def exp_dimensions_suite(spark, sf):
+    code = F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey").cast("string")).alias("Code")
+    return X.run_suite(table(spark, sf, "supplier").select(code, F.col("s_name").alias("Title")), X.DIMENSIONS_SUITE).select(*RESULT)
+
+
+@query(_codes_sql("c_custkey", "customer", "c_mktsegment = 'BUILDING'"))
+def exp_regions_suite(spark, sf):
+    code = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("string")).alias("Code")
+    return X.run_suite(table(spark, sf, "customer").select(code, F.col("c_name").alias("Title")), X.REGIONS_SUITE).select(*RESULT)
+
+
 # --- reconciliation --------------------------------------------------------------------------------------
 
 OBSERVATIONS = next(layers for layers in R.LAYER_MAP if layers.name == "observations")
@@ -359,8 +400,24 @@ def rec_pct_diff(spark, sf):
        from lineitem where l_quantity <> 1"""
 )
 def rec_uniqueness(spark, sf):
-    report = C.union_checks(spark, R.subject_checks(OBSERVATIONS, _sales_layers(spark, sf), R.TOLERANCE_PCT))
-    return report.filter(F.col("check") == "uniqueness").select("layer", "observed")
+    return C.union_checks(spark, R.uniqueness_checks(OBSERVATIONS, _sales_layers(spark, sf))).select("layer", "observed")
+
+
+@query(
+    """select 'count_raw_vs_mart' "check", 'pass' status, cast(0 as double) observed from lineitem having count(*) > 0
+       union all
+       select 'value_sum_raw_vs_mart', case when abs(r - m) / abs(r) * 100 < 0.1 then 'pass' else 'fail' end,
+              round(abs(r - m) / abs(r) * 100, 2)
+       from (select round(sum(-l_quantity), 2) r, round(sum(case when l_returnflag = 'A' then -1 else -l_quantity end), 2) m
+             from lineitem) t"""
+)
+def rec_value_differs(spark, sf):
+    """Values that sum to less than nothing, of which the mart has lost those of one flag."""
+    raw = sales_raw(spark, sf)["fact_observations"].withColumn("value", -F.col("value"))
+    lost = F.when(F.col("sex_id") == 1, F.lit(-1.0)).otherwise(F.col("value"))
+    frames = {"raw": raw, "staging": raw, "mart": raw.withColumn("value", lost)}
+    report = C.union_checks(spark, R.subject_checks(OBSERVATIONS, frames, R.TOLERANCE_PCT))
+    return report.filter(F.col("check").endswith("_raw_vs_mart")).select("check", "status", "observed")
 
 
 @query(

@@ -56,7 +56,7 @@ def ana_trend_avg(spark, sf):
 def ana_trend_avg_listed(spark, sf):
     """The same for the categories whose parts cost more than the average part."""
     prices = table(spark, sf, "part").select(F.col("p_type").alias("category"), "p_retailprice")
-    mean = prices.agg(F.avg("p_retailprice").alias("mean")).first()["mean"]
+    mean = prices.agg(F.avg("p_retailprice")).scalar()
     dear = prices.groupBy("category").agg(F.avg("p_retailprice").alias("price")).filter(F.col("price") > mean)
     return A.yearly_average(sales_star(spark, sf), dear).withColumn("avg_value", F.round("avg_value", 4))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from starloom.operators import dml
 from starloom.operators.checks import Check, null_counts, rows_of
 from starloom.operators.ingest import typed_observations
 from starloom.plans.analytics import volumes
-from starloom.plans.build import build_warehouse
+from starloom.plans.build import build_increment, build_warehouse
 from starloom.plans.catalogue.models import K, SEX_ID
 from starloom.plans.registry import query
 from starloom.plans.testdata import event_number, event_raw, event_sex, table
@@ -44,7 +45,7 @@ def src_odata_envelope(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     path = scratch(spark, "odata")
     envelope_lines(customer, page_of("c_custkey")).write.text(path)
-    return E.read_odata(spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT", multi_line=False)
+    return E.read_odata(spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT")
 
 
 @query(
@@ -67,7 +68,7 @@ def src_observations(spark, sf):
     path = scratch(spark, "observations")
     lines = envelope_lines(items, page_of("event_id"), "indicator_code")
     lines.write.partitionBy("indicator_code").text(path)
-    return typed_observations(E.read_observations(spark, path, multi_line=False))
+    return typed_observations(E.read_observations(spark, path))
 
 
 @query('select cast(p_partkey as varchar) "Code", p_name "Title" from part')
@@ -76,7 +77,7 @@ def src_dimensions_json(spark, sf):
     codes = part.select(F.col("p_partkey").cast("string").alias("Code"), F.col("p_name").alias("Title"), "p_partkey")
     path = scratch(spark, "dimensions")
     envelope_lines(codes, page_of("p_partkey")).write.text(path)
-    return E.read_odata(spark, path, DIMENSION_ITEM, multi_line=False)
+    return E.read_odata(spark, path, DIMENSION_ITEM)
 
 
 @query(
@@ -91,7 +92,7 @@ def src_corrupt_json(spark, sf):
     line = F.when(F.col("lang") == "fr", cut).when(F.col("lang") == "de", bare).otherwise(whole)
     path = scratch(spark, "corrupt")
     table(spark, sf, "documents").select(line.alias("line")).write.text(path)
-    return E.envelope_status(spark, path, DIMENSION_ITEM, multi_line=False)
+    return E.envelope_status(spark, path, DIMENSION_ITEM)
 
 
 @query("select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
@@ -99,15 +100,67 @@ def src_csv(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     path = scratch(spark, "csv")
     files.write_csv(customer, path)
-    return S.read_csv(spark, path, customer.schema)
+    return S.read_csv(spark, path, customer.schema, multi_line=False)
 
 
-@query("select doc_id, lang, md5(text) digest, n_chars from documents")
+@query("select c_custkey, c_name, c_nationkey, c_acctbal from customer")
+def src_csv_reordered(spark, sf):
+    """A file whose header has the columns in another order, and one more."""
+    customer = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_name", "c_nationkey", "c_custkey")
+    path = scratch(spark, "csv-reordered")
+    files.write_csv(customer, path)
+    return S.read_csv(spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE")
+
+
+@query(
+    """select 'csv' source, 'row' kind, count(*) n from customer where c_nationkey <> 3
+       union all select 'csv', 'reject', count(*) from customer where c_nationkey = 3
+       union all select 'json', 'row', count(*) from events where event_type <> 'error'
+       union all select 'json', 'reject', count(*) from events where event_type = 'error'"""
+)
+def src_rejects(spark, sf):
+    """Numbers that are none in a CSV file, and envelopes that are cut off, one event each."""
+    wrong = F.when(F.col("c_nationkey") == 3, "three").otherwise(F.col("c_nationkey").cast("string"))
+    csv, landed = scratch(spark, "csv-wrong"), scratch(spark, "landed-wrong")
+    files.write_csv(table(spark, sf, "customer").select("c_custkey", wrong.alias("c_nationkey")), csv)
+    item = F.array(F.struct(F.col("event_id").cast("string").alias("Code"), F.col("event_type").alias("Title")))
+    whole = F.to_json(F.struct(item.alias("value")))
+    cut = F.substring(whole, F.lit(1), F.length(whole) - 5)
+    events = table(spark, sf, "events")
+    events.select(F.when(F.col("event_type") == "error", cut).otherwise(whole).alias("line")).write.text(landed)
+    read = {
+        "csv": S.read_csv_and_rejects(spark, csv, "c_custkey BIGINT, c_nationkey INT"),
+        "json": E.read_odata_and_rejects(spark, landed, DIMENSION_ITEM),
+    }
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(source).alias("source"), F.lit(kind).alias("kind"), "n")
+        for source, parsed in read.items()
+        for kind, df in (("row", parsed.rows), ("reject", parsed.rejects.select("record", "partly_read")))
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("select event_id, event_type from events")
+def src_landed_default(spark, sf):
+    """Many envelopes per landed file, read with the reader's defaults."""
+    events = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("Code"), F.col("event_type").alias("Title"))
+    base = scratch(spark, "landed")
+    path = files.land_raw(events.select(F.array(F.struct("Code", "Title")).alias("value")).coalesce(1), base, "events", datetime(2024, 1, 1))
+    items = E.read_odata(spark, path, DIMENSION_ITEM)
+    return items.select(F.col("Code").cast("bigint").alias("event_id"), F.col("Title").alias("event_type"))
+
+
+@query(
+    """select doc_id, case lang when 'fr' then '' when 'es' then null else lang end lang, md5(text) digest, n_chars
+       from documents"""
+)
 def snk_csv_roundtrip(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    """Texts with line breaks and quotes; the empty text and NULL come back as what they are."""
+    blanked = F.when(F.col("lang") == "fr", "").when(F.col("lang") != "es", F.col("lang")).alias("lang")
+    documents = table(spark, sf, "documents").select("doc_id", "text", blanked, "n_chars")
     path = scratch(spark, "csv-text")
     files.write_csv(documents, path)
-    back = S.read_csv(spark, path, documents.schema, multi_line=True)
+    back = S.read_csv(spark, path, documents.schema)
     return back.select("doc_id", "lang", F.md5("text").alias("digest"), "n_chars")
 
 
@@ -156,7 +209,8 @@ def src_catalog(spark, sf):
 
 def _summary_sql(name, columns):
     return " union all ".join(
-        f"select '{name}' table_name, {i} cid, '{c}' column_name, '{t}' data_type, count({c}) filled from {name}"
+        f"select '{name}' table_name, {i} cid, '{c}' column_name, '{t}' data_type, true nullable, {str(i == 0).lower()} pk, "
+        f"count({c}) filled from {name}"
         for i, (c, t) in enumerate(columns)
     )
 
@@ -179,23 +233,40 @@ SUMMARY_SQL = " union all ".join(
 )
 
 
+def _keyed(spark, sf, name, key):
+    """A table whose key column is marked in the schema."""
+    df = table(spark, sf, name)
+    return df.withColumn(key, F.col(key).alias(key, metadata={"pk": True}))
+
+
+def _summarised(spark, sf):
+    return {"orders": _keyed(spark, sf, "orders", "o_orderkey"), "labels": _keyed(spark, sf, "labels", "doc_id")}
+
+
 @query(SUMMARY_SQL)
 def src_schema_summary(spark, sf):
-    facts = S.schema_summary({name: table(spark, sf, name) for name in ("orders", "labels")})
-    return facts.select("table_name", "cid", "column_name", "data_type", "filled")
+    return S.schema_summary(_summarised(spark, sf))
 
 
 @query(SUMMARY_SQL)
 def snk_schema_summary(spark, sf):
     path = scratch(spark, "summary")
-    files.write_schema_summary({name: table(spark, sf, name) for name in ("orders", "labels")}, path)
-    ddl = "table_name STRING, cid INT, column_name STRING, data_type STRING, filled BIGINT"
+    files.write_schema_summary(_summarised(spark, sf), path)
+    ddl = "table_name STRING, cid INT, column_name STRING, data_type STRING, nullable BOOLEAN, pk BOOLEAN, filled BIGINT"
     return spark.read.schema(ddl).json(path)
 
 
-@query(None)
+_FRESH = ["customer", "events", "labels", "lineitem", "orders", "part"]
+
+
+@query(
+    " union all ".join(
+        f"select '{name}.parquet' file, true has_bytes, true stamp_agrees, count(*) n from {name}" for name in _FRESH
+    )
+)
 def health_freshness(spark, sf):
-    return S.file_stats(spark, sf, "*.parquet").select("file", "size_bytes", "size_mb", "modified_at")
+    """Rows per stored file, with what its size and time say."""
+    return reduce(DataFrame.unionByName, [S.file_rows(table(spark, sf, name)) for name in _FRESH])
 
 
 # --- sinks -----------------------------------------------------------------------------------------------
@@ -285,6 +356,21 @@ def mat_warehouse(spark, sf):
     return volumes(star.tables)
 
 
+@query(
+    """select event_id observation_id, cast(day(ts) as bigint) period_id, case when day(ts) = 3 then "value" + 1000 else "value" end as "value"
+       from events where day(ts) <> 5 or event_type <> 'error'"""
+)
+def mat_incremental(spark, sf):
+    """All but some facts of the fifth, then the third with corrected values: one partition is rewritten."""
+    raw = dict(event_raw(spark, sf))
+    facts = raw["fact_observations"].filter("period_id <> 5 or indicator_id <> 5")
+    base = scratch(spark, "increment")
+    build_increment(raw | {"fact_observations": facts}, base)
+    corrected = facts.withColumn("value", F.when(F.col("period_id") == 3, F.col("value") + 1000).otherwise(F.col("value")))
+    star = build_increment(raw | {"fact_observations": corrected}, base, periods=[3])
+    return star.fact.select("observation_id", "period_id", "value")
+
+
 # --- keyed changes ---------------------------------------------------------------------------------------
 
 
@@ -329,6 +415,30 @@ def dml_insert_ignore(spark, sf):
     return dml.insert_ignore(known, brands.drop("p_type"), "p_brand")
 
 
+@query("select p_brand, min(p_partkey) first_key, min_by(p_name, p_partkey) p_name from part group by p_brand")
+def dml_first_wins(spark, sf):
+    """Of the rows of a brand the one that stands first in the file, whatever its name."""
+    path = scratch(spark, "csv-first")
+    listed = table(spark, sf, "part").select("p_brand", F.col("p_partkey").alias("first_key"), "p_name")
+    files.write_csv(listed.repartitionByRange(1, "first_key").sortWithinPartitions("first_key"), path)
+    back = S.read_csv(spark, path, listed.schema, position="position")
+    return dml.first_per_key(back, "p_brand", ["position"]).drop("position")
+
+
+@query(
+    """select n_nationkey, n_name, max_by(s_name, s_suppkey) filled from nation join supplier on s_nationkey = n_nationkey group by 1, 2
+       union all select n_nationkey, n_name, null from nation where n_nationkey not in (select s_nationkey from supplier)"""
+)
+def dml_enrich_last_wins(spark, sf):
+    """Nations without a name take that of their supplier that stands last in the file."""
+    path = scratch(spark, "csv-last")
+    suppliers = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_name", "s_suppkey")
+    files.write_csv(suppliers.repartitionByRange(1, "s_suppkey").sortWithinPartitions("s_suppkey"), path)
+    lookup = S.read_csv(spark, path, "n_nationkey INT, s_name STRING", position="position")
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name", F.lit(None).cast("string").alias("filled"))
+    return dml.enrich(nations, lookup, "n_nationkey", "filled", "s_name", F.col("position"))
+
+
 @query(
     """select c_name, c_custkey id from customer where c_mktsegment = 'BUILDING'
        union all
@@ -353,7 +463,8 @@ _KEY = "indicator_id, location_id, period_id, sex_id"
 
 @query(
     f"""select row_number() over (order by indicator_id, location_id, period_id, sex_id nulls first, "value") observation_id,
-               row_number() over (partition by {_KEY} order by "value") copy_no, {_KEY}, "value"
+               row_number() over (partition by {_KEY} order by "value") copy_no, {_KEY}, "value",
+               cast(null as varchar) load_unit
         from ({_FACTS}) f"""
 )
 def dml_load_facts(spark, sf):
@@ -365,7 +476,7 @@ def dml_load_facts(spark, sf):
              o as (select row_number() over (partition by indicator_id = 1
                           order by indicator_id, location_id, period_id, sex_id nulls first, copy_no) i, f.* from f)
         select case when indicator_id = 1 then i + (select count(*) from f where indicator_id <> 1) else i end observation_id,
-               copy_no, {_KEY}, "value" from o"""
+               copy_no, {_KEY}, "value", cast(null as varchar) load_unit from o"""
 )
 def dml_reload_facts(spark, sf):
     """A load without clicks, then the whole payload: known facts keep their ids, clicks are numbered on."""
@@ -376,6 +487,19 @@ def dml_reload_facts(spark, sf):
     return dml.upsert(known, dml.load_facts(observations, known), ["observation_id"])
 
 
+@query(f"""select {_KEY}, "value", case when "value" < 20 then 'low' else 'high' end load_unit from ({_FACTS}) f""")
+def dml_load_in_two_parts(spark, sf):
+    """Low and high values come in two loads, the first of them twice; keys own rows of both, and none is lost."""
+    observations = _observations(spark, sf)
+    base = scratch(spark, "facts-parts")
+    for unit, part in (("low", "value < 20"), ("high", "value >= 20"), ("low", "value < 20")):
+        batch = observations.filter(part).withColumn("load_unit", F.lit(unit))
+        known = publish.current(spark, base) if publish.exists(spark, base) else None
+        loaded = dml.load_facts(batch, known)
+        publish.publish(loaded if known is None else dml.upsert(known, loaded, ["observation_id"]), base)
+    return publish.current(spark, base).drop("observation_id", "copy_no")
+
+
 @query(
     """select c_custkey, case when c_mktsegment in ('BUILDING', 'MACHINERY') and c_acctbal >= 0 then c_mktsegment
                               when c_mktsegment = 'BUILDING' then '' when c_mktsegment = 'MACHINERY' then null

@@ -49,3 +49,61 @@ def str_upsert(spark, sf):
         stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
         upsert_available(stream, out, state, ["event_id"], "event_type")
     return spark.read.parquet(out).select("event_id", "event_type", "value")
+
+
+@query(
+    """select event_id, event_type, case when event_type in ('purchase', 'error') then "value" + 1000 else "value" end as "value"
+       from events"""
+)
+def str_out_of_order(spark, sf):
+    """The later landing, with the corrected values, is read before the earlier one, and stays."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    base, out, state = (scratch(spark, name) for name in ("land", "order-out", "order-state"))
+    corrected = events.filter(F.col("event_type").isin("purchase", "error")).withColumn("value", F.col("value") + 1000)
+    for ts, rows in ((SECOND, corrected), (FIRST, events)):
+        land_raw(rows, base, "events", ts)
+        stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
+        upsert_available(stream, out, state, ["event_id"], "event_type")
+    return spark.read.parquet(out).select("event_id", "event_type", "value")
+
+
+@query(
+    """select case event_type when 'signup' then 'reject' else 'row' end kind, event_type, count(*) n, cast(sum(event_id) as bigint) keys
+       from (select case event_type when 'signup' then null else event_id end event_id, event_type from events) e group by 1, 2"""
+)
+def str_null_keys(spark, sf):
+    """Events without an id are set aside; the landing is replayed from an empty checkpoint and changes nothing."""
+    key = F.when(F.col("event_type") != "signup", F.col("event_id")).alias("event_id")
+    events = table(spark, sf, "events").select(key, "event_type")
+    base, out, rejects = (scratch(spark, name) for name in ("land", "null-out", "null-rejects"))
+    land_raw(events, base, "events", FIRST)
+    ddl = "event_id BIGINT, event_type STRING"
+    for state in ("once", "again"):
+        stream = landed_stream(spark, f"{base}/events", struct(ddl))
+        upsert_available(stream, out, scratch(spark, state), ["event_id"], "event_type", rejects=rejects)
+    found = {"row": spark.read.parquet(out), "reject": spark.read.schema(ddl).json(rejects)}
+    parts = [
+        df.groupBy(F.lit(kind).alias("kind"), F.col("event_type").cast("string").alias("event_type")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("keys")
+        )
+        for kind, df in found.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    """select case event_type when 'error' then 'reject' else 'row' end kind, count(*) n,
+              cast(sum(case when event_type <> 'error' then event_id end) as bigint) keys
+       from events group by 1"""
+)
+def str_corrupt_lines(spark, sf):
+    """Landed lines of which some are cut off: the stream takes the others and keeps the text of those."""
+    whole = F.to_json(F.struct("event_id", "event_type"))
+    line = F.when(F.col("event_type") == "error", F.substring(whole, F.lit(1), F.length(whole) - 3)).otherwise(whole)
+    base, out, rejects = (scratch(spark, name) for name in ("land", "corrupt-out", "corrupt-rejects"))
+    table(spark, sf, "events").select(line.alias("line")).write.text(f"{base}/ingest_ts=20240131_060000")
+    stream = landed_stream(spark, base, struct("event_id BIGINT, event_type STRING"), rejects=True)
+    ingest_available(stream, out, scratch(spark, "corrupt-state"), rejects=rejects)
+    rows = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("keys"))
+    broken = spark.read.parquet(rejects).agg(F.count("record").alias("n"), F.lit(None).cast("long").alias("keys"))
+    return rows.select(F.lit("row").alias("kind"), "n", "keys").unionByName(broken.select(F.lit("reject").alias("kind"), "n", "keys"))

@@ -8,41 +8,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.dml import assign_ids, enrich, insert_with_ids, load_facts, resolve_ids, upsert, with_copy_no
-from starloom.operators.ingest import indicators_in, typed_observations, valid_observations
-from starloom.schemas import RAW_DDL, SEX_ROWS, raw_schema
+from starloom.operators.ingest import indicators_in, rejects_of, typed_observations, valid_observations
+from starloom.schemas import RAW_DDL, SEX_ROWS, stored_schema
 from starloom.session import materialise
 from starloom.sources.tables import literal_rows
 
 
 def empty_raw(spark: SparkSession) -> dict[str, DataFrame]:
-    return {name: spark.createDataFrame([], raw_schema(name)) for name in RAW_DDL}
+    return {name: spark.createDataFrame([], stored_schema(name)) for name in RAW_DDL}
+
+
+POSITION = "position"
+
+
+def _ordered_by(df: DataFrame) -> list[str]:
+    """The column that tells where rows stood in their file, if the reader was asked for it."""
+    return [POSITION] if POSITION in df.columns else []
 
 
 def load_dimensions(raw: Mapping[str, DataFrame], categorized: DataFrame) -> dict[str, DataFrame]:
-    """Add the indicators of a categorized list and the sexes; codes already known stay as they are."""
+    """Add the indicators of a categorized list and the sexes; codes already known stay as they are.
+
+    Of a code that is listed more than once the first row counts, if the list was read with ``position="position"``.
+    """
+    order = _ordered_by(categorized)
     indicators = categorized.select(
         F.col("IndicatorCode").alias("indicator_code"),
         F.col("IndicatorName").alias("indicator_name"),
         F.col("Category").alias("category"),
+        *order,
     )
     sexes = literal_rows(categorized.sparkSession, SEX_ROWS, "sex_code STRING, sex_name STRING")
     return dict(raw) | {
-        "dim_indicators": insert_with_ids(raw["dim_indicators"], indicators, "indicator_code", "indicator_id"),
+        "dim_indicators": insert_with_ids(
+            raw["dim_indicators"], indicators, "indicator_code", "indicator_id", order
+        ).drop(*order),
         "dim_sex": insert_with_ids(raw["dim_sex"], sexes, "sex_code", "sex_id"),
     }
 
 
 def load_observations(
-    raw: Mapping[str, DataFrame], items: DataFrame, category: str | None = None
+    raw: Mapping[str, DataFrame],
+    items: DataFrame,
+    category: str | None = None,
+    unit: str | None = None,
+    rejects: str | None = None,
 ) -> dict[str, DataFrame]:
     """Add observation items to the facts, and the places, years and sexes they bring to the dimensions.
 
     Only items of known indicators are taken, of one ``category`` if given. Every lookup is one join for all
-    rows. Loading the same items again changes nothing.
+    rows. ``unit`` names what is loaded, such as a landing: loading the same unit again changes nothing, another unit only
+    adds. Items that cannot be loaded are added as Parquet under the folder ``rejects``, one subfolder per unit.
     """
+    typed = materialise(typed_observations(items), "typed")
+    if rejects is not None:
+        known = raw["dim_indicators"]
+        rejects_of(typed, known).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/load_unit={unit or 'none'}")
     indicators = raw["dim_indicators"] if category is None else indicators_in(raw["dim_indicators"], category)
     wanted = indicators.select("indicator_id", "indicator_code")
-    valid = materialise(valid_observations(typed_observations(items)).join(wanted, "indicator_code"), "observations")
+    valid = materialise(valid_observations(typed).join(wanted, "indicator_code"), "observations")
 
     locations = materialise(
         assign_ids(valid.select("country_code"), raw["dim_locations"], "country_code", "location_id"), "locations"
@@ -52,11 +76,11 @@ def load_observations(
 
     keyed = resolve_ids(valid, locations, "country_code", "location_id")
     keyed = resolve_ids(keyed, periods, "year", "period_id")
-    keyed = resolve_ids(keyed, sex, "sex_code", "sex_id")
+    keyed = resolve_ids(keyed, sex, "sex_code", "sex_id").withColumn("load_unit", F.lit(unit).cast("string"))
     known = raw["fact_observations"]
-    if "copy_no" not in known.columns:
-        known = with_copy_no(known)
-    facts = upsert(known, load_facts(keyed, known), ["observation_id"])
+    if "copy_no" not in known.columns or not known.filter(F.col("copy_no").isNull()).isEmpty():
+        known = with_copy_no(known.drop("copy_no"))
+    facts = upsert(known, materialise(load_facts(keyed, known), "loaded"), ["observation_id"])
     return dict(raw) | {
         "dim_locations": locations,
         "dim_periods": periods,
@@ -66,7 +90,14 @@ def load_observations(
 
 
 def enrich_locations(raw: Mapping[str, DataFrame], lookup: DataFrame) -> dict[str, DataFrame]:
-    """Fill missing country names from a list with the columns ``ISO3166-1-Alpha-3`` and ``official_name_en``."""
-    names = lookup.select(F.col("ISO3166-1-Alpha-3").alias("country_code"), F.col("official_name_en").alias("official"))
-    filled = enrich(raw["dim_locations"], names, "country_code", "country_name", "official")
+    """Fill missing country names from a list with the columns ``ISO3166-1-Alpha-3`` and ``official_name_en``.
+
+    Of a code that is listed more than once the last row counts, if the list was read with ``position="position"``.
+    """
+    order = _ordered_by(lookup)
+    names = lookup.select(
+        F.col("ISO3166-1-Alpha-3").alias("country_code"), F.col("official_name_en").alias("official"), *order
+    )
+    last = F.col(POSITION) if order else None
+    filled = enrich(raw["dim_locations"], names, "country_code", "country_name", "official", last)
     return dict(raw) | {"dim_locations": filled}

@@ -21,6 +21,9 @@ RAW_DDL = {
     ),
 }
 
+# What loading adds to the facts: the load a fact came with, and its number among facts of equal key.
+LOADED_DDL = {"fact_observations": "load_unit STRING, copy_no BIGINT"}
+
 # The mart tables.
 MART_DDL = {
     "dim_indicator": (
@@ -87,3 +90,9 @@ def raw_schema(table: str) -> T.StructType:
             for f in struct(RAW_DDL[table]).fields
         ]
     )
+
+
+def stored_schema(table: str) -> T.StructType:
+    """Schema of a raw table as the loads store it."""
+    added = struct(LOADED_DDL[table]).fields if table in LOADED_DDL else []
+    return T.StructType([*raw_schema(table).fields, *added])

@@ -13,11 +13,14 @@ STAMP = "%Y%m%d_%H%M%S"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header that :func:`starloom.sources.tables.read_csv` reads back as it was, spaces included."""
+    """CSV with a header that :func:`starloom.sources.tables.read_csv` reads back as it was: spaces, line breaks, and the
+    empty text (in quotes) apart from NULL (nothing) included."""
     (
         df.write.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", "")
+        .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +89,11 @@ def publish(df: DataFrame, base: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, base: str) -> bool:
+    """Whether a finished version is there."""
+    return any(finished for _, finished in _versions(spark, base))
+
+
 def current(spark: SparkSession, base: str) -> DataFrame:
     """The newest finished version."""
     done = [number for number, finished in _versions(spark, base) if finished]
@@ -112,7 +118,7 @@ def forget_versions(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
 def publish_upsert(batch: DataFrame, base: str, keys: list[str]) -> str:
     """Upsert ``batch`` into the published table and publish the result as its next version."""
     spark = batch.sparkSession
-    if not any(finished for _, finished in _versions(spark, base)):
+    if not exists(spark, base):
         return publish(batch, base)
     return publish(upsert(current(spark, base), batch, keys), base)
 
@@ -120,29 +126,47 @@ def publish_upsert(batch: DataFrame, base: str, keys: list[str]) -> str:
 # --- partitioned upsert ----------------------------------------------------------------------------------
 
 
-def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: str, rows_move: bool = True) -> None:
+def upsert_partitions(
+    batch: DataFrame,
+    path: str,
+    keys: list[str],
+    partition: str,
+    rows_move: bool | None = None,
+    most_partitions: int = 10_000,
+) -> None:
     """Upsert into a table partitioned by ``partition``, rewriting only the partitions it touches.
 
     Touched are the partitions of the batch and those in which its keys lie now, so a row may move. Finding
-    the latter reads the key columns of the whole table; with ``rows_move=False`` the caller vouches that a
-    key never changes its partition, and the other partitions are not read at all. The new content is
-    written aside first, because Spark cannot overwrite files it is reading. Run again after a failure at
-    any point it gives the same table.
+    the latter reads the key columns of the whole table; with ``rows_move=False``, the default where the partition is
+    part of the key, no other partition is read. The new content is written aside first, because Spark cannot
+    overwrite files it is reading.
+
+    Run again after a failure at any point it gives the same table, but for rows with a NULL in their key: those never
+    match and are added each time. It is not atomic: until it ends, a reader can see a moved row twice or miss a partition
+    that is being replaced. The names of the touched partitions come to the driver; more than ``most_partitions``
+    raise an error, as the table is then cut too fine for this.
     """
     spark = batch.sparkSession
+    rows_move = partition not in keys if rows_move is None else rows_move
     kind = batch.schema[partition].dataType
     target = read_partitions(spark, path, partition, kind)
     if target is None:
+        _store_schema(spark, path, batch.schema)
         batch.write.mode("append").partitionBy(partition).parquet(path)
         return
+    added = [f for f in batch.schema.fields if f.name not in target.columns]
+    if added or _stored_schema(spark, path) is None:
+        _store_schema(spark, path, T.StructType([*target.schema.fields, *added]))
     batch = materialise(batch, "upsert-batch")
     listed = distinct_keys(batch, keys)
     places = batch.select(partition, F.lit(True).alias("in_batch"))
     if rows_move:
         lying = target.join(listed, keys, "left_semi").select(partition, F.lit(False).alias("in_batch"))
         places = places.union(lying)
-    # One row per partition folder: metadata, not data.
-    touched = {r[0]: r[1] for r in places.groupBy(partition).agg(F.max("in_batch")).collect()}
+    found = places.groupBy(partition).agg(F.max("in_batch")).limit(most_partitions + 1).collect()
+    if len(found) > most_partitions:
+        raise ValueError(f"the batch touches more than {most_partitions} partitions of {path}")
+    touched = {r[0]: r[1] for r in found}
     staged = scratch(spark, "upsert-stage")
     replace_keys(target.filter(_is_one_of(F.col(partition), list(touched))), batch, listed).write.parquet(staged)
     fresh = spark.read.parquet(staged)
@@ -160,6 +184,36 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], partition: s
             _drop_partitions(read_partitions(spark, path, partition, kind).filter(_is_one_of(F.col(partition), emptied)))
 
 
+# The schema lies beside the data, under a name that Spark passes over, so that no upsert has to read every footer.
+_SCHEMA = "_starloom_schema.json"
+
+
+def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    fs, file = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA}")
+    out = fs.create(file, True)
+    try:
+        out.write(bytearray(nullable.json().encode()))
+    finally:
+        out.close()
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, file = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA}")
+    if not fs.exists(file):
+        return None
+    content = fs.open(file)
+    try:
+        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(content, "UTF-8")))
+    finally:
+        content.close()
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    fs, root = _fs(spark, path)
+    return fs.exists(root) and any(s.getPath().getName()[0] not in "_." for s in fs.listStatus(root))
+
+
 def _is_one_of(column: Column, values: list) -> Column:
     known = [v for v in values if v is not None]
     hit = column.isin(known)
@@ -171,10 +225,12 @@ def read_partitions(spark: SparkSession, path: str, partition: str, kind: T.Data
 
     The type of the partition column is stated, as Spark would otherwise read the folder ``p=01`` as number 1.
     """
-    try:
-        merged = spark.read.option("mergeSchema", True).parquet(path).schema
-    except AnalysisException:
+    if not _has_data(spark, path):
         return None
+    merged = _stored_schema(spark, path)
+    if merged is None:
+        # A table that was not written here: every footer is read, once.
+        merged = spark.read.option("mergeSchema", True).parquet(path).schema
     fields = [f for f in merged.fields if f.name != partition]
     return spark.read.schema(T.StructType([*fields, T.StructField(partition, kind)])).parquet(path)
 

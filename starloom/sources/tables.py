@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from starloom.functions import iso_utc, size_mb
-from starloom.schemas import RAW_DDL, raw_schema, struct
+from starloom.functions import iso_utc, landing_stamp, size_mb
+from starloom.schemas import RAW_DDL, stored_schema, struct
+from starloom.sources.envelopes import CORRUPT, Parsed, split_rejects
 
 
 def read_raw(spark: SparkSession, name: str, base: str) -> DataFrame:
-    """A raw table by name from a folder of Parquet tables, in its declared types."""
-    return spark.read.schema(raw_schema(name)).parquet(f"{base.rstrip('/')}/{name}")
+    """A raw table by name from a folder of Parquet tables, in its declared types; what loading adds is NULL in a table that
+    was stored without it."""
+    return spark.read.schema(stored_schema(name)).parquet(f"{base.rstrip('/')}/{name}")
 
 
 def read_raw_all(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -42,22 +44,63 @@ def read_jdbc(
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = False) -> DataFrame:
-    """CSV with a header. Quotes are doubled inside quoted fields; only the empty field is NULL.
+# A text that no field holds stands for NULL when reading, so that the empty text in quotes stays apart from it.
+_NO_FIELD = "\0"
 
-    ``multi_line`` accepts line breaks inside quotes, at the price that a file can no longer be split.
-    """
+
+def _csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     return (
-        spark.read.schema(struct(schema) if isinstance(schema, str) else schema)
-        .option("header", True)
+        spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", "")
-        .csv(path)
+        .option("nullValue", _NO_FIELD)
+        .option("emptyValue", "")
     )
 
 
+def _file_schema(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> T.StructType:
+    """The columns in the order of the file's header: the stated types, and text for columns nobody asked for."""
+    header = _csv_reader(spark, multi_line).csv(path).columns
+    if missing := set(schema.names) - set(header):
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    return T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in header])
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True, position: str | None = None
+) -> DataFrame:
+    """CSV with a header, whose names tell the columns apart. Quotes are doubled inside quoted fields; an empty field
+    is NULL and an empty text in quotes is the empty text.
+
+    A number that cannot be read, a row of another length, and a file with another header raise an error.
+    ``multi_line=False`` vouches that no text holds a line break, so that large files can be split. ``position``
+    names a further column that orders the rows as they stand in the files.
+    """
+    schema = struct(schema) if isinstance(schema, str) else schema
+    reader = _csv_reader(spark, multi_line).schema(_file_schema(spark, path, schema, multi_line))
+    rows = reader.option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    return rows.select(*schema.names, *_position(position))
+
+
+def read_csv_and_rejects(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True) -> Parsed:
+    """The rows that can be read, and the others as rejects."""
+    schema = struct(schema) if isinstance(schema, str) else schema
+    in_file = _file_schema(spark, path, schema, multi_line)
+    marked = T.StructType([*in_file.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = _csv_reader(spark, multi_line).schema(marked).option("columnNameOfCorruptRecord", CORRUPT)
+    parsed = split_rejects(reader.option("mode", "PERMISSIVE").csv(path), in_file.names)
+    return Parsed(parsed.rows.select(*schema.names), parsed.rejects)
+
+
+def _position(name: str | None) -> list[Column]:
+    """File, part of the file and row in it. Ids rise within a part, whichever task reads it."""
+    if name is None:
+        return []
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return [place.alias(name)]
+
+
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
     """A few rows stated in the code. Handed over as Arrow they become a local relation of known size, which
     Spark can broadcast; rows handed over one by one would look unboundedly large to it."""
@@ -119,3 +162,15 @@ def file_stats(spark: SparkSession, path: str, glob: str | None = None) -> DataF
         size_mb("length").alias("size_mb"),
         iso_utc("modificationTime").alias("modified_at"),
     )
+
+
+def file_rows(df: DataFrame) -> DataFrame:
+    """Rows per file of a table that is read from files, with what its facts say: whether the file has bytes, and whether the
+    landing stamp and the ISO form of its last change name the same moment."""
+    changed = F.col("_metadata.file_modification_time")
+    bare = F.regexp_replace(F.substring(iso_utc(changed), 1, 19), "[-:]", "")
+    return df.groupBy(
+        F.col("_metadata.file_name").alias("file"),
+        (F.col("_metadata.file_size") > 0).alias("has_bytes"),
+        (F.replace(landing_stamp(changed), F.lit("_"), F.lit("T")) == bare).alias("stamp_agrees"),
+    ).agg(F.count(F.lit(1)).alias("n"))

@@ -5,26 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.dml import latest_per_key
-from starloom.sinks.publish import upsert_partitions
+from starloom.operators.dml import any_null, latest_per_key
+from starloom.session import materialise
+from starloom.sinks.publish import read_partitions, upsert_partitions
+from starloom.sources.envelopes import CORRUPT, is_broken
 
 
 def landed_stream(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multi_line: bool = False,
+    files_per_batch: int | None = None,
+    rejects: bool = False,
 ) -> DataFrame:
-    """New JSON files under ``path``, with the folder column ``ingest_ts`` of the landing that wrote them."""
-    with_ts = T.StructType([*schema.fields, T.StructField("ingest_ts", T.StringType())])
+    """New JSON files under ``path``, with the folder column ``ingest_ts`` of the landing that wrote them.
+
+    A malformed line stops the stream with an error. With ``rejects`` it comes as a row whose column ``_corrupt_record`` holds
+    its text, for the functions below to set aside.
+    """
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if rejects else []
+    with_ts = T.StructType([*schema.fields, *corrupt, T.StructField("ingest_ts", T.StringType())])
     reader = spark.readStream.schema(with_ts).option("multiLine", multi_line)
+    reader = reader.option("mode", "PERMISSIVE" if rejects else "FAILFAST").option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)
 
 
-def ingest_available(stream: DataFrame, out: str, checkpoint: str, transform: Callable | None = None) -> None:
-    """Append everything that has landed since the last run to the Parquet folder ``out``, then stop."""
-    rows = stream if transform is None else transform(stream)
+def ingest_available(
+    stream: DataFrame, out: str, checkpoint: str, transform: Callable | None = None, rejects: str | None = None
+) -> None:
+    """Append everything that has landed since the last run to the Parquet folder ``out``, then stop.
+
+    Malformed lines of a stream made with ``rejects`` go to that folder, in a stream with a checkpoint of its own.
+    """
+    good = stream
+    if CORRUPT in stream.columns:
+        if rejects is None:
+            raise ValueError("the stream keeps malformed lines; name a folder for them")
+        broken = stream.filter(is_broken([c for c in stream.columns if c not in (CORRUPT, "ingest_ts")])).select("ingest_ts", F.col(CORRUPT).alias("record"))
+        _append(broken, rejects, f"{checkpoint}/rejects")
+        good = stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    _append(good if transform is None else transform(good), out, f"{checkpoint}/rows")
+
+
+def _append(rows: DataFrame, out: str, checkpoint: str) -> None:
     query = (
         rows.writeStream.format("parquet")
         .option("path", out)
@@ -42,16 +71,34 @@ def upsert_available(
     keys: list[str],
     partition: str,
     latest_by: str = "ingest_ts",
-    rows_move: bool = True,
+    rows_move: bool | None = None,
+    rejects: str | None = None,
 ) -> None:
     """Upsert everything that has landed since the last run into a partitioned table, then stop.
 
-    Within a micro-batch the latest landing of a key counts. A batch that is replayed after a failure gives
-    the same table, because rows are replaced by key.
+    The table keeps ``latest_by``; of the rows of a key, in the micro-batch and in the table, that of the latest landing counts,
+    in whatever order the landings are read. Malformed lines and rows with a NULL in their key go to the folder ``rejects``,
+    one subfolder per micro-batch; without that folder they raise an error. A batch that is replayed after a
+    failure gives the same table and the same rejects.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        latest = latest_per_key(batch, keys, latest_by).drop(latest_by)
+    def apply(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else F.lit(False)
+        unusable = corrupt | any_null(keys)
+        batch = materialise(batch, "landed")
+        broken = batch.filter(unusable)
+        if rejects is not None:
+            broken.write.mode("overwrite").json(f"{rejects.rstrip('/')}/batch={number}")
+        elif not broken.isEmpty():
+            raise ValueError(f"micro-batch {number} has malformed lines or rows without a key; name a folder for them")
+        latest = latest_per_key(batch.filter(~unusable).drop(CORRUPT), keys, latest_by)
+        target = read_partitions(spark, table, partition, latest.schema[partition].dataType)
+        if target is not None and latest_by in target.columns:
+            latest = materialise(latest, "latest")
+            stored = target.select(*keys, F.col(latest_by).alias("__stored"))
+            overtaken = latest.join(stored, keys).filter(F.col("__stored") > F.col(latest_by)).select(*keys)
+            latest = latest.join(materialise(overtaken.distinct(), "overtaken"), keys, "left_anti")
         upsert_partitions(latest, table, keys, partition, rows_move)
 
     query = (

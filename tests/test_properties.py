@@ -42,7 +42,7 @@ def test_load_facts(spark, data):
     copies, expected = Counter(), []
     for i, row in enumerate(ordered, 1):
         copies[row[:4]] += 1
-        expected.append((i, *row[:4], copies[row[:4]], row[4]))
+        expected.append((i, *row[:4], copies[row[:4]], row[4], None))
     assert loaded == sorted(expected, key=repr)
 
 

@@ -16,7 +16,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-NO_SQL = {"health_freshness"}
+NO_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -8,9 +8,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from starloom.operators import dml
+from starloom.operators import checks as C
+from starloom.operators import reconcile as R
 from starloom.operators.health import freshness_checks
 from starloom.operators.ingest import categorise, rejected_observations, typed_observations, valid_observations
 from starloom.operators.numbering import dense_ids, place_within, repeat_rows, sorted_slices
+from starloom.plans.build import build_increment
 from starloom.plans.loading import empty_raw, enrich_locations, load_dimensions, load_observations
 from starloom.operators import lineage as L
 from starloom.schemas import CATEGORIZED_CSV, DIMENSION_ITEM, INDICATORS_CSV, struct
@@ -48,7 +51,7 @@ OBSERVATIONS = {
 def landed_items(spark, tmp_path):
     save(tmp_path, "in/indicator_code=AIR_1/a.json", OBSERVATIONS)
     save(tmp_path, "in/indicator_code=AIR_2/b.json", {"@odata.context": "no value here"})
-    return E.read_observations(spark, str(tmp_path / "in"))
+    return E.read_observations(spark, str(tmp_path / "in"), multi_line=True)
 
 
 def test_observations_are_kept_dropped_or_rejected(spark, tmp_path):
@@ -68,21 +71,48 @@ def test_dimension_envelope_and_truncated_file(spark, tmp_path):
     good = save(tmp_path, "good.json", {"value": [{"Code": "A", "Title": "x"}, {"Code": "B", "Title": None}]})
     cut = save(tmp_path, "cut.json", '{"@odata.context":"r","value":[{')
     bare = save(tmp_path, "bare.json", {"@odata.context": "r"})
-    assert rows(E.read_odata(spark, good, DIMENSION_ITEM)) == [("A", "x"), ("B", None)]
-    assert rows(E.read_odata(spark, bare, DIMENSION_ITEM)) == []
-    kinds = rows(E.envelope_status(spark, [good, cut, bare], DIMENSION_ITEM), "kind", "n")
+    assert rows(E.read_odata(spark, good, DIMENSION_ITEM, multi_line=True)) == [("A", "x"), ("B", None)]
+    assert rows(E.read_odata(spark, bare, DIMENSION_ITEM, multi_line=True)) == []
+    kinds = rows(E.envelope_status(spark, [good, cut, bare], DIMENSION_ITEM, multi_line=True), "kind", "n")
     assert kinds == [("corrupt", 1), ("no_value", 1), ("ok", 1)]
+    for path, lines in ((cut, True), (cut, False), (good, False)):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            E.read_odata(spark, path, DIMENSION_ITEM, multi_line=lines).collect()
+    taken = E.read_odata_and_rejects(spark, [good, cut, bare], DIMENSION_ITEM, multi_line=True)
+    assert rows(taken.rows) == [("A", "x"), ("B", None)]
+    assert [r.file.rsplit("/", 1)[1] for r in taken.rejects.collect()] == ["cut.json"]
+    assert taken.rejects.count() == 1
+
+
+def test_landed_lines_are_all_read_by_default(spark, tmp_path):
+    landed = spark.createDataFrame([([(str(i), "t")],) for i in range(3)], "value array<struct<Code:string,Title:string>>")
+    path = files.land_raw(landed.coalesce(1), str(tmp_path), "d", datetime(2024, 1, 1))
+    assert rows(E.read_odata(spark, path, DIMENSION_ITEM), "Code") == [("0",), ("1",), ("2",)]
+
+
+def test_csv_is_read_by_its_header(spark, tmp_path):
+    path = save(tmp_path, "a/1.csv", 'IndicatorName,More,IndicatorCode\n"two\nlines",x,A\n"",,B\n')
+    assert rows(S.read_csv(spark, path, INDICATORS_CSV)) == [("A", "two\nlines"), ("B", "")]
+    with pytest.raises(ValueError):
+        S.read_csv(spark, path, "IndicatorCode STRING, Missing STRING")
+    save(tmp_path, "a/2.csv", "IndicatorCode,More,IndicatorName\nC,x,c\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        S.read_csv(spark, str(tmp_path / "a"), INDICATORS_CSV).collect()
+    wrong = save(tmp_path, "wrong.csv", "k,v\n1,1.5\n2,abc\n3,1,2\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
-        E.read_odata(spark, cut, DIMENSION_ITEM, mode="FAILFAST").collect()
+        S.read_csv(spark, wrong, "v DOUBLE, k INT").collect()
+    taken = S.read_csv_and_rejects(spark, wrong, "v DOUBLE, k INT")
+    assert rows(taken.rows) == [(1.5, 1)] and rows(taken.rejects, "record") == [("2,abc",), ("3,1,2",)]
+    assert taken.rows.count() == 1 and taken.rejects.count() == 2
 
 
 def test_csv_text_survives(spark, tmp_path):
-    texts = [("A_1", 'say "hi", twice'), ("B", "two\nlines"), ("C_2", None), ("D", "NA"), ("E", " padded ")]
+    texts = [("A_1", 'say "hi", twice'), ("B", "two\nlines"), ("C_2", None), ("D", "NA"), ("E", " padded "), ("F", "")]
     df = spark.createDataFrame(texts, INDICATORS_CSV)
     files.write_csv(categorise(df), str(tmp_path / "csv"))
-    back = S.read_csv(spark, str(tmp_path / "csv"), CATEGORIZED_CSV, multi_line=True)
+    back = S.read_csv(spark, str(tmp_path / "csv"), CATEGORIZED_CSV)
     assert rows(back, "IndicatorCode", "IndicatorName") == sorted(texts, key=repr)
-    assert rows(back, "Category") == [("A",), ("B",), ("C",), ("D",), ("E",)]
+    assert rows(back, "Category") == [("A",), ("B",), ("C",), ("D",), ("E",), ("F",)]
 
 
 def test_landing_is_never_overwritten(spark, tmp_path):
@@ -184,6 +214,14 @@ def test_enrich_fills_only_blanks(spark):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (1, "c", 2), (2, "d", 1)], "k long, v string, t int")
     assert rows(dml.latest_per_key(df, ["k"], "t")) == [(1, "b", 3), (2, "d", 1)]
+    keyless = spark.createDataFrame([(None, "a", 1), (None, "b", 2)], df.schema)
+    assert dml.latest_per_key(df.unionByName(keyless), ["k"], "t").count() == 4
+
+
+def test_first_per_key_prefers_a_real_value(spark):
+    df = spark.createDataFrame([("A", None, 1), ("A", "real", 2), ("B", "z", 1), ("B", "a", 2)], "k string, v string, i int")
+    assert rows(dml.first_per_key(df.drop("i"), "k")) == [("A", "real"), ("B", "a")]
+    assert rows(dml.first_per_key(df, "k", ["i"]), "k", "v") == [("A", None), ("B", "z")]
 
 
 @pytest.fixture()
@@ -272,7 +310,8 @@ def test_facts_keep_their_ids(spark, small_slices):
 
 
 def test_loading_files_twice_changes_nothing(spark, tmp_path):
-    listed = spark.createDataFrame([("AIR_1", "Air", "AIR"), ("AIR_1", "Again", "AIR"), ("X_1", "Else", "X")], CATEGORIZED_CSV)
+    csv = save(tmp_path, "categorized.csv", "IndicatorCode,IndicatorName,Category\nAIR_1,Air,AIR\nAIR_1,Again,AIR\nX_1,Else,X\n")
+    listed = S.read_csv(spark, csv, CATEGORIZED_CSV, position="position")
     items = landed_items(spark, tmp_path)
     base = scratch(spark, "test-load")
 
@@ -281,7 +320,7 @@ def test_loading_files_twice_changes_nothing(spark, tmp_path):
         return {name: publish.current(spark, publish.publish(df, f"{base}/{name}").rsplit("/", 1)[0]) for name, df in loaded.items()}
 
     once = load(empty_raw(spark))
-    assert rows(once["dim_indicators"]) == [(1, "AIR_1", "Again", "AIR"), (2, "X_1", "Else", "X")]
+    assert rows(once["dim_indicators"]) == [(1, "AIR_1", "Air", "AIR"), (2, "X_1", "Else", "X")]
     assert rows(once["dim_sex"], "sex_id", "sex_code") == [(1, "BTSX"), (2, "FMLE"), (3, "MLE")]
     assert rows(once["dim_locations"], "location_id", "country_code") == [(1, "BRA"), (2, "USA")]
     assert rows(once["dim_periods"]) == [(1, 2000), (2, 2001)]
@@ -406,7 +445,65 @@ def test_replayed_stream_gives_the_same_table(spark, tmp_path):
     for state in ("one", "two"):
         stream = landed_stream(spark, f"{base}/x", struct(ddl))
         upsert_available(stream, out, str(tmp_path / state), ["k"], "p")
-        assert rows(spark.read.parquet(out)) == expected
+        assert rows(spark.read.parquet(out), "k", "v", "p") == expected
+
+
+def test_stream_rows_without_key_or_form(spark, tmp_path):
+    base, out, bad = (str(tmp_path / n) for n in ("land", "out", "bad"))
+    save(tmp_path, "land/ingest_ts=20240101_010000/a.json", '{"k":1,"v":"a","p":"x"}\n{"k":null,"v":"b","p":"x"}\n{"k":2,"v":"c\n')
+    for rejects, error in ((False, True), (True, False)):
+        stream = landed_stream(spark, base, struct("k BIGINT, v STRING, p STRING"), rejects=rejects)
+        run = lambda state: upsert_available(stream, out, str(tmp_path / state), ["k"], "p", rejects=bad if rejects else None)  # noqa: B023, E731
+        if error:
+            with pytest.raises((PySparkException, Py4JJavaError)):
+                run("strict")
+            continue
+        for state in ("one", "two"):
+            run(state)
+            assert rows(spark.read.parquet(out), "k", "v") == [(1, "a")]
+            assert spark.read.json(bad).count() == 2
+
+
+def test_an_older_landing_does_not_win(spark, tmp_path):
+    base, out = str(tmp_path / "land"), str(tmp_path / "out")
+    for day, v, p in ((2, "new", "x"), (1, "old", "y")):
+        files.land_raw(spark.createDataFrame([(1, v, p)], "k BIGINT, v STRING, p STRING"), base, "d", datetime(2024, 2, day))
+        stream = landed_stream(spark, f"{base}/d", struct("k BIGINT, v STRING, p STRING"))
+        upsert_available(stream, out, str(tmp_path / "state"), ["k"], "p")
+    assert rows(spark.read.parquet(out), "k", "v", "p") == [(1, "new", "x")]
+
+
+def test_increment_reads_and_writes_one_period(spark, raw, tmp_path):
+    """Damaged files of the other periods do not matter, and are still there afterwards."""
+    base = str(tmp_path / "w")
+    build_increment(raw, base)
+    folder = tmp_path / "w" / "fct_observations"
+    others = [f for f in folder.rglob("part-*.parquet") if "period_id=2" not in str(f)]
+    for f in others:
+        f.write_bytes(b"damaged")
+    star = build_increment(raw, base, periods=[2])
+    assert all(f.read_bytes() == b"damaged" for f in others)
+    fact = star.fact.filter("period_id = 2")
+    assert "PartitionFilters: [isnotnull(period_id" in fact._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.observation_id for r in fact.collect()) == [3, 4]
+
+
+def test_reconciliation_reads_each_layer_once_and_for_coverage(spark, tmp_path):
+    frames = {}
+    for layer in ("raw", "staging", "mart"):
+        spark.range(5).withColumn("value", F.lit(1.0)).write.parquet(str(tmp_path / layer))
+        frames[layer] = spark.read.parquet(str(tmp_path / layer))
+    layers = R.Layers("x", ("r", "id"), ("s", "id"), ("m", "id"), value="value")
+    scans = sum(
+        part._jdf.queryExecution().executedPlan().toString().count("FileScan") for part in R.subject_checks(layers, frames, 0.1)
+    )
+    assert scans <= 5
+
+
+def test_texts_are_counted_by_digest(spark, tmp_path):
+    spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "t string").write.parquet(str(tmp_path / "t"))
+    found = C.check_unique(spark.read.parquet(str(tmp_path / "t")), "t")
+    assert rows(found, "t", "n") == [("a", 2)]
 
 
 # --- lineage ---------------------------------------------------------------------------------------------
