@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -19,6 +19,11 @@ def connected(edges: DataFrame) -> DataFrame:
     the components, and after about as many rounds as the diameter has binary digits only stars are left. A node
     with very many neighbours is summed up before the shuffle, and its edges are a plain join that can be split.
     """
+    with temporary(edges.sparkSession):
+        return materialise(_stars(edges), "components", lasting=True)
+
+
+def _stars(edges: DataFrame) -> DataFrame:
     edges = materialise(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     while (now := _print(edges)) != before:

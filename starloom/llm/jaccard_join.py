@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import connected
 from starloom.llm.textops import begins_run, blocks, buffers, from_six_bytes, mix, rows_of, six_bytes, word_hashes
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 N, T = 5, 75
 CELLS, RANGES = 1 << 21, 64
@@ -334,7 +334,7 @@ class _Search:
         self.sets = new if self.sets is None else self.sets.unionByName(new)
         found = materialise(verify(pairs, self.sets), "links")
         self.links = found if self.links is None else self.links.unionByName(found)
-        self.member = materialise(connected(self.links), "member")
+        self.member = connected(self.links)
         return self.member
 
 
@@ -419,13 +419,17 @@ def _unconnected(groups: DataFrame, member: DataFrame | None, sized: DataFrame)
 def label(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``rid`` (a number for id and text), ``doc_id``, the size ``n`` of its set, its class ``cls`` and ``component``, the
     smallest class that is reached by links."""
-    slim = _slim(docs, doc, text)
+    with temporary(docs.sparkSession):
+        return materialise(_labelled(_slim(docs, doc, text)), "rows", lasting=True)
+
+
+def _labelled(slim: DataFrame) -> DataFrame:
     by_row, counters = classes(slim, "text")
-    cells = docs.sparkSession.sparkContext.broadcast(counters)
+    cells = slim.sparkSession.sparkContext.broadcast(counters)
     sized = by_row.filter("n > 0").groupBy("cls").agg(F.min("n").alias("n"), F.min("rid").alias("rid"))
     sized = materialise(sized, "sizes")
 
-    buckets = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 8 * int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = materialise(shared_prefixes(slim, "text", cells, buckets), "groups")
     sizes = materialise(groups.groupBy("t").agg(F.count(F.lit(1)).alias("m")), "group-sizes")
     weighed = groups.join(sizes, "t").groupBy("cls").agg(F.collect_list("t").alias("common"), F.sum("m").alias("weight"))
@@ -456,7 +460,7 @@ def label(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
         rows = rows.withColumn("component", F.col("cls"))
     else:
         rows = rows.join(member.withColumnRenamed("node", "cls"), "cls", "left")
-    return materialise(rows.select("rid", "doc_id", "n", "cls", F.coalesce("component", "cls").alias("component")), "rows")
+    return rows.select("rid", "doc_id", "n", "cls", F.coalesce("component", "cls").alias("component"))
 
 
 def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -477,9 +481,10 @@ def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The row with the smallest id of every component, with its columns. Rows with an empty set all stay; rows that repeat id and text
     are one document."""
-    rows = label(docs, doc, text)
-    first = F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
-    kept = rows.filter("n > 0").groupBy("component").agg(first.alias("rid")).select("rid")
-    kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept")
+    with temporary(docs.sparkSession):
+        rows = label(docs, doc, text)
+        first = F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
+        kept = rows.filter("n > 0").groupBy("component").agg(first.alias("rid")).select("rid")
+        kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept", lasting=True)
     rid = F.xxhash64(f"`{doc}`", f"`{text}`").alias("rid")
     return docs.select(F.struct("*").alias("row"), rid).join(kept, "rid").dropDuplicates(["rid"]).select("row.*")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.numbering import dense_ids
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 BLOCK, MOST = 128, 3
 # Doubles carry this much error in a sum of fractions; what is nearer to 0 or 1 counts as whole.
@@ -137,45 +137,64 @@ def round_up(units: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
     return chosen.unionByName(last)
 
 
-def mix(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0, keep: list[str] | None = None):
-    """``docs`` as a struct ``row`` (of the columns ``keep``, default all) with ``size``, ``source_size``, ``target``
-    and ``copies``."""
-    columns = docs.columns if keep is None else keep
-    sized = materialise(
-        docs.select(
-            F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-            F.struct(
-                F.col(f"`{doc}`").cast("string").alias("doc"),
-                F.col(f"`{source}`").cast("string").alias("source"),
-                word_count(F.col(f"`{text}`")).alias("size"),
-            ).alias("id"),
-        ),
-        "sizes",
+def _units(docs: DataFrame, doc: str, source: str, text: str, columns: list[str]) -> DataFrame:
+    id_ = F.struct(
+        F.col(f"`{doc}`").cast("string").alias("doc"),
+        F.col(f"`{source}`").cast("string").alias("source"),
+        word_count(F.col(f"`{text}`")).alias("size"),
     )
-    per_source = sized.groupBy(F.col("id.source").alias("source")).agg(F.sum("id.size").alias("source_size"))
-    aimed = targets(cycle_weights(materialise(per_source, "sources")))
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    near = F.round(ratio)
-    ratio = F.when(F.abs(ratio - near) < EPSILON, near).otherwise(ratio)
-    aimed = materialise(aimed.select(F.col("source").alias("of"), "source_size", "target", F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p")), "targets")
-    units = sized.filter(F.col("id.size") > 0).select("id").distinct()
-    fractions = units.join(aimed, F.col("id.source").eqNullSafe(F.col("of"))).select(F.col("id.source").alias("source"), "id", "p")
-    chosen = materialise(round_up(fractions, seed).select(F.col("id").alias("chosen"), F.lit(1).alias("extra")), "chosen")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), id_.alias("id"))
+
+
+def copies_of(sized: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """From a written table with the struct ``id``: per source ``source_size``, ``target`` and the ``whole`` copies; and the ids
+    that get one copy more."""
+    with temporary(sized.sparkSession):
+        per_source = sized.groupBy(F.col("id.source").alias("source")).agg(F.sum("id.size").alias("source_size"))
+        aimed = targets(cycle_weights(materialise(per_source, "sources")))
+        ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+        near = F.round(ratio)
+        ratio = F.when(F.abs(ratio - near) < EPSILON, near).otherwise(ratio)
+        split = [F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p")]
+        aimed = materialise(aimed.select(F.col("source").alias("of"), "source_size", "target", *split), "targets", lasting=True)
+        units = sized.filter(F.col("id.size") > 0).select("id").distinct()
+        fractions = units.join(aimed, F.col("id.source").eqNullSafe(F.col("of")))
+        fractions = fractions.select(F.col("id.source").alias("source"), "id", "p")
+        up = round_up(fractions, seed).select(F.col("id").alias("chosen"), F.lit(1).alias("extra"))
+        return aimed, materialise(up, "chosen", lasting=True)
+
+
+def _with_copies(sized: DataFrame, aimed: DataFrame, chosen: DataFrame) -> DataFrame:
     placed = sized.join(aimed, F.col("id.source").eqNullSafe(F.col("of")))
     same = (
         F.col("id.doc").eqNullSafe(F.col("chosen.doc"))
         & F.col("id.source").eqNullSafe(F.col("chosen.source"))
         & (F.col("id.size") == F.col("chosen.size"))
     )
-    copies = (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long")
-    return placed.join(chosen, same, "left").select(
-        "row", F.col("id.size").alias("size"), "source_size", "target", F.when(F.col("id.size") > 0, copies).otherwise(F.lit(0)).cast("long").alias("copies")
-    )
+    copies = F.when(F.col("id.size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0))).otherwise(F.lit(0))
+    columns = ["row", F.col("id.size").alias("size"), "source_size", "target", copies.cast("long").alias("copies")]
+    return placed.join(chosen, same, "left").select(*columns)
 
 
-def copied(docs: DataFrame) -> DataFrame:
-    """Each row of ``docs`` as often as the mix takes it, with a further column ``copy`` from 1."""
-    taken = mix(docs)
-    times = taken.filter(F.col("copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+def mix(
+    docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0, keep: list[str] | None = None
+) -> DataFrame:
+    """``docs`` as a struct ``row`` (of the columns ``keep``, default all) with ``size``, ``source_size``, ``target``
+    and ``copies``."""
+    sized = materialise(_units(docs, doc, source, text, docs.columns if keep is None else keep), "sizes")
+    return _with_copies(sized, *copies_of(sized, seed))
+
+
+def copied(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0) -> DataFrame:
+    """Each row of ``docs`` as often as the mix takes it, with a further column ``copy`` from 1.
+
+    The sizes are written out without the texts and counted again for the result.
+    """
+    units = _units(docs, doc, source, text, docs.columns)
+    with temporary(docs.sparkSession):
+        sized = materialise(units.select("id"), "sizes")
+        found = [materialise(x, "mix", lasting=True) for x in copies_of(sized, seed)]
+    taken = _with_copies(units, *found).filter(F.col("copies") > 0)
+    times = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     name = "copy" if "copy" not in docs.columns else "mix_copy"
-    return times.select("row.*", F.col("__copy").alias(name))
+    return times.select("row.*", F.col("copy").alias(name))

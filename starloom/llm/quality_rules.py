@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.native import covered, gram_hashes, let, words_of
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 WINDOW = 5
 
@@ -147,23 +147,30 @@ def fit(votes: DataFrame, names: list[str], rounds: int = 30, least: float = 0.5
     return model
 
 
+def _voted(counted: DataFrame) -> DataFrame:
+    return counted.select("row", "stats", *[r.vote().alias(r.name) for r in default_rules()])
+
+
+def _judged(voted: DataFrame, model: VoteModel, threshold: float) -> DataFrame:
+    quality = model.posterior()
+    votes = F.struct(*model.accuracy).alias("votes")
+    return voted.select("row", "stats", votes, quality.alias("quality"), (quality >= threshold).alias("good"))
+
+
+def _counted(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    return docs.select(row, statistics(F.col(f"`{text}`")).alias("stats"))
+
+
 def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """``docs`` as a struct ``row`` (of the columns ``keep``, default all), with ``stats``, ``votes``,
     ``quality`` (the posterior) and ``good`` (whether that reaches ``threshold``).
 
     Texts are counted once; what follows reads the written counts.
     """
-    columns = docs.columns if keep is None else keep
-    counted = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), statistics(F.col(f"`{text}`")).alias("stats")
-    )
-    rules = default_rules()
-    names = [r.name for r in rules]
-    voted = materialise(counted, "rules").select("row", "stats", *[r.vote().alias(r.name) for r in rules])
-    quality = fit(voted, names).posterior()
-    return voted.select(
-        "row", "stats", F.struct(*names).alias("votes"), quality.alias("quality"), (quality >= threshold).alias("good")
-    )
+    counted = _counted(docs, text, docs.columns if keep is None else keep)
+    voted = _voted(materialise(counted, "rules"))
+    return _judged(voted, fit(voted, [r.name for r in default_rules()]), threshold)
 
 
 def base_failed(stats: str = "stats") -> Column:
@@ -172,7 +179,15 @@ def base_failed(stats: str = "stats") -> Column:
     return (n < 10) | (100 * repeats > 20 * n)
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass the base and the vote, with their columns."""
-    return judge(docs).filter(~base_failed() & F.col("good")).select("row.*")
+def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that pass the base and the vote, with their columns.
 
+    Only the votes are written out to fit the model; counting the texts again costs less than writing them.
+    """
+    rules = default_rules()
+    counted = _counted(docs, text, docs.columns)
+    with temporary(docs.sparkSession):
+        votes = materialise(counted.select(*[r.vote().alias(r.name) for r in rules]), "votes-cast")
+        model = fit(votes, [r.name for r in rules])
+    judged = _judged(_voted(counted), model, threshold)
+    return judged.filter(~base_failed() & F.col("good")).select("row.*")

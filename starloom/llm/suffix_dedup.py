@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.textops import _BYTE, PIECE, begins_run, blocks, buffers, from_six_bytes, mix, six_bytes
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 LENGTH, K = 50, 24
 WINDOW = LENGTH - K + 1
@@ -102,6 +102,11 @@ class Names:
             names[i] = int.from_bytes(cut.digest(), "little")
         return names & _48
 
+    def marked(self) -> tuple[np.ndarray, np.ndarray]:
+        """The anchors and the names of their surroundings."""
+        at = self.anchors()
+        return at, self.around(at)
+
     def starts(self, at: np.ndarray) -> np.ndarray:
         """Where the strings of LENGTH bytes begin that have one of these anchors."""
         places = at[:, None] - np.arange(WINDOW)
@@ -120,6 +125,31 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[Names, int,
         yield Names(data[low:high], np.array([0, high - low])), low, a - low, b - low
 
 
+def together(texts: Iterable[tuple[int, np.ndarray]]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Numbered texts in lists of about PIECE bytes; a long one is alone."""
+    held, size = [], 0
+    for number, data in texts:
+        if held and size + len(data) > PIECE:
+            yield held
+            held, size = [], 0
+        held.append((number, data))
+        size += len(data)
+    if held:
+        yield held
+
+
+def by_text(block: list[tuple[int, np.ndarray]], prepare=lambda names: None) -> Iterator[tuple]:
+    """For each text of a block: its number, names that cover it, what ``prepare`` makes of them, from where to where it lies in
+    them, and what to add to a place there to get the place in the text. Parts of a long text come one by one."""
+    offsets = np.concatenate([[0], np.cumsum([len(data) for _, data in block])]).astype(np.int64)
+    joined = block[0][1] if len(block) == 1 else np.concatenate([data for _, data in block])
+    for names, begin, low, high in pieces(joined, offsets):
+        made = prepare(names)
+        for k, (number, _) in enumerate(block):
+            first, last = (low, high) if len(block) == 1 else (offsets[k], offsets[k + 1])
+            yield number, names, made, int(first), int(last), begin if len(block) == 1 else -int(offsets[k])
+
+
 def _ids(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.diff(x, prepend=np.int64(0)).astype("<i8").tobytes())
 
@@ -232,6 +262,7 @@ def rank(anchors: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "doc bigint, f bigint, kind int")
 
 
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 _RESULT = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("kept", "string")]
 
 
@@ -256,8 +287,13 @@ def _struct(row: T.StructField, more: list[tuple[str, str]]) -> T.StructType:
 def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: list[str] | None = None, texts: bool = False) -> DataFrame:
     """The columns ``keep`` (default all but the text) as a struct ``row``, with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal runs that
     are removed), ``kept_sha256`` and, with ``texts``, what is ``kept``, without characters that were cut in two."""
-    spark = docs.sparkSession
     columns = [c for c in docs.columns if c != text] if keep is None else keep
+    with temporary(docs.sparkSession):
+        return _repeats(docs, doc, text, columns, texts)
+
+
+def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: bool) -> DataFrame:
+    spark = docs.sparkSession
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_, text_ = F.col(f"`{doc}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text")
     named = docs.select(id_, text_).filter("id is not null and text is not null")
@@ -280,70 +316,93 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", keep: list
     def second(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Covers what is known to repeat, and names the strings that are still open."""
         opener = zstandard.ZstdDecompressor()
+        numbers = lambda cell: np.array(cell.as_py() or [], np.int64).astype(np.uint64)
         for batch in batches:
-            out = []
-            for z, known_, open_ in zip(batch.column(2), batch.column(3), batch.column(4), strict=True):
-                data = np.frombuffer(opener.decompress(z.as_py()), np.uint8)
-                known_ = np.array(known_.as_py() or [], np.int64).astype(np.uint64)
-                open_ = np.array(open_.as_py() or [], np.int64).astype(np.uint64)
-                if not len(known_) and not len(open_):
-                    out.append((*_result(data, None, texts), None, None, None))
-                    continue
-                begins, ends, names = [], [], []
-                for found, begin, low, high in pieces(data, np.array([0, len(data)])):
-                    at = found.anchors()
-                    at = at[(at >= low) & (at < high)]
-                    around = found.around(at)
-                    same = at[np.isin(around, known_)] + begin
-                    begins.append(np.maximum(same - REACH, 0))
-                    ends.append(np.minimum(same + LENGTH, len(data)))
-                    names.append(found.whole[found.starts(at[np.isin(around, open_)])])
-                gone = _cover(len(data), np.concatenate(begins), np.concatenate(ends))
-                names = np.unique(np.concatenate(names)).view(np.int64)
-                if len(names):
-                    out.append((len(data), None, None, None, None, z.as_py(), np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist(), names))
-                else:
-                    out.append((*_result(data, gone, texts), None, None, None))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            cells = zip(*out, strict=True) if out else [()] * len(kinds)
-            more = [pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]
-            yield pa.record_batch([batch.column(0), batch.column(1), *more], ["row", "id", *[n for n, _ in _RESULT], "z", "edges", "names"])
+            n = batch.num_rows
+            sizes, edges, names, done = [0] * n, [[]] * n, [None] * n, [None] * n
+
+            def texts() -> Iterator[tuple[int, np.ndarray]]:
+                for i in range(n):  # noqa: B023
+                    data = np.frombuffer(opener.decompress(batch.column(2)[i].as_py()), np.uint8)  # noqa: B023
+                    sizes[i] = len(data)  # noqa: B023
+                    if batch.column(3)[i].is_valid:  # noqa: B023
+                        yield i, data
+                    elif not texts_:
+                        done[i] = _result(data, None, False)  # noqa: B023
+
+            for block in together(texts()):
+                parts = {i: ([], [], []) for i, _ in block}
+                for i, found, (at, around), low, high, shift in by_text(block, Names.marked):
+                    a, b = np.searchsorted(at, (low, high))
+                    here, near = at[a:b], around[a:b]
+                    same = here[np.isin(near, numbers(batch.column(3)[i]))] + shift
+                    parts[i][0].append(np.maximum(same - REACH, 0))
+                    parts[i][1].append(np.minimum(same + LENGTH, sizes[i]))
+                    parts[i][2].append(found.whole[found.starts(here[np.isin(near, numbers(batch.column(4)[i]))])])
+                for i, data in block:
+                    begins, ends, open_ = (np.concatenate(x) for x in parts[i])
+                    gone = _cover(len(data), begins, ends)
+                    open_ = np.unique(open_).view(np.int64)
+                    names[i] = open_ if len(open_) else None
+                    if names[i] is None and not texts_:
+                        done[i] = _result(data, gone, False)
+                    else:
+                        edges[i] = np.flatnonzero(np.diff(gone, prepend=False, append=False))
+            # A text that is decided is needed no more, unless the texts are asked for.
+            packed_ = [None if d is not None else z.as_py() for z, d in zip(batch.column(2), done, strict=True)]
+            results = [d or (None,) * len(_RESULT) for d in done]
+            cells = list(zip(*results, strict=True)) or [()] * len(_RESULT)
+            more = [pa.array(c, k) for c, k in zip(cells, _KINDS, strict=True)]
+            more += [pa.array(packed_, pa.binary()), pa.array(edges, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.int64()))]
+            yield pa.record_batch([batch.column(0), batch.column(1), *more], ["row", "id", *[c for c, _ in _RESULT], "z", "edges", "names"])
 
     joined = packed.join(known, F.col("id") == F.col("doc"), "left").select("row", "id", "z", "repeats", "open")
     schema = _struct(row, [("id", "bigint"), *_RESULT, ("z", "binary"), ("edges", "array<int>"), ("names", "array<bigint>")])
-    half = materialise(joined.mapInArrow(second, schema), "second")
+    half = materialise(joined.mapInArrow(second, schema), "second", lasting=True)
 
     strings = half.filter("names is not null").select("id", F.explode("names").alias("name"))
     seen = strings.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     seen = materialise(seen.select("name", "low"), "names")
     hits = strings.join(seen, "name").filter("id > low").groupBy("id").agg(F.collect_set("name").alias("hits"))
+    hits = materialise(hits.select(F.col("id").alias("of"), "hits"), "hits", lasting=True)
 
     def third(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Covers the strings that were found in a smaller document."""
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for z, edges, hits_ in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
-                data = np.frombuffer(opener.decompress(z.as_py()), np.uint8)
-                edges = np.array(edges.as_py(), np.int64)
-                begins, ends = [edges[::2]], [edges[1::2]]
-                hits_ = np.array(hits_.as_py() or [], np.int64).view(np.uint64)
-                if len(hits_):
-                    for found, begin, low, high in pieces(data, np.array([0, len(data)])):
-                        at = np.flatnonzero((found.least != 0) & np.isin(found.whole, hits_))
-                        at = at[(at >= low) & (at < high)] + begin
-                        begins.append(at)
-                        ends.append(at + LENGTH)
-                gone = _cover(len(data), np.concatenate(begins), np.concatenate(ends))
-                out.append(_result(data, gone, texts))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            cells = zip(*out, strict=True) if out else [()] * len(kinds)
-            yield pa.record_batch([batch.column(0), *[pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]], ["row", *[n for n, _ in _RESULT]])
-
-    open_ = half.filter("names is not null").select("row", "id", "z", "edges")
-    met = open_.join(hits, "id", "left").select("row", "z", "edges", "hits")
+            n = batch.num_rows
+            out, covers = [None] * n, {}
+
+            def cover(i: int, data: np.ndarray) -> None:
+                edges = np.array(batch.column(2)[i].as_py(), np.int64)  # noqa: B023
+                begins, ends = covers.get(i, ([], []))  # noqa: B023
+                gone = _cover(len(data), np.concatenate([edges[::2], *begins]), np.concatenate([edges[1::2], *ends]))
+                out[i] = _result(data, gone, texts_)  # noqa: B023
+
+            def texts() -> Iterator[tuple[int, np.ndarray]]:
+                for i in range(n):  # noqa: B023
+                    data = np.frombuffer(opener.decompress(batch.column(1)[i].as_py()), np.uint8)  # noqa: B023
+                    if batch.column(3)[i].is_valid:  # noqa: B023
+                        yield i, data
+                    else:
+                        cover(i, data)  # noqa: B023
+
+            for block in together(texts()):
+                for i, found, _, low, high, shift in by_text(block):
+                    hits_ = np.array(batch.column(3)[i].as_py(), np.int64).view(np.uint64)
+                    at = low + np.flatnonzero((found.least[low:high] != 0) & np.isin(found.whole[low:high], hits_)) + shift
+                    begins, ends = covers.setdefault(i, ([], []))
+                    begins.append(at)
+                    ends.append(at + LENGTH)
+                for i, data in block:
+                    cover(i, data)
+            cells = list(zip(*out, strict=True)) or [()] * len(_RESULT)
+            yield pa.record_batch([batch.column(0), *[pa.array(c, k) for c, k in zip(cells, _KINDS, strict=True)]], ["row", *[c for c, _ in _RESULT]])
+
+    open_ = half.filter("z is not null").select("row", "id", "z", "edges")
+    met = open_.join(hits, F.col("id") == F.col("of"), "left").select("row", "z", "edges", "hits")
     decided = met.mapInArrow(third, _struct(row, _RESULT))
-    return half.filter("names is null").select("row", *[n for n, _ in _RESULT]).unionByName(decided)
+    return half.filter("z is null").select("row", *[c for c, _ in _RESULT]).unionByName(decided)
 
 
 def cleaned(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

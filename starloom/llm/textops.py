@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes that are worked on at once
+PIECE = 1 << 18  # bytes that are worked on at once; their arrays stay in the processor's cache
 
 _random = np.random.default_rng(20240601)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

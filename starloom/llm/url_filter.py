@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.native import ascii_lower
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -96,10 +96,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple], url: str = "url", words: li
     host, path = host_and_path(F.col(f"`{url}`"))
     split = pages.select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"))
     split = split.withColumn("target", F.concat("host", "path"))
-    targets = materialise(split.select("target").distinct(), "targets")
-    ruled = first_rules(targets, rule_table(spark, rules))
     junk = [word_rule("block", w) for w in (JUNK_WORDS if words is None else words)]
-    by_word = first_rules(targets, rule_table(spark, junk)).select("target", F.col("verdict").alias("by_word"))
-    verdicts = materialise(ruled.join(by_word, "target", "full"), "verdicts")
+    with temporary(spark):
+        targets = materialise(split.select("target").distinct(), "targets")
+        ruled = first_rules(targets, rule_table(spark, rules))
+        by_word = first_rules(targets, rule_table(spark, junk)).select("target", F.col("verdict").alias("by_word"))
+        verdicts = materialise(ruled.join(by_word, "target", "full"), "verdicts", lasting=True)
     verdict = F.coalesce("verdict", "by_word", F.lit("allow"))
     return split.join(verdicts, "target", "left").select("row", "host", "path", "rule", verdict.alias("verdict"))

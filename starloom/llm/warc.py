@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import materialise, scratch
+from starloom.llm.tables import materialise, temporary
+from starloom.session import scratch
 
 SIZE = 16 << 20  # bytes of records in an archive, before compression
 LEVEL = 3
@@ -299,15 +300,19 @@ def convert(spark: SparkSession, arc: str, warc: str, order: Callable[[Column],
     Of records with equal payloads of at least ``least`` bytes, all but the smallest by ``order`` of the id are revisits. A first
     reading gathers the digests alone; payloads are moved once, to meet what their digest was first seen in.
     """
-    seen = read_archives(spark, arc, parse_arc, ARC_DDL, ["id", "url", "date", "digest"])
-    size_of = read_archives(spark, arc, parse_arc, ARC_DDL) if least else None
-    known = materialise(seen if size_of is None else size_of.filter(F.length("payload") >= least).select(*seen.columns), "digests")
-    first = F.min_by(F.struct("id", "url", "date"), F.struct(order(F.col("id")).alias("o"), F.col("id"), "url", "date"))
-    shared = known.filter(F.col("id").isNotNull()).groupBy("digest").agg(first.alias("first"))
-    often = known.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    roles = materialise(shared.join(often, "digest", "left_semi"), "responses")
-    records = read_archives(spark, arc, parse_arc, ARC_DDL).join(roles, "digest", "left")
-    return write_archives(records, warc_record, warc_begin, warc, size)
+    columns = ["id", "url", "date", "digest"]
+    with temporary(spark):
+        if least:
+            seen = read_archives(spark, arc, parse_arc, ARC_DDL).filter(F.length("payload") >= least).select(*columns)
+        else:
+            seen = read_archives(spark, arc, parse_arc, ARC_DDL, columns)
+        known = materialise(seen, "digests")
+        first = F.min_by(F.struct("id", "url", "date"), F.struct(order(F.col("id")).alias("o"), F.col("id"), "url", "date"))
+        shared = known.filter(F.col("id").isNotNull()).groupBy("digest").agg(first.alias("first"))
+        often = known.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        roles = materialise(shared.join(often, "digest", "left_semi"), "responses")
+        records = read_archives(spark, arc, parse_arc, ARC_DDL).join(roles, "digest", "left")
+        return write_archives(records, warc_record, warc_begin, warc, size)
 
 
 def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.native import ascii_lower, gram_hashes, let
-from starloom.session import materialise
+from starloom.llm.tables import materialise, temporary
 
 SPAN, K = 10, 5
 
@@ -95,17 +95,32 @@ def benchmark_prints(items: DataFrame, item: str, text: str, span: int, k: int)
 def find_hits(
     docs: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text", span: int = SPAN, k: int = K, keep: list[str] | None = None
 ) -> DataFrame:
-    """``docs`` as a struct ``row`` (of the columns ``keep``, default all) with ``n_words``, ``n_hit`` (words inside an occurrence of an item's window) and
-    ``items`` (the sorted distinct ids of items with such a window, as strings).
+    """``docs`` as a struct ``row`` (of the columns ``keep``, default all) with ``n_words``, ``n_hit`` (words inside an occurrence
+    of an item's window) and ``items`` (the sorted distinct ids of items with such a window, as strings).
     """
-    keep = docs.columns if keep is None else keep
+    with temporary(docs.sparkSession):
+        worded, judged = _search(docs, items, item, text, span, k, docs.columns if keep is None else keep)
+        worded = materialise(worded.select("row", "key", F.col("w.n_words").alias("n_words")), "worded", lasting=True)
+    empty = F.array().cast("array<string>")
+    return worded.join(judged, "key", "left").select(
+        "row", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", empty).alias("items")
+    )
+
+
+def _key(docs: DataFrame, text: str) -> Column:
+    """What tells rows apart; rows that agree in all columns share it."""
+    return F.struct(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("a"), F.hash(f"`{text}`").alias("b"))
+
+
+def _search(docs: DataFrame, items: DataFrame, item: str, text: str, span: int, k: int, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A written table of ``row``, ``key`` and counts for all rows, and a lasting one of ``key``, ``n_hit`` and ``items`` for those near the
+    benchmark."""
     prints = materialise(benchmark_prints(items, item, text, span, k), "prints")
     contexts = materialise(prints.groupBy("h", "context", "before", "length").agg(F.min(F.lit(1)).alias("one")).drop("one"), "contexts")
     # At most span - 1 lengths.
     lengths = sorted(r["length"] for r in contexts.filter(F.col("length") < span).select("length").distinct().collect())
 
-    key = F.struct(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("a"), F.hash(f"`{text}`").alias("b"))
-    keyed = docs.select(F.struct("*").alias("row"), key.alias("key"), F.col(f"`{text}`").alias("text"))
+    keyed = docs.select(F.struct("*").alias("row"), _key(docs, text).alias("key"), F.col(f"`{text}`").alias("text"))
 
     # First the hashes alone, for all documents; then places and words, for those with a hash of the benchmark.
     def hashes(words: Column) -> Column:
@@ -113,7 +128,7 @@ def find_hits(
         found = F.flatten(F.array(print_hashes(words, span, k), *short))
         return F.struct(F.size(words).cast("long").alias("n_words"), found.alias("prints"))
 
-    worded = keyed.select(F.struct(*[f"row.`{c}`" for c in keep]).alias("row"), "key", let(item_words(F.col("text")), hashes).alias("w"))
+    worded = keyed.select((F.struct(*[f"row.`{c}`" for c in keep]) if keep else F.lit(True)).alias("row"), "key", let(item_words(F.col("text")), hashes).alias("w"))
     worded = materialise(worded, "words")
     asked = worded.select("key", F.explode("w.prints").alias("h"))
     touched = materialise(asked.join(contexts.select("h").distinct(), "h", "left_semi").select("key").distinct(), "touched")
@@ -172,12 +187,13 @@ def find_hits(
     )
     empty = F.array().cast("array<string>")
     judged = placed.select("key", union.alias("n_hit")).join(named, "key", "left")
-    judged = materialise(judged.select("key", "n_hit", F.coalesce("items", empty).alias("items")), "judged")
-    return worded.join(judged, "key", "left").select(
-        "row", F.col("w.n_words").alias("n_words"), F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", empty).alias("items")
-    )
+    judged = judged.select("key", "n_hit", F.coalesce("items", empty).alias("items"))
+    return worded, materialise(judged, "judged", lasting=True)
 
 
-def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, items: DataFrame, item: str = "item_id", text: str = "text", span: int = SPAN, k: int = K) -> DataFrame:
     """The rows of ``docs`` without a hit word, with their columns."""
-    return find_hits(docs, items).filter(F.col("n_hit") == 0).select("row.*")
+    with temporary(docs.sparkSession):
+        _, judged = _search(docs, items, item, text, span, k, [])
+        hit = materialise(judged.filter("n_hit > 0").select("key"), "hit", lasting=True)
+    return docs.select(F.struct("*").alias("row"), _key(docs, text).alias("key")).join(hit, "key", "left_anti").select("row.*")
