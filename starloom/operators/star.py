@@ -1,8 +1,9 @@
 """Joins and aggregates over a star.
 
-Facts are first reduced to one row per foreign key, then joined. The reduction starts before the shuffle, so
-a key that holds a large share of the facts costs no more than any other, and the join sees at most one row
-per key from each side. No side is broadcast by hint: Spark does so only where the measured size allows it.
+Facts that are counted by one key are first reduced to one row per key, then joined: the reduction starts before the
+shuffle, so a key that holds a large share of the facts costs no more than any other. Averages over several keys would
+hardly be reduced that way and are joined first; there the adaptive skew join divides a large key. No side is broadcast by
+hint: Spark does so only where the measured size allows it.
 """
 
 from __future__ import annotations
@@ -24,12 +25,8 @@ def count_rows(fact: DataFrame, joins: list[Join], by: list[str], out: str = "to
 
 
 def average(fact: DataFrame, value: str, joins: list[Join], by: list[str], out: str = "avg_value") -> DataFrame:
-    """Mean of ``value`` per ``by`` columns, from sums and counts that add up across keys."""
-    reduced = fact.groupBy(*[fk for fk, _, _ in joins]).agg(
-        F.sum(value).alias("__sum"), F.count(value).alias("__n")
-    )
-    totals = _join_all(reduced, joins).groupBy(*by).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
-    return totals.select(*by, F.try_divide(F.col("__sum"), F.col("__n")).alias(out))
+    """Mean of ``value`` per ``by`` columns. Only sums and counts per task and group are shuffled after the joins."""
+    return _join_all(fact, joins).groupBy(*by).agg(F.avg(value).alias(out))
 
 
 def _join_all(df: DataFrame, joins: list[Join]) -> DataFrame:

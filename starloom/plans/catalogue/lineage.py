@@ -74,7 +74,9 @@ def manifests(orders: DataFrame) -> DataFrame:
 
 def _manifest(spark, sf) -> DataFrame:
     path = scratch(spark, "manifest")
-    manifests(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")).write.json(path)
+    # The keys are dealt out before they grow to manifests, as a small file is one task.
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    manifests(orders.repartition(spark.sparkContext.defaultParallelism)).write.json(path)
     return read_manifest(spark, path, multi_line=False)
 
 
