@@ -1,9 +1,11 @@
 """Weak supervision over quality rules: rules vote or abstain, and expectation-maximisation weighs them.
 
-Each rule looks at one statistic of a text and says good, bad or nothing. How often a rule is right is not
-known; it is estimated from how the rules agree over the whole table. The estimate needs only the number of rows
-per combination of votes, at most 3 to the power of the number of rules, and each round is one aggregate
-over that small table. A text is kept if the posterior probability that it is good is at least one half.
+Each rule looks at one statistic of a text and says good, bad or nothing. How often a rule is right, on good texts and on
+bad ones, is not known; it is estimated from how the rules agree over the whole table. The two differ: a rule on symbols
+finds nothing wrong with many bad texts, but hardly ever blames a good one, so its blame weighs more than its praise. The
+estimate needs only the number of rows per combination of votes, at most 3 to the power of the number of rules, and each
+round is one aggregate over that small table. A text is kept if the posterior probability that it is good is at least
+one half.
 
 Null and empty texts have no words: rules on words abstain, and the length rule votes bad. Null ids, repeated
 rows and further columns pass through unchanged. An empty table gives an empty result.
@@ -64,6 +66,9 @@ def statistics(text: Column) -> Column:
             F.size(lines).cast("long").alias("n_lines"),
             F.regexp_count(held, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
             F.regexp_count(held, F.lit("!")).cast("long").alias("n_exclamations"),
+            F.regexp_count(held, F.lit(r"\p{L}")).cast("long").alias("n_letters"),
+            # From the first symbol of a word to its end, so once per word.
+            F.regexp_count(held, F.lit(r"[#*$%&|<>][^\x20\x09-\x0D]*")).cast("long").alias("n_symbol_words"),
         )
 
     return let(words_of(held), of_words)
@@ -82,18 +87,25 @@ class Rule:
 
 
 def default_rules(stats: str = "stats") -> list[Rule]:
-    """Rules on the statistics in the struct column ``stats``."""
+    """Rules on the statistics in the struct column ``stats``.
+
+    What makes a text bad shows in more than one statistic, and there are rules for each: that several blame the same texts
+    is what tells a bad text from a rule that errs.
+    """
     s = lambda name: F.col(f"{stats}.{name}")
     per_word = lambda name: s(name) / F.nullif(s("n_words"), F.lit(0))
     some, many = s("n_words") >= 10, s("n_words") >= 50
+    letters = s("n_letters") / F.nullif(s("word_chars"), F.lit(0))
     capitals = s("n_capitals") / F.nullif(s("word_chars"), F.lit(0))
     repeats = per_word("n_repeat_words")
     duplicates = s("n_dup_lines") / F.nullif(s("n_lines"), F.lit(0))
     return [
         Rule("length", s("n_words") < 5, many),
         Rule("symbols", per_word("n_symbols") >= 0.1, some & (s("n_symbols") == 0)),
+        Rule("symbol_words", per_word("n_symbol_words") >= 0.1, some & (s("n_symbol_words") == 0)),
+        Rule("letters", some & (letters < 0.88), some & (letters >= 0.93)),
         Rule("repeats", repeats > 0.2, some & (repeats <= 0.05)),
-        Rule("duplicate_lines", duplicates >= 0.3, (s("n_lines") >= 2) & (duplicates <= 0.05)),
+        Rule("duplicate_lines", duplicates >= 0.4, (s("n_lines") >= 2) & (duplicates <= 0.05)),
         Rule("capitals", some & (capitals > 0.3), some & (capitals < 0.1)),
         Rule("word_length", some & ~(per_word("word_chars")).between(2.5, 10), per_word("word_chars").between(3.5, 7)),
         Rule("variety", many & (per_word("n_distinct_words") < 0.2), many & (per_word("n_distinct_words") > 0.4)),
@@ -103,46 +115,53 @@ def default_rules(stats: str = "stats") -> list[Rule]:
 
 @dataclass(frozen=True)
 class VoteModel:
-    """The share of good texts and, for each rule, how often its votes are right."""
+    """The share of good texts and, for each rule, how often its votes are right on good and on bad texts."""
 
     prior: float
-    accuracy: dict[str, float]
+    accuracy: dict[str, tuple[float, float]]
 
     def posterior(self) -> Column:
-        """Probability that a row with vote columns of these names is good."""
+        """Probability that a row with vote columns of these names is good. Abstaining says nothing."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, right in self.accuracy.items():
-            weight = math.log(right / (1 - right))
-            odds = odds + F.when(F.col(name) == 1, weight).when(F.col(name) == 0, -weight).otherwise(0.0)
+        for name, (on_good, on_bad) in self.accuracy.items():
+            praise, blame = math.log(on_good / (1 - on_bad)), math.log((1 - on_good) / on_bad)
+            odds = odds + F.when(F.col(name) == 1, praise).when(F.col(name) == 0, blame).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 
-def fit(votes: DataFrame, names: list[str], rounds: int = 30, least: float = 0.55, most: float = 0.995) -> VoteModel:
+# Where the estimates begin, each worth as much as this many rows that were seen.
+START, PSEUDO = (0.995, 0.3), 10.0
+
+
+def fit(votes: DataFrame, names: list[str], rounds: int = 50) -> VoteModel:
     """Expectation-maximisation over the vote columns ``names``.
 
-    Rules are taken to be better than chance, which also tells the good class from the bad one.
+    The start takes rules to blame hardly any good text, which also tells the good class from the bad one.
     """
     patterns = materialise(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("rows")), "votes")
-    model = VoteModel(0.8, dict.fromkeys(names, 0.8))
+    model = VoteModel(0.8, dict.fromkeys(names, START))
     clip = lambda x, low, high: min(max(x, low), high)
     for _ in range(rounds):
-        q = model.posterior()
+        good = model.posterior()
         total = lambda x: F.sum(F.col("rows") * x)
-        sums = [total(q).alias("good"), F.sum("rows").alias("all")]
+        sums = [total(good).alias("good"), F.sum("rows").alias("all")]
         for name in names:
-            agree = F.when(F.col(name) == 1, q).when(F.col(name) == 0, 1 - q).otherwise(0.0)
-            sums += [total(agree).alias(f"right_{name}"), total(F.col(name).isNotNull().cast("int")).alias(f"cast_{name}")]
+            for vote, kind in ((1, "praise"), (0, "blame")):
+                is_cast = (F.col(name).eqNullSafe(F.lit(vote))).cast("int")
+                sums += [total(good * is_cast).alias(f"{kind}_good_{name}"), total((1 - good) * is_cast).alias(f"{kind}_bad_{name}")]
         got = patterns.agg(*sums).first()
         if not got["all"]:
             return model
-        # One pseudo row on either side keeps a rule that never votes where it began.
-        accuracy = {
-            n: clip((got[f"right_{n}"] + 0.8) / (got[f"cast_{n}"] + 1), least, most) for n in names
-        }
+        accuracy = {}
+        for name in names:
+            right = [got[f"praise_good_{name}"], got[f"blame_bad_{name}"]]
+            wrong = [got[f"blame_good_{name}"], got[f"praise_bad_{name}"]]
+            seen = [(r + PSEUDO * s) / (r + w + PSEUDO) for r, w, s in zip(right, wrong, START, strict=True)]
+            accuracy[name] = (clip(seen[0], 0.5, 0.9995), clip(seen[1], 0.01, 0.9995))
         new = VoteModel(clip(got["good"] / got["all"], 0.02, 0.98), accuracy)
-        moved = max(abs(new.accuracy[n] - model.accuracy[n]) for n in names)
+        moved = max(abs(x - y) for n in names for x, y in zip(new.accuracy[n], model.accuracy[n], strict=True))
         model = new
-        if moved < 1e-6:
+        if moved < 1e-5:
             break
     return model
 
@@ -166,11 +185,12 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None, th
     """``docs`` as a struct ``row`` (of the columns ``keep``, default all), with ``stats``, ``votes``,
     ``quality`` (the posterior) and ``good`` (whether that reaches ``threshold``).
 
-    Texts are counted once; what follows reads the written counts.
+    Texts are counted once; what follows reads the written counts. The accuracies are estimated on the texts that pass the
+    base, as the others are out in any case and would stand for all that is bad.
     """
     counted = _counted(docs, text, docs.columns if keep is None else keep)
     voted = _voted(materialise(counted, "rules"))
-    return _judged(voted, fit(voted, [r.name for r in default_rules()]), threshold)
+    return _judged(voted, fit(voted.filter(~base_failed()), [r.name for r in default_rules()]), threshold)
 
 
 def base_failed(stats: str = "stats") -> Column:
@@ -187,7 +207,8 @@ def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Da
     rules = default_rules()
     counted = _counted(docs, text, docs.columns)
     with temporary(docs.sparkSession):
-        votes = materialise(counted.select(*[r.vote().alias(r.name) for r in rules]), "votes-cast")
+        votes = counted.filter(~base_failed()).select(*[r.vote().alias(r.name) for r in rules])
+        votes = materialise(votes, "votes-cast")
         model = fit(votes, [r.name for r in rules])
     judged = _judged(_voted(counted), model, threshold)
     return judged.filter(~base_failed() & F.col("good")).select("row.*")
