@@ -34,6 +34,7 @@ from starloom.llm.tables import materialise, temporary
 
 N, T = 5, 75
 CELLS, RANGES = 1 << 21, 64
+HELD = 1 << 19  # n-grams that a task gathers before it counts or sends them
 MANY = 8  # classes of an n-gram that a task sends to its bucket
 LIST, BLOCK = 4096, 1 << 14  # members of a list, and n-grams asked for in a block
 _48 = np.uint64((1 << 48) - 1)
@@ -68,9 +69,9 @@ def class_of(grams: np.ndarray) -> int:
         return int(mix(np.array([total ^ mix(np.uint64(len(grams)) * _FACTOR)], np.uint64)).view(np.int64)[0])
 
 
-def ordered(grams: np.ndarray, cells: np.ndarray) -> np.ndarray:
+def ordered(grams: np.ndarray, magnitudes: np.ndarray) -> np.ndarray:
     """The n-grams as numbers in the global order: the magnitude of their counter, then their hash."""
-    magnitude = np.log2(1 + cells[(grams >> np.uint64(43)).astype(np.int64)].astype(np.float64)).astype(np.uint64)
+    magnitude = magnitudes[(grams >> np.uint64(43)).astype(np.int64)].astype(np.uint64)
     return np.sort((magnitude << np.uint64(57)) | (grams >> np.uint64(7)))
 
 
@@ -85,26 +86,34 @@ def _needed(n: Column, m: Column, t: int = T) -> Column:
 
 
 def classes(docs: DataFrame, text: str) -> tuple[DataFrame, np.ndarray]:
-    """Per row ``rid``, class and size; and the table of counters."""
+    """Per row ``rid``, class and size; and the table of counters, as the binary digits that each has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, seen, names = np.zeros(CELLS, np.uint32), set(), ["rid", "cls", "n", "part", "blob"]
+        held: list[np.ndarray] = []
+
+        def add_up() -> None:
+            cells[:] += np.bincount((np.concatenate(held) >> np.uint64(43)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+            held.clear()
+
         for whole in batches:
             for batch in blocks(whole):
-                out, held = [], []
+                out = []
                 for grams in gram_sets(batch):
                     cls = class_of(grams)
                     out.append((cls, len(grams)))
                     if cls not in seen:
                         seen.add(cls)
                         held.append(grams)
-                if held:
-                    cells += np.bincount((np.concatenate(held) >> np.uint64(43)).astype(np.int64), minlength=CELLS).astype(np.uint32)
-                if len(seen) > 1 << 20:
+                if sum(map(len, held)) >= HELD:
+                    add_up()
+                if len(seen) > 1 << 17:
                     seen.clear()
                 found = np.array(out, np.int64).reshape(-1, 2)
                 none = [pa.nulls(len(found), pa.int32()), pa.nulls(len(found), pa.binary())]
                 yield pa.record_batch([batch.column(0), pa.array(found[:, 0]), pa.array(found[:, 1]), *none], names)
+        if held:
+            add_up()
         if cells.any():
             packed = [zlib.compress(x.tobytes(), 1) for x in cells.reshape(RANGES, -1)]
             empty = pa.nulls(RANGES, pa.int64())
@@ -125,7 +134,8 @@ def classes(docs: DataFrame, text: str) -> tuple[DataFrame, np.ndarray]:
     cells = np.zeros((RANGES, CELLS // RANGES), np.uint64)
     for r in parts.collect():  # CELLS counters in all, whatever the input
         cells[r["part"]] = np.frombuffer(zlib.decompress(r["blob"]), np.uint64)
-    return both.filter("blob is null").select("rid", "cls", "n"), cells.ravel()
+    magnitudes = np.log2(1 + cells.ravel().astype(np.float64)).astype(np.uint8)
+    return both.filter("blob is null").select("rid", "cls", "n"), magnitudes
 
 
 def _rid(docs: DataFrame) -> Column:
@@ -174,9 +184,9 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
                         seen.add(cls)
                         held_t.append(ordered(grams, table)[: prefix_size(len(grams))])
                         held_c.append(np.full(len(held_t[-1]), cls))
-                if len(seen) > 1 << 20:
+                if len(seen) > 1 << 17:
                     seen.clear()
-                if sum(map(len, held_t)) >= 1 << 20:
+                if sum(map(len, held_t)) >= HELD:
                     yield from flush()
         yield from flush()
 
@@ -232,11 +242,12 @@ def fetch_sets(docs: DataFrame, text: str, wanted: DataFrame, cells) -> DataFram
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, opener = cells.value, zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = [opener.decompress(x.as_py()) for x in batch.column(1)]
-            whole = pa.record_batch([batch.column(0), pa.array(texts, pa.binary())], ["cls", "text"])
-            for part in blocks(whole):
-                sets = [ordered(g, table).astype(">u8").tobytes() for g in gram_sets(part)]
-                yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], ["cls", "grams"])
+            for i in range(0, batch.num_rows, 256):
+                few = batch.slice(i, 256)
+                texts = [opener.decompress(x.as_py()) for x in few.column(1)]
+                for part in blocks(pa.record_batch([few.column(0), pa.array(texts, pa.binary())], ["cls", "text"])):
+                    sets = [ordered(g, table).astype(">u8").tobytes() for g in gram_sets(part)]
+                    yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], ["cls", "grams"])
 
     rows = docs.select(_rid(docs), F.col(f"`{text}`").alias("text")).mapInArrow(pack, "rid bigint, z binary")
     found = rows.join(wanted, "rid").select("cls", "z").mapInArrow(unpack, "cls bigint, grams binary")

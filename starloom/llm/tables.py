@@ -28,14 +28,24 @@ def materialise(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows hold whole texts, or sets as large, so fewer of them than Spark's default go to Python at once.
+_BATCH, _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """Removes the tables written inside. What is read from them has to be written, or to be a lasting table, by the end."""
+    """Removes the tables written inside. What is read from them has to be written, or to be a lasting table, by the end.
+
+    Until then Arrow batches are small; afterwards the session is set as it was.
+    """
     paths: list[str] = []
     token = _scopes.set((*_scopes.get(), paths))
+    rows = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, _ROWS)
     try:
         yield
     finally:
+        spark.conf.set(_BATCH, rows)
         _scopes.reset(token)
         for path in paths:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
