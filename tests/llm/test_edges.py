@@ -350,6 +350,25 @@ def test_seating_follows_the_restaurant():
     assert tables.mean() == pytest.approx(np.mean(plain), rel=0.05)
 
 
+def test_tables_go_with_their_operator(spark, tmp_path):
+    from starloom.llm.tables import materialise, temporary
+
+    here = lambda df: [f for f in df.inputFiles()]
+    gone = lambda files: not any(__import__("pathlib").Path(f.removeprefix("file://").removeprefix("file:")).exists() for f in files)
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    outside = materialise(spark.range(3), "outside")
+    with temporary(spark):
+        own = here(materialise(spark.range(3), "own"))
+        with pytest.raises(ValueError), temporary(spark):
+            inner = here(materialise(spark.range(3), "inner"))
+            middle = materialise(spark.range(3), "middle", lasting=True)
+            raise ValueError
+        assert gone(inner) and middle.count() == 3 and not gone(own)
+        result = materialise(spark.range(5), "result", lasting=True)
+    assert gone(own) and gone(here(middle)) and result.count() == 5 and outside.count() == 3
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows
+
+
 def test_archives(spark):
     payload = b"line\nHTTP/1.1 in the text\r\n\r\nWARC/1.1\n\x00\xff"
     data = [("1", "http://a/x y", payload), ("2", None, payload), ("3", "http://b\n", b""), ("4", "-", b""), (None, "u", payload), (None, "v", b"alone"), ("1", "http://a/x y", payload)]
