@@ -496,6 +496,12 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
         rows = label(docs, doc, text)
         first = F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
         kept = rows.filter("n > 0").groupBy("component").agg(first.alias("rid")).select("rid")
-        kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept", lasting=True)
+        kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept")
+        times = materialise(rows.groupBy("rid").agg(F.count(F.lit(1)).alias("times")), "times")
+        gone = materialise(times.join(kept, "rid", "left_anti").select("rid"), "gone", lasting=True)
+        twice = materialise(times.filter("times > 1").join(kept, "rid", "left_semi").select("rid"), "twice", lasting=True)
+    # What goes is the shorter list; only rows that repeat have to meet.
     rid = F.xxhash64(f"`{doc}`", f"`{text}`").alias("rid")
-    return docs.select(F.struct("*").alias("row"), rid).join(kept, "rid").dropDuplicates(["rid"]).select("row.*")
+    left = docs.select(F.struct("*").alias("row"), rid).join(gone, "rid", "left_anti")
+    once, more = left.join(twice, "rid", "left_anti"), left.join(twice, "rid", "left_semi")
+    return once.unionByName(more.dropDuplicates(["rid"])).select("row.*")

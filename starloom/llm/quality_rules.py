@@ -178,7 +178,8 @@ def _judged(voted: DataFrame, model: VoteModel, threshold: float) -> DataFrame:
 
 def _counted(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
-    return docs.select(row, statistics(F.col(f"`{text}`")).alias("stats"))
+    # Exploded, so that Spark counts once and does not put the counting in place of every use of a statistic.
+    return docs.select(row, F.explode(F.array(statistics(F.col(f"`{text}`")))).alias("stats"))
 
 
 def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:

@@ -262,6 +262,82 @@ def rank(anchors: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "doc bigint, f bigint, kind int")
 
 
+def open_strings(docs: DataFrame, buckets: int) -> DataFrame:
+    """``id`` and ``name`` of the strings at ``open`` surroundings of the packed texts ``z`` that a document with a smaller id has too.
+
+    Dealt to ``buckets`` by name, packed. Of a name a task sends its smallest document; for the others it knows the answer.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            name, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            bucket = (name % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((doc, name, bucket))
+            name, doc, bucket = name[order], doc[order], bucket[order]
+            begins = begins_run(name)
+            least = doc[np.maximum.accumulate(np.where(begins, np.arange(len(name)), 0))]
+            out = []
+            for known, keep in ((False, begins), (True, doc > least)):
+                at = np.flatnonzero(keep)
+                for part in np.split(at, np.flatnonzero(np.diff(bucket[at])) + 1):
+                    if len(part):
+                        out.append((int(bucket[part[0]]), known, name[part].tobytes(), _ids(doc[part])))
+            kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "known", "name", "d"])
+
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            texts = ((i, np.frombuffer(opener.decompress(z.as_py()), np.uint8)) for i, z in enumerate(batch.column(1)))
+            for block in together(texts):
+                for i, found, (at, around), low, high, _ in by_text(block, Names.marked):
+                    a, b = np.searchsorted(at, (low, high))
+                    open_ = np.array(batch.column(2)[i].as_py(), np.int64).astype(np.uint64)
+                    names = np.unique(found.whole[found.starts(at[a:b][np.isin(around[a:b], open_)])])
+                    held.append((names, np.full(len(names), ids[i])))
+                if sum(len(x[0]) for x in held) >= _HELD:
+                    yield from flush()
+        yield from flush()
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        now = None
+
+        def emit(name: np.ndarray, doc: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(doc), 1 << 16):
+                cut = slice(i, i + (1 << 16))
+                yield pa.record_batch([pa.array(doc[cut]), pa.array(name[cut].view(np.int64))], ["id", "name"])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                name, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                order = np.lexsort((doc, name))
+                name, doc = name[order], doc[order]
+                least = doc[np.maximum.accumulate(np.where(begins_run(name), np.arange(len(name)), 0))]
+                yield from emit(name[doc > least], doc[doc > least])
+
+        for batch in batches:
+            for bucket, known, name, d in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bucket != now:
+                    yield from flush()
+                    now = bucket
+                rows = np.frombuffer(name, np.uint64), _from_ids(d)
+                if known:
+                    yield from emit(*rows)
+                else:
+                    held.append(rows)
+        yield from flush()
+
+    packed = docs.mapInArrow(run, "bucket int, known boolean, name binary, d binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "id bigint, name bigint")
+
+
 _KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 _RESULT = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("kept", "string")]
 
@@ -314,12 +390,12 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
     packed = rows.mapInArrow(pack, _struct(row, [("id", "bigint"), ("z", "binary")]))
 
     def second(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Covers what is known to repeat, and names the strings that are still open."""
+        """Covers what is known to repeat, and keeps the surroundings that are still open."""
         opener = zstandard.ZstdDecompressor()
         numbers = lambda cell: np.array(cell.as_py() or [], np.int64).astype(np.uint64)
         for batch in batches:
             n = batch.num_rows
-            sizes, edges, names, done = [0] * n, [[]] * n, [None] * n, [None] * n
+            sizes, edges, still, done = [0] * n, [[]] * n, [None] * n, [None] * n
 
             def texts() -> Iterator[tuple[int, np.ndarray]]:
                 for i in range(n):  # noqa: B023
@@ -338,13 +414,12 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
                     same = here[np.isin(near, numbers(batch.column(3)[i]))] + shift
                     parts[i][0].append(np.maximum(same - REACH, 0))
                     parts[i][1].append(np.minimum(same + LENGTH, sizes[i]))
-                    parts[i][2].append(found.whole[found.starts(here[np.isin(near, numbers(batch.column(4)[i]))])])
+                    parts[i][2].append(near[np.isin(near, numbers(batch.column(4)[i]))])
                 for i, data in block:
                     begins, ends, open_ = (np.concatenate(x) for x in parts[i])
                     gone = _cover(len(data), begins, ends)
-                    open_ = np.unique(open_).view(np.int64)
-                    names[i] = open_ if len(open_) else None
-                    if names[i] is None and not texts_:
+                    still[i] = np.unique(open_).view(np.int64) if len(open_) else None
+                    if still[i] is None and not texts_:
                         done[i] = _result(data, gone, False)
                     else:
                         edges[i] = np.flatnonzero(np.diff(gone, prepend=False, append=False))
@@ -353,17 +428,15 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
             results = [d or (None,) * len(_RESULT) for d in done]
             cells = list(zip(*results, strict=True)) or [()] * len(_RESULT)
             more = [pa.array(c, k) for c, k in zip(cells, _KINDS, strict=True)]
-            more += [pa.array(packed_, pa.binary()), pa.array(edges, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.int64()))]
-            yield pa.record_batch([batch.column(0), batch.column(1), *more], ["row", "id", *[c for c, _ in _RESULT], "z", "edges", "names"])
+            more += [pa.array(packed_, pa.binary()), pa.array(edges, pa.list_(pa.int32())), pa.array(still, pa.list_(pa.int64()))]
+            yield pa.record_batch([batch.column(0), batch.column(1), *more], ["row", "id", *[c for c, _ in _RESULT], "z", "edges", "open"])
 
     joined = packed.join(known, F.col("id") == F.col("doc"), "left").select("row", "id", "z", "repeats", "open")
-    schema = _struct(row, [("id", "bigint"), *_RESULT, ("z", "binary"), ("edges", "array<int>"), ("names", "array<bigint>")])
+    schema = _struct(row, [("id", "bigint"), *_RESULT, ("z", "binary"), ("edges", "array<int>"), ("open", "array<bigint>")])
     half = materialise(joined.mapInArrow(second, schema), "second", lasting=True)
 
-    strings = half.filter("names is not null").select("id", F.explode("names").alias("name"))
-    seen = strings.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    seen = materialise(seen.select("name", "low"), "names")
-    hits = strings.join(seen, "name").filter("id > low").groupBy("id").agg(F.collect_set("name").alias("hits"))
+    found_ = open_strings(half.filter("open is not null").select("id", "z", "open"), buckets)
+    hits = found_.groupBy("id").agg(F.collect_set("name").alias("hits"))
     hits = materialise(hits.select(F.col("id").alias("of"), "hits"), "hits", lasting=True)
 
     def third(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +481,7 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
 def cleaned(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the strings that repeat, with their columns; documents of which nothing is left are dropped.
 
-    ``n_chars``, where there is such a column, tells the new length.
+    A null text comes back as the empty text. ``n_chars``, where there is such a column, tells the new length.
     """
     found = repeats(docs, doc, text, texts=True)
     shown = found.filter((F.col("n_removed") == 0) | (F.col("kept") != "")).withColumnRenamed("kept", "left")
