@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import connected
 from starloom.llm.textops import begins_run, blocks, buffers, from_six_bytes, mix, rows_of, six_bytes, word_hashes
-from starloom.llm.tables import materialise, temporary
+from starloom.llm.tables import materialise, release, temporary
 
 N, T = 5, 75
 CELLS, RANGES = 1 << 21, 64
@@ -342,6 +342,7 @@ class _Search:
         wanted = wanted if self.sets is None else wanted.join(self.sets, "cls", "left_anti")
         wanted = materialise(wanted.join(self.sized, "cls").select("cls", "rid"), "wanted")
         new = materialise(fetch_sets(self.docs, "text", wanted, self.cells), "sets")
+        release(self.docs.sparkSession)
         self.sets = new if self.sets is None else self.sets.unionByName(new)
         found = materialise(verify(pairs, self.sets), "links")
         self.links = found if self.links is None else self.links.unionByName(found)
@@ -442,6 +443,7 @@ def _labelled(slim: DataFrame) -> DataFrame:
 
     buckets = 8 * int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = materialise(shared_prefixes(slim, "text", cells, buckets), "groups")
+    release(slim.sparkSession)
     sizes = materialise(groups.groupBy("t").agg(F.count(F.lit(1)).alias("m")), "group-sizes")
     weighed = groups.join(sizes, "t").groupBy("cls").agg(F.collect_list("t").alias("common"), F.sum("m").alias("weight"))
     profiles = materialise(weighed.join(sized, "cls"), "profiles")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.textops import _BYTE, PIECE, begins_run, blocks, buffers, from_six_bytes, mix, six_bytes
-from starloom.llm.tables import materialise, temporary
+from starloom.llm.tables import materialise, release, temporary
 
 LENGTH, K = 50, 24
 WINDOW = LENGTH - K + 1
@@ -434,6 +434,7 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
     joined = packed.join(known, F.col("id") == F.col("doc"), "left").select("row", "id", "z", "repeats", "open")
     schema = _struct(row, [("id", "bigint"), *_RESULT, ("z", "binary"), ("edges", "array<int>"), ("open", "array<bigint>")])
     half = materialise(joined.mapInArrow(second, schema), "second", lasting=True)
+    release(spark)
 
     found_ = open_strings(half.filter("open is not null").select("id", "z", "open"), buckets)
     hits = found_.groupBy("id").agg(F.collect_set("name").alias("hits"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -28,6 +29,16 @@ def materialise(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of jobs that are done.
+
+    It does so when the driver's garbage collector finds that nothing refers to them, which can be long after, as these jobs
+    leave little garbage on the driver.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 # Rows hold whole texts, or sets as large, so fewer of them than Spark's default go to Python at once.
 _BATCH, _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 
@@ -50,3 +61,4 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         for path in paths:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        release(spark)
