@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -33,10 +34,12 @@ def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of jobs that are done.
 
     It does so when the driver's garbage collector finds that nothing refers to them, which can be long after, as these jobs
-    leave little garbage on the driver.
+    leave little garbage on the driver. The first round lets go what Python's objects held, the second finds the files.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 # Rows hold whole texts, or sets as large, so fewer of them than Spark's default go to Python at once.
