@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,12 +62,17 @@ class Names:
                 by_length[2 * half] = name
             self.n16, self.n32 = by_length[16], by_length[32]
             short = mix(self.n16[:n] * _ODD[5] + by_length[8][16 : 16 + n])
-            self.whole = mix(self.n32[:n] * _ODD[6] + self.n32[18 : 18 + n])
         short[self._tails(K - 1)] = _MOST
         self.short = short
         self.least = self._slide(short, np.minimum, _MOST)
         self.least[self._tails(LENGTH - 1)] = 0  # no string of LENGTH bytes begins here
 
+    @cached_property
+    def whole(self) -> np.ndarray:
+        """Names of the strings of LENGTH bytes; only the third round asks for them."""
+        with np.errstate(over="ignore"):
+            return mix(self.n32[: self.n] * _ODD[6] + self.n32[18 : 18 + self.n])
+
     def _tails(self, length: int) -> np.ndarray:
         """The last ``length`` positions of every document."""
         ends, begins = self.offsets[1:], self.offsets[:-1]
