@@ -173,7 +173,8 @@ def _with_copies(sized: DataFrame, aimed: DataFrame, chosen: DataFrame) -> DataF
     )
     copies = F.when(F.col("id.size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0))).otherwise(F.lit(0))
     columns = ["row", F.col("id.size").alias("size"), "source_size", "target", copies.cast("long").alias("copies")]
-    return placed.join(chosen, same, "left").select(*columns)
+    # The chosen grow with the documents, so they are sorted and merged at every size and never broadcast.
+    return placed.join(chosen.hint("merge"), same, "left").select(*columns)
 
 
 def mix(
