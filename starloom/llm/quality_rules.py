@@ -1,13 +1,17 @@
 """Weak supervision over quality rules: rules vote or abstain, and expectation-maximisation weighs them.
 
-Each rule looks at one statistic of a text and says good, bad or nothing. How often a rule is right, on good texts and on
-bad ones, is not known; it is estimated from how the rules agree over the whole table. The two differ: a rule on symbols
-finds nothing wrong with many bad texts, but hardly ever blames a good one, so its blame weighs more than its praise. The
-estimate needs only the number of rows per combination of votes, at most 3 to the power of the number of rules, and each
-round is one aggregate over that small table. A text is kept if the posterior probability that it is good is at least
-one half.
-
-Null and empty texts have no words: rules on words abstain, and the length rule votes bad. Null ids, repeated
+Each rule looks at one statistic of a text and says good, bad or nothing. Rules that measure the same trouble are of one
+kind. A text can be bad in each kind, whatever it is in the others, and is good if it is bad in none: so praise for few
+symbols does not outweigh blame for shouting, and two rules on one trouble do not outvote the rest.
+
+How often a rule is right, on texts bad in its kind and on all others, is not known; it is estimated from how the rules of
+a kind agree over the whole table. The two differ: a rule finds nothing wrong with many bad texts, but hardly ever blames a
+good one, so its blame weighs more than its praise. A kind that the table hardly shows keeps the accuracies it begins
+with, whose weight grows with the table. The estimate needs only the number of rows per combination of votes, at most 3 to
+the power of the number of rules, and each round is one aggregate over that small table. A text is kept if the posterior
+probability that it is good is at least one half.
+
+Null and empty texts have no words: all rules abstain, and the base rejects them. Null ids, repeated
 rows and further columns pass through unchanged. An empty table gives an empty result.
 """
 
@@ -66,9 +70,8 @@ def statistics(text: Column) -> Column:
             F.size(lines).cast("long").alias("n_lines"),
             F.regexp_count(held, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
             F.regexp_count(held, F.lit("!")).cast("long").alias("n_exclamations"),
-            F.regexp_count(held, F.lit(r"\p{L}")).cast("long").alias("n_letters"),
-            # From the first symbol of a word to its end, so once per word.
-            F.regexp_count(held, F.lit(r"[#*$%&|<>][^\x20\x09-\x0D]*")).cast("long").alias("n_symbol_words"),
+            F.regexp_count(held, F.lit(r"[\p{L}\p{M}]")).cast("long").alias("n_letters"),
+            F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))).cast("long").alias("n_doubled_words"),
         )
 
     return let(words_of(held), of_words)
@@ -87,78 +90,107 @@ class Rule:
 
 
 def default_rules(stats: str = "stats") -> list[Rule]:
-    """Rules on the statistics in the struct column ``stats``.
+    """Rules on the statistics in the struct column ``stats``; each can blame texts that pass the base.
 
-    What makes a text bad shows in more than one statistic, and there are rules for each: that several blame the same texts
-    is what tells a bad text from a rule that errs.
+    Symbols are counted by one rule alone: the words they are in, and the letters that are missing for them, tell the same.
     """
     s = lambda name: F.col(f"{stats}.{name}")
     per_word = lambda name: s(name) / F.nullif(s("n_words"), F.lit(0))
+    per_line = lambda name: s(name) / F.nullif(s("n_lines"), F.lit(0))
+    per_char = lambda c: c / F.nullif(s("word_chars"), F.lit(0))
     some, many = s("n_words") >= 10, s("n_words") >= 50
-    letters = s("n_letters") / F.nullif(s("word_chars"), F.lit(0))
-    capitals = s("n_capitals") / F.nullif(s("word_chars"), F.lit(0))
-    repeats = per_word("n_repeat_words")
-    duplicates = s("n_dup_lines") / F.nullif(s("n_lines"), F.lit(0))
+    others = per_char(s("word_chars") - s("n_letters") - s("n_symbols"))
+    capitals, duplicates = per_char(s("n_capitals")), per_line("n_dup_lines")
     return [
-        Rule("length", s("n_words") < 5, many),
         Rule("symbols", per_word("n_symbols") >= 0.1, some & (s("n_symbols") == 0)),
-        Rule("symbol_words", per_word("n_symbol_words") >= 0.1, some & (s("n_symbol_words") == 0)),
-        Rule("letters", some & (letters < 0.88), some & (letters >= 0.93)),
-        Rule("repeats", repeats > 0.2, some & (repeats <= 0.05)),
+        Rule("letters", some & (others > 0.3), some & (others <= 0.1)),
         Rule("duplicate_lines", duplicates >= 0.4, (s("n_lines") >= 2) & (duplicates <= 0.05)),
-        Rule("capitals", some & (capitals > 0.3), some & (capitals < 0.1)),
-        Rule("word_length", some & ~(per_word("word_chars")).between(2.5, 10), per_word("word_chars").between(3.5, 7)),
+        Rule("short_lines", some & (per_line("n_words") < 2), some & (per_line("n_words") >= 4)),
         Rule("variety", many & (per_word("n_distinct_words") < 0.2), many & (per_word("n_distinct_words") > 0.4)),
+        Rule("doubled_words", some & (per_word("n_doubled_words") > 0.15), some & (per_word("n_doubled_words") <= 0.05)),
+        Rule("capitals", some & (capitals > 0.3), some & (capitals < 0.1)),
         Rule("exclamations", some & (per_word("n_exclamations") > 0.3), some & (s("n_exclamations") == 0)),
+        Rule("word_length", some & ~(per_word("word_chars")).between(2.5, 10), per_word("word_chars").between(3.5, 7)),
     ]
 
 
+# Which rules measure the same trouble.
+KINDS = {
+    "symbols": ("symbols",),
+    "letters": ("letters",),
+    "lines": ("duplicate_lines", "short_lines"),
+    "variety": ("variety", "doubled_words"),
+    "shouting": ("capitals", "exclamations"),
+    "words": ("word_length",),
+}
+
+
 @dataclass(frozen=True)
 class VoteModel:
-    """The share of good texts and, for each rule, how often its votes are right on good and on bad texts."""
+    """For each kind its rules and the share of texts not bad in it; for each rule, how often its votes are right on these
+    and on the others."""
 
-    prior: float
+    kinds: dict[str, tuple[str, ...]]
+    priors: dict[str, float]
     accuracy: dict[str, tuple[float, float]]
 
-    def posterior(self) -> Column:
-        """Probability that a row with vote columns of these names is good. Abstaining says nothing."""
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, (on_good, on_bad) in self.accuracy.items():
+    @property
+    def prior(self) -> float:
+        """The share of good texts."""
+        return math.prod(self.priors.values())
+
+    def not_bad(self, kind: str) -> Column:
+        """Probability that a row with vote columns of these names is not bad in ``kind``. Abstaining says nothing."""
+        odds = F.lit(math.log(self.priors[kind] / (1 - self.priors[kind])))
+        for name in self.kinds[kind]:
+            on_good, on_bad = self.accuracy[name]
             praise, blame = math.log(on_good / (1 - on_bad)), math.log((1 - on_good) / on_bad)
             odds = odds + F.when(F.col(name) == 1, praise).when(F.col(name) == 0, blame).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
+    def posterior(self) -> Column:
+        """Probability that a row is good, which is to be bad in no kind."""
+        chance = F.lit(1.0)
+        for kind in self.kinds:
+            chance = chance * self.not_bad(kind)
+        return chance
 
-# Where the estimates begin, each worth as much as this many rows that were seen.
-START, PSEUDO = (0.995, 0.3), 10.0
 
+# Where the estimates begin, each worth as much as this share of the rows, and as this many rows at least.
+START, SHARE, PSEUDO = (0.995, 0.3), 0.02, 10.0
 
-def fit(votes: DataFrame, names: list[str], rounds: int = 50) -> VoteModel:
-    """Expectation-maximisation over the vote columns ``names``.
+
+def fit(votes: DataFrame, names: list[str], kinds: dict[str, tuple[str, ...]] | None = None, rounds: int = 50) -> VoteModel:
+    """Expectation-maximisation over the vote columns ``names``, which are of one kind unless ``kinds`` divides them.
 
     The start takes rules to blame hardly any good text, which also tells the good class from the bad one.
     """
     patterns = materialise(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("rows")), "votes")
-    model = VoteModel(0.8, dict.fromkeys(names, START))
+    kinds = kinds or {"bad": tuple(names)}
+    model = VoteModel(kinds, dict.fromkeys(kinds, 1 - 0.2 / len(kinds)), dict.fromkeys(names, START))
     clip = lambda x, low, high: min(max(x, low), high)
     for _ in range(rounds):
-        good = model.posterior()
         total = lambda x: F.sum(F.col("rows") * x)
-        sums = [total(good).alias("good"), F.sum("rows").alias("all")]
-        for name in names:
-            for vote, kind in ((1, "praise"), (0, "blame")):
-                is_cast = (F.col(name).eqNullSafe(F.lit(vote))).cast("int")
-                sums += [total(good * is_cast).alias(f"{kind}_good_{name}"), total((1 - good) * is_cast).alias(f"{kind}_bad_{name}")]
+        sums = [F.sum("rows").alias("all")]
+        for kind, members in kinds.items():
+            good = model.not_bad(kind)
+            sums.append(total(good).alias(f"good_{kind}"))
+            for name in members:
+                for vote, says in ((1, "praise"), (0, "blame")):
+                    is_cast = (F.col(name).eqNullSafe(F.lit(vote))).cast("int")
+                    sums += [total(good * is_cast).alias(f"{says}_good_{name}"), total((1 - good) * is_cast).alias(f"{says}_bad_{name}")]
         got = patterns.agg(*sums).first()
         if not got["all"]:
             return model
-        accuracy = {}
+        weight, accuracy = max(PSEUDO, SHARE * got["all"]), {}
         for name in names:
             right = [got[f"praise_good_{name}"], got[f"blame_bad_{name}"]]
             wrong = [got[f"blame_good_{name}"], got[f"praise_bad_{name}"]]
-            seen = [(r + PSEUDO * s) / (r + w + PSEUDO) for r, w, s in zip(right, wrong, START, strict=True)]
-            accuracy[name] = (clip(seen[0], 0.5, 0.9995), clip(seen[1], 0.01, 0.9995))
-        new = VoteModel(clip(got["good"] / got["all"], 0.02, 0.98), accuracy)
+            seen = [(r + weight * s) / (r + w + weight) for r, w, s in zip(right, wrong, START, strict=True)]
+            on_good = clip(seen[0], 0.5, 0.9995)
+            # Blame never speaks for a text.
+            accuracy[name] = (on_good, clip(seen[1], max(0.01, 1 - on_good), 0.9995))
+        new = VoteModel(kinds, {k: clip(got[f"good_{k}"] / got["all"], 0.02, 0.98) for k in kinds}, accuracy)
         moved = max(abs(x - y) for n in names for x, y in zip(new.accuracy[n], model.accuracy[n], strict=True))
         model = new
         if moved < 1e-5:
@@ -191,7 +223,7 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None, th
     """
     counted = _counted(docs, text, docs.columns if keep is None else keep)
     voted = _voted(materialise(counted, "rules"))
-    return _judged(voted, fit(voted.filter(~base_failed()), [r.name for r in default_rules()]), threshold)
+    return _judged(voted, fit(voted.filter(~base_failed()), [r.name for r in default_rules()], KINDS), threshold)
 
 
 def base_failed(stats: str = "stats") -> Column:
@@ -210,6 +242,6 @@ def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Da
     with temporary(docs.sparkSession):
         votes = counted.filter(~base_failed()).select(*[r.vote().alias(r.name) for r in rules])
         votes = materialise(votes, "votes-cast")
-        model = fit(votes, [r.name for r in rules])
+        model = fit(votes, [r.name for r in rules], KINDS)
     judged = _judged(_voted(counted), model, threshold)
     return judged.filter(~base_failed() & F.col("good")).select("row.*")

@@ -101,6 +101,37 @@ def test_blame_outweighs_praise(spark):
     assert good.filter("good and (a = 1 or a is null)").count() == 922 and good.filter("good and a = 0 and b = 0").count() == 0
 
 
+@pytest.mark.parametrize("n", [240, 1200])
+def test_each_trouble_is_enough(spark, n):
+    """Shouting, repeated lines and low variety are rejected beside much symbol junk, however many rows there are."""
+    rng = random.Random(n)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 7))) for _ in range(2000)]
+    prose = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+    lines = lambda words: "\n".join(" ".join(words[i : i + 12]) for i in range(0, len(words), 12)) + "."
+    good = [lines(prose(rng.randint(40, 80))) for _ in range(n)]
+    symbols = [lines([w + rng.choice(["###", "***", " |", "%%%"]) for w in prose(60)]) for _ in range(n // 12)]
+    few, cheers = prose(9), ["Yes!", "Oh no", "Go on", "Wow", "Really?"]
+    bad = {
+        "capitals": lines(prose(60)).upper(),
+        "exclamations": lines([w + "!" for w in prose(60)]),
+        "shouting": lines([w.upper() + "!!" for w in prose(60)]),
+        "lines": "\n".join(x for i in range(30) for x in (cheers[i % 5], " ".join(prose(8)))),
+        "variety": lines([rng.choice(few) for _ in range(100)]),
+        "doubled": lines([w for w in prose(40) for _ in range(2)]),
+        "numbers": lines([str(rng.randint(1, 99999)) if i % 2 else w for i, w in enumerate(prose(60))]),
+    }
+    texts = [*good, *symbols, *bad.values()]
+    df = documents(spark, list(enumerate(texts)))
+    kept = {r.doc_id for r in quality_rules.keep_good(df).collect()}
+    assert [k for i, k in enumerate(bad, n + n // 12) if i in kept] == []
+    assert not kept & set(range(n, n + n // 12)) and len(kept) >= 0.99 * n
+    base = quality_rules.judge(df).select("row.doc_id", quality_rules.base_failed().alias("failed"), "votes").collect()
+    assert not any(r.failed for r in base)
+    # Every rule that is not planted praises or abstains, so that one kind alone rejects.
+    blamed = {r.doc_id: {k for k, v in r.votes.asDict().items() if v == 0} for r in base}
+    assert blamed[n + n // 12] == {"capitals"} and blamed[n + n // 12 + 4] == {"variety"}
+
+
 URLS = [None, "", "no scheme", "http://", "https://A.Example.ORG/es/x?y#z", "http://example.org/es", "ftp://notexample.org/en/1",
         "http://example.org/en/17", "http://com/de/", "http://x.com/fr/a/b", "http://org/", "http://org", "http://a.b.org?/es/",
         "http://spam-farm.net/x", "http://a//b://c/d", "http://org:80/", "http://É.com/de/ü"]
