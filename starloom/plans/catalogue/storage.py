@@ -145,7 +145,7 @@ def src_landed_default(spark, sf):
     """Many envelopes per landed file, read with the reader's defaults."""
     events = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("Code"), F.col("event_type").alias("Title"))
     base = scratch(spark, "landed")
-    path = files.land_raw(events.select(F.array(F.struct("Code", "Title")).alias("value")).coalesce(1), base, "events", datetime(2024, 1, 1))
+    path = files.land_raw(events.select(F.array(F.struct("Code", "Title")).alias("value")), base, "events", datetime(2024, 1, 1))
     items = E.read_odata(spark, path, DIMENSION_ITEM)
     return items.select(F.col("Code").cast("bigint").alias("event_id"), F.col("Title").alias("event_type"))
 
@@ -417,11 +417,11 @@ def dml_insert_ignore(spark, sf):
 
 @query("select p_brand, min(p_partkey) first_key, min_by(p_name, p_partkey) p_name from part group by p_brand")
 def dml_first_wins(spark, sf):
-    """Of the rows of a brand the one that stands first in the file, whatever its name."""
+    """Of the rows of a brand the one that stands first in the files, whatever its name."""
     path = scratch(spark, "csv-first")
     listed = table(spark, sf, "part").select("p_brand", F.col("p_partkey").alias("first_key"), "p_name")
-    files.write_csv(listed.repartitionByRange(1, "first_key").sortWithinPartitions("first_key"), path)
-    back = S.read_csv(spark, path, listed.schema, position="position")
+    files.write_csv(listed.repartitionByRange("first_key").sortWithinPartitions("first_key"), path)
+    back = S.read_csv(spark, path, listed.schema, multi_line=False, position="position")
     return dml.first_per_key(back, "p_brand", ["position"]).drop("position")
 
 
@@ -430,11 +430,11 @@ def dml_first_wins(spark, sf):
        union all select n_nationkey, n_name, null from nation where n_nationkey not in (select s_nationkey from supplier)"""
 )
 def dml_enrich_last_wins(spark, sf):
-    """Nations without a name take that of their supplier that stands last in the file."""
+    """Nations without a name take that of their supplier that stands last in the files."""
     path = scratch(spark, "csv-last")
     suppliers = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_name", "s_suppkey")
-    files.write_csv(suppliers.repartitionByRange(1, "s_suppkey").sortWithinPartitions("s_suppkey"), path)
-    lookup = S.read_csv(spark, path, "n_nationkey INT, s_name STRING", position="position")
+    files.write_csv(suppliers.repartitionByRange("s_suppkey").sortWithinPartitions("s_suppkey"), path)
+    lookup = S.read_csv(spark, path, "n_nationkey INT, s_name STRING", multi_line=False, position="position")
     nations = table(spark, sf, "nation").select("n_nationkey", "n_name", F.lit(None).cast("string").alias("filled"))
     return dml.enrich(nations, lookup, "n_nationkey", "filled", "s_name", F.col("position"))
 

@@ -16,6 +16,8 @@ from starloom.operators.numbering import dense_ids, place_within, repeat_rows, s
 from starloom.plans.build import build_increment
 from starloom.plans.loading import empty_raw, enrich_locations, load_dimensions, load_observations
 from starloom.operators import lineage as L
+from starloom.plans.catalogue import storage
+from starloom.plans.testdata import table
 from starloom.schemas import CATEGORIZED_CSV, DIMENSION_ITEM, INDICATORS_CSV, struct
 from starloom.session import materialise, scratch, shared_root
 from starloom.sinks import files, publish
@@ -387,6 +389,27 @@ def test_partitioned_upsert_moves_rows(spark, tmp_path, part):
     assert rows(spark.read.parquet(path).filter("k = 4"), "v") == [("W",)]
 
 
+@pytest.mark.parametrize("name, writer", [("src_landed_default", "land_raw"), ("dml_first_wins", "write_csv"), ("dml_enrich_last_wins", "write_csv")])
+def test_queries_write_whole_tables_in_several_files(spark, monkeypatch, name, writer):
+    """With the same rows as out of one file."""
+    folder, written, plain = "/root/testdata/sf0.001", [], getattr(files, writer)
+    query = getattr(storage, name)
+    expected = rows(query(spark, folder))
+
+    def noted(df, path, *more):
+        written.append(plain(df, path, *more) or path)
+        return written[-1]
+
+    monkeypatch.setattr(files, writer, noted)
+    monkeypatch.setattr(storage, "table", lambda *x: table(*x).repartition(3))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows(query(spark, folder)) == expected
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spark.read.text(written[0]).inputFiles()) > 1
+
+
 def test_partition_names_stay_text_and_columns_are_kept(spark, tmp_path):
     path = str(tmp_path / "t")
     publish.upsert_partitions(spark.createDataFrame([(1, "a", "01"), (2, "b", "1")], "k long, v string, p string"), path, ["k"], "p")
