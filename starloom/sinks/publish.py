@@ -143,8 +143,8 @@ def upsert_partitions(
 
     Run again after a failure at any point it gives the same table, but for rows with a NULL in their key: those never
     match and are added each time. It is not atomic: until it ends, a reader can see a moved row twice or miss a partition
-    that is being replaced. The names of the touched partitions come to the driver; more than ``most_partitions``
-    raise an error, as the table is then cut too fine for this.
+    that is being replaced. The names of the touched partitions come to the driver, where they prune the read; more than
+    ``most_partitions`` are written as a table and joined instead, which reads the whole table.
     """
     spark = batch.sparkSession
     rows_move = partition not in keys if rows_move is None else rows_move
@@ -163,12 +163,11 @@ def upsert_partitions(
     if rows_move:
         lying = target.join(listed, keys, "left_semi").select(partition, F.lit(False).alias("in_batch"))
         places = places.union(lying)
-    found = places.groupBy(partition).agg(F.max("in_batch")).limit(most_partitions + 1).collect()
-    if len(found) > most_partitions:
-        raise ValueError(f"the batch touches more than {most_partitions} partitions of {path}")
-    touched = {r[0]: r[1] for r in found}
+    touched = materialise(places.groupBy(partition).agg(F.max("in_batch").alias("in_batch")), "upsert-touched")
+    found = touched.limit(most_partitions + 1).collect()
+    names = None if len(found) > most_partitions else [r[0] for r in found]
     staged = scratch(spark, "upsert-stage")
-    replace_keys(target.filter(_is_one_of(F.col(partition), list(touched))), batch, listed).write.parquet(staged)
+    replace_keys(_within(target, partition, touched, names), batch, listed).write.parquet(staged)
     fresh = spark.read.parquet(staged)
     (
         fresh.write.mode("overwrite")
@@ -176,12 +175,14 @@ def upsert_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
-    left = [value for value, in_batch in touched.items() if not in_batch]
-    if left:
-        filled = {r[0] for r in fresh.filter(_is_one_of(F.col(partition), left)).select(partition).distinct().collect()}
-        emptied = [value for value in left if value not in filled]
-        if emptied:
-            _drop_partitions(read_partitions(spark, path, partition, kind).filter(_is_one_of(F.col(partition), emptied)))
+    left = touched.filter(~F.col("in_batch"))
+    if names is None or any(not r[1] for r in found):
+        filled = fresh.select(F.col(partition).alias("__touched")).distinct()
+        emptied = left.join(filled, F.col(partition).eqNullSafe(F.col("__touched")), "left_anti")
+        emptied = materialise(emptied, "upsert-emptied")
+        gone = None if names is None else [r[0] for r in emptied.collect()]
+        if not emptied.isEmpty():
+            _drop_partitions(_within(read_partitions(spark, path, partition, kind), partition, emptied, gone))
 
 
 # The schema lies beside the data, under a name that Spark passes over, so that no upsert has to read every footer.
@@ -220,6 +221,14 @@ def _is_one_of(column: Column, values: list) -> Column:
     return hit | column.isNull() if len(known) < len(values) else hit
 
 
+def _within(target: DataFrame, partition: str, touched: DataFrame, names: list | None) -> DataFrame:
+    """The rows of ``target`` in the partitions that ``touched`` lists, by their names if these are at hand."""
+    if names is not None:
+        return target.filter(_is_one_of(F.col(partition), names))
+    listed = touched.select(F.col(partition).alias("__touched"))
+    return target.join(listed, F.col(partition).eqNullSafe(F.col("__touched")), "left_semi")
+
+
 def read_partitions(spark: SparkSession, path: str, partition: str, kind: T.DataType) -> DataFrame | None:
     """A partitioned table with the columns of all its files, or None if it has none yet.
 

@@ -389,6 +389,25 @@ def test_partitioned_upsert_moves_rows(spark, tmp_path, part):
     assert rows(spark.read.parquet(path).filter("k = 4"), "v") == [("W",)]
 
 
+def test_partitioned_upsert_of_more_partitions_than_are_listed(spark, tmp_path):
+    """Rows that move, a partition left empty, the NULL one and an untouched one, all the same as by list."""
+
+    def upserted(path, most):
+        frame = lambda *data: spark.createDataFrame(data, "k long, v string, p string")
+        old = [(k, "old", f"p{k:02}") for k in range(8)] + [(8, "old", "p07"), (9, "old", None), (10, "old", None)]
+        publish.upsert_partitions(frame(*old), path, ["k"], "p")
+        kept = {f.name for f in (tmp_path / path.split("/")[-1]).rglob("*.parquet") if "p=p06" in str(f)}
+        new = frame((0, "new", "p00"), (1, "new", "p02"), (7, "new", "p03"), (9, "new", "p04"), (11, "new", "p05"), (12, "new", None))
+        publish.upsert_partitions(new, path, ["k"], "p", most_partitions=most)
+        folders = {f.name for f in (tmp_path / path.split("/")[-1]).glob("p=*")}
+        assert kept <= {f.name for f in (tmp_path / path.split("/")[-1]).rglob("*.parquet")} and "p=p01" not in folders
+        return rows(spark.read.parquet(path), "k", "v", "p")
+
+    got = upserted(str(tmp_path / "joined"), 2)
+    assert got == upserted(str(tmp_path / "listed"), 100)
+    assert len(got) == 13 and sum(r[1] == "new" for r in got) == 6
+
+
 @pytest.mark.parametrize("name, writer", [("src_landed_default", "land_raw"), ("dml_first_wins", "write_csv"), ("dml_enrich_last_wins", "write_csv")])
 def test_queries_write_whole_tables_in_several_files(spark, monkeypatch, name, writer):
     """With the same rows as out of one file."""
