@@ -1,8 +1,8 @@
 import hashlib
 
 import pytest
-from conftest import SEED, make_raw, rows
 from pyspark.sql import functions as F
+from seedstar import SEED, make_raw, rows
 
 from starloom.operators import checks as C
 from starloom.operators import health as H

@@ -3,9 +3,9 @@
 import json
 from collections import Counter
 
-from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from seedstar import rows
 
 from starloom.operators import dml
 from starloom.operators import expectations as X

@@ -2,10 +2,10 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import SEED, make_raw, rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from seedstar import SEED, make_raw, rows
 
 from starloom.operators import dml
 from starloom.operators import checks as C
