@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import re
+import zlib
 
 URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
 
@@ -141,3 +142,79 @@ def components(docs):
     for i, (d, _) in enumerate(sets):
         least[root(i)].append(d)
     return [(d, len(s), min(least[root(i)], key=lambda x: (x is None, x))) for i, (d, s) in enumerate(sets)]
+
+
+def planted_words(doc_id, text):
+    w = words(text)
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    g = h // 10
+    if doc_id is None or h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def runs(w, exponent=4, least=6):
+    """(start, length, period) of the runs, by trying every distance at every place."""
+    found = {}
+    for p in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + p < len(w):
+            j = i
+            while j + p < len(w) and w[j] == w[j + p]:
+                j += 1
+            if j + p - i >= max(exponent * p, least):
+                found.setdefault((i, j + p - i), p)
+            i = max(j, i + 1)
+    return sorted((start, length, p) for (start, length), p in found.items())
+
+
+def collapsed(w, found):
+    gone = {i for start, length, p in found for i in range(start + p, start + length)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def line_key(line):
+    return lower(line.strip("\x20\x09\x0a\x0b\x0c\x0d"))
+
+
+def dedup_lines(docs, least=20, documents=3):
+    """docs: pairs of id and text; per row the lines, how many go, and the text that stays."""
+    holders = collections.defaultdict(set)
+    for d, text in docs:
+        for line in (text or "").split("\n"):
+            if d is not None and len(line_key(line)) >= least:
+                holders[line_key(line)].add(d)
+    out = []
+    for d, text in docs:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if d is None or len(h := holders.get(line_key(x), ())) < documents or d == max(h)]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def divergences(docs, min_docs=3, top=200):
+    """docs: lang, source, text."""
+    groups, df = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for lang, source, text in docs:
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", lower(text))
+        groups[lang or "", source or ""].update(terms)
+        df[lang or ""].update(set(terms))
+    out = []
+    for lang, seen in df.items():
+        kept = [t for t, n in seen.items() if n >= min_docs]
+        own = {s: c for (x, s), c in groups.items() if x == lang}
+        total = collections.Counter()
+        for c in own.values():
+            total.update(c)
+        share = lambda c, t: 1 + 10**9 * (c[t] + 1) // (sum(c[x] for x in kept) + len(kept))
+        p = {s: {t: share(c, t) for t in kept} for s, c in own.items()}
+        whole = {t: share(total, t) for t in kept}
+        f = lambda x, q: (x - q) ** 2 // q
+        for s in own:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode()) for o in own if o != s]
+            terms = [(-f(p[s][t], whole[t]), t.encode()) for t in kept if own[s][t] and p[s][t] > whole[t]]
+            for part, rows in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item.decode(), -v, i + 1) for i, (v, item) in enumerate(rows)]
+    return out

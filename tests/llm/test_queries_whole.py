@@ -34,7 +34,7 @@ def crc(doc_id):
 
 def test_all_are_registered():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op") and n[2].isdigit()]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 def test_op1(spark, docs):
