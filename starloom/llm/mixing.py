@@ -7,18 +7,21 @@ meeting. So a source misses its target by at most half of the one document that
 other blocks, level by level, in a reduction tree until one is left per source. Blocks hold about ``BLOCK`` rows
 whatever the size of a source, so a source with most of the rows is spread over as many tasks as it fills.
 
-Random numbers are hashes of ids and a seed, so reruns agree. Rows with the same id, source and size are one unit in
-the rounding and get the same copies. Null texts have size 0 and are taken 0 words; a null id is an id of its own, a
+Random numbers are hashes of ids and a seed, so reruns agree. Rows with the same id, source and size are one unit: the
+fractions of all its rows are added up, the whole part of the sum is shared out as one copy more to so many of the rows, and the
+rest is rounded like that of a single row. So repeated rows can differ by a copy. Null texts have size 0 and are taken 0 words; a null id is an id of its own, a
 null source a source of its own. Further columns pass through.
 """
 
 from __future__ import annotations
 
+from itertools import chain, count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.numbering import dense_ids
 from starloom.llm.tables import materialise, temporary
+from starloom.operators.numbering import dense_ids, place_within, sorted_slices
 
 BLOCK, MOST = 128, 3
 # Doubles carry this much error in a sum of fractions; what is nearer to 0 or 1 counts as whole.
@@ -157,24 +160,46 @@ def copies_of(sized: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
         ratio = F.when(F.abs(ratio - near) < EPSILON, near).otherwise(ratio)
         split = [F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p")]
         aimed = materialise(aimed.select(F.col("source").alias("of"), "source_size", "target", *split), "targets", lasting=True)
-        units = sized.filter(F.col("id.size") > 0).select("id").distinct()
+        units = sized.filter(F.col("id.size") > 0).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
         fractions = units.join(aimed, F.col("id.source").eqNullSafe(F.col("of")))
-        fractions = fractions.select(F.col("id.source").alias("source"), "id", "p")
-        up = round_up(fractions, seed).select(F.col("id").alias("chosen"), F.lit(1).alias("extra"))
-        return aimed, materialise(up, "chosen", lasting=True)
+        mass = F.col("n") * F.col("p")
+        sure = F.floor(mass + EPSILON)  # rows of the unit that get a copy more in any case
+        fractions = fractions.select(F.col("id.source").alias("source"), "id", "n", sure.alias("sure"), F.greatest(mass - sure, F.lit(0.0)).alias("p"))
+        up = round_up(fractions.select("source", "id", "p"), seed).select("id", F.lit(1).alias("n"), F.lit(1).cast("long").alias("extra"))
+        repeated = fractions.filter("n > 1").select("id", "n", F.col("sure").alias("extra"))
+        extra = up.unionByName(repeated).groupBy("id").agg(F.max("n").alias("n"), F.sum("extra").alias("extra"))
+        extra = extra.filter("extra > 0").select(F.col("id").alias("chosen"), "n", "extra")
+        return aimed, materialise(extra, "chosen", lasting=True)
+
+
+def _turns(partly: DataFrame) -> DataFrame:
+    """Numbers in ``turn`` the rows of each unit, of which only some get a copy more. Equal rows are told apart by a mark, so
+    that no unit has to be in one task."""
+    content = F.xxhash64(F.to_json(F.struct("row")))
+    marked = materialise(partly.select("*", content.alias("content"), F.monotonically_increasing_id().alias("mark")), "marked")
+    unit = ["unit_doc", "unit_source", "unit_size"]
+    return place_within(sorted_slices(marked, [*unit, "content", "mark"]), turn=unit).select(*partly.columns, "turn")
 
 
 def _with_copies(sized: DataFrame, aimed: DataFrame, chosen: DataFrame) -> DataFrame:
-    placed = sized.join(aimed, F.col("id.source").eqNullSafe(F.col("of")))
+    unit = [F.col(f"id.{x}").alias(f"unit_{x}") for x in ("doc", "source", "size")]
+    placed = sized.select("row", *unit).join(aimed, F.col("unit_source").eqNullSafe(F.col("of")))
+    chosen = chosen.select(*[F.col(f"chosen.{x}").alias(f"chosen_{x}") for x in ("doc", "source", "size")], "n", "extra")
     same = (
-        F.col("id.doc").eqNullSafe(F.col("chosen.doc"))
-        & F.col("id.source").eqNullSafe(F.col("chosen.source"))
-        & (F.col("id.size") == F.col("chosen.size"))
+        F.col("unit_doc").eqNullSafe(F.col("chosen_doc"))
+        & F.col("unit_source").eqNullSafe(F.col("chosen_source"))
+        & (F.col("unit_size") == F.col("chosen_size"))
     )
-    copies = F.when(F.col("id.size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0))).otherwise(F.lit(0))
-    columns = ["row", F.col("id.size").alias("size"), "source_size", "target", copies.cast("long").alias("copies")]
     # The chosen grow with the documents, so they are sorted and merged at every size and never broadcast.
-    return placed.join(chosen.hint("merge"), same, "left").select(*columns)
+    told = placed.join(chosen.hint("merge"), same, "left")
+    if chosen.filter("extra < n").isEmpty():
+        told = told.withColumn("turn", F.lit(1).cast("long"))
+    else:
+        some = F.coalesce(F.col("extra") < F.col("n"), F.lit(False))
+        told = told.filter(~some).withColumn("turn", F.lit(1).cast("long")).unionByName(_turns(told.filter(some)))
+    more = F.coalesce(F.col("turn") <= F.col("extra"), F.lit(False)).cast("int")
+    copies = F.when(F.col("unit_size") > 0, F.col("whole") + more).otherwise(F.lit(0))
+    return told.select("row", F.col("unit_size").alias("size"), "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def mix(
@@ -187,7 +212,8 @@ def mix(
 
 
 def copied(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0) -> DataFrame:
-    """Each row of ``docs`` as often as the mix takes it, with a further column ``copy`` from 1.
+    """Each row of ``docs`` as often as the mix takes it, with a further column ``copy`` from 1 (``mix_copy`` where that
+    name is taken, then ``mix_copy_2`` and so on; capitals make no other name).
 
     The sizes are written out without the texts and counted again for the result.
     """
@@ -197,5 +223,6 @@ def copied(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: s
         found = [materialise(x, "mix", lasting=True) for x in copies_of(sized, seed)]
     taken = _with_copies(units, *found).filter(F.col("copies") > 0)
     times = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-    name = "copy" if "copy" not in docs.columns else "mix_copy"
-    return times.select("row.*", F.col("copy").alias(name))
+    names = chain(["copy", "mix_copy"], (f"mix_copy_{i}" for i in count(2)))
+    taken_names = {c.lower() for c in docs.columns}
+    return times.select("row.*", F.col("copy").alias(next(n for n in names if n not in taken_names)))

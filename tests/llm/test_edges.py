@@ -194,6 +194,24 @@ def test_mixing(spark, edge, empty):
     assert {r.copies for r in mixing.mix(bare).collect()} == {0}
 
 
+def test_repeated_rows_weigh_what_they_are(spark):
+    """Fifty copies of one row, a third of a source beside single rows of another: every source meets its target."""
+    docs = [(1, "w " * 100, "en", "s1")] * 50 + [(i, "w " * 100, "en", "s1") for i in range(2, 52)]
+    docs += [(i, "w " * 90, "en", "s2") for i in range(100, 150)] + [(200, "v " * 70, "en", None)] * 7 + [(None, "w " * 10, "en", "s2")] * 5
+    for mixed in (mixing.mix(documents(spark, docs)), mixing.mix(documents(spark, docs).repartition(3))):
+        rows = mixed.select("row.source", "size", "target", "copies").collect()
+        assert len(rows) == len(docs)
+        for source in ("s1", "s2", None):
+            own = [r for r in rows if r.source == source]
+            assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own) / 2 + 1e-6
+    copies = mixing.copied(documents(spark, docs))
+    assert copies.columns[-1] == "mix_copy"
+    taken = copies.groupBy("source").agg(F.sum(F.size(F.split("text", " ")) - 1).alias("n"))
+    assert {r["source"]: r["n"] for r in taken.collect()} == {s: sum(r["size"] * r["copies"] for r in rows if r.source == s) for s in ("s1", "s2", None)}
+    clashing = documents(spark, docs[:3]).withColumnRenamed("copy", "Copy").withColumnRenamed("h", "MIX_copy")
+    assert mixing.copied(clashing).columns == [*clashing.columns, "mix_copy_2"]
+
+
 def test_pivotal_rounding_keeps_the_words(spark):
     rows = [("s", (str(i), "s", 5 + i % 7), 0.3) for i in range(2000)]
     units = spark.createDataFrame(rows, "source string, id struct<doc:string,source:string,size:bigint>, p double")
