@@ -1,15 +1,14 @@
 """Weak supervision over quality rules: rules vote or abstain, and expectation-maximisation weighs them.
 
-Each rule looks at one statistic of a text and says good, bad or nothing. Rules that measure the same trouble are of one
-kind. A text can be bad in each kind, whatever it is in the others, and is good if it is bad in none: so praise for few
-symbols does not outweigh blame for shouting, and two rules on one trouble do not outvote the rest.
+Each rule looks at one statistic of a text and praises, blames, blames clearly, or says nothing. What a vote is worth is not
+known; it is estimated from how the rules agree over the whole table. Texts are good or of one of several kinds of bad, and
+each class has its own shares of votes for every rule. The classes are what makes rules depend on each other: rules on the same
+trouble agree on texts of its class, so that two of them count for more than one, and rules on other troubles are a
+little worse there than on good texts. A text is kept if the posterior probability of the good class is at least one half: a
+single weak blame is outvoted by praise, a clear one or two together are not, as far as the table bears that out. A
+trouble that the table hardly shows keeps what its rules begin with, whose weight grows with the table.
 
-How often a rule is right, on texts bad in its kind and on all others, is not known; it is estimated from how the rules of
-a kind agree over the whole table. The two differ: a rule finds nothing wrong with many bad texts, but hardly ever blames a
-good one, so its blame weighs more than its praise. A kind that the table hardly shows keeps the accuracies it begins
-with, whose weight grows with the table. The estimate needs only the number of rows per combination of votes, at most 3 to
-the power of the number of rules, and each round is one aggregate over that small table. A text is kept if the posterior
-probability that it is good is at least one half.
+Spark counts the patterns of votes, which are bounded by the number of rules; the estimate works on these counts alone.
 
 Null and empty texts have no words: all rules abstain, and the base rejects them. Null ids, repeated
 rows and further columns pass through unchanged. An empty table gives an empty result.
@@ -20,6 +19,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,125 +77,131 @@ def statistics(text: Column) -> Column:
     return let(words_of(held), of_words)
 
 
+PRAISE, BLAME, CLEAR = 1, 0, -1  # votes; null abstains
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad if ``bad`` holds, else good if ``good`` holds, else abstains; also where either is null."""
+    """Blames clearly if ``clear`` holds, else blames if ``bad`` holds, else praises if ``good`` holds, else abstains; a
+    condition on something null does not hold."""
 
     name: str
+    clear: Column
     bad: Column
     good: Column
 
     def vote(self) -> Column:
-        return F.when(self.bad, F.lit(0)).when(self.good, F.lit(1))
+        return F.when(self.clear, F.lit(CLEAR)).when(self.bad, F.lit(BLAME)).when(self.good, F.lit(PRAISE))
 
 
 def default_rules(stats: str = "stats") -> list[Rule]:
-    """Rules on the statistics in the struct column ``stats``; each can blame texts that pass the base.
-
-    Symbols are counted by one rule alone: the words they are in, and the letters that are missing for them, tell the same.
-    """
+    """Rules on the statistics in the struct column ``stats``; each can blame texts that pass the base."""
     s = lambda name: F.col(f"{stats}.{name}")
     per_word = lambda name: s(name) / F.nullif(s("n_words"), F.lit(0))
     per_line = lambda name: s(name) / F.nullif(s("n_lines"), F.lit(0))
     per_char = lambda c: c / F.nullif(s("word_chars"), F.lit(0))
     some, many = s("n_words") >= 10, s("n_words") >= 50
-    others = per_char(s("word_chars") - s("n_letters") - s("n_symbols"))
-    capitals, duplicates = per_char(s("n_capitals")), per_line("n_dup_lines")
+    high = lambda name, c, clear, bad, good, where=some: Rule(name, where & (c >= clear), where & (c >= bad), where & (c <= good))
+    low = lambda name, c, clear, bad, good, where=some: high(name, -c, -clear, -bad, -good, where)
+    letters, length = per_char(s("n_letters")), per_word("word_chars")
     return [
-        Rule("symbols", per_word("n_symbols") >= 0.1, some & (s("n_symbols") == 0)),
-        Rule("letters", some & (others > 0.3), some & (others <= 0.1)),
-        Rule("duplicate_lines", duplicates >= 0.4, (s("n_lines") >= 2) & (duplicates <= 0.05)),
-        Rule("short_lines", some & (per_line("n_words") < 2), some & (per_line("n_words") >= 4)),
-        Rule("variety", many & (per_word("n_distinct_words") < 0.2), many & (per_word("n_distinct_words") > 0.4)),
-        Rule("doubled_words", some & (per_word("n_doubled_words") > 0.15), some & (per_word("n_doubled_words") <= 0.05)),
-        Rule("capitals", some & (capitals > 0.3), some & (capitals < 0.1)),
-        Rule("exclamations", some & (per_word("n_exclamations") > 0.3), some & (s("n_exclamations") == 0)),
-        Rule("word_length", some & ~(per_word("word_chars")).between(2.5, 10), per_word("word_chars").between(3.5, 7)),
+        high("symbols", per_word("n_symbols"), 0.3, 0.05, 0.0),
+        low("letters", letters, 0.7, 0.9, 0.94),
+        high("duplicate_lines", per_line("n_dup_lines"), 0.4, 0.2, 0.05, s("n_lines") >= 2),
+        high("repeats", per_word("n_repeat_words"), 0.17, 0.12, 0.05),
+        low("variety", per_word("n_distinct_words"), 0.25, 0.5, 0.6, many),
+        high("doubled_words", per_word("n_doubled_words"), 0.15, 0.04, 0.02),
+        high("capitals", per_char(s("n_capitals")), 0.25, 0.05, 0.03),
+        high("exclamations", per_word("n_exclamations"), 0.3, 0.05, 0.0),
+        Rule("word_length", some & ~length.between(2.5, 10), some & ~length.between(3.8, 7.2), length.between(4.2, 6.5)),
     ]
 
 
-# Which rules measure the same trouble.
+# Which rules look for the same trouble, each on another statistic.
 KINDS = {
-    "symbols": ("symbols",),
-    "letters": ("letters",),
-    "lines": ("duplicate_lines", "short_lines"),
+    "symbols": ("symbols", "letters"),
+    "repetition": ("duplicate_lines", "repeats"),
     "variety": ("variety", "doubled_words"),
     "shouting": ("capitals", "exclamations"),
-    "words": ("word_length",),
+    "words": ("word_length", "letters"),
 }
+GOOD = "good"
+
+# Where the estimates begin: the share of good texts, and how often a vote is praise, blame or clear blame on a good text, on one
+# in whose kind of trouble the rule is, and on one in other trouble, which tends to be less neat than a good one.
+START_GOOD = 0.7
+START = {"good": (0.965, 0.034, 0.001), "own": (0.3, 0.35, 0.35), "other": (0.95, 0.042, 0.008)}
+# What these beginnings are worth, as shares of the rows: how often good texts are blamed, and the classes' sizes, are hard to tell
+# from blame that nothing corroborates; what the rules do in a class of bad texts is not.
+SIZES_WORTH, GOOD_WORTH, BAD_WORTH, PSEUDO = 1.0, 0.3, 0.02, 10.0
 
 
 @dataclass(frozen=True)
 class VoteModel:
-    """For each kind its rules and the share of texts not bad in it; for each rule, how often its votes are right on these
-    and on the others."""
-
-    kinds: dict[str, tuple[str, ...]]
-    priors: dict[str, float]
-    accuracy: dict[str, tuple[float, float]]
-
-    @property
-    def prior(self) -> float:
-        """The share of good texts."""
-        return math.prod(self.priors.values())
-
-    def not_bad(self, kind: str) -> Column:
-        """Probability that a row with vote columns of these names is not bad in ``kind``. Abstaining says nothing."""
-        odds = F.lit(math.log(self.priors[kind] / (1 - self.priors[kind])))
-        for name in self.kinds[kind]:
-            on_good, on_bad = self.accuracy[name]
-            praise, blame = math.log(on_good / (1 - on_bad)), math.log((1 - on_good) / on_bad)
-            odds = odds + F.when(F.col(name) == 1, praise).when(F.col(name) == 0, blame).otherwise(0.0)
-        return 1 / (1 + F.exp(-odds))
-
-    def posterior(self) -> Column:
-        """Probability that a row is good, which is to be bad in no kind."""
-        chance = F.lit(1.0)
-        for kind in self.kinds:
-            chance = chance * self.not_bad(kind)
-        return chance
+    """The share of each class of texts, and for each class and rule how often a vote is praise, blame or clear blame."""
 
+    shares: dict[str, float]
+    votes: dict[str, dict[str, tuple[float, float, float]]]
 
-# Where the estimates begin, each worth as much as this share of the rows, and as this many rows at least.
-START, SHARE, PSEUDO = (0.995, 0.3), 0.02, 10.0
+    def posterior(self) -> Column:
+        """Probability that a row with vote columns of these names is good. Abstaining says nothing."""
+        logs = []
+        for name, share in self.shares.items():
+            log = F.lit(math.log(share))
+            for rule, odds in self.votes[name].items():
+                vote = F.col(rule)
+                told = F.when(vote == PRAISE, math.log(odds[0])).when(vote == BLAME, math.log(odds[1])).when(vote == CLEAR, math.log(odds[2]))
+                log = log + F.coalesce(told, F.lit(0.0))
+            logs.append(log)
+        good = list(self.shares).index(GOOD)
+        total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(F.least(x - a[good], F.lit(700.0))))
+        return let(F.array(*logs), lambda a: 1 / total(a))
+
+
+def begin(names: list[str], kinds: dict[str, tuple[str, ...]]) -> VoteModel:
+    """The model before any row is seen."""
+    shares = {GOOD: START_GOOD} | dict.fromkeys(kinds, (1 - START_GOOD) / max(len(kinds), 1))
+    votes = {GOOD: dict.fromkeys(names, START["good"])}
+    votes |= {kind: {n: START["own" if n in members else "other"] for n in names} for kind, members in kinds.items()}
+    return VoteModel(shares, votes)
+
+
+def estimate(patterns: np.ndarray, counts: np.ndarray, names: list[str], kinds: dict[str, tuple[str, ...]], rounds: int = 200) -> VoteModel:
+    """Expectation-maximisation from rows of votes (one column per name, 2 for abstaining) and how often each occurs."""
+    first = begin(names, kinds)
+    classes = list(first.shares)
+    share = share0 = np.array([first.shares[c] for c in classes])
+    table = table0 = np.array([[first.votes[c][n] for n in names] for c in classes])  # class, rule, vote
+    cast = np.stack([patterns == v for v in (PRAISE, BLAME, CLEAR)], 2).astype(float)  # pattern, rule, vote
+    total = counts.sum()
+    if not total:
+        return first
+    worth = np.array([max(PSEUDO, (GOOD_WORTH if c == GOOD else BAD_WORTH) * total) for c in classes])[:, None, None]
+    for _ in range(rounds):
+        log = np.log(share) + np.einsum("prv,crv->pc", cast, np.log(table))
+        belongs = np.exp(log - log.max(1, keepdims=True))
+        belongs *= (counts / belongs.sum(1))[:, None]
+        new_share = (belongs.sum(0) + SIZES_WORTH * total * share0) / (total * (1 + SIZES_WORTH))
+        seen = np.einsum("pc,prv->crv", belongs, cast)
+        new_table = (seen + worth * table0) / (seen.sum(2, keepdims=True) + worth)
+        moved = max(np.abs(new_share - share).max(), np.abs(new_table - table).max())
+        share, table = new_share, new_table
+        if moved < 1e-7:
+            break
+    votes = {c: {n: tuple(map(float, table[i, j])) for j, n in enumerate(names)} for i, c in enumerate(classes)}
+    return VoteModel(dict(zip(classes, map(float, share), strict=True)), votes)
 
 
-def fit(votes: DataFrame, names: list[str], kinds: dict[str, tuple[str, ...]] | None = None, rounds: int = 50) -> VoteModel:
-    """Expectation-maximisation over the vote columns ``names``, which are of one kind unless ``kinds`` divides them.
+def fit(votes: DataFrame, names: list[str], kinds: dict[str, tuple[str, ...]] | None = None) -> VoteModel:
+    """Estimates from the vote columns ``names``; ``kinds`` names the classes of bad texts, one if not given.
 
-    The start takes rules to blame hardly any good text, which also tells the good class from the bad one.
+    Spark counts the patterns of votes, in one aggregate. They are at most 4 to the power of the number of rules, whatever the
+    size of the table, and only they come to the driver, where the rounds are small matrix products.
     """
-    patterns = materialise(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("rows")), "votes")
-    kinds = kinds or {"bad": tuple(names)}
-    model = VoteModel(kinds, dict.fromkeys(kinds, 1 - 0.2 / len(kinds)), dict.fromkeys(names, START))
-    clip = lambda x, low, high: min(max(x, low), high)
-    for _ in range(rounds):
-        total = lambda x: F.sum(F.col("rows") * x)
-        sums = [F.sum("rows").alias("all")]
-        for kind, members in kinds.items():
-            good = model.not_bad(kind)
-            sums.append(total(good).alias(f"good_{kind}"))
-            for name in members:
-                for vote, says in ((1, "praise"), (0, "blame")):
-                    is_cast = (F.col(name).eqNullSafe(F.lit(vote))).cast("int")
-                    sums += [total(good * is_cast).alias(f"{says}_good_{name}"), total((1 - good) * is_cast).alias(f"{says}_bad_{name}")]
-        got = patterns.agg(*sums).first()
-        if not got["all"]:
-            return model
-        weight, accuracy = max(PSEUDO, SHARE * got["all"]), {}
-        for name in names:
-            right = [got[f"praise_good_{name}"], got[f"blame_bad_{name}"]]
-            wrong = [got[f"blame_good_{name}"], got[f"praise_bad_{name}"]]
-            seen = [(r + weight * s) / (r + w + weight) for r, w, s in zip(right, wrong, START, strict=True)]
-            on_good = clip(seen[0], 0.5, 0.9995)
-            # Blame never speaks for a text.
-            accuracy[name] = (on_good, clip(seen[1], max(0.01, 1 - on_good), 0.9995))
-        new = VoteModel(kinds, {k: clip(got[f"good_{k}"] / got["all"], 0.02, 0.98) for k in kinds}, accuracy)
-        moved = max(abs(x - y) for n in names for x, y in zip(new.accuracy[n], model.accuracy[n], strict=True))
-        model = new
-        if moved < 1e-5:
-            break
-    return model
+    found = votes.groupBy(*names).agg(F.count(F.lit(1)).alias("rows")).collect()
+    found.sort(key=lambda r: [(x is None, x) for x in r])  # sums do not depend on the order of tasks
+    patterns = np.array([[2 if r[n] is None else r[n] for n in names] for r in found], int).reshape(len(found), len(names))
+    return estimate(patterns, np.array([r["rows"] for r in found], float), names, kinds or {"bad": tuple(names)})
 
 
 def _voted(counted: DataFrame) -> DataFrame:
@@ -204,8 +210,8 @@ def _voted(counted: DataFrame) -> DataFrame:
 
 def _judged(voted: DataFrame, model: VoteModel, threshold: float) -> DataFrame:
     quality = model.posterior()
-    votes = F.struct(*model.accuracy).alias("votes")
-    return voted.select("row", "stats", votes, quality.alias("quality"), (quality >= threshold).alias("good"))
+    votes = F.struct(*model.votes[GOOD]).alias("votes")
+    return voted.select("row", "stats", votes, quality.alias("quality")).withColumn("good", F.col("quality") >= threshold)
 
 
 def _counted(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
@@ -218,7 +224,7 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None, th
     """``docs`` as a struct ``row`` (of the columns ``keep``, default all), with ``stats``, ``votes``,
     ``quality`` (the posterior) and ``good`` (whether that reaches ``threshold``).
 
-    Texts are counted once; what follows reads the written counts. The accuracies are estimated on the texts that pass the
+    Texts are counted once; what follows reads the written counts. The votes' worth is estimated on the texts that pass the
     base, as the others are out in any case and would stand for all that is bad.
     """
     counted = _counted(docs, text, docs.columns if keep is None else keep)
@@ -235,13 +241,12 @@ def base_failed(stats: str = "stats") -> Column:
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that pass the base and the vote, with their columns.
 
-    Only the votes are written out to fit the model; counting the texts again costs less than writing them.
+    Nothing is written out to fit the model; counting the texts again costs less than writing them.
     """
     rules = default_rules()
     counted = _counted(docs, text, docs.columns)
     with temporary(docs.sparkSession):
         votes = counted.filter(~base_failed()).select(*[r.vote().alias(r.name) for r in rules])
-        votes = materialise(votes, "votes-cast")
         model = fit(votes, [r.name for r in rules], KINDS)
     judged = _judged(_voted(counted), model, threshold)
     return judged.filter(~base_failed() & F.col("good")).select("row.*")

@@ -218,3 +218,14 @@ def divergences(docs, min_docs=3, top=200):
             for part, rows in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
                 out += [(lang, s, part, item.decode(), -v, i + 1) for i, (v, item) in enumerate(rows)]
     return out
+
+
+def posterior(votes, shares, tables):
+    """Chance of the class "good" by Bayes' rule; votes by rule, 1, 0, -1 or None."""
+    chance = {}
+    for c, share in shares.items():
+        chance[c] = share
+        for rule, vote in votes.items():
+            if vote is not None:
+                chance[c] *= tables[c][rule][1 - vote]
+    return chance["good"] / sum(chance.values())

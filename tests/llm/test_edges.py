@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names, and hot groups, in small tables."""
 
+import itertools
 import random
 
 import brute
@@ -77,28 +78,59 @@ def test_rules(spark, edge, empty):
     assert quality_rules.keep_good(empty).collect() == []
 
 
-def test_votes_find_the_bad_rule(spark):
-    """One rule votes at random; the others agree. It loses its weight, and abstaining changes nothing."""
-    rng = random.Random(1)
-    rows = []
-    for _ in range(1000):
-        truth = rng.random() < 0.7
-        votes = [int(truth if rng.random() < 0.95 else not truth) for _ in range(3)]
-        rows.append((*votes, rng.randint(0, 1), None))
-    df = spark.createDataFrame(rows, "a int, b int, c int, noise int, silent int")
-    model = quality_rules.fit(df, ["a", "b", "c", "noise", "silent"])
-    assert min(min(model.accuracy[x]) for x in "abc") > 0.85
-    assert sum(model.accuracy["noise"]) == pytest.approx(1, abs=0.1)
-    assert abs(model.prior - 0.7) < 0.1 and model.accuracy["silent"] == pytest.approx(quality_rules.START)
-
-
-def test_blame_outweighs_praise(spark):
-    """Two rules know the bad texts and the others praise every text; one of those errs now and then on good ones."""
-    rows = [(1, 1, 1, 1, 1)] * 900 + [(0, 0, 1, 1, 1)] * 76 + [(0, 1, 1, 1, 1)] * 2 + [(1, 1, 0, 1, 1)] * 20 + [(None,) * 5] * 2
-    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
-    model = quality_rules.fit(df, list("abcde"))
-    good = df.withColumn("good", model.posterior() >= 0.5)
-    assert good.filter("good and (a = 1 or a is null)").count() == 922 and good.filter("good and a = 0 and b = 0").count() == 0
+def drawn_votes(rng, shares, tables, n):
+    """Rows of votes of the given classes; every tenth vote is withheld."""
+    classes, rows = list(shares), []
+    for _ in range(n):
+        table = tables[rng.choices(classes, [shares[c] for c in classes])[0]]
+        rows.append(tuple(None if rng.random() < 0.1 else rng.choices([1, 0, -1], odds)[0] for odds in table.values()))
+    return rows
+
+
+def test_what_votes_are_worth_is_recovered(spark):
+    """Two kinds of bad texts with rules that overlap, and a rule that votes at random in every class."""
+    clean, noise = (0.97, 0.025, 0.005), (0.5, 0.3, 0.2)
+    own, sure = (0.1, 0.5, 0.4), (0.05, 0.25, 0.7)
+    shares = {"good": 0.6, "x": 0.2, "y": 0.2}
+    tables = {
+        "good": dict.fromkeys("abcd", clean) | {"noise": noise},
+        "x": {"a": own, "b": sure, "c": clean, "d": clean, "noise": noise},
+        "y": {"a": clean, "b": clean, "c": own, "d": sure, "noise": noise},
+    }
+    rows = drawn_votes(random.Random(4), shares, tables, 20000)
+    kinds = {"x": ("a", "b"), "y": ("c", "d")}
+    model = quality_rules.fit(spark.createDataFrame(rows, "a int, b int, c int, d int, noise int"), [*"abcd", "noise"], kinds)
+    for c, table in tables.items():
+        assert model.shares[c] == pytest.approx(shares[c], abs=0.06)
+        for rule, odds in table.items():
+            # The beginnings are worth 400 rows, beside some 4,000 of a class, and 6,000 beside 12,000 good ones.
+            assert model.votes[c][rule] == pytest.approx(odds, abs=0.2 if rule == "noise" else 0.1)
+
+
+def test_posterior_is_the_plain_one(spark):
+    kinds = {"x": ("a", "b"), "y": ("b", "c")}
+    model = quality_rules.fit(spark.createDataFrame([(1, 1, 1)] * 90 + [(0, -1, 1)] * 8 + [(1, None, 0)] * 2, "a int, b int, c int"), list("abc"), kinds)
+    every = list(itertools.product([1, 0, -1, None], repeat=3))
+    rows = spark.createDataFrame(every, "a int, b int, c int").withColumn("p", model.posterior()).collect()
+    for r in rows:
+        assert r.p == pytest.approx(brute.posterior({n: r[n] for n in "abc"}, model.shares, model.votes))
+    nothing = quality_rules.fit(spark.createDataFrame([], "a int, b int, c int"), list("abc"), kinds)
+    assert nothing == quality_rules.begin(list("abc"), kinds)
+
+
+def test_one_weak_blame_is_outvoted_and_two_are_not(spark):
+    """On a table of mostly good texts, of which rules blame one in thirty for no reason."""
+    rng = random.Random(6)
+    names = ["a", "b", "c", "d", "e"]
+    kinds = {"x": ("a", "b"), "y": ("c", "d")}
+    rows = [tuple(rng.choices([1, 0], [29, 1])[0] for _ in names) for _ in range(2000)]
+    rows += [(0, -1, 1, 1, 1), (-1, 0, 1, 1, 1), (-1, -1, 1, 1, 1), (1, 1, -1, -1, 1)] * 30
+    model = quality_rules.fit(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)), names, kinds)
+    judge = lambda *votes: brute.posterior(dict(zip(names, votes, strict=True)), model.shares, model.votes)
+    assert judge(1, 1, 1, 1, 1) > 0.9
+    assert judge(0, 1, 1, 1, 1) > 0.5 and judge(1, 1, 1, 0, 1) > 0.5
+    assert judge(0, 0, 1, 1, 1) < 0.5 and judge(1, 1, 0, 0, 1) < 0.5
+    assert judge(-1, None, 1, 1, 1) < 0.5
 
 
 @pytest.mark.parametrize("n", [240, 1200])
@@ -127,9 +159,8 @@ def test_each_trouble_is_enough(spark, n):
     assert not kept & set(range(n, n + n // 12)) and len(kept) >= 0.99 * n
     base = quality_rules.judge(df).select("row.doc_id", quality_rules.base_failed().alias("failed"), "votes").collect()
     assert not any(r.failed for r in base)
-    # Every rule that is not planted praises or abstains, so that one kind alone rejects.
-    blamed = {r.doc_id: {k for k, v in r.votes.asDict().items() if v == 0} for r in base}
-    assert blamed[n + n // 12] == {"capitals"} and blamed[n + n // 12 + 4] == {"variety"}
+    blamed = {r.doc_id: {k for k, v in r.votes.asDict().items() if v is not None and v < 1} for r in base}
+    assert blamed[n + n // 12] == {"capitals"} and "variety" in blamed[n + n // 12 + 4]
 
 
 URLS = [None, "", "no scheme", "http://", "https://A.Example.ORG/es/x?y#z", "http://example.org/es", "ftp://notexample.org/en/1",

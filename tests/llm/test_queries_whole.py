@@ -10,6 +10,7 @@ import brute
 import pytest
 
 import __spark_entry__
+from starloom.llm import quality_rules
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = __spark_entry__.queries()
@@ -112,6 +113,16 @@ def test_op6(spark, docs):
     quality = {r.doc_id: r.quality for r in table(spark, "labels")}
     good = [r for r in got if quality.get(r.doc_id) == 1 and not r.base_failed]
     assert sum(r.kept for r in good) >= 0.95 * len(good)
+    # The verdict is Bayes' rule on the votes, with what fits the votes of the texts that pass the base.
+    judged = quality_rules.judge(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    votes = {r.doc_id: r.votes.asDict() for r in judged.select("row.doc_id", "votes").collect()}
+    passed = [votes[r.doc_id] for r in got if not r.base_failed]
+    names = list(passed[0])
+    cast = spark.createDataFrame([tuple(v.values()) for v in passed], ", ".join(f"{n} int" for n in names))
+    model = quality_rules.fit(cast, names, quality_rules.KINDS)
+    for r in got:
+        p = brute.posterior(votes[r.doc_id], model.shares, model.votes)
+        assert r.quality == pytest.approx(p) and r.kept == (not r.base_failed and p >= 0.5)
 
 
 def test_op7(spark, docs):
