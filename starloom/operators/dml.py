@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -88,6 +90,8 @@ def insert_with_ids(
     """
     coded = batch.filter(F.col(code).isNotNull()).withColumn(code, F.col(code).cast(dim.schema[code].dataType))
     added = first_per_key(coded.drop(id_), code, order).join(dim.select(code), code, "left_anti")
+    if added.isEmpty():
+        return dim
     numbered = dense_ids(added, [code], id_, _largest(dim, id_) + 1)
     return dim.unionByName(
         numbered.withColumn(id_, F.col(id_).cast(dim.schema[id_].dataType)), allowMissingColumns=True
@@ -111,44 +115,81 @@ def resolve_ids(df: DataFrame, dim: DataFrame, code: str, id_: str) -> DataFrame
     return df.join(dim.select(code, id_), code, "left").drop(code)
 
 
+UNIT = "load_unit"
+
+
+def fresh_unit() -> str:
+    """A name for a load that was given none, so that nothing it brings can take the place of what another load brought."""
+    return f"load-{uuid.uuid4().hex}"
+
+
 def load_facts(
-    observations: DataFrame, target: DataFrame | None = None, key: list[str] | None = None, prune: str = "period_id"
+    observations: DataFrame,
+    target: DataFrame | None = None,
+    key: list[str] | None = None,
+    prune: str = "period_id",
+    reserve: Callable[[int], int] | None = None,
 ) -> DataFrame:
     """Observations with their ids, ready to be upserted by ``observation_id``.
 
     One business key may own several rows; ``copy_no`` numbers them by value. Loads are told apart by the column
-    ``load_unit`` (one unit if there is no such column): unit, key and ``copy_no`` identify a fact. So loading a unit again
+    ``load_unit``: unit, key and ``copy_no`` identify a fact. So loading a unit again
     changes nothing, a corrected value replaces the old one wherever the key owns a single row of the unit, and a
-    fact that came with another unit is never touched. Known facts keep their id, new ones are numbered on from the
-    largest in use in the order of key and ``copy_no``.
+    fact that came with another unit is never touched. Without that column a load into a ``target`` is a unit of its own and
+    only adds. Known facts keep their id, new ones are numbered on from the largest in use in the order of key and
+    ``copy_no``; or from what ``reserve`` answers to their number, where several loads may run at once.
 
-    Of ``target`` only the values of ``prune`` that the batch has are read, which skips partitions where it is partitioned so.
+    Of ``target`` only the units and the values of ``prune`` that the batch has are read, which skips partitions where it is
+    partitioned so. A unit that is not there yet is numbered without a join, and of one that has not changed nothing is sorted.
     """
     key = key or FACT_KEY
-    unit = "load_unit"
-    if unit not in observations.columns:
-        observations = observations.withColumn(unit, F.lit(None).cast("string"))
-    full = [*key, unit]
-    columns = ["observation_id", *key, "copy_no", "value", unit]
+    if UNIT not in observations.columns:
+        observations = observations.withColumn(UNIT, F.lit(None if target is None else fresh_unit()).cast("string"))
+    full = [*key, UNIT]
+    columns = ["observation_id", *key, "copy_no", "value", UNIT]
     # Equal rows are told apart by a count, which also keeps them together until they are spread again.
     same = observations.groupBy(*full, "value").agg(F.count(F.lit(1)).alias("__n"))
+    stored = None
+    if target is not None:
+        target = target if UNIT in target.columns else target.withColumn(UNIT, F.lit(None).cast("string"))
+        stored = matching(target, observations, UNIT)
+        stored = None if stored.isEmpty() else matching(stored, observations, prune)
+    if stored is not None and _unchanged(same, stored, full):
+        return observations.sparkSession.createDataFrame([], target.select(*[c for c in columns if c in target.columns]).schema)
     slices = sorted_slices(repeat_rows(same, "__n", "__i").drop("__n"), [*full, "value", "__i"])
-    if target is None:
-        return place_within(slices, observation_id=[], copy_no=full).select(*columns)
+    if stored is None:
+        first = 1 if target is None and reserve is None else _first_id(slices, target, reserve)
+        numbered = place_within(slices, observation_id=[], copy_no=full)
+        return numbered.withColumn("observation_id", F.col("observation_id") + (first - 1)).select(*columns)
     rows = place_within(slices, copy_no=full)
-    if unit not in target.columns:
-        target = target.withColumn(unit, F.lit(None).cast("string"))
     fact = F.struct(*[F.col(c) for c in [*full, "copy_no"]]).alias("__fact")
-    ids = _matching(target, observations, prune).select(fact, "observation_id")
+    ids = stored.select(fact, "observation_id")
     wanted = rows.select(*full, "copy_no", "value", fact)
     matched = materialise(wanted.join(ids, "__fact", "left").drop("__fact"), "facts")
     known = matched.filter(F.col("observation_id").isNotNull())
     new = matched.filter(F.col("observation_id").isNull()).drop("observation_id")
-    first = _largest(target, "observation_id") + 1
+    if new.isEmpty():
+        return known.select(*columns)
+    first = _first_id(new, target, reserve)
     return known.unionByName(dense_ids(new, [*full, "copy_no"], "observation_id", first)).select(*columns)
 
 
-def _matching(target: DataFrame, batch: DataFrame, column: str, most: int = 1000) -> DataFrame:
+def _first_id(new: DataFrame, target: DataFrame | None, reserve: Callable[[int], int] | None) -> int:
+    if reserve is not None:
+        return reserve(new.count())
+    return 1 + (0 if target is None else _largest(target, "observation_id"))
+
+
+def _unchanged(same: DataFrame, stored: DataFrame, full: list[str]) -> bool:
+    """Whether the stored facts of each key in the batch are those of the batch, by a fold of hashes of values and counts."""
+    have = stored.groupBy(*full, "value").agg(F.count(F.lit(1)).alias("__n"))
+    both = same.withColumn("__new", F.lit(True)).unionByName(have.withColumn("__new", F.lit(False)))
+    fold = lambda side: F.bit_xor(F.when(side, F.xxhash64("value", "__n")))
+    keys = both.groupBy(*full).agg(fold(F.col("__new")).alias("now"), fold(~F.col("__new")).alias("then"))
+    return keys.filter(F.col("now").isNotNull() & ~F.col("now").eqNullSafe(F.col("then"))).isEmpty()
+
+
+def matching(target: DataFrame, batch: DataFrame, column: str, most: int = 1000) -> DataFrame:
     """The rows of ``target`` with a value of ``column`` that occurs in the batch, as a list the scan can prune by; all of
     them for a column that is not there or has more than ``most`` values in the batch."""
     if column not in target.columns or column not in batch.columns:

@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 from starloom.functions import code_prefix, sex_code
 
 
+# The fields of an item as they were landed.
+READ = ["SpatialDim", "TimeDim", "Dim1", "NumericValue"]
+
+
 def typed_observations(items: DataFrame) -> DataFrame:
-    """Items with typed fields and an ``outcome``: accept, drop (no value) or reject (unusable)."""
+    """Items with typed fields, an ``outcome`` (accept, drop where there is no value, or reject as unusable), and in ``read``
+    the fields as they were, with their ``file`` if the reader was asked for it."""
     value, year = F.col("NumericValue").try_cast("double"), F.col("TimeDim").try_cast("long")
+    file = F.col("file") if "file" in items.columns else F.lit(None).cast("string")
     typed = items.select(
         "indicator_code",
         F.col("SpatialDim").alias("country_code"),
         year.alias("year"),
         sex_code("Dim1").alias("sex_code"),
         value.alias("value"),
+        F.struct(*[F.col(c).cast("string").alias(c) for c in READ], file.alias("file")).alias("read"),
         _outcome(value, year).alias("outcome"),
     )
     return typed
@@ -31,10 +38,10 @@ def _outcome(value: Column, year: Column) -> Column:
 
 
 def valid_observations(typed: DataFrame) -> DataFrame:
-    return typed.filter(F.col("outcome") == "accept").drop("outcome")
+    return typed.filter(F.col("outcome") == "accept").drop("outcome", "read")
 
 
-REJECT_DDL = "indicator_code STRING, country_code STRING, year BIGINT, sex_code STRING, value DOUBLE, reason STRING"
+REJECT_DDL = "indicator_code STRING, SpatialDim STRING, TimeDim STRING, Dim1 STRING, NumericValue STRING, file STRING, reason STRING"
 
 
 def rejected_observations(typed: DataFrame) -> DataFrame:
@@ -42,11 +49,12 @@ def rejected_observations(typed: DataFrame) -> DataFrame:
 
 
 def rejects_of(typed: DataFrame, known: DataFrame) -> DataFrame:
-    """Every item with a value that cannot be loaded, with the reason: a field is missing or unreadable, or its indicator is
-    not among the ``known`` ones."""
+    """Every item with a value that cannot be loaded, as it was read, with the reason: a field is missing or unreadable,
+    or its indicator is not among the ``known`` ones."""
     unusable = rejected_observations(typed).withColumn("reason", F.lit("unusable field"))
-    stray = valid_observations(typed).join(known.select("indicator_code"), "indicator_code", "left_anti")
-    return unusable.unionByName(stray.withColumn("reason", F.lit("unknown indicator")))
+    accepted = typed.filter(F.col("outcome") == "accept").drop("outcome")
+    stray = accepted.join(known.select("indicator_code"), "indicator_code", "left_anti").withColumn("reason", F.lit("unknown indicator"))
+    return unusable.unionByName(stray).select("indicator_code", "read.*", "reason")
 
 
 def indicators_in(dim: DataFrame, category: str) -> DataFrame:

@@ -18,7 +18,7 @@ from starloom.plans.registry import query
 from starloom.plans.testdata import event_number, event_raw, event_sex, table
 from starloom.schemas import CHECK_DDL, DIMENSION_ITEM, SEX_ROWS
 from starloom.session import scratch
-from starloom.sinks import files, publish
+from starloom.sinks import commits, files, publish
 from starloom.sources import envelopes as E
 from starloom.sources import tables as S
 
@@ -480,7 +480,7 @@ def dml_load_facts(spark, sf):
 )
 def dml_reload_facts(spark, sf):
     """A load without clicks, then the whole payload: known facts keep their ids, clicks are numbered on."""
-    observations = _observations(spark, sf)
+    observations = _observations(spark, sf).withColumn("load_unit", F.lit(None).cast("string"))
     base = scratch(spark, "facts")
     publish.publish(dml.load_facts(observations.filter("indicator_id <> 1")), base)
     known = publish.current(spark, base)
@@ -529,6 +529,30 @@ def dml_atomic_publish(spark, sf):
     return publish.current(spark, base)
 
 
+@query(
+    """select event_id, case event_type when 'error' then 'view' else event_type end event_type,
+              case when event_type = 'signup' then "value" + 1000 else "value" end as "value", partitions
+       from events, (select count(distinct event_type) - 1 as partitions from events)"""
+)
+def dml_commit_upsert(spark, sf):
+    """Signups get new values and errors become views in one commit; one that began from the state before it is refused."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    base, kind = scratch(spark, "commits"), F.col("event_type")
+    before = commits.commit_upsert(events, base, ["event_id"], "event_type")
+    batch = events.filter(kind.isin("signup", "error")).select(
+        "event_id",
+        F.when(kind == "error", "view").otherwise(kind).alias("event_type"),
+        F.when(kind == "signup", F.col("value") + 1000).otherwise(F.col("value")).alias("value"),
+    )
+    after = commits.commit_upsert(batch, base, ["event_id"], "event_type", at=before)
+    late = events.filter("event_type = 'click'").withColumn("value", F.lit(0.0))
+    try:
+        commits.commit_upsert(late, base, ["event_id"], "event_type", at=before)
+    except commits.Overtaken:
+        return commits.read_commit(spark, base).withColumn("partitions", F.lit(len(after.folders)).cast("long"))
+    raise AssertionError("a commit from an old state was not refused")
+
+
 @query(
     """select event_id, case event_type when 'error' then 'view' else event_type end event_type,
               case when event_type = 'signup' then "value" + 1000 else "value" end as "value"

@@ -14,7 +14,7 @@ from starloom.sinks.files import land_raw
 from starloom.sources.envelopes import envelope_schema, unpack
 from starloom.streaming.landing import ingest_available, landed_stream, upsert_available
 
-FIRST, SECOND = datetime(2024, 1, 31, 6), datetime(2024, 2, 1, 6)
+FIRST, SECOND, THIRD = datetime(2024, 1, 31, 6), datetime(2024, 2, 1, 6), datetime(2024, 2, 2, 6)
 
 
 @query("select event_id, event_type, case event_type when 'error' then '20240201_060000' else '20240131_060000' end ingest_ts from events")
@@ -107,3 +107,36 @@ def str_corrupt_lines(spark, sf):
     rows = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("keys"))
     broken = spark.read.parquet(rejects).agg(F.count("record").alias("n"), F.lit(None).cast("long").alias("keys"))
     return rows.select(F.lit("row").alias("kind"), "n", "keys").unionByName(broken.select(F.lit("reject").alias("kind"), "n", "keys"))
+
+
+@query(
+    """select case event_type when 'signup' then 'reject' else 'row' end kind, count(*) n,
+              cast(sum(case when event_type <> 'signup' then event_id end) as bigint) keys
+       from events group by 1"""
+)
+def str_type_errors(spark, sf):
+    """Landed lines of which some have a text for a number, in a column that the transform drops: rejects all the same."""
+    value = F.when(F.col("event_type") == "signup", F.lit("many")).otherwise(F.col("value").cast("string"))
+    number = F.regexp_replace(F.to_json(F.struct("event_id", "event_type", value.alias("value"))), '"value":"([0-9.eE+-]+)"', '"value":$1')
+    base, out, rejects = (scratch(spark, name) for name in ("land", "typed-out", "typed-rejects"))
+    table(spark, sf, "events").select(number.alias("line")).write.text(f"{base}/ingest_ts=20240131_060000")
+    stream = landed_stream(spark, base, struct("event_id BIGINT, event_type STRING, value DOUBLE"), rejects=True)
+    ingest_available(stream, out, scratch(spark, "typed-state"), lambda landed: landed.select("event_id"), rejects=rejects)
+    rows = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("keys"))
+    broken = spark.read.parquet(rejects).agg(F.count("record").alias("n"), F.lit(None).cast("long").alias("keys"))
+    return rows.select(F.lit("row").alias("kind"), "n", "keys").unionByName(broken.select(F.lit("reject").alias("kind"), "n", "keys"))
+
+
+@query(
+    """select event_id, event_type, case when event_id % 10 = 3 then "value" + 1000 else "value" end as "value" from events"""
+)
+def str_upsert_in_place(spark, sf):
+    """The partition is part of the key, so corrections that come before or after what they correct read only their own."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    base, out, state = (scratch(spark, name) for name in ("land", "place-out", "place-state"))
+    corrected = events.filter("event_id % 10 = 3").withColumn("value", F.col("value") + 1000)
+    for ts, rows in ((SECOND, corrected.filter("event_type <> 'view'")), (FIRST, events), (THIRD, corrected.filter("event_type = 'view'"))):
+        land_raw(rows, base, "events", ts)
+        stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
+        upsert_available(stream, out, state, ["event_id", "event_type"], "event_type")
+    return spark.read.parquet(out).select("event_id", "event_type", "value")

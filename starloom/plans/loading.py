@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.dml import assign_ids, enrich, insert_with_ids, load_facts, resolve_ids, upsert, with_copy_no
+from starloom.operators.dml import UNIT, assign_ids, enrich, fresh_unit, insert_with_ids, load_facts, resolve_ids, upsert
 from starloom.operators.ingest import indicators_in, rejects_of, typed_observations, valid_observations
 from starloom.schemas import RAW_DDL, SEX_ROWS, stored_schema
 from starloom.session import materialise
+from starloom.sinks.commits import Overtaken, Snapshot, commit_upsert, read_commit, reserve_ids, snapshot
 from starloom.sources.tables import literal_rows
 
 
@@ -47,6 +49,16 @@ def load_dimensions(raw: Mapping[str, DataFrame], categorized: DataFrame) -> dic
     }
 
 
+# What a folder name cannot hold, beside what it would end at.
+_UNSAFE = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{}\[\]^]")
+
+
+def _keep_rejects(rejected: DataFrame, folder: str, unit: str) -> None:
+    """As Parquet, one subfolder per unit; those of a unit that is loaded again replace what it had."""
+    name = _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", unit)
+    rejected.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{UNIT}={name}")
+
+
 def load_observations(
     raw: Mapping[str, DataFrame],
     items: DataFrame,
@@ -58,35 +70,118 @@ def load_observations(
 
     Only items of known indicators are taken, of one ``category`` if given. Every lookup is one join for all
     rows. ``unit`` names what is loaded, such as a landing: loading the same unit again changes nothing, another unit only
-    adds. Items that cannot be loaded are added as Parquet under the folder ``rejects``, one subfolder per unit.
+    adds. A load without a unit is one of its own, so its facts and its rejects come in addition to all there are.
+    Items that cannot be loaded are added as Parquet under the folder ``rejects``, one subfolder per unit.
     """
+    unit = unit or fresh_unit()
+    dims, loaded = _load(raw, items, category, unit, rejects)
+    known = raw["fact_observations"]
+    if UNIT not in known.columns or known.filter(F.col(UNIT) == unit).isEmpty():
+        facts = known.unionByName(loaded, allowMissingColumns=True)
+    else:
+        facts = upsert(known, loaded, ["observation_id"])
+    return dict(raw) | dims | {"fact_observations": facts}
+
+
+def _load(
+    raw: Mapping[str, DataFrame],
+    items: DataFrame,
+    category: str | None,
+    unit: str,
+    rejects: str | None,
+    reserve: Callable[[int], int] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The dimensions with what the items bring, and the facts that are new or corrected."""
     typed = materialise(typed_observations(items), "typed")
     if rejects is not None:
-        known = raw["dim_indicators"]
-        rejects_of(typed, known).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/load_unit={unit or 'none'}")
+        _keep_rejects(rejects_of(typed, raw["dim_indicators"]), rejects, unit)
     indicators = raw["dim_indicators"] if category is None else indicators_in(raw["dim_indicators"], category)
     wanted = indicators.select("indicator_id", "indicator_code")
-    valid = materialise(valid_observations(typed).join(wanted, "indicator_code"), "observations")
+    valid = valid_observations(typed).join(wanted, "indicator_code")
+    # One pass over the items for the codes of all three dimensions.
+    codes = materialise(valid.select("country_code", "year", "sex_code").distinct(), "codes")
+    named = {"dim_locations": ("country_code", "location_id"), "dim_periods": ("year", "period_id"), "dim_sex": ("sex_code", "sex_id")}
+    dims, keyed = {}, valid
+    for name, (code, id_) in named.items():
+        after = assign_ids(codes.select(code).distinct(), raw[name], code, id_)
+        dims[name] = after if after is raw[name] else materialise(after, name)
+        keyed = resolve_ids(keyed, dims[name], code, id_)
+    loaded = load_facts(keyed.withColumn(UNIT, F.lit(unit)), raw["fact_observations"], reserve=reserve)
+    return dims, materialise(loaded, "loaded")
+
+
+FACTS = "fact_observations"
+DIMENSIONS = {"dim_indicators": "indicator_id", "dim_locations": "location_id", "dim_periods": "period_id", "dim_sex": "sex_id"}
+
+
+def stored_raw(spark: SparkSession, base: str, unit: str | None = None) -> tuple[dict[str, DataFrame], dict[str, Snapshot]]:
+    """The raw tables under ``base`` and the commits they come from; of the facts those of one ``unit`` if given."""
+    seen = {name: snapshot(spark, f"{base}/{name}") for name in RAW_DDL}
+    raw = {
+        name: empty_raw(spark)[name]
+        if not at.number
+        else read_commit(spark, f"{base}/{name}", at, [unit] if unit is not None and name == FACTS else None)
+        for name, at in seen.items()
+    }
+    return raw, seen
 
-    locations = materialise(
-        assign_ids(valid.select("country_code"), raw["dim_locations"], "country_code", "location_id"), "locations"
-    )
-    periods = materialise(assign_ids(valid.select("year"), raw["dim_periods"], "year", "period_id"), "periods")
-    sex = materialise(assign_ids(valid.select("sex_code"), raw["dim_sex"], "sex_code", "sex_id"), "sex")
 
-    keyed = resolve_ids(valid, locations, "country_code", "location_id")
-    keyed = resolve_ids(keyed, periods, "year", "period_id")
-    keyed = resolve_ids(keyed, sex, "sex_code", "sex_id").withColumn("load_unit", F.lit(unit).cast("string"))
-    known = raw["fact_observations"]
-    if "copy_no" not in known.columns or not known.filter(F.col("copy_no").isNull()).isEmpty():
-        known = with_copy_no(known.drop("copy_no"))
-    facts = upsert(known, materialise(load_facts(keyed, known), "loaded"), ["observation_id"])
-    return dict(raw) | {
-        "dim_locations": locations,
-        "dim_periods": periods,
-        "dim_sex": sex,
-        "fact_observations": facts,
-    }
+def store_dimensions(spark: SparkSession, base: str, categorized: DataFrame, tries: int = 5) -> None:
+    """:func:`load_dimensions` into the tables under ``base``."""
+
+    def once() -> None:
+        raw, seen = stored_raw(spark, base)
+        _commit_dimensions(base, raw, load_dimensions(raw, categorized), seen)
+
+    _until_first(once, tries)
+
+
+def store_observations(
+    spark: SparkSession,
+    base: str,
+    items: DataFrame,
+    category: str | None = None,
+    unit: str | None = None,
+    rejects: str | None = None,
+    tries: int = 5,
+) -> str:
+    """:func:`load_observations` into the tables under ``base``; returns the unit.
+
+    Facts are partitioned by unit, so a load reads and writes those of its own unit and no others, and its cost goes with the
+    batch. Ids of facts are reserved, and a dimension that another load changed meanwhile is read again: loads that
+    run at once get distinct ids and lose nothing.
+    """
+    unit = unit or fresh_unit()
+
+    def once() -> DataFrame:
+        raw, seen = stored_raw(spark, base, unit)
+        dims, loaded = _load(raw, items, category, unit, rejects, lambda n: reserve_ids(spark, f"{base}/_ids", n))
+        _commit_dimensions(base, raw, dims, seen)
+        return loaded
+
+    loaded = _until_first(once, tries)
+    if not loaded.isEmpty():
+        # Other loads add other units: what was computed stays right, whichever commit comes first.
+        _until_first(lambda: commit_upsert(loaded, f"{base}/{FACTS}", ["observation_id"], UNIT, rows_move=False), tries)
+    return unit
+
+
+def _commit_dimensions(base: str, raw: Mapping[str, DataFrame], after: Mapping[str, DataFrame], seen: Mapping[str, Snapshot]) -> None:
+    for name, id_ in DIMENSIONS.items():
+        if name not in after or after[name] is raw[name]:
+            continue
+        added = after[name].join(raw[name].select(id_), id_, "left_anti").select(*after[name].columns)
+        if not added.isEmpty():
+            commit_upsert(added, f"{base}/{name}", [id_], at=seen[name])
+
+
+def _until_first(attempt: Callable, tries: int):
+    for left in reversed(range(tries)):
+        try:
+            return attempt()
+        except Overtaken:
+            if not left:
+                raise
 
 
 def enrich_locations(raw: Mapping[str, DataFrame], lookup: DataFrame) -> dict[str, DataFrame]:

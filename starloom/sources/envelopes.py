@@ -107,14 +107,18 @@ def _observation_schema(partition: str, corrupt: bool) -> T.StructType:
 
 
 def read_observations(
-    spark: SparkSession, path: str | list[str], multi_line: bool = False, partition: str = "indicator_code"
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, partition: str = "indicator_code", file: str | None = None
 ) -> DataFrame:
-    """Observation items with the indicator they belong to; a malformed envelope raises an error.
+    """Observation items with the indicator they belong to; a malformed envelope raises an error. ``file`` names a column for
+    the file an item comes from.
 
     The payload does not name its indicator, so it comes from the folder ``indicator_code=<code>/`` the
     envelope was landed in. Fields stay text; see :func:`starloom.operators.ingest.typed_observations`.
     """
-    return unpack(_read_json(spark, path, _observation_schema(partition, False), multi_line, "FAILFAST"), partition)
+    envelopes = _read_json(spark, path, _observation_schema(partition, False), multi_line, "FAILFAST")
+    if file is None:
+        return unpack(envelopes, partition)
+    return unpack(envelopes.withColumn(file, F.col("_metadata.file_path")), partition, file)
 
 
 def read_observations_and_rejects(

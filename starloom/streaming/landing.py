@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.dml import any_null, latest_per_key
+from starloom.operators.dml import any_null, latest_per_key, matching
 from starloom.session import materialise
 from starloom.sinks.publish import read_partitions, upsert_partitions
 from starloom.sources.envelopes import CORRUPT, is_broken
@@ -41,15 +41,16 @@ def ingest_available(
 ) -> None:
     """Append everything that has landed since the last run to the Parquet folder ``out``, then stop.
 
-    Malformed lines of a stream made with ``rejects`` go to that folder, in a stream with a checkpoint of its own.
+    Malformed lines, also those malformed only in a column that ``transform`` drops, of a stream made with ``rejects`` go to that folder, in a stream with a checkpoint of its own.
     """
     good = stream
     if CORRUPT in stream.columns:
         if rejects is None:
             raise ValueError("the stream keeps malformed lines; name a folder for them")
-        broken = stream.filter(is_broken([c for c in stream.columns if c not in (CORRUPT, "ingest_ts")])).select("ingest_ts", F.col(CORRUPT).alias("record"))
-        _append(broken, rejects, f"{checkpoint}/rejects")
-        good = stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        # Both sides ask for every column of the file, so that a line is broken, or not, for both.
+        broken = is_broken([c for c in stream.columns if c not in (CORRUPT, "ingest_ts")])
+        _append(stream.filter(broken).select("ingest_ts", F.col(CORRUPT).alias("record")), rejects, f"{checkpoint}/rejects")
+        good = stream.filter(~broken).drop(CORRUPT)
     _append(good if transform is None else transform(good), out, f"{checkpoint}/rows")
 
 
@@ -64,6 +65,16 @@ def _append(rows: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def overtaken_keys(latest: DataFrame, target: DataFrame, keys: list[str], partition: str, latest_by: str) -> DataFrame:
+    """The keys of a micro-batch of which the table has a later landing.
+
+    Where the partition is part of the key, only the partitions of the batch can have them, and no other is read.
+    """
+    near = matching(target, latest, partition) if partition in keys else target
+    stored = near.select(*keys, F.col(latest_by).alias("__stored"))
+    return latest.join(stored, keys).filter(F.col("__stored") > F.col(latest_by)).select(*keys).distinct()
+
+
 def upsert_available(
     stream: DataFrame,
     table: str,
@@ -96,9 +107,8 @@ def upsert_available(
         target = read_partitions(spark, table, partition, latest.schema[partition].dataType)
         if target is not None and latest_by in target.columns:
             latest = materialise(latest, "latest")
-            stored = target.select(*keys, F.col(latest_by).alias("__stored"))
-            overtaken = latest.join(stored, keys).filter(F.col("__stored") > F.col(latest_by)).select(*keys)
-            latest = latest.join(materialise(overtaken.distinct(), "overtaken"), keys, "left_anti")
+            overtaken = overtaken_keys(latest, target, keys, partition, latest_by)
+            latest = latest.join(materialise(overtaken, "overtaken"), keys, "left_anti")
         upsert_partitions(latest, table, keys, partition, rows_move)
 
     query = (

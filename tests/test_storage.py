@@ -5,6 +5,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from seedstar import SEED, make_raw, rows
 
 from starloom.operators import dml
@@ -24,7 +25,7 @@ from starloom.sinks import files, publish
 from starloom.sources import envelopes as E
 from starloom.sources import tables as S
 from starloom.sources.manifest import read_manifest
-from starloom.streaming.landing import ingest_available, landed_stream, upsert_available
+from starloom.streaming.landing import ingest_available, landed_stream, overtaken_keys, upsert_available
 
 
 def save(tmp_path, name, value):
@@ -290,8 +291,8 @@ def test_dense_ids_continue(spark):
 
 
 def test_facts_keep_their_ids(spark, small_slices):
-    ddl = "indicator_id long, location_id long, period_id long, sex_id long, value double"
-    first = [(1, 1, 1, None, 5.0), (1, 1, 1, None, 5.0), (1, 1, 1, None, 3.0), (1, 2, 1, 1, 9.0)]
+    ddl = "indicator_id long, location_id long, period_id long, sex_id long, value double, load_unit string"
+    first = [(1, 1, 1, None, 5.0, "u"), (1, 1, 1, None, 5.0, "u"), (1, 1, 1, None, 3.0, "u"), (1, 2, 1, 1, 9.0, "u")]
     loaded = dml.load_facts(spark.createDataFrame(first, ddl))
     assert rows(loaded, "observation_id", "sex_id", "copy_no", "value") == [
         (1, None, 1, 3.0),
@@ -302,9 +303,12 @@ def test_facts_keep_their_ids(spark, small_slices):
     base = scratch(spark, "test-facts")
     publish.publish(loaded, base)
     stored = publish.current(spark, base)
-    assert rows(dml.load_facts(spark.createDataFrame(first, ddl), stored)) == rows(stored)
+    assert rows(dml.load_facts(spark.createDataFrame(first, ddl), stored)) == []
+    # Without a unit a load is one of its own, and only adds.
+    more = dml.load_facts(spark.createDataFrame(first, ddl).drop("load_unit"), stored)
+    assert rows(more, "observation_id", "value") == [(5, 3.0), (6, 5.0), (7, 5.0), (8, 9.0)]
     # A corrected value replaces the only row of its key, and a new key comes after the largest id.
-    second = [(1, 2, 1, 1, 8.0), (0, 1, 1, 1, 1.0)]
+    second = [(1, 2, 1, 1, 8.0, "u"), (0, 1, 1, 1, 1.0, "u")]
     merged = dml.upsert(stored, dml.load_facts(spark.createDataFrame(second, ddl), stored), ["observation_id"])
     assert rows(merged, "observation_id", "indicator_id", "value")[3:] == [(4, 1, 8.0), (5, 0, 1.0)]
     numbered = dml.with_copy_no(stored.drop("copy_no"))
@@ -318,7 +322,7 @@ def test_loading_files_twice_changes_nothing(spark, tmp_path):
     base = scratch(spark, "test-load")
 
     def load(raw):
-        loaded = load_observations(load_dimensions(raw, listed), items, "AIR")
+        loaded = load_observations(load_dimensions(raw, listed), items, "AIR", unit="landing")
         return {name: publish.current(spark, publish.publish(df, f"{base}/{name}").rsplit("/", 1)[0]) for name, df in loaded.items()}
 
     once = load(empty_raw(spark))
@@ -586,3 +590,26 @@ def test_lineage(spark, tmp_path):
     assert L.lineage_gate(bare).first()["status"] == "fail"
     old = {"nodes": manifest["nodes"] | manifest["sources"]}
     assert L.lineage_nodes(read_manifest(spark, save(tmp_path, "old.json", old))).count() == 3
+
+
+def test_a_line_is_a_row_or_a_reject(spark, tmp_path):
+    """Malformed in a column that the transform drops."""
+    base = tmp_path / "land"
+    save(tmp_path, "land/ingest_ts=20240101_000000/a.json", '{"id":1,"v":5}\n{"id":2,"v":"bad"}\n{"id":3\n{"id":null,"v":null}\n')
+    stream = landed_stream(spark, str(base), struct("id BIGINT, v BIGINT"), rejects=True)
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    ingest_available(stream, out, str(tmp_path / "state"), lambda landed: landed.select("id"), rejects=rejects)
+    assert rows(spark.read.parquet(out)) == sorted([(1,), (None,)], key=repr)
+    assert rows(spark.read.parquet(rejects), "record") == [('{"id":2,"v":"bad"}',), ('{"id":3',)]
+
+
+def test_a_micro_batch_reads_its_partitions_only(spark):
+    path = scratch(spark, "test-near")
+    publish.upsert_partitions(spark.createDataFrame([(i, "abc"[i % 3], "2") for i in range(9)], "k long, p string, ingest_ts string"), path, ["k", "p"], "p")
+    target = publish.read_partitions(spark, path, "p", T.StringType())
+    batch = spark.createDataFrame([(0, "a", "1"), (3, "a", "3"), (1, "c", "1")], "k long, p string, ingest_ts string")
+    found = overtaken_keys(batch, target, ["k", "p"], "p", "ingest_ts")
+    assert rows(found) == [(0, "a")]
+    assert "PartitionFilters: [isnotnull(p" in (plan := found._jdf.queryExecution().toString()) or "PartitionFilters: [p" in plan
+    moved = overtaken_keys(batch, target, ["k"], "p", "ingest_ts")
+    assert rows(moved) == [(0,), (1,)]
