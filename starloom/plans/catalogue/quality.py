@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.operators import checks as C
+from starloom.operators import diff as D
 from starloom.operators import expectations as X
 from starloom.operators import health as H
+from starloom.operators import history as Y
 from starloom.operators import reconcile as R
 from starloom.operators.contracts import MART_CONTRACTS, RAW_CONTRACTS, Contract, validate_all
 from starloom.plans.analytics import volumes
@@ -14,6 +16,7 @@ from starloom.plans.marts import build_marts, build_star
 from starloom.plans.registry import query
 from starloom.plans.staging import build_staging
 from starloom.plans.testdata import TABLES, event_raw, sales_raw, table
+from starloom.session import scratch
 
 REPORT = ["layer", "table", "check", "column", "status", "observed"]
 
@@ -553,3 +556,82 @@ def health_overall(spark, sf):
     marts = build_star(raw).tables
     report = H.volume_checks(spark, "raw", list(raw), raw).unionByName(H.volume_checks(spark, "mart", list(marts), marts))
     return H.health_overall(report.unionByName(H.reference_checks(spark, marts)))
+
+
+# --- differences by row, and runs over time ----------------------------------------------------------------
+
+
+@query(
+    """select o_orderkey, 'changed' status, 'o_orderpriority,o_totalprice' columns from orders where o_orderkey between 500 and 900 and o_orderkey % 7 = 0
+       union all select o_orderkey, 'changed', 'o_totalprice' from orders where o_orderkey between 500 and 900 and o_orderkey % 7 = 1
+       union all select o_orderkey, 'missing', '' from orders where o_orderkey between 500 and 900 and o_orderkey % 7 = 2
+       union all select o_orderkey + 1000000000, 'surplus', '' from orders where o_orderkey between 500 and 900 and o_orderkey % 7 = 3"""
+)
+def rec_diff(spark, sf):
+    """Orders against a copy that went wrong in one stretch of keys: changed, missing and surplus ids, and what changed."""
+    orders = table(spark, sf, "orders")
+    rest = F.when(F.col("o_orderkey").between(500, 900), F.col("o_orderkey") % 7)
+    copy = orders.withColumn("rest", rest).filter("rest is null or rest <> 2")
+    priority = F.when(F.col("rest") == 0, F.lit(None)).otherwise(F.col("o_orderpriority"))
+    price = F.when(F.col("rest").isin(0, 1), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = copy.withColumns({"o_orderpriority": priority, "o_totalprice": price})
+    added = copy.filter("rest = 3").withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000)
+    found = D.diff_rows(orders, copy.unionByName(added).drop("rest"), "o_orderkey")
+    return found.withColumn("columns", F.array_join(F.array_sort("columns"), ","))
+
+
+def _daily_runs(spark, sf):
+    """A history of daily row counts per event type, in which most clicks of one day and all signups after the 22nd are lost."""
+    day, kind = F.to_date("ts"), F.col("event_type")
+    lost = ((kind == "click") & (day == "2024-01-20") & (F.col("event_id") % 10 > 0)) | ((kind == "signup") & (day > "2024-01-22"))
+    counts = table(spark, sf, "events").filter(~lost).groupBy(day.cast("timestamp_ntz").alias("run_at"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    text = lambda value: F.lit(value).cast("string")
+    report = counts.select(
+        *[F.lit(v).alias(n) for n, v in (("layer", "raw"), ("check", "exists"), ("status", "pass"))],
+        F.col("event_type").alias("table"), text(None).alias("column"), text(None).alias("detail"),
+        F.col("n").cast("double").alias("observed"), *[F.lit(None).cast("double").alias(c) for c in ("expected_min", "expected_max")], "run_at",
+    )
+    path = scratch(spark, "runs")
+    for part in ("run_at < '2024-01-16'", "run_at >= '2024-01-16'"):
+        Y.append_run(report.filter(part), path, F.col("run_at"))
+    return Y.read_history(spark, path)
+
+
+_RUNS = """with runs as (select event_type, cast(ts as date) d, count(*) n from events
+           where not (event_type = 'click' and cast(ts as date) = '2024-01-20' and event_id % 10 > 0)
+             and not (event_type = 'signup' and cast(ts as date) > '2024-01-22') group by 1, 2)"""
+
+
+@query(
+    f"""{_RUNS}, placed as (select *, row_number() over (partition by event_type order by d) i from runs),
+            seen as (select p.event_type, p.d, p.i, any_value(p.n) n, count(q.n) n_before, median(q.n) m from placed p
+                     left join placed q on q.event_type = p.event_type and q.i between p.i - 14 and p.i - 1 group by 1, 2, 3),
+            far as (select s.event_type, s.d, any_value(s.n) n, any_value(n_before) n_before, any_value(m) m, median(abs(q.n - m)) away from seen s
+                    left join placed q on q.event_type = s.event_type and q.i between s.i - 14 and s.i - 1 group by 1, 2),
+            band as (select *, greatest(1.4826 * away, 0.05 * abs(m)) spread from far)
+        select event_type "table", cast(d as varchar) run_day, cast(n as double) observed, n_before, m as "median",
+               round(m - 5 * spread, 6) low, round(m + 5 * spread, 6) high,
+               case when n_before < 5 then 'new' when n < m - 5 * spread or n > m + 5 * spread then 'fail' else 'pass' end status,
+               case when n_before >= 5 then case when n < m - 5 * spread then 'drop' when n > m + 5 * spread then 'surge' end end detail
+        from band"""
+)
+def health_volume_anomalies(spark, sf):
+    judged = Y.volume_anomalies(_daily_runs(spark, sf))
+    told = [F.round(c, 6).alias(c) for c in ("low", "high")]
+    return judged.select("table", F.col("run_at").cast("date").cast("string").alias("run_day"), "observed", F.col("n_before").cast("long").alias("n_before"), "median", *told, "status", "detail")
+
+
+@query(
+    f"""{_RUNS}, gaps as (select event_type, d, d - lag(d) over (partition by event_type order by d) gap,
+                                 row_number() over (partition by event_type order by d desc) i from runs),
+            usual as (select event_type, max(d) last_day, median(gap) m, count(gap) n from gaps where i <= 14 group by 1),
+            far as (select u.event_type, any_value(last_day) last_day, any_value(m) m, any_value(n) n, median(abs(gap - m)) away
+                    from usual u join gaps g on g.event_type = u.event_type and i <= 14 group by 1),
+            aged as (select *, (select max(d) from runs) - last_day age, m + 5 * greatest(1.4826 * away, 0.5 * m) most from far)
+        select event_type "table", cast(last_day as varchar) last_day, cast(age as double) age, round(most, 6) "limit",
+               case when n < 5 then 'new' when age > most then 'fail' else 'pass' end status from aged"""
+)
+def health_stale_tables(spark, sf):
+    found = Y.stale_tables(_daily_runs(spark, sf))
+    day = F.col("last_change").cast("date").cast("string").alias("last_day")
+    return found.select("table", day, "age", F.round("limit", 6).alias("limit"), "status")
