@@ -17,9 +17,9 @@ gives an empty result; other columns are not read. What the driver holds is one
 from __future__ import annotations
 
 import string
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,40 +36,48 @@ _LETTERS = string.ascii_letters.encode()
 TERM = bytes((b + 32 if 65 <= b <= 90 else b) if b in _LETTERS or b >= 128 else 32 for b in range(256))
 
 
-def _rows(stripes: dict[str, dict[bytes, list]]) -> pa.RecordBatch:
-    flat = [(lang, term, df, list(counts), list(counts.values())) for lang, terms in stripes.items() for term, (df, counts) in terms.items()]
-    lang, term, df, sources, counts = zip(*flat, strict=True) if flat else ((),) * 5
-    lists = [pa.array(sources, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))]
-    return pa.record_batch(
-        [pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(df, pa.int64()), *lists],
-        ["lang", "term", "df", "sources", "counts"],
-    )
+class _Table:
+    """A task's hash table: of each language, the documents of each term and its occurrences by source."""
+
+    def __init__(self):
+        self.df: dict[str, Counter] = defaultdict(Counter)
+        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
+
+    def fold(self, lang: str, source: str, text: bytes) -> None:
+        terms = text.translate(TERM).split()
+        self.counts[lang, source].update(terms)
+        self.df[lang].update(set(terms))
+
+    def cells(self) -> int:
+        return sum(map(len, self.counts.values()))
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        """A batch for each language; a term has its sources in a list."""
+        for lang, terms in self.df.items():
+            own = {source: counts for (x, source), counts in self.counts.items() if x == lang}
+            place = {term: i for i, term in enumerate(terms)}
+            row = np.fromiter(chain.from_iterable(map(place.__getitem__, c) for c in own.values()), np.int64)
+            n = np.fromiter(chain.from_iterable(c.values() for c in own.values()), np.int64)
+            source = np.repeat(np.arange(len(own)), [len(c) for c in own.values()])
+            order = np.argsort(row, kind="stable")
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=len(terms)))), pa.int32())
+            sources = pa.array(list(own), pa.string()).take(pa.array(source[order]))
+            lists = [pa.ListArray.from_arrays(ends, x) for x in (sources, pa.array(n[order]))]
+            term = pa.array(list(terms), pa.binary()).cast(pa.string())
+            columns = [pa.array([lang] * len(terms), pa.string()), term, pa.array(list(terms.values()), pa.int64()), *lists]
+            yield pa.record_batch(columns, ["lang", "term", "df", "sources", "counts"])
 
 
 def _fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial stripes of whole documents."""
-    stripes: dict[str, dict[bytes, list]] = {}
-    cells = 0
+    table = _Table()
     for batch in batches:
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            terms = stripes.setdefault(lang, {})
-            for term, n in Counter(text.as_py().encode().translate(TERM).split()).items():
-                stripe = terms.get(term)
-                if stripe is None:
-                    terms[term] = [1, {source: n}]
-                    cells += 1
-                    continue
-                stripe[0] += 1
-                counts = stripe[1]
-                if source in counts:
-                    counts[source] += n
-                else:
-                    counts[source] = n
-                    cells += 1
-            if cells >= CELLS:
-                yield _rows(stripes)
-                stripes, cells = {}, 0
-    yield _rows(stripes)
+            table.fold(lang, source, text.as_py().encode())
+        if table.cells() >= CELLS:
+            yield from table.stripes()
+            table = _Table()
+    yield from table.stripes()
 
 
 def merged_stripes(docs: DataFrame) -> DataFrame:
