@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.operators import summaries as Z
 from starloom.operators.star import value_counts
 from starloom.plans import analytics as A
 from starloom.plans.marts import build_star
 from starloom.plans.registry import query
 from starloom.plans.testdata import event_star, sales_raw, sales_star, table
+from starloom.session import materialise
 
 
 @query(
@@ -145,3 +147,45 @@ def agg_value_counts_all(spark, sf):
 @query("select distinct coalesce(nullif(p_type, 'PROMO'), 'UNCATEGORIZED') category from part")
 def agg_distinct(spark, sf):
     return A.categories(build_star(sales_raw(spark, sf, dirty=True)))
+
+
+# --- summaries that merge ----------------------------------------------------------------------------------
+
+
+@query(
+    """select event_type, event_id, md5('7:' || event_id) draw from events
+       qualify row_number() over (partition by event_type order by draw, event_id) <= 100"""
+)
+def sample_per_type(spark, sf):
+    """A hundred events of each type: of two halves, each sampled by itself, and merged."""
+    events = table(spark, sf, "events").select("event_type", "event_id")
+    halves = [Z.sample_per_group(events.filter(f"event_id % 2 = {i}"), "event_type", "event_id", 100, seed=7) for i in (0, 1)]
+    return Z.merge_samples(materialise(halves[0], "sample").unionByName(halves[1]), "event_type", "event_id", 100)
+
+
+@query("select l_suppkey, count(*) n from lineitem where l_suppkey is not null group by 1 order by n desc, l_suppkey limit 10")
+def agg_leading_suppliers(spark, sf):
+    """Suppliers are about equally frequent, so a summary of few counters proves nothing and all are counted."""
+    return Z.top_keys(table(spark, sf, "lineitem"), "l_suppkey", 10, tracked=64).rows
+
+
+@query("select user_id, n from (select case when event_id % 3 = 0 then 0 else user_id end user_id, count(*) n from events group by 1) order by n desc, user_id limit 1")
+def agg_hot_user(spark, sf):
+    """One user has a third of the events, which the summary proves."""
+    events = table(spark, sf, "events").withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
+    found = Z.top_keys(events, "user_id", 1, tracked=64)
+    if not found.proved:
+        raise AssertionError("a third of all rows was not told from the rest")
+    return found.rows
+
+
+@query("select l_returnflag, true near from lineitem group by 1 union all select 'all', true")
+def agg_distinct_merged(spark, sf):
+    """Sketches of the orders per return flag and line status, merged by flag and over all, are within 3 percent."""
+    lines = table(spark, sf, "lineitem")
+    stored = materialise(Z.distinct_sketches(lines, ["l_returnflag", "l_linestatus"], "l_orderkey"), "sketches")
+    exact = lines.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("exact"))
+    by_flag = Z.distinct_counts(stored, ["l_returnflag"]).join(exact, "l_returnflag")
+    whole = Z.distinct_counts(stored, []).select(F.lit("all").alias("l_returnflag"), "n")
+    both = by_flag.unionByName(whole.join(F.broadcast(lines.agg(F.count_distinct("l_orderkey").alias("exact")))))
+    return both.select("l_returnflag", (F.abs(F.col("n") - F.col("exact")) <= 0.03 * F.col("exact")).alias("near"))
