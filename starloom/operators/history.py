@@ -100,9 +100,9 @@ def stale_tables(
     known = known.withColumn("median_gap", _median(F.col("__gaps")))
     distance = _median(F.transform("__gaps", lambda x: F.abs(x - F.col("median_gap"))))
     spread = F.greatest(TO_SIGMA * distance, F.lit(floor) * F.col("median_gap"))
-    latest = history.agg(F.max(RUN).alias("__now")) if now is None else history.sparkSession.range(1).select(F.lit(now).cast("timestamp_ntz").alias("__now"))
-    # One row, so joining it copies nothing.
-    aged = known.join(F.broadcast(latest)).withColumn("age", F.unix_micros(F.col("__now").cast("timestamp")) / 86_400_000_000 - F.col("__last"))
+    latest = history.agg(F.max(RUN)).first()[0] if now is None else now
+    today = F.unix_micros(F.lit(latest).cast("timestamp_ntz").cast("timestamp")) / 86_400_000_000
+    aged = known.withColumn("age", today - F.col("__last"))
     limit = F.col("median_gap") + width * spread
     judged = F.when(F.size("__gaps") < least, NEW).when(F.col("age") > limit, FAIL).otherwise(PASS)
     return aged.select(*SUBJECT, "last_change", "median_gap", "age", limit.alias("limit"), judged.alias("status"))

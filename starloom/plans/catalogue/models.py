@@ -22,6 +22,7 @@ from starloom.plans.registry import query
 from starloom.plans.staging import build_staging
 from starloom.plans.testdata import event_raw, sales_raw, table
 
+# The text that stands for NULL in a surrogate key, and the labels of the decades.
 KEY = "md5(coalesce(cast({} as varchar), '_dbt_utils_surrogate_key_null_'))"
 DECADE = (
     "case when {0} < 2000 then 'before_2000' when {0} < 2010 then '2000s' "

@@ -185,7 +185,7 @@ def agg_distinct_merged(spark, sf):
     lines = table(spark, sf, "lineitem")
     stored = materialise(Z.distinct_sketches(lines, ["l_returnflag", "l_linestatus"], "l_orderkey"), "sketches")
     exact = lines.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("exact"))
-    by_flag = Z.distinct_counts(stored, ["l_returnflag"]).join(exact, "l_returnflag")
-    whole = Z.distinct_counts(stored, []).select(F.lit("all").alias("l_returnflag"), "n")
-    both = by_flag.unionByName(whole.join(F.broadcast(lines.agg(F.count_distinct("l_orderkey").alias("exact")))))
+    in_all = lines.agg(F.count_distinct("l_orderkey").alias("exact")).select(F.lit("all").alias("l_returnflag"), "exact")
+    about = Z.distinct_counts(stored, ["l_returnflag"]).unionByName(Z.distinct_counts(stored, []).select(F.lit("all").alias("l_returnflag"), "n"))
+    both = about.join(exact.unionByName(in_all), "l_returnflag")
     return both.select("l_returnflag", (F.abs(F.col("n") - F.col("exact")) <= 0.03 * F.col("exact")).alias("near"))

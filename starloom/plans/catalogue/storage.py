@@ -68,7 +68,7 @@ def src_observations(spark, sf):
     path = scratch(spark, "observations")
     lines = envelope_lines(items, page_of("event_id"), "indicator_code")
     lines.write.partitionBy("indicator_code").text(path)
-    return typed_observations(E.read_observations(spark, path))
+    return typed_observations(E.read_observations(spark, path)).drop("read")
 
 
 @query('select cast(p_partkey as varchar) "Code", p_name "Title" from part')
