@@ -1,4 +1,9 @@
-"""A corpus pipeline: each stage works on the documents that the one before it kept."""
+"""A corpus pipeline: each stage works on the documents that the one before it kept.
+
+Null, empty and blank texts, and those too short to judge, go in the first stage. Null ids and repeated rows are handled as each
+operator says; further columns, whatever their names, pass through, and the column that the last stage adds takes a free
+name. An empty table gives an empty result with the same columns.
+"""
 
 from __future__ import annotations
 
