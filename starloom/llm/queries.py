@@ -98,7 +98,11 @@ def op5_pitman_yor(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     model = pitman_yor.fit(docs.filter(remainder(10) != 0))
     scored = pitman_yor.score(docs, model)
-    extra = {"held_out": F.coalesce(remainder(10) == 0, F.lit(False)), "train_tokens": F.lit(model.tokens).cast("long")}
+    extra = {
+        "held_out": F.coalesce(remainder(10) == 0, F.lit(False)),
+        "train_tokens": F.lit(model.tokens).cast("long"),
+        "perplexity": F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")),
+    }
     return scored.withColumns(extra)
 
 
