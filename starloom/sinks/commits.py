@@ -5,6 +5,9 @@ in ``data``, and then one small file in ``commits`` that names the folder of eve
 next number and must not exist yet: so readers see the table before or after a commit and nothing between, and of two commits that
 began from the same state one is refused. Files of partitions that a commit does not touch are neither read nor written.
 
+Where rows can move between partitions, a commit also writes a Bloom filter of the keys of each partition it fills, in ``filters``,
+so that the next one reads only partitions that may hold a key of its batch. Partitions without a filter of these keys are read.
+
 The file names one folder per partition, so its size goes with their number; choose partitions by the thousand, not by the million.
 The file system has to rename without overwriting, as HDFS does in one step.
 """
@@ -13,7 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +25,7 @@ from pyspark.sql import types as T
 
 from starloom.operators.dml import distinct_keys, replace_keys
 from starloom.session import materialise
+from starloom.sinks import filters
 
 FOLDER = "__folder"
 
@@ -32,12 +36,14 @@ class Overtaken(RuntimeError):
 
 @dataclass(frozen=True)
 class Snapshot:
-    """The table as one commit left it: the folder of each partition, under the text of its value."""
+    """The table as one commit left it: the folder of each partition, under the text of its value, and by the commit that wrote
+    them the keys of their filters."""
 
     number: int = 0
     schema: T.StructType | None = None
     partition: str | None = None
     folders: dict[str | None, str] = field(default_factory=dict)
+    filtered: dict[str, list[str]] = field(default_factory=dict)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -82,14 +88,19 @@ def _place(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def kept_commits(spark: SparkSession, base: str) -> list[int]:
+    """The numbers of the commits that were not forgotten."""
+    return sorted(int(n.removesuffix(".json")) for n in _names(spark, f"{base}/commits") if n.endswith(".json"))
+
+
 def snapshot(spark: SparkSession, base: str, number: int | None = None) -> Snapshot:
     """The newest commit, or that of a ``number``; of a table without any, one without partitions."""
-    there = [int(n.removesuffix(".json")) for n in _names(spark, f"{base}/commits") if n.endswith(".json")]
+    there = kept_commits(spark, base)
     if not there or number == 0:
         return Snapshot()
     number = max(there) if number is None else number
     told = json.loads(_read_text(spark, f"{base}/commits/{number:08d}.json"))
-    return Snapshot(number, T.StructType.fromJson(told["schema"]), told["partition"], {k: v for k, v in told["folders"]})
+    return Snapshot(number, T.StructType.fromJson(told["schema"]), told["partition"], {k: v for k, v in told["folders"]}, told.get("filtered", {}))
 
 
 def read_commit(spark: SparkSession, base: str, at: Snapshot | None = None, only: list[str | None] | None = None) -> DataFrame:
@@ -103,6 +114,24 @@ def read_commit(spark: SparkSession, base: str, at: Snapshot | None = None, only
     return spark.read.schema(at.schema).parquet(*wanted)
 
 
+def _load(folder: str) -> str:
+    """The name under which a commit wrote this folder."""
+    return folder.partition("/")[0]
+
+
+def near_keys(listed: DataFrame, base: str, at: Snapshot) -> Snapshot:
+    """``at`` with only the partitions that may hold a key of ``listed``, by their filters; those without a filter stay in."""
+    keys = listed.columns
+    asked = {f for f in at.folders.values() if at.filtered.get(_load(f)) == keys}
+    loads = sorted({_load(f) for f in asked})
+    if not loads:
+        return at
+    known = listed.sparkSession.read.parquet(*[f"{base}/filters/{name}" for name in loads])
+    # At most the folders that the commit names, which the driver holds.
+    held = {r.folder for r in filters.may_hold(known, listed, keys).collect()}
+    return replace(at, folders={p: f for p, f in at.folders.items() if f not in asked or f in held})
+
+
 def _text(column: str | None) -> Column:
     return F.lit(None).cast("string") if column is None else F.col(column).cast("string")
 
@@ -132,7 +161,8 @@ def commit_upsert(
     """Upsert ``batch`` by ``keys`` into the table under ``base``, all or nothing; without ``partition`` all of it is rewritten.
 
     Touched are the partitions of the batch and, unless ``rows_move`` is false (the default where the partition is part
-    of the key), those in which its keys lie now: finding these reads the key columns of the whole table. NULL keys never match.
+    of the key), those in which its keys lie now: finding these reads the key columns of the partitions that may hold one by their
+    filters. NULL keys never match.
     ``at`` is the snapshot that the batch was made from; if another commit has come since then, this one is refused with
     :class:`Overtaken` and nothing changes.
     """
@@ -148,7 +178,9 @@ def commit_upsert(
     if at.folders:
         listed = distinct_keys(batch, keys)
         if rows_move:
-            touched |= _partitions(read_commit(spark, base, at).join(listed, keys, "left_semi"), partition)
+            near = near_keys(listed, base, at)
+            if near.folders:
+                touched |= _partitions(read_commit(spark, base, near).join(listed, keys, "left_semi"), partition)
         content = replace_keys(read_commit(spark, base, at, list(touched)), batch, listed)
     name = f"{at.number + 1:08d}-{uuid.uuid4().hex}"
     aligned = content.select(*[(F.col(f"`{f.name}`") if f.name in content.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
@@ -156,11 +188,17 @@ def commit_upsert(
     filled = set(_names(spark, f"{base}/data/{name}"))
     folders = {p: f for p, f in at.folders.items() if p not in touched}
     folders |= {p: f"{name}/{FOLDER}={f}" for p, f in touched.items() if f"{FOLDER}={f}" in filled}
-    return _commit(spark, base, Snapshot(at.number + 1, schema, partition, folders))
+    filtered = {load: k for load, k in at.filtered.items() if any(_load(f) == load for f in folders.values())}
+    if rows_move and filled - {"_SUCCESS"}:
+        written = spark.read.schema(T.StructType([*[schema[k] for k in keys], T.StructField(FOLDER, T.StringType())])).parquet(f"{base}/data/{name}")
+        named = written.withColumn("folder", F.concat(F.lit(f"{name}/{FOLDER}="), F.col(FOLDER)))
+        filters.build(named, "folder", keys).write.parquet(f"{base}/filters/{name}")
+        filtered[name] = keys
+    return _commit(spark, base, Snapshot(at.number + 1, schema, partition, folders, filtered))
 
 
 def _commit(spark: SparkSession, base: str, new: Snapshot) -> Snapshot:
-    told = {"schema": json.loads(new.schema.json()), "partition": new.partition, "folders": list(new.folders.items())}
+    told = {"schema": json.loads(new.schema.json()), "partition": new.partition, "folders": list(new.folders.items()), "filtered": new.filtered}
     if not _place(spark, f"{base}/commits/{new.number:08d}.json", json.dumps(told)):
         raise Overtaken(f"commit {new.number} of {base} was made by another load")
     return new
@@ -171,7 +209,7 @@ def forget_commits(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
 
     Not while a commit is under way, whose data no commit names yet.
     """
-    there = sorted(int(n.removesuffix(".json")) for n in _names(spark, f"{base}/commits") if n.endswith(".json"))
+    there = kept_commits(spark, base)
     old, kept = there[: -max(keep, 1)], there[-max(keep, 1) :]
     for n in old:
         fs, file = _fs(spark, f"{base}/commits/{n:08d}.json")
@@ -182,6 +220,11 @@ def forget_commits(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
         for folder in [x for x in inside if x not in named] if any(x in named for x in inside) else [load]:
             fs, path = _fs(spark, f"{base}/data/{folder}")
             fs.delete(path, True)
+    loads = {_load(f) for f in named}
+    for load in _names(spark, f"{base}/filters"):
+        if load not in loads:
+            fs, path = _fs(spark, f"{base}/filters/{load}")
+            fs.delete(path, True)
     return old
 
 
