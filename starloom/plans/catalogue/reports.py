@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.operators import current
 from starloom.operators import summaries as Z
 from starloom.operators.star import value_counts
 from starloom.plans import analytics as A
 from starloom.plans.marts import build_star
 from starloom.plans.registry import query
 from starloom.plans.testdata import event_star, sales_raw, sales_star, table
-from starloom.session import materialise
+from starloom.session import materialise, scratch
+from starloom.sinks.commits import commit_upsert, read_commit
 
 
 @query(
@@ -189,3 +191,41 @@ def agg_distinct_merged(spark, sf):
     about = Z.distinct_counts(stored, ["l_returnflag"]).unionByName(Z.distinct_counts(stored, []).select(F.lit("all").alias("l_returnflag"), "n"))
     both = about.join(exact.unionByName(in_all), "l_returnflag")
     return both.select("l_returnflag", (F.abs(F.col("n") - F.col("exact")) <= 0.03 * F.col("exact")).alias("near"))
+
+
+@query(
+    """select case event_type when 'error' then 'view' else event_type end event_type, count(*) total, count("value") n_values,
+              round(cast(sum(cast("value" as decimal(28, 9))) as double), 6) sum_value,
+              round(cast(sum(cast("value" as decimal(28, 9))) as double) / count("value"), 6) avg_value
+       from events group by 1"""
+)
+def ana_kept_current(spark, sf):
+    """Counts and averages per type of event, brought up to date after each of three loads, two of which correct or move rows."""
+    day = F.dayofmonth("ts").alias("day")
+    events = table(spark, sf, "events").select("event_id", day, "event_type", "value")
+    base, report = scratch(spark, "current"), scratch(spark, "current-report")
+    kind, odd = F.col("event_type"), F.col("event_id") % 2 == 1
+    first = events.filter(kind != "purchase").withColumn("value", F.when(odd, 0.0).otherwise(F.col("value")))
+    second = events.filter((kind != "purchase") & odd)
+    third = events.filter(kind.isin("purchase", "error")).withColumn("event_type", F.when(kind == "error", "view").otherwise(kind))
+    for load in (first, second, third):
+        commit_upsert(load, base, ["event_id", "day"], "day")
+        current.refresh(spark, base, report, ["event_type"], "value")
+    found = current.read_report(spark, report)
+    return found.withColumns({"sum_value": F.round(F.col("sum_value").cast("double"), 6), "avg_value": F.round("avg_value", 6)})
+
+
+@query(
+    """select extract(year from o_orderdate) * 100 + extract(month from o_orderdate) "month", count(*) total,
+              cast(sum(case when o_orderkey % 7 = 0 then 1 else 0 end) as bigint) corrected
+       from orders group by 1"""
+)
+def dml_commit_moves(spark, sf):
+    """Orders filed under a wrong month are moved by commits that read only months that may hold them."""
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("long").alias("month")
+    orders = table(spark, sf, "orders").select("o_orderkey", month)
+    base, wrong = scratch(spark, "moves"), F.col("o_orderkey") % 7 == 0
+    filed = orders.select("o_orderkey", F.when(wrong, F.lit(0).cast("long")).otherwise(F.col("month")).alias("month"), F.lit(0).alias("corrected"))
+    commit_upsert(filed, base, ["o_orderkey"], "month")
+    commit_upsert(orders.filter(wrong).withColumn("corrected", F.lit(1)), base, ["o_orderkey"], "month")
+    return read_commit(spark, base).groupBy("month").agg(F.count(F.lit(1)).alias("total"), F.sum("corrected").alias("corrected"))

@@ -10,8 +10,10 @@ from starloom.plans.registry import query
 from starloom.plans.testdata import table
 from starloom.schemas import struct
 from starloom.session import scratch
+from starloom.sinks.commits import read_commit
 from starloom.sinks.files import land_raw
 from starloom.sources.envelopes import envelope_schema, unpack
+from starloom.streaming.commits import commit_available
 from starloom.streaming.landing import ingest_available, landed_stream, upsert_available
 
 FIRST, SECOND, THIRD = datetime(2024, 1, 31, 6), datetime(2024, 2, 1, 6), datetime(2024, 2, 2, 6)
@@ -140,3 +142,34 @@ def str_upsert_in_place(spark, sf):
         stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
         upsert_available(stream, out, state, ["event_id", "event_type"], "event_type")
     return spark.read.parquet(out).select("event_id", "event_type", "value")
+
+
+@query(
+    """select event_id, event_type, case when event_type in ('purchase', 'error') then "value" + 1000 else "value" end as "value"
+       from events"""
+)
+def str_state_upsert(spark, sf):
+    """As str_out_of_order, with the latest landing per event kept as state, so that the table is not looked at."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    base, out, state = (scratch(spark, name) for name in ("land", "state-out", "state-state"))
+    corrected = events.filter(F.col("event_type").isin("purchase", "error")).withColumn("value", F.col("value") + 1000)
+    for ts, rows in ((SECOND, corrected), (FIRST, events)):
+        land_raw(rows, base, "events", ts)
+        stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
+        commit_available(stream, out, state, ["event_id"], "event_type", horizon="2 days")
+    return read_commit(spark, out).select("event_id", "event_type", "value")
+
+
+@query(
+    """select event_id, case when event_id % 10 = 3 then 'moved' else event_type end event_type, "value" from events"""
+)
+def str_commit_upsert(spark, sf):
+    """Every tenth event lands again under another type, in commits that look only where its key may lie."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    base, out, state = (scratch(spark, name) for name in ("land", "commit-out", "commit-state"))
+    moved = events.filter("event_id % 10 = 3").withColumn("event_type", F.lit("moved"))
+    for ts, rows in ((FIRST, events), (SECOND, moved)):
+        land_raw(rows, base, "events", ts)
+        stream = landed_stream(spark, f"{base}/events", struct("event_id BIGINT, event_type STRING, value DOUBLE"))
+        commit_available(stream, out, state, ["event_id"], "event_type")
+    return read_commit(spark, out).select("event_id", "event_type", "value")

@@ -88,6 +88,17 @@ def _place(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def place_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Makes a small file unless it exists; says whether it did."""
+    return _place(spark, path, text)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if there is none."""
+    fs, file = _fs(spark, path)
+    return _read_text(spark, path) if fs.exists(file) else None
+
+
 def kept_commits(spark: SparkSession, base: str) -> list[int]:
     """The numbers of the commits that were not forgotten."""
     return sorted(int(n.removesuffix(".json")) for n in _names(spark, f"{base}/commits") if n.endswith(".json"))
