@@ -131,3 +131,40 @@ def test_state_is_removed_only_behind_the_watermark():
     old, young = State(("20240101_060000", 5), 6), State(("20240101_060000", 6), 6)
     assert list(run(("k",), [], old)) == [] and old.kept is None
     assert list(run(("k",), [], young)) == [] and young.kept is not None and young.armed
+
+
+def test_a_call_keeps_the_state_of_many_keys():
+    """One call for many keys, so that their number does not decide the time."""
+    import pandas as pd
+    import pyarrow as pa
+
+    class State:
+        exists, hasTimedOut, mark, get = False, False, 100, None  # noqa: N815
+
+        getCurrentWatermarkMs = lambda self: self.mark
+        setTimeoutDuration = lambda self, ms: None
+
+        def update(self, kept):
+            self.exists, self.get = True, kept
+
+        def remove(self):
+            self.exists, self.get = False, None
+
+    run, state = commits._latest_seen(None), State()
+
+    def feed(*frames):
+        made = [pd.DataFrame(f, columns=["key", "packed", "landed", "ms"]) for f in frames]
+        return sorted(map(tuple, pd.concat([*run((0,), made, state), pd.DataFrame(columns=["packed", "look"])]).itertuples(index=False)))
+
+    first = [(f"k{i}", f"a{i:04}", "5", 500) for i in range(2000)]
+    # The later landing of a key counts in whichever frame it is; what landed behind the watermark is looked up and not kept.
+    assert feed(first[:1000], [("k3", "b3", "6", 600), ("old", "c", "0", 50)], first[1000:]) == sorted(
+        [(p, False) for k, p, *_ in first if k != "k3"] + [("b3", False), ("c", True)]
+    )
+    held = lambda: pa.ipc.open_stream(state.get[0]).read_all().column("key").to_pylist()
+    assert len(held()) == 2000 and state.get[1] == 600
+    assert feed([("k3", "late", "5", 500), ("k4", "same", "5", 500), ("old", "d", "0", 50)]) == [("d", True), ("same", False)]
+    state.mark = 550
+    assert feed([("k5", "e", "5", 500), ("new", "f", "7", 700)]) == [("e", False), ("f", False)]
+    assert sorted(held()) == ["k3", "new"]
+    assert feed([("k5", "g", "5", 500)]) == [("g", True)]
