@@ -1,8 +1,8 @@
 """Joins and aggregates over a star.
 
 Facts that are counted by one key are first reduced to one row per key, then joined: the reduction starts before the
-shuffle, so a key that holds a large share of the facts costs no more than any other. Averages over several keys would
-hardly be reduced that way and are joined first; there the adaptive skew join divides a large key. No side is broadcast by
+shuffle, so a key that holds a large share of the facts costs no more than any other. Averages are joined with one dimension
+first, where the adaptive skew join divides a large key, and reduced before they meet the others. No side is broadcast by
 hint: Spark does so only where the measured size allows it.
 """
 
@@ -25,8 +25,17 @@ def count_rows(fact: DataFrame, joins: list[Join], by: list[str], out: str = "to
 
 
 def average(fact: DataFrame, value: str, joins: list[Join], by: list[str], out: str = "avg_value") -> DataFrame:
-    """Mean of ``value`` per ``by`` columns. Only sums and counts per task and group are shuffled after the joins."""
-    return _join_all(fact, joins).groupBy(*by).agg(F.avg(value).alias(out))
+    """Mean of ``value`` per ``by`` columns. Only the first join meets the facts themselves: what comes out is reduced to sums and counts
+    per group and remaining keys, and the other joins meet these. So name the join with the most keys first; one with few
+    would gather the facts in as few partitions."""
+    (fk, dim, nk), *rest = joins
+    later = [k for k, _, _ in rest]
+    narrow = fact.select(*dict.fromkeys([fk, *later, value]))
+    first = narrow.join(dim, narrow[fk] == dim[nk])
+    kept = [c for c in dict.fromkeys([*later, *by]) if c in first.columns]
+    reduced = first.groupBy(*kept).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
+    mean = F.try_divide(F.sum("__sum"), F.sum("__n"))
+    return _join_all(reduced, rest).groupBy(*by).agg(mean.alias(out))
 
 
 def _join_all(df: DataFrame, joins: list[Join]) -> DataFrame:

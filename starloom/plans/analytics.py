@@ -36,7 +36,7 @@ def yearly_average(star: Star, among: DataFrame | None = None) -> DataFrame:
         listed = star.indicator.filter(F.col("category").isNotNull())
     else:
         listed = star.indicator.join(among.select("category"), "category", "left_semi")
-    joins = [("period_id", star.period, "period_nk"), ("indicator_id", listed, "indicator_nk")]
+    joins = [("indicator_id", listed, "indicator_nk"), ("period_id", star.period, "period_nk")]
     return average(star.fact, "value", joins, ["year", "category"]).orderBy("year", "category")
 
 

@@ -10,7 +10,7 @@ from starloom.operators import reconcile as R
 from starloom.operators.contracts import MART_CONTRACTS, RAW_CONTRACTS, Contract, validate_all
 from starloom.plans import analytics as A
 from starloom.plans.build import build_warehouse
-from starloom.plans.marts import build_marts, build_star
+from starloom.plans.marts import Star, build_marts, build_star
 from starloom.plans.staging import build_staging
 from starloom.schemas import MART_DDL, struct
 from starloom.session import scratch
@@ -89,6 +89,19 @@ def test_average_ignores_missing_values_and_skew(spark, raw):
     assert {(r["year"], r["avg_value"]) for r in averaged.collect()} >= {(2015, None), (2000, 180.3)}
 
 
+def test_average_meets_few_periods_after_the_facts_are_reduced(spark):
+    """Facts are not gathered by period, of which there are few; groups of different size keep their weight."""
+    values = [(1, 2000, 1.0), (1, 2000, 2.0), (2, 2000, 6.0), (2, 2001, 8.0), (3, 2000, 5.0), (1, 2002, 4.0), (1, 2001, None)]
+    fact = spark.createDataFrame(values, "indicator_id long, period_id long, value double")
+    period = spark.createDataFrame([(2000, 1), (2001, 1), (2000, 2)], "period_nk long, year long")
+    indicator = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "indicator_nk long, category string")
+    star = Star({"fct_observations": fact, "dim_period": period, "dim_indicator": indicator})
+    averaged = A.yearly_average(star)
+    assert rows(averaged) == [(1, "a", 17 / 4), (2, "a", 3.0)]
+    plan = averaged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2
+
+
 def test_missing_sex_becomes_unknown(spark):
     raw = make_raw(spark, fact_observations=facts(sex_id=None))
     assert all_checks(spark, raw) == NOTHING
