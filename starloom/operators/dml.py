@@ -129,6 +129,7 @@ def load_facts(
     key: list[str] | None = None,
     prune: str = "period_id",
     reserve: Callable[[int], int] | None = None,
+    unit: str | None = None,
 ) -> DataFrame:
     """Observations with their ids, ready to be upserted by ``observation_id``.
 
@@ -141,6 +142,7 @@ def load_facts(
 
     Of ``target`` only the units and the values of ``prune`` that the batch has are read, which skips partitions where it is
     partitioned so. A unit that is not there yet is numbered without a join, and of one that has not changed nothing is sorted.
+    ``unit`` names the only unit of the batch, which then is not looked for in its rows.
     """
     key = key or FACT_KEY
     if UNIT not in observations.columns:
@@ -152,7 +154,7 @@ def load_facts(
     stored = None
     if target is not None:
         target = target if UNIT in target.columns else target.withColumn(UNIT, F.lit(None).cast("string"))
-        stored = matching(target, observations, UNIT)
+        stored = matching(target, observations, UNIT) if unit is None else target.filter(F.col(UNIT) == unit)
         stored = None if stored.isEmpty() else matching(stored, observations, prune)
     if stored is not None and _unchanged(same, stored, full):
         return observations.sparkSession.createDataFrame([], target.select(*[c for c in columns if c in target.columns]).schema)

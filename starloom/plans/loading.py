@@ -106,7 +106,7 @@ def _load(
         after = assign_ids(codes.select(code).distinct(), raw[name], code, id_)
         dims[name] = after if after is raw[name] else materialise(after, name)
         keyed = resolve_ids(keyed, dims[name], code, id_)
-    loaded = load_facts(keyed.withColumn(UNIT, F.lit(unit)), raw["fact_observations"], reserve=reserve)
+    loaded = load_facts(keyed.withColumn(UNIT, F.lit(unit)), raw["fact_observations"], reserve=reserve, unit=unit)
     return dims, materialise(loaded, "loaded")
 
 
@@ -162,7 +162,7 @@ def store_observations(
     loaded = _until_first(once, tries)
     if not loaded.isEmpty():
         # Other loads add other units: what was computed stays right, whichever commit comes first.
-        _until_first(lambda: commit_upsert(loaded, f"{base}/{FACTS}", ["observation_id"], UNIT, rows_move=False), tries)
+        _until_first(lambda: commit_upsert(loaded, f"{base}/{FACTS}", ["observation_id"], UNIT, rows_move=False, written=True), tries)
     return unit
 
 

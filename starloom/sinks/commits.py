@@ -167,7 +167,13 @@ def _merged(old: T.StructType | None, new: T.StructType) -> T.StructType:
 
 
 def commit_upsert(
-    batch: DataFrame, base: str, keys: list[str], partition: str | None = None, rows_move: bool | None = None, at: Snapshot | None = None
+    batch: DataFrame,
+    base: str,
+    keys: list[str],
+    partition: str | None = None,
+    rows_move: bool | None = None,
+    at: Snapshot | None = None,
+    written: bool = False,
 ) -> Snapshot:
     """Upsert ``batch`` by ``keys`` into the table under ``base``, all or nothing; without ``partition`` all of it is rewritten.
 
@@ -175,7 +181,8 @@ def commit_upsert(
     of the key), those in which its keys lie now: finding these reads the key columns of the partitions that may hold one by their
     filters. NULL keys never match.
     ``at`` is the snapshot that the batch was made from; if another commit has come since then, this one is refused with
-    :class:`Overtaken` and nothing changes.
+    :class:`Overtaken` and nothing changes. A batch that is ``written``, such as a materialised one, is not written out again. If none of
+    the partitions that it touches is there yet, its keys are not listed.
     """
     spark = batch.sparkSession
     at = at or snapshot(spark, base)
@@ -183,10 +190,10 @@ def commit_upsert(
         raise ValueError(f"the table is partitioned by {at.partition}")
     rows_move = partition is not None and partition not in keys if rows_move is None else rows_move
     schema = _merged(at.schema, batch.schema)
-    batch = materialise(batch, "commit-batch")
+    batch = batch if written else materialise(batch, "commit-batch")
     touched = _partitions(batch, partition)
     content = batch
-    if at.folders:
+    if at.folders and (rows_move or not touched.keys().isdisjoint(at.folders)):
         listed = distinct_keys(batch, keys)
         if rows_move:
             near = near_keys(listed, base, at)

@@ -196,3 +196,25 @@ def test_two_loads_at_once_lose_nothing(spark, base, monkeypatch):
     assert rows(named.filter("load_unit <> 'u1'"), "country_code", "year", "value") == [("ARG", 2003, 9.0), ("CHL", 2002, 8.0), ("PER", 2002, 7.0)]
     ids = [r[0] for r in rows(raw["fact_observations"], "observation_id")]
     assert len(ids) == len(set(ids)) == 6
+
+
+def test_a_load_of_a_new_unit_neither_looks_for_units_nor_lists_keys(spark, monkeypatch):
+    """The batch names its unit, and nothing that it brings can lie in a partition that is not there."""
+    from starloom.operators import dml
+
+    monkeypatch.setattr(dml, "matching", lambda *_: pytest.fail("the batch was read for its units"))
+    base, ddl = scratch(spark, "units"), "indicator_id long, location_id long, period_id long, sex_id long, value double, load_unit string"
+    for unit, before in (("a", None), ("b", "a"), ("c", "b")):
+        known = read_commit(spark, base) if before else spark.createDataFrame([], "observation_id long, load_unit string")
+        batch = spark.createDataFrame([(1, 1, 1, 1, 5.0, unit), (1, 1, 1, 1, 4.0, unit)], ddl)
+        loaded = dml.load_facts(batch, known, unit=unit)
+        with monkeypatch.context() as patched:
+            patched.setattr(commits, "distinct_keys", lambda *_: pytest.fail("keys were listed"))
+            commits.commit_upsert(loaded, base, ["observation_id"], "load_unit", rows_move=False, written=True)
+    found = read_commit(spark, base).orderBy("observation_id").collect()
+    assert [(r.observation_id, r.copy_no, r.value, r.load_unit) for r in found] == [
+        (i + 1, i % 2 + 1, 4.0 + i % 2, "abc"[i // 2]) for i in range(6)
+    ]
+    again = spark.createDataFrame([(2, 7.0, "a"), (9, 8.0, "a")], "observation_id long, value double, load_unit string")
+    commits.commit_upsert(again, base, ["observation_id"], "load_unit", rows_move=False, written=True)
+    assert sorted((r.observation_id, r.value) for r in read_commit(spark, base, only=["a"]).collect()) == [(1, 4.0), (2, 7.0), (9, 8.0)]
