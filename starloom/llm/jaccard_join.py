@@ -192,12 +192,13 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        passed: list[np.ndarray] = []  # the n-grams of the bucket of which rows went through
         now = None
 
-        def emit(bucket: int, t: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def emit(bucket: int, t: np.ndarray, c: np.ndarray, again: np.ndarray) -> Iterator[pa.RecordBatch]:
             name = mix(t ^ (np.uint64(bucket) << np.uint64(48))).view(np.int64)
             for i in range(0, len(c), 1 << 16):
-                yield pa.record_batch([pa.array(name[i : i + (1 << 16)]), pa.array(c[i : i + (1 << 16)])], ["t", "cls"])
+                yield pa.record_batch([pa.array(x[i : i + (1 << 16)]) for x in (name, c, again)], ["t", "cls", "again"])
 
         def flush(bucket: int) -> Iterator[pa.RecordBatch]:
             if held:
@@ -209,7 +210,9 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
                 t, c = t[once], c[once]
                 group = np.cumsum(begins_run(t)) - 1
                 shared = (np.bincount(group) > 1)[group]
-                yield from emit(bucket, t[shared], c[shared])
+                t, c = t[shared], c[shared]
+                yield from emit(bucket, t, c, np.isin(t, np.concatenate(passed)) if passed else np.zeros(len(t), bool))
+            passed.clear()
 
         for batch in batches:
             for bucket, known, t, c in zip(*[x.to_pylist() for x in batch.columns], strict=True):
@@ -219,7 +222,8 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
                     now = bucket
                 rows = from_six_bytes(t), np.frombuffer(c, np.int64)
                 if known:
-                    yield from emit(bucket, *rows)
+                    passed.append(np.unique(rows[0]))
+                    yield from emit(bucket, *rows, np.ones(len(rows[0]), bool))
                 else:
                     held.append(rows)
         if now is not None:
@@ -227,7 +231,10 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
 
     packed = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "bucket int, known boolean, t binary, c binary")
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(meet, "t bigint, cls bigint").distinct()
+    met = materialise(dealt.mapInArrow(meet, "t bigint, cls bigint, again boolean"), "met")
+    # A bucket tells each row once, but for n-grams of which rows went through: only these are shuffled again.
+    again = materialise(met.filter("again").select("t", "cls").distinct(), "again")
+    return met.filter("not again").select("t", "cls").unionByName(again)
 
 
 def fetch_sets(docs: DataFrame, text: str, wanted: DataFrame, cells) -> DataFrame:
@@ -442,7 +449,7 @@ def _labelled(slim: DataFrame) -> DataFrame:
     sized = materialise(sized, "sizes")
 
     buckets = 8 * int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = materialise(shared_prefixes(slim, "text", cells, buckets), "groups")
+    groups = shared_prefixes(slim, "text", cells, buckets)
     release(slim.sparkSession)
     sizes = materialise(groups.groupBy("t").agg(F.count(F.lit(1)).alias("m")), "group-sizes")
     weighed = groups.join(sizes, "t").groupBy("cls").agg(F.collect_list("t").alias("common"), F.sum("m").alias("weight"))

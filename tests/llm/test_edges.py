@@ -379,6 +379,27 @@ def test_pairs_in_linear_time():
     assert machine.margins(1, np.zeros(3, int), features, values)[0] == pytest.approx(plain, rel=1e-4)
 
 
+def test_shared_prefixes_are_shuffled_again_only_where_rows_went_through(spark, monkeypatch):
+    """A bucket tells each row once; what several tasks sent past it is made distinct."""
+    rng, written, plain = random.Random(5), {}, jaccard_join.materialise
+
+    def kept(df, name, *rest, **options):
+        written[name] = plain(df, name, *rest, **options)
+        return written[name]
+
+    monkeypatch.setattr(jaccard_join, "materialise", kept)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(6)]
+    docs = documents(spark, [(i, texts[i % 6] + f" tail{i % 12}") for i in range(48)]).repartition(4)
+    counters = jaccard_join.classes(docs, "text")[1]
+    cells, found = spark.sparkContext.broadcast(counters), {}
+    for many in (1 << 20, 1):
+        monkeypatch.setattr(jaccard_join, "MANY", many)
+        rows = [tuple(r) for r in jaccard_join.shared_prefixes(docs, "text", cells, 5).collect()]
+        assert rows and len(rows) == len(set(rows))
+        found[many] = sorted(rows), written["again"].count()
+    assert found[1][0] == found[1 << 20][0] and found[1 << 20][1] == 0 < found[1][1]
+
+
 def test_language_model(spark, edge, empty):
     rng = random.Random(12)
     words = ["the", "a", "cat", "dog", "sat", "ran", *[f"r{i}" for i in range(50)]]
