@@ -36,6 +36,7 @@ N, T = 5, 75
 CELLS, RANGES = 1 << 21, 64
 HELD = 1 << 19  # n-grams that a task gathers before it counts or sends them
 MANY = 8  # classes of an n-gram that a task sends to its bucket
+BITS, _BUCKET = 1 << 25, 1 << 15  # of a filter of rows, and of one of Spark's bitmaps
 LIST, BLOCK = 4096, 1 << 14  # members of a list, and n-grams asked for in a block
 _48 = np.uint64((1 << 48) - 1)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -237,12 +238,33 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
     return met.filter("not again").select("t", "cls").unionByName(again)
 
 
+def row_filter(rows: DataFrame) -> np.ndarray:
+    """A bit for every remainder of ``rid`` modulo ``BITS``, set where one of the rows has it; of fixed size, whatever the input."""
+    cell = (F.pmod("rid", F.lit(BITS)) + 1).alias("cell")  # buckets of Spark's bitmaps begin at 1
+    parts = rows.select(cell).groupBy(F.bitmap_bucket_number("cell").alias("part"))
+    bits = np.zeros((BITS // _BUCKET, _BUCKET // 8), np.uint8)
+    for r in parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")).collect():
+        bits[r["part"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return bits.ravel()
+
+
+def may_have(bits: np.ndarray, rid: np.ndarray) -> np.ndarray:
+    """Whether the rows of the filter can include these: none that they include is missed."""
+    cell = rid % BITS
+    return bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1 == 1
+
+
 def fetch_sets(docs: DataFrame, text: str, wanted: DataFrame, cells) -> DataFrame:
-    """The ordered n-grams of the ``wanted`` classes (``cls`` and the ``rid`` of a row that has it)."""
+    """The ordered n-grams of the ``wanted`` classes (``cls`` and the ``rid`` of a row that has it).
+
+    Only texts that the filter lets through, the wanted and a few by chance, are shuffled.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(row_filter(wanted))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
+            batch = batch.filter(pa.array(may_have(bits.value, batch.column(0).to_numpy())))
             packed = [packer.compress((x.as_py() or "").encode()) for x in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], ["rid", "z"])
 
@@ -257,8 +279,9 @@ def fetch_sets(docs: DataFrame, text: str, wanted: DataFrame, cells) -> DataFram
                     yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], ["cls", "grams"])
 
     rows = docs.select(_rid(docs), F.col(f"`{text}`").alias("text")).mapInArrow(pack, "rid bigint, z binary")
-    found = rows.join(wanted, "rid").select("cls", "z").mapInArrow(unpack, "cls bigint, grams binary")
-    return found.dropDuplicates(["cls"])
+    # Of rows that agree in all columns one is enough; they are together already, and sets are larger than texts.
+    found = rows.join(wanted, "rid").dropDuplicates(["rid"])
+    return found.select("cls", "z").mapInArrow(unpack, "cls bigint, grams binary")
 
 
 def tree_overlaps(pivot: np.ndarray, sets: list[np.ndarray], t: int = T, step: int = 64) -> Iterator[tuple[int, int]]:
@@ -457,7 +480,7 @@ def _labelled(slim: DataFrame) -> DataFrame:
     search = _Search(slim, cells, sized, profiles)
 
     # The class with the most company is the pivot of its groups: of near copies mostly the text that they come from.
-    heaviest = F.max_by("cls", F.struct("weight", "cls")).alias("pivot")
+    heaviest = F.max(F.struct("weight", "cls"))["cls"].alias("pivot")
     pivots = materialise(groups.join(profiles.select("cls", "weight"), "cls").groupBy("t").agg(heaviest), "pivots")
     rest = materialise(groups.join(pivots, "t").filter("cls <> pivot"), "rest")
     member = search.verified(search.possible(rest.select(F.col("pivot").alias("a"), F.col("cls").alias("b"))))

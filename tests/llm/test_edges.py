@@ -400,6 +400,25 @@ def test_shared_prefixes_are_shuffled_again_only_where_rows_went_through(spark,
     assert found[1][0] == found[1 << 20][0] and found[1 << 20][1] == 0 < found[1][1]
 
 
+def test_texts_that_are_not_asked_for_stay_where_they_are(spark, monkeypatch):
+    """Sets of asked classes, from rows that repeat too; the filter of rows misses none, lets few others through, and sets are not dealt again."""
+    docs = documents(spark, [(i % 300, f"{SENTENCE} tail{i % 300}") for i in range(400)]).select("doc_id", "text")
+    rows, counters = jaccard_join.classes(docs, "text")
+    wanted = rows.dropDuplicates(["cls"]).orderBy("cls").limit(20).select("cls", "rid").localCheckpoint()
+    asked = {r.rid for r in wanted.collect()}
+    rids = np.array(sorted({r.rid for r in rows.collect()}))
+    passed = set(rids[jaccard_join.may_have(jaccard_join.row_filter(wanted), rids)].tolist())
+    assert len(rids) == 300 and asked <= passed and len(passed) < 30
+    assert jaccard_join.may_have(jaccard_join.row_filter(wanted.limit(0)), rids).sum() == 0
+    cells, found = spark.sparkContext.broadcast(counters), []
+    for bits in (1 << 25, 1 << 15):
+        monkeypatch.setattr(jaccard_join, "BITS", bits)
+        sets = jaccard_join.fetch_sets(docs, "text", wanted, cells)
+        assert "hashpartitioning(cls" not in sets._jdf.queryExecution().toString()
+        found.append(sorted((r.cls, bytes(r.grams)) for r in sets.collect()))
+    assert found[0] == found[1] and [c for c, _ in found[0]] == sorted(r.cls for r in wanted.collect())
+
+
 def test_language_model(spark, edge, empty):
     rng = random.Random(12)
     words = ["the", "a", "cat", "dog", "sat", "ran", *[f"r{i}" for i in range(50)]]
