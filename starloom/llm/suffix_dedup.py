@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.textops import _BYTE, PIECE, begins_run, blocks, buffers, from_six_bytes, mix, six_bytes
-from starloom.llm.tables import materialise, release, temporary
+from starloom.llm.tables import few_files, materialise, release, temporary
 
 LENGTH, K = 50, 24
 WINDOW = LENGTH - K + 1
@@ -439,12 +439,12 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
 
     joined = packed.join(known, F.col("id") == F.col("doc"), "left").select("row", "id", "z", "repeats", "open")
     schema = _struct(row, [("id", "bigint"), *_RESULT, ("z", "binary"), ("edges", "array<int>"), ("open", "array<bigint>")])
-    half = materialise(joined.mapInArrow(second, schema), "second", lasting=True)
+    half = materialise(few_files(joined.mapInArrow(second, schema)), "second", lasting=True)
     release(spark)
 
     found_ = open_strings(half.filter("open is not null").select("id", "z", "open"), buckets)
     hits = found_.groupBy("id").agg(F.collect_set("name").alias("hits"))
-    hits = materialise(hits.select(F.col("id").alias("of"), "hits"), "hits", lasting=True)
+    hits = materialise(few_files(hits.select(F.col("id").alias("of"), "hits")), "hits", lasting=True)
 
     def third(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Covers the strings that were found in a smaller document."""
@@ -481,7 +481,7 @@ def _repeats(docs: DataFrame, doc: str, text: str, columns: list[str], texts_: b
 
     open_ = half.filter("z is not null").select("row", "id", "z", "edges")
     met = open_.join(hits, F.col("id") == F.col("of"), "left").select("row", "z", "edges", "hits")
-    decided = met.mapInArrow(third, _struct(row, _RESULT))
+    decided = few_files(met.mapInArrow(third, _struct(row, _RESULT)))
     return half.filter("z is null").select("row", *[c for c, _ in _RESULT]).unionByName(decided)
 
 

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names, and hot groups, in small tables."""
 
+import collections
 import itertools
 import random
 
@@ -17,6 +18,7 @@ from starloom.llm import (
     quality_fm,
     quality_rules,
     suffix_dedup,
+    tables,
     textops,
     url_filter,
     warc,
@@ -419,6 +421,23 @@ def test_texts_that_are_not_asked_for_stay_where_they_are(spark, monkeypatch):
     assert found[0] == found[1] and [c for c, _ in found[0]] == sorted(r.cls for r in wanted.collect())
 
 
+def test_repeats_are_written_to_fewer_files_than_shuffle_partitions(spark):
+    """Where partitions are many more than cores, several go into one file."""
+    rng = random.Random(3)
+    docs = [(i, f"{rng.random()} {SENTENCE if i % 2 else SENTENCE.upper()} {rng.random()}") for i in range(200)]
+    many, before = 32 * spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", many)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = suffix_dedup.repeats(documents(spark, docs))
+        files = collections.Counter(f.split("/")[-2].split("-")[0] for f in found.inputFiles())
+        assert set(files) == {"second", "hits"} and max(files.values()) <= many // tables.JOINED
+        same(got(found, "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.removed_bytes(docs))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_language_model(spark, edge, empty):
     rng = random.Random(12)
     words = ["the", "a", "cat", "dog", "sat", "ran", *[f"r{i}" for i in range(50)]]
