@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import materialise, temporary
+from starloom.llm.tables import in_parts, joined, materialise, temporary
+
+SHARE = 1 << 18  # edges of a file of a round
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -28,13 +30,19 @@ def _stars(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _print(edges)) != before:
         before = now
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialise(large, "large")
-        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        linked = large.join(least, "u")
-        small = linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = materialise(small.distinct(), "small")
+        with in_parts(1 + now[0] // SHARE):
+            edges = _round(edges)
     centres = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    # Edges of one file stay one partition, and nothing is shuffled.
+    both = joined(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+    large = both.filter("v > u").join(joined(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = joined(materialise(large, "large"))
+    least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+    linked = large.join(joined(least), "u")
+    small = linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    return materialise(joined(small).distinct(), "small")

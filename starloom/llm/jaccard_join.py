@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import connected
 from starloom.llm.textops import begins_run, blocks, buffers, from_six_bytes, mix, rows_of, six_bytes, word_hashes
-from starloom.llm.tables import materialise, release, temporary
+from starloom.llm.tables import few_files, in_parts, joined, materialise, release, temporary
 
 N, T = 5, 75
 CELLS, RANGES = 1 << 21, 64
@@ -38,6 +38,7 @@ HELD = 1 << 19  # n-grams that a task gathers before it counts or sends them
 MANY = 8  # classes of an n-gram that a task sends to its bucket
 BITS, _BUCKET = 1 << 25, 1 << 15  # of a filter of rows, and of one of Spark's bitmaps
 LIST, BLOCK = 4096, 1 << 14  # members of a list, and n-grams asked for in a block
+SHARE = 1 << 22  # n-grams for which a table gets a file, 32 MB of them
 _48 = np.uint64((1 << 48) - 1)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -130,10 +131,11 @@ def classes(docs: DataFrame, text: str) -> tuple[DataFrame, np.ndarray]:
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], ["part", "blob"])
 
     rows = docs.select(_rid(docs), F.col(f"`{text}`").alias("text"))
-    both = materialise(rows.mapInArrow(run, "rid bigint, cls bigint, n bigint, part int, blob binary"), "classes")
-    parts = both.filter("blob is not null").select("part", "blob").repartition("part").mapInArrow(add, "part int, blob binary")
+    both = materialise(few_files(rows).mapInArrow(run, "rid bigint, cls bigint, n bigint, part int, blob binary"), "classes")
+    # RANGES rows in all: more tasks than can run at once only start more Python.
+    parts = both.filter("blob is not null").select("part", "blob").repartition("part").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
     cells = np.zeros((RANGES, CELLS // RANGES), np.uint64)
-    for r in parts.collect():  # CELLS counters in all, whatever the input
+    for r in parts.mapInArrow(add, "part int, blob binary").collect():  # CELLS counters in all, whatever the input
         cells[r["part"]] = np.frombuffer(zlib.decompress(r["blob"]), np.uint64)
     magnitudes = np.log2(1 + cells.ravel().astype(np.float64)).astype(np.uint8)
     return both.filter("blob is null").select("rid", "cls", "n"), magnitudes
@@ -144,6 +146,12 @@ def _rid(docs: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("rid")
 
 
+def _files(sizes: DataFrame) -> int:
+    """How many files hold a table of all n-grams, of rows with sets of ``n`` of them; as many at least as tasks run at once."""
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    return max(sizes.sparkSession.sparkContext.defaultParallelism, 1 + total // SHARE)
+
+
 def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFrame:
     """Class and n-gram (``t``, a number that names it) for the n-grams that stand in the prefix of two classes or more.
 
@@ -232,7 +240,7 @@ def shared_prefixes(docs: DataFrame, text: str, cells, buckets: int) -> DataFram
 
     packed = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "bucket int, known boolean, t binary, c binary")
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    met = materialise(dealt.mapInArrow(meet, "t bigint, cls bigint, again boolean"), "met")
+    met = materialise(joined(dealt).mapInArrow(meet, "t bigint, cls bigint, again boolean"), "met")
     # A bucket tells each row once, but for n-grams of which rows went through: only these are shuffled again.
     again = materialise(met.filter("again").select("t", "cls").distinct(), "again")
     return met.filter("not again").select("t", "cls").unionByName(again)
@@ -281,7 +289,7 @@ def fetch_sets(docs: DataFrame, text: str, wanted: DataFrame, cells) -> DataFram
     rows = docs.select(_rid(docs), F.col(f"`{text}`").alias("text")).mapInArrow(pack, "rid bigint, z binary")
     # Of rows that agree in all columns one is enough; they are together already, and sets are larger than texts.
     found = rows.join(wanted, "rid").dropDuplicates(["rid"])
-    return found.select("cls", "z").mapInArrow(unpack, "cls bigint, grams binary")
+    return joined(found.select("cls", "z")).mapInArrow(unpack, "cls bigint, grams binary")
 
 
 def tree_overlaps(pivot: np.ndarray, sets: list[np.ndarray], t: int = T, step: int = 64) -> Iterator[tuple[int, int]]:
@@ -336,7 +344,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("of_b")), "b")
     right = left.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("of_a")), "a")
-    return right.select("a", "b", "of_a", "of_b").mapInArrow(run, "u bigint, v bigint")
+    return joined(right.select("a", "b", "of_a", "of_b")).mapInArrow(run, "u bigint, v bigint")
 
 
 def _slim(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -462,11 +470,14 @@ def label(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     """Per row: ``rid`` (a number for id and text), ``doc_id``, the size ``n`` of its set, its class ``cls`` and ``component``, the
     smallest class that is reached by links."""
     with temporary(docs.sparkSession):
-        return materialise(_labelled(_slim(docs, doc, text)), "rows", lasting=True)
+        slim = _slim(docs, doc, text)
+        by_row, counters = classes(slim, "text")
+        with in_parts(_files(by_row)):
+            labelled = _labelled(slim, by_row, counters)
+        return materialise(few_files(labelled), "rows", lasting=True)
 
 
-def _labelled(slim: DataFrame) -> DataFrame:
-    by_row, counters = classes(slim, "text")
+def _labelled(slim: DataFrame, by_row: DataFrame, counters: np.ndarray) -> DataFrame:
     cells = slim.sparkSession.sparkContext.broadcast(counters)
     sized = by_row.filter("n > 0").groupBy("cls").agg(F.min("n").alias("n"), F.min("rid").alias("rid"))
     sized = materialise(sized, "sizes")
@@ -511,7 +522,10 @@ def link(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     reached by links."""
     rows = label(docs, doc, text)
     least = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    out = rows.join(materialise(least, "least"), "component", "left")
+    files = _files(rows)
+    with in_parts(files):
+        least = materialise(least, "least")
+    out = rows.join(least, "component", "left").coalesce(files)
     empty = F.col("n") == 0
     return out.select(
         "doc_id",
@@ -527,11 +541,12 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     with temporary(docs.sparkSession):
         rows = label(docs, doc, text)
         first = F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
-        kept = rows.filter("n > 0").groupBy("component").agg(first.alias("rid")).select("rid")
-        kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept")
-        times = materialise(rows.groupBy("rid").agg(F.count(F.lit(1)).alias("times")), "times")
-        gone = materialise(times.join(kept, "rid", "left_anti").select("rid"), "gone", lasting=True)
-        twice = materialise(times.filter("times > 1").join(kept, "rid", "left_semi").select("rid"), "twice", lasting=True)
+        with in_parts(_files(rows)):
+            kept = rows.filter("n > 0").groupBy("component").agg(first.alias("rid")).select("rid")
+            kept = materialise(kept.unionByName(rows.filter("n = 0").select("rid")).distinct(), "kept")
+            times = materialise(rows.groupBy("rid").agg(F.count(F.lit(1)).alias("times")), "times")
+            gone = materialise(times.join(kept, "rid", "left_anti").select("rid"), "gone", lasting=True)
+            twice = materialise(times.filter("times > 1").join(kept, "rid", "left_semi").select("rid"), "twice", lasting=True)
     # What goes is the shorter list; only rows that repeat have to meet.
     rid = F.xxhash64(f"`{doc}`", f"`{text}`").alias("rid")
     left = docs.select(F.struct("*").alias("row"), rid).join(gone, "rid", "left_anti")

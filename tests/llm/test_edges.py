@@ -421,6 +421,45 @@ def test_texts_that_are_not_asked_for_stay_where_they_are(spark, monkeypatch):
     assert found[0] == found[1] and [c for c, _ in found[0]] == sorted(r.cls for r in wanted.collect())
 
 
+def test_small_tables_of_the_similarity_join_have_few_files(spark, monkeypatch):
+    """Not one per shuffle partition, where these are many more than the rows need: each file costs processes on a local path."""
+    docs = [(i, f"{SENTENCE} {SENTENCE} group{i % 20} more{i % 20}" + f" tail{i}" * (i % 3)) for i in range(120)]
+    few = got(jaccard_join.link(documents(spark, docs)), "doc_id", "n_shingles", "component_id")
+    files, many = {}, 40
+
+    def counted(module):
+        def kept(df, name, *rest, plain=module.materialise, **options):
+            table = plain(df, name, *rest, **options)
+            files.setdefault(name, []).append(len(table.inputFiles()))
+            return table
+
+        monkeypatch.setattr(module, "materialise", kept)
+
+    counted(jaccard_join)
+    counted(components)
+    settings = {"spark.sql.shuffle.partitions": str(many), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        cores = spark.sparkContext.defaultParallelism
+        assert many >= 8 * cores
+        linked = jaccard_join.link(documents(spark, docs))
+        assert got(linked, "doc_id", "n_shingles", "component_id") == few
+        written = {"sizes", "met", "profiles", "pairs", "sets", "links", "components", "others", "least"}
+        assert written <= set(files) and linked.rdd.getNumPartitions() <= cores
+        assert max(max(n) for name, n in files.items() if name not in ("classes", "rows")) <= cores
+        assert max(files["large"] + files["small"]) == 1 and max(files["classes"] + files["rows"]) <= many // 2
+        assert min(max(files[name]) for name in ("sizes", "met", "sets")) > 1
+        monkeypatch.setattr(jaccard_join, "SHARE", 500)  # more rows, more files
+        files.clear()
+        assert got(jaccard_join.link(documents(spark, docs)), "doc_id", "n_shingles", "component_id") == few
+        assert max(files["sizes"]) > cores
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_repeats_are_written_to_fewer_files_than_shuffle_partitions(spark):
     """Where partitions are many more than cores, several go into one file."""
     rng = random.Random(3)
