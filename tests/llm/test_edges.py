@@ -515,6 +515,67 @@ def test_frequent_and_rare_words_score_alike(spark, monkeypatch):
         assert (r.n_known, r.n_tokens) == (whole[r.doc_id].n_known, whole[r.doc_id].n_tokens)
 
 
+def test_words_of_one_class_are_contexts_of_their_own(spark):
+    """What follows a word is learned of that word, not only of those that end alike."""
+    docs = [(i, f"caab one daab two daab two caab one x{i}") for i in range(60)]
+    model = pitman_yor.fit(documents(spark, docs))
+    got = {r.doc_id: r for r in pitman_yor.score(documents(spark, [(1, "caab one"), (2, "caab two"), (3, "daab two"), (4, "daab one")]), model).collect()}
+    # The texts have the same words, classes and ends.
+    assert got[1].base_score == pytest.approx(got[2].base_score) and got[3].base_score == pytest.approx(got[4].base_score)
+    assert got[1].score > got[2].score + 1 and got[3].score > got[4].score + 1
+
+
+def test_language_model_is_the_plain_one(spark, monkeypatch):
+    """Counts of pairs, probabilities that sum to one in every context, and scores, through several buckets and chunks."""
+    for name, n in (("_BUCKET", 700), ("_HELD", 200), ("_CHUNK", 600), ("_SMALL", 5), ("FREQUENT", 9)):
+        monkeypatch.setattr(pitman_yor, name, n)
+    rng = random.Random(7)
+    words = ["the", "a", "Cat", "dog", "hog", "ran", *[f"r{i}" for i in range(40)]]
+    docs = [(i, " ".join(rng.choice(words[: rng.choice([6, 46])]) for _ in range(12))) for i in range(120)]
+    model = pitman_yor.fit(documents(spark, docs))
+    t, told = model.totals, pitman_yor._TABLES
+
+    def tokens(text):
+        import pyarrow as pa
+
+        _, before, word = pitman_yor._keys(pa.record_batch([pa.array([text])], ["text"]))
+        return list(zip(before.tolist(), word.tolist(), strict=True))
+
+    tables = {kind: [] for kind in told}
+    for r in model.state.union(model.single).collect():
+        data = np.frombuffer(r.data, np.uint8)
+        records = pitman_yor._from_planes(data, r.n, told[r.kind]) if r.n else data.view(told[r.kind])
+        assert len(set(pitman_yor._place(records if r.kind == pitman_yor._SINGLE else records["key"], model.buckets).tolist())) == 1
+        tables[r.kind] += records.tolist()
+    pairs = collections.Counter(x for _, text in docs for x in tokens(text))
+    assert model.buckets > 5 and model.tokens == pairs.total()
+    key = lambda u, w: int(pitman_yor._pair(np.array([u], np.uint64), np.array([w], np.uint64))[0])
+    kept = dict(tables[pitman_yor._KEPT]) | {k: 1 - t.word_discount for k in tables[pitman_yor._SINGLE]}
+    assert set(kept) == {key(*x) for x in pairs} and set(tables[pitman_yor._SINGLE]) == {key(*x) for x, n in pairs.items() if n == 1}
+    rooms = {k: (n, seats) for k, n, seats in tables[pitman_yor._ROOMS]}
+    followers = collections.Counter()
+    for (u, _), n in pairs.items():
+        followers[u] += n
+    assert {u: n for u, (n, _) in rooms.items()} == followers
+    of_word = {r.w: r for r in model.words.collect()}
+
+    def chance(u, w):
+        k, r = u % pitman_yor.CONTEXTS, of_word.get(w)
+        own = r.kept[r.contexts.index(k)] if r and k in r.contexts else 0.0
+        root = r.arrived - t.parent_discount * r.parent_tables if r else 0.0
+        n, seats = rooms.get(u, (0, 0.0))
+        return (kept.get(key(u, w), 0.0) + (pitman_yor.STRENGTH + t.word_discount * seats) * t.class_chance(k, own, root)) / (pitman_yor.STRENGTH + n)
+
+    for u in rooms:
+        assert sum(chance(u, w) for w in of_word) + chance(u, 0) == pytest.approx(1, abs=1e-4)
+    asked = [*docs[:20], (500, "a Dog ran UNSEEN the hog"), (501, "unseen unseen r1 R2"), (502, None), (503, ""), *docs[:2]]
+    rows = pitman_yor.score(documents(spark, asked), model).collect()
+    plain = lambda x: sum(np.log10(chance(*y)) for y in tokens(x or ""))
+    found, expected = sorted((r.doc_id, r.score) for r in rows), sorted((i, plain(x)) for i, x in asked)
+    assert [i for i, _ in found] == [i for i, _ in expected]
+    assert [x for _, x in found] == pytest.approx([x for _, x in expected], rel=1e-5)
+
+
 def test_seating_follows_the_restaurant():
     random_ = np.random.default_rng(3)
     customers = np.full(4000, 500)
